@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF
@@ -12,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import words
+from ..storage import stored
 
 
 class NaiveBayes(NamedTuple):
-    """Counts of a multinomial model.
+    """Counts of a multinomial model, written once when it is trained.
 
     ``classes``: ``label, documents, tokens``; ``terms``: ``term, label, n``;
     ``vocabulary``: ``term``.
@@ -32,7 +34,8 @@ def train_naive_bayes(tf: DataFrame, labels: DataFrame, id: str = "doc_id") -> N
     A document without any term still counts for its class.
     """
     labelled = tf.join(labels, id)
-    terms = labelled.groupBy("term", "label").agg(F.sum("tf").alias("n"))
+    counted = labelled.groupBy("term", "label").agg(F.sum("tf").alias("n"))
+    terms = stored(counted, "term-counts")
     sizes = terms.groupBy("label").agg(F.sum("n").alias("tokens"))
     classes = (
         labels.groupBy("label")
@@ -64,7 +67,7 @@ def naive_bayes_scores(
     Terms outside the vocabulary are skipped.  A term not seen with a class has
     the likelihood of a zero count, which needs no row: it is what the total of
     the document's terms and the class size give on their own.  So documents
-    meet only terms that were counted, and the few classes come as one array.
+    meet only counts that exist, and the few classes come as one array.
     """
     vocabulary = model.vocabulary.select(F.count("*")).scalar()
     every_class = model.classes.select(
@@ -72,24 +75,36 @@ def naive_bayes_scores(
     ).scalar()
     trained = model.classes.select(F.sum("documents")).scalar()
 
-    known = tf.join(model.vocabulary, "term", "left_semi")
-    lengths = known.groupBy(id).agg(F.sum("tf").alias("length"))
-    gains = (
-        tf.join(model.terms, "term")
-        .groupBy(id, "label")
-        .agg(F.sum(F.col("tf") * F.log((F.col("n") + smoothing) / smoothing)).alias("gain"))
+    # One array a term; the entry without a label stands for the term as such.
+    no_label = F.lit(None).cast(model.terms.schema["label"].dataType).alias("label")
+    itself = F.array(F.struct(no_label, F.lit(0).cast("bigint").alias("n")))
+    by_term = model.terms.groupBy("term").agg(
+        F.concat(F.array_agg(F.struct("label", "n")), itself).alias("counts")
     )
-    length = F.coalesce(F.col("length"), F.lit(0))
-    unseen = F.log(F.lit(smoothing) / (F.col("tokens") + smoothing * vocabulary))
-    prior = F.log(F.col("documents") / trained)
-    grid = (
-        documents.select(id)
-        .join(lengths, id, "left")
-        .select(id, "length", F.explode(every_class).alias("class"))
-        .select(id, "length", "class.*")
+    sums = (
+        tf.join(by_term, "term")
+        .select(id, "tf", F.explode("counts").alias("count"))
+        .groupBy(id, "count.label")
+        .agg(
+            F.sum("tf").alias("length"),
+            F.sum(F.col("tf") * F.log((F.col("count.n") + smoothing) / smoothing)).alias("gain"),
+        )
+    )
+    by_document = sums.groupBy(id).agg(
+        F.max(F.when(F.col("label").isNull(), F.col("length"))).alias("length"),
+        F.map_from_entries(
+            F.array_agg(F.when(F.col("label").isNotNull(), F.struct("label", "gain")))
+        ).alias("gains"),
     )
-    return grid.join(gains, [id, "label"], "left").select(
-        id, "label", (prior + length * unseen + F.coalesce("gain", F.lit(0.0))).alias("score")
+    gain = F.coalesce(F.try_element_at("gains", F.col("class.label")), F.lit(0.0))
+    unseen = F.log(F.lit(smoothing) / (F.col("class.tokens") + smoothing * vocabulary))
+    prior = F.log(F.col("class.documents") / trained)
+    score = prior + F.coalesce(F.col("length"), F.lit(0)) * unseen + gain
+    return (
+        documents.select(id)
+        .join(by_document, id, "left")
+        .select("*", F.explode(every_class).alias("class"))
+        .select(id, "class.label", score.alias("score"))
     )
 
 
@@ -141,15 +156,27 @@ def accuracy(predicted: DataFrame) -> DataFrame:
 
 
 def train_logistic(
-    documents: DataFrame, text: str = "text", width: int = 1 << 14, regularisation: float = 0.01
+    documents: DataFrame,
+    text: str = "text",
+    width: int = 1 << 14,
+    regularisation: float = 0.01,
+    iterations: int = 50,
 ) -> PipelineModel:
-    """Logistic regression on hashed TF-IDF vectors of ``text``; needs ``label``."""
-    stages = [
-        HashingTF(numFeatures=width, inputCol="words", outputCol="tf"),
-        IDF(inputCol="tf", outputCol="features"),
-        LogisticRegression(regParam=regularisation, labelCol="label"),
-    ]
-    return Pipeline(stages=stages).fit(_with_words(documents, text))
+    """Logistic regression on hashed TF-IDF vectors of ``text``; needs ``label``.
+
+    The texts are taken apart once; the passes over the data use the counts.
+    """
+    counting = HashingTF(numFeatures=width, inputCol="words", outputCol="tf")
+    counted = counting.transform(_with_words(documents, text)).select("label", "tf")
+    counted.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        weighting = IDF(inputCol="tf", outputCol="features").fit(counted)
+        regression = LogisticRegression(
+            regParam=regularisation, maxIter=iterations, labelCol="label"
+        ).fit(weighting.transform(counted))
+    finally:
+        counted.unpersist()
+    return PipelineModel([counting, weighting, regression])
 
 
 def apply_logistic(model: PipelineModel, documents: DataFrame, text: str = "text") -> DataFrame:

@@ -3,28 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_BUCKETS = 4096
+_BUCKETS = 1 << 14
 
 
-def values_at(rows: DataFrame, key: str, positions: Iterable[int]) -> dict[int, int]:
+class Limits(NamedTuple):
+    """The smallest and largest key, and how many there are."""
+
+    low: int | None
+    high: int | None
+    count: int
+
+
+def limits_of(rows: DataFrame, key: str) -> Limits:
+    keys = rows.select(F.col(key).cast("bigint").alias("key"))
+    return Limits(*keys.agg(F.min("key"), F.max("key"), F.count("key")).first())
+
+
+def values_at(
+    rows: DataFrame, key: str, positions: Iterable[int], limits: Limits | None = None
+) -> dict[int, int]:
     """The value of an integer column at given 0-based sorted positions.
 
     Counts the rows in equal slices of the key range and narrows each position
     to its slice until a slice is one value wide.  A pass reads only ``key``,
     combines in the map tasks and brings at most ``_BUCKETS`` counts for a
     position to the driver.  Keys that spread over ``r`` values take
-    ``log(r, 4096)`` passes whatever the number of rows.  Positions past the
+    ``log(r, 16384)`` passes whatever the number of rows.  Positions past the
     end have no entry.
     """
     keys = rows.select(F.col(key).cast("bigint").alias("key")).dropna()
-    low, high, count = keys.agg(F.min("key"), F.max("key"), F.count("*")).first()
+    low, high, count = limits or limits_of(rows, key)
     found: dict[int, int] = {}
     # position -> (low, high, rows below low)
-    open_ranges = {p: (low, high, 0) for p in set(positions) if 0 <= p < (count or 0)}
+    open_ranges = {p: (low, high, 0) for p in set(positions) if 0 <= p < count}
     while open_ranges:
         for position, (lo, hi, _) in list(open_ranges.items()):
             if lo == hi:

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import checkpointed
+from ..storage import stored
 
 # Bounds are compared with this much room, so that rounding cannot lose a pair.
 _SLACK = 1e-9
@@ -52,25 +52,28 @@ def similar_pairs(vectors: DataFrame, threshold: float) -> SimilarPairs:
     as one id.  ``copies`` leads back to every id.
 
     The rest is prefix filtering (Bayardo, Ma and Srikant, 2007).  Features are
-    ranked from rare to frequent.  If the part of a vector from some rank on is
-    shorter than the threshold, two vectors that share features only there
-    cannot reach it.  So candidates come from the rarer part alone, and the
-    frequent features, which would join almost everything with everything, only
-    count in the final check of the few candidates left.
-
-    Ranks are steps of the document frequency, four to a doubling.  The lengths
-    are then sums by id and rank, at most some 250 rows an id, and no window
-    ever holds a whole vector.
+    ranked from rare to frequent, and the head of a vector is its rarest part,
+    as short as it can be with a remaining tail shorter than the threshold.  Two
+    vectors that share nothing in their heads cannot reach the threshold, so
+    only heads are joined, and the frequent features, which would join almost
+    everything with everything, only count for the few pairs that are left.
+
+    Ranks are steps of the document frequency, four to a doubling.  Lengths are
+    then sums by id and rank, at most some 250 rows an id, and no window ever
+    holds a whole vector.
+
+    ``vectors`` is read several times; pass a stored table.
     """
     vectors = vectors.filter(F.col("weight") != 0).select("id", "feature", "weight")
-    groups = _groups(_signatures(vectors))
-    units = checkpointed(
-        vectors.join(groups.select("id", "copies", "norm2"), "id").select(
-            "id", "feature", "copies", (F.col("weight") / F.sqrt("norm2")).alias("unit")
-        )
+    groups = stored(_groups(_signatures(vectors)), "copies")
+    ranked = stored(_ranked(vectors, groups), "ranked")
+    met = stored(_met(_heads(ranked, threshold), threshold), "met")
+    pairs = _completed(met, ranked).filter(F.col("cosine") >= threshold)
+    sizes = groups.select("id", "copies")
+    with_sizes = pairs.join(sizes.toDF("id_a", "copies_a"), "id_a").join(
+        sizes.toDF("id_b", "copies_b"), "id_b"
     )
-    pairs = _verified(units, _candidates(units, threshold), threshold)
-    return SimilarPairs(pairs, copies_of(vectors))
+    return SimilarPairs(with_sizes, copies_of(vectors))
 
 
 def copies_of(vectors: DataFrame) -> DataFrame:
@@ -100,62 +103,94 @@ def _signatures(vectors: DataFrame) -> DataFrame:
     )
 
 
-def _candidates(units: DataFrame, threshold: float) -> DataFrame:
-    """``id_a, id_b`` of all pairs that may reach the threshold, ``id_a < id_b``."""
-    frequency = units.groupBy("feature").agg(F.count_if(F.col("unit") != 0).alias("df"))
-    ranked = units.join(frequency, "feature").select(
-        "id", "feature", "unit", "df", F.floor(4 * F.log2("df")).cast("int").alias("rank")
-    )
-    later = (
-        Window.partitionBy("id")
-        .orderBy(F.desc("rank"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+def _ranked(vectors: DataFrame, groups: DataFrame) -> DataFrame:
+    """Unit vectors of the ids that stand for copies: ``id, feature, unit, df, rank``.
+
+    ``df`` is the number of ids with the feature and ``rank`` grows with it.
+    """
+    frequency = vectors.groupBy("feature").agg(F.count("*").alias("df"))
+    return (
+        vectors.join(groups.select("id", "norm2"), "id")
+        .join(frequency, "feature")
+        .select(
+            "id",
+            "feature",
+            (F.col("weight") / F.sqrt("norm2")).alias("unit"),
+            "df",
+            F.floor(4 * F.log2("df")).cast("int").alias("rank"),
+        )
     )
+
+
+def _heads(ranked: DataFrame, threshold: float) -> DataFrame:
+    """The rows of the heads: ``id, feature, unit, from2, after2, cut, tail2``.
+
+    ``from2`` and ``after2`` are squared lengths of the vector from the row's
+    rank on and after it.  ``cut`` is the last rank of the head and ``tail2``
+    what follows it.
+    """
+    falling = Window.partitionBy("id").orderBy(F.desc("rank"))
+    later = falling.rowsBetween(Window.unboundedPreceding, -1)
     lengths = (
         ranked.groupBy("id", "rank")
         .agg(F.sum(F.col("unit") ** 2).alias("here2"))
         .withColumn("after2", F.coalesce(F.sum("here2").over(later), F.lit(0.0)))
         .withColumn("from2", F.col("here2") + F.col("after2"))
         .filter(F.col("from2") >= threshold**2 - _SLACK)
+        .withColumn("cut", F.first("rank").over(falling))
+        .withColumn("tail2", F.first("after2").over(falling))
+        .drop("here2")
     )
     # A feature of one id alone counts in the lengths but joins nothing.
-    postings = (
-        ranked.filter(F.col("df") > 1)
-        .join(lengths, ["id", "rank"])
-        .select("id", "feature", "unit", "from2", "after2")
+    shared = ranked.filter(F.col("df") > 1).select("id", "feature", "unit", "rank")
+    return shared.join(lengths, ["id", "rank"]).drop("rank")
+
+
+def _met(heads: DataFrame, threshold: float) -> DataFrame:
+    """Pairs whose heads meet and that may reach the threshold.
+
+    ``id_a < id_b``, ``seen`` and ``common``, the product and number of the
+    features met, and ``cut``: up to that rank nothing is missing.
+    """
+    names = ["id", "unit", "from2", "after2", "cut", "tail2"]
+    a, b = (heads.select("feature", *(F.col(n).alias(f"{n}_{s}") for n in names)) for s in "ab")
+    met = a.join(b, "feature").filter(F.col("id_a") < F.col("id_b"))
+    # What is missing lies in the tail of the shorter head, and in the other
+    # vector after the most frequent feature met.
+    a_shorter = F.col("cut_a") <= F.col("cut_b")
+    missing2 = F.when(a_shorter, F.col("tail2_a") * F.col("after2_b")).otherwise(
+        F.col("tail2_b") * F.col("after2_a")
     )
-    a, b = (
-        postings.toDF(f"id_{s}", "feature", f"unit_{s}", f"from2_{s}", f"after2_{s}") for s in "ab"
+    sums = met.groupBy("id_a", "id_b").agg(
+        F.sum(F.col("unit_a") * F.col("unit_b")).alias("seen"),
+        F.count("*").alias("common"),
+        F.min(F.least("cut_a", "cut_b")).alias("cut"),
+        F.max(F.col("from2_a") * F.col("from2_b")).alias("whole2"),
+        F.min(missing2).alias("missing2"),
     )
-    met = a.join(b, "feature").filter(F.col("id_a") < F.col("id_b"))
-    # At the rarest common feature nothing has been missed before it, and after
-    # the most frequent one met here at most the remaining lengths can follow.
     return (
-        met.groupBy("id_a", "id_b")
-        .agg(
-            F.sum(F.col("unit_a") * F.col("unit_b")).alias("seen"),
-            F.max(F.col("from2_a") * F.col("from2_b")).alias("whole2"),
-            F.min(F.col("after2_a") * F.col("after2_b")).alias("rest2"),
-        )
-        .filter(F.sqrt("whole2") >= threshold - _SLACK)
-        .filter(F.col("seen") + F.sqrt("rest2") >= threshold - _SLACK)
-        .select("id_a", "id_b")
+        sums.filter(F.sqrt("whole2") >= threshold - _SLACK)
+        .filter(F.col("seen") + F.sqrt("missing2") >= threshold - _SLACK)
+        .select("id_a", "id_b", "seen", "common", "cut")
     )
 
 
-def _verified(units: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
-    """The candidates whose full cosine reaches the threshold."""
-    a = units.toDF("id_a", "feature", "copies_a", "unit_a")
-    b = units.toDF("id_b", "feature", "copies_b", "unit_b")
-    return (
-        candidates.join(a, "id_a")
+def _completed(met: DataFrame, ranked: DataFrame) -> DataFrame:
+    """``id_a, id_b, common, cosine``: add what the pairs share after the cut."""
+    a = ranked.select(F.col("id").alias("id_a"), "feature", "rank", F.col("unit").alias("unit_a"))
+    b = ranked.select(F.col("id").alias("id_b"), "feature", F.col("unit").alias("unit_b"))
+    after = (
+        met.select("id_a", "id_b", "cut")
+        .join(a, "id_a")
+        .filter(F.col("rank") > F.col("cut"))
         .join(b, ["id_b", "feature"])
-        .groupBy("id_a", "id_b")
-        .agg(
-            F.max("copies_a").alias("copies_a"),
-            F.max("copies_b").alias("copies_b"),
-            F.count("*").alias("common"),
-            F.sum(F.col("unit_a") * F.col("unit_b")).alias("cosine"),
+        .select(
+            "id_a", "id_b", (F.col("unit_a") * F.col("unit_b")).alias("part"), F.lit(1).alias("n")
         )
-        .filter(F.col("cosine") >= threshold)
+    )
+    before = met.select("id_a", "id_b", F.col("seen").alias("part"), F.col("common").alias("n"))
+    return (
+        before.unionByName(after)
+        .groupBy("id_a", "id_b")
+        .agg(F.sum("n").alias("common"), F.sum("part").alias("cosine"))
     )

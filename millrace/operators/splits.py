@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .positions import values_at
+from .positions import limits_of, values_at
 
 BASE, TEST = "base", "test"
 
@@ -20,9 +20,9 @@ def fold_starts(rows: DataFrame, key: str, folds: int) -> list[int | None]:
     A row at position ``p`` of ``n`` belongs to block ``p * folds div n``.  A
     start is None for blocks that get no rows.
     """
-    n = rows.count()
-    first = [-(-fold * n // folds) for fold in range(folds)]
-    at = values_at(rows, key, first)
+    limits = limits_of(rows, key)
+    first = [-(-fold * limits.count // folds) for fold in range(folds)]
+    at = values_at(rows, key, first, limits)
     return [at.get(position) for position in first]
 
 
@@ -47,6 +47,20 @@ def fold_slices(rows: DataFrame, key: str, folds: int) -> list[DataFrame]:
     return slices
 
 
+def fold_pair(
+    rows: DataFrame, key: str, fold: int, folds: int = 5
+) -> tuple[DataFrame, DataFrame]:
+    """Base and test rows of one fold, as key ranges a scan can skip on."""
+    starts = fold_starts(rows, key, folds)
+    start, end = starts[fold], next((s for s in starts[fold + 1 :] if s is not None), None)
+    if start is None:
+        return rows, rows.filter(F.lit(False))
+    before, after = F.col(key) < start, F.col(key) >= start
+    if end is not None:
+        before, after = before | (F.col(key) >= end), after & (F.col(key) < end)
+    return rows.filter(before), rows.filter(after)
+
+
 def fold_roles(folded: DataFrame, folds: int = 5) -> DataFrame:
     """Every row once for each fold: ``test`` in its own, ``base`` in the others.
 

@@ -1,6 +1,7 @@
 """The registered queries over the test tables, and their SQL counterparts."""
 
-from . import classification, datasets, events, images, regression, splits, streams, text, vectors
+from . import events, splits, text, classification, datasets, vectors, images  # noqa: I001
+from . import regression, streams
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

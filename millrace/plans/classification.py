@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import classify as op
 from ..operators import terms
-from ..operators.splits import contiguous_folds
+from ..operators.splits import fold_pair
 from .inputs import labelled_documents
 from .registry import query
 
@@ -48,15 +46,8 @@ _MODEL = f"""
 """
 
 
-class _Split(NamedTuple):
-    train: DataFrame
-    test: DataFrame
-
-
-def _split(spark: SparkSession, root: str) -> _Split:
-    folded = contiguous_folds(labelled_documents(spark, root), "doc_id")
-    is_test = F.col("fold") == TEST_FOLD
-    return _Split(folded.filter(~is_test), folded.filter(is_test))
+def _split(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    return fold_pair(labelled_documents(spark, root), "doc_id", TEST_FOLD)
 
 
 def _tf(documents: DataFrame) -> DataFrame:
@@ -67,15 +58,10 @@ def _model(train: DataFrame) -> op.NaiveBayes:
     return op.train_naive_bayes(_tf(train), train.select("doc_id", "label"))
 
 
-def _scores(spark: SparkSession, root: str) -> DataFrame:
-    split = _split(spark, root)
-    return op.naive_bayes_scores(_model(split.train), _tf(split.test), split.test)
-
-
 def _predicted(spark: SparkSession, root: str) -> DataFrame:
-    split = _split(spark, root)
-    scores = op.naive_bayes_scores(_model(split.train), _tf(split.test), split.test)
-    return op.best_class(scores).join(split.test.select("doc_id", "label"), "doc_id")
+    train, test = _split(spark, root)
+    scores = op.naive_bayes_scores(_model(train), _tf(test), test)
+    return op.best_class(scores).join(test.select("doc_id", "label"), "doc_id")
 
 
 @query(
@@ -85,7 +71,8 @@ def _predicted(spark: SparkSession, root: str) -> DataFrame:
     """
 )
 def naive_bayes_loglik(spark: SparkSession, root: str) -> DataFrame:
-    model = _model(_split(spark, root).train)
+    train, _ = _split(spark, root)
+    model = _model(train)
     return op.term_log_likelihood(model).withColumn(
         "log_likelihood", F.round("log_likelihood", 8)
     )
@@ -93,7 +80,9 @@ def naive_bayes_loglik(spark: SparkSession, root: str) -> DataFrame:
 
 @query(f"WITH {_MODEL} SELECT doc_id, class AS label, round(score, 4) AS score FROM scores")
 def naive_bayes_scores(spark: SparkSession, root: str) -> DataFrame:
-    return _scores(spark, root).withColumn("score", F.round("score", 4))
+    train, test = _split(spark, root)
+    scores = op.naive_bayes_scores(_model(train), _tf(test), test)
+    return scores.withColumn("score", F.round("score", 4))
 
 
 @query(f"WITH {_MODEL} SELECT doc_id, prediction FROM predicted")
@@ -134,16 +123,16 @@ def naive_bayes_accuracy(spark: SparkSession, root: str) -> DataFrame:
 @query()
 def logistic_confusion(spark: SparkSession, root: str) -> DataFrame:
     """Logistic regression on the same split."""
-    split = _split(spark, root)
-    predicted = op.apply_logistic(op.train_logistic(split.train), split.test)
+    train, test = _split(spark, root)
+    predicted = op.apply_logistic(op.train_logistic(train), test)
     return op.confusion(predicted.withColumn("prediction", F.col("prediction").cast("int")))
 
 
 @query()
 def logistic_auc(spark: SparkSession, root: str) -> DataFrame:
     """How well each of the two labels is told apart: share of test rows and exact area."""
-    split = _split(spark, root)
-    predicted = op.apply_logistic(op.train_logistic(split.train), split.test)
+    train, test = _split(spark, root)
+    predicted = op.apply_logistic(op.train_logistic(train), test)
     area = op.area_under_roc(predicted)
     return predicted.groupBy("label").agg(
         F.count("*").alias("documents"), F.max(F.lit(area)).alias("area_under_roc")

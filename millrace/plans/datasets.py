@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import recommend as op
+from ..storage import stored
 from .inputs import part_ratings
 from .registry import query
 
@@ -35,7 +36,8 @@ def als_top_n(spark: SparkSession, root: str) -> DataFrame:
     """
 )
 def item_similarity(spark: SparkSession, root: str) -> DataFrame:
-    found = op.similar_items(part_ratings(spark, root), MIN_COSINE, MIN_USERS)
+    ratings = stored(part_ratings(spark, root), "ratings")
+    found = op.similar_items(ratings, MIN_COSINE, MIN_USERS)
     return found.pairs.select(
         F.col("id_a").alias("item_a"),
         F.col("id_b").alias("item_b"),

@@ -11,7 +11,7 @@ from .registry import query
 
 _VALUES = """
     v AS (
-      SELECT vec_id AS image_id, unnest(range(64)) AS at, unnest(cast(embedding AS double[])) AS v
+      SELECT vec_id AS image_id, unnest(range(64)) AS pos, unnest(cast(embedding AS double[])) AS v
       FROM embeddings)
 """
 
@@ -33,8 +33,8 @@ def _rounded(images: DataFrame) -> DataFrame:
 @query(
     f"""
     WITH {_VALUES}
-    SELECT image_id, cast(at // 16 AS integer) AS y, cast(at % 16 // 4 AS integer) AS x,
-           round(sum(v * [0.299, 0.587, 0.114, 0][at % 4 + 1]), 8) + 0.0 AS "value"
+    SELECT image_id, cast(pos // 16 AS integer) AS y, cast(pos % 16 // 4 AS integer) AS x,
+           round(sum(v * [0.299, 0.587, 0.114, 0][pos % 4 + 1]), 8) + 0.0 AS "value"
     FROM v GROUP BY ALL
     """
 )
@@ -45,7 +45,7 @@ def grayscale(spark: SparkSession, root: str) -> DataFrame:
 @query(
     f"""
     WITH {_VALUES}
-    SELECT image_id, cast(at // 8 // 2 AS integer) AS y, cast(at % 8 // 2 AS integer) AS x,
+    SELECT image_id, cast(pos // 8 // 2 AS integer) AS y, cast(pos % 8 // 2 AS integer) AS x,
            round(avg(v), 8) + 0.0 AS "value"
     FROM v GROUP BY ALL
     """
@@ -57,7 +57,7 @@ def block_resize(spark: SparkSession, root: str) -> DataFrame:
 @query(
     f"""
     WITH {_VALUES}
-    SELECT image_id, cast(at AS integer) AS pos, v AS "value" FROM v
+    SELECT image_id, cast(pos AS integer) AS pos, v AS "value" FROM v
     """
 )
 def flatten(spark: SparkSession, root: str) -> DataFrame:

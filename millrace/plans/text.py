@@ -9,6 +9,7 @@ from ..functions.text import all_stop_words
 from ..operators import terms as op
 from ..operators.similarity import copies_of, pair_similarity, similar_pairs
 from ..sources.messages import split_messages
+from ..storage import stored
 from .inputs import documents, table
 from .registry import query
 
@@ -48,7 +49,8 @@ def _weights(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, root: str) -> DataFrame:
-    return _weights(spark, root).toDF("id", "feature", "weight")
+    """The weights as a table, since comparing documents reads them several times."""
+    return stored(_weights(spark, root).toDF("id", "feature", "weight"), "weights")
 
 
 @query(
@@ -119,7 +121,8 @@ def tfidf(spark: SparkSession, root: str) -> DataFrame:
       SELECT a.doc_id, sum(a.unit * b.unit) AS cosine
       FROM units a JOIN units b ON b.doc_id = a.doc_id + 1 AND a.term = b.term GROUP BY a.doc_id)
     SELECT d.doc_id, round(coalesce(cosine, 0), 8) + 0.0 AS cosine
-    FROM documents d JOIN documents e ON e.doc_id = d.doc_id + 1 LEFT JOIN dots USING (doc_id)
+    FROM documents d JOIN documents e ON e.doc_id = d.doc_id + 1
+    LEFT JOIN dots ON dots.doc_id = d.doc_id
     """
 )
 def neighbour_similarity(spark: SparkSession, root: str) -> DataFrame:

@@ -35,10 +35,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(rows: DataFrame) -> DataFrame:
-    """Rows written once to the shared folder, for a result that is read often."""
-    shared_folder(rows.sparkSession)
-    return rows.checkpoint()
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written once as a table in the shared folder, for a result read often.
+
+    Lost executors cost no recomputation, and later reads take only the columns
+    and row groups they need.
+    """
+    path = new_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
