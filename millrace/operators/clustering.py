@@ -78,16 +78,22 @@ def training_runs(
     max_iter: int = 20,
     features: str = "features",
 ) -> list[Run]:
-    """One fitted model for each start, from best to worst by training cost."""
-    prepared = vectors.select(array_to_vector(features).alias("features")).persist(
+    """One fitted model for each start, from best to worst.
+
+    Runs are compared by the cost under their final centres.  The model's own
+    training cost is that of the centres before the last update.
+    """
+    points = vectors.select(F.col(features).alias("features")).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
+        prepared = points.select(array_to_vector("features").alias("features"))
         runs = []
         for init_mode in init_modes:
             for seed in seeds:
                 model = KMeans(k=k, initMode=init_mode, seed=seed, maxIter=max_iter).fit(prepared)
-                runs.append(Run(init_mode, seed, model.summary.trainingCost, model))
+                total = cost(assign(points, np.array(model.clusterCenters()))).first()[0]
+                runs.append(Run(init_mode, seed, total, model))
     finally:
-        prepared.unpersist()
+        points.unpersist()
     return sorted(runs, key=lambda run: run.cost)

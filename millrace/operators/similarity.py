@@ -68,12 +68,16 @@ def similar_pairs(vectors: DataFrame, threshold: float) -> SimilarPairs:
     groups = stored(_groups(_signatures(vectors)), "copies")
     ranked = stored(_ranked(vectors, groups), "ranked")
     met = stored(_met(_heads(ranked, threshold), threshold), "met")
-    pairs = _completed(met, ranked).filter(F.col("cosine") >= threshold)
-    sizes = groups.select("id", "copies")
-    with_sizes = pairs.join(sizes.toDF("id_a", "copies_a"), "id_a").join(
-        sizes.toDF("id_b", "copies_b"), "id_b"
+    sizes = groups.select("id", "copies", "norm2")
+    pairs = (
+        _completed(met, ranked)
+        .join(sizes.toDF("id_a", "copies_a", "norm2_a"), "id_a")
+        .join(sizes.toDF("id_b", "copies_b", "norm2_b"), "id_b")
+        .withColumn("cosine", F.col("dot") / F.sqrt(F.col("norm2_a") * F.col("norm2_b")))
+        .filter(F.col("cosine") >= threshold)
+        .select("id_a", "id_b", "copies_a", "copies_b", "common", "cosine")
     )
-    return SimilarPairs(with_sizes, copies_of(vectors))
+    return SimilarPairs(pairs, copies_of(vectors))
 
 
 def copies_of(vectors: DataFrame) -> DataFrame:
@@ -104,7 +108,7 @@ def _signatures(vectors: DataFrame) -> DataFrame:
 
 
 def _ranked(vectors: DataFrame, groups: DataFrame) -> DataFrame:
-    """Unit vectors of the ids that stand for copies: ``id, feature, unit, df, rank``.
+    """Vectors of the ids that stand for copies: ``id, feature, weight, norm2, df, rank``.
 
     ``df`` is the number of ids with the feature and ``rank`` grows with it.
     """
@@ -115,7 +119,8 @@ def _ranked(vectors: DataFrame, groups: DataFrame) -> DataFrame:
         .select(
             "id",
             "feature",
-            (F.col("weight") / F.sqrt("norm2")).alias("unit"),
+            "weight",
+            "norm2",
             "df",
             F.floor(4 * F.log2("df")).cast("int").alias("rank"),
         )
@@ -123,17 +128,17 @@ def _ranked(vectors: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _heads(ranked: DataFrame, threshold: float) -> DataFrame:
-    """The rows of the heads: ``id, feature, unit, from2, after2, cut, tail2``.
+    """The rows of the heads, with ``from2, after2, cut, tail2``.
 
-    ``from2`` and ``after2`` are squared lengths of the vector from the row's
-    rank on and after it.  ``cut`` is the last rank of the head and ``tail2``
-    what follows it.
+    ``from2`` and ``after2`` are the shares of ``norm2`` from the row's rank on
+    and after it.  ``cut`` is the last rank of the head and ``tail2`` the share
+    that follows it.
     """
     falling = Window.partitionBy("id").orderBy(F.desc("rank"))
     later = falling.rowsBetween(Window.unboundedPreceding, -1)
     lengths = (
         ranked.groupBy("id", "rank")
-        .agg(F.sum(F.col("unit") ** 2).alias("here2"))
+        .agg(F.sum(F.col("weight") ** 2 / F.col("norm2")).alias("here2"))
         .withColumn("after2", F.coalesce(F.sum("here2").over(later), F.lit(0.0)))
         .withColumn("from2", F.col("here2") + F.col("after2"))
         .filter(F.col("from2") >= threshold**2 - _SLACK)
@@ -142,17 +147,17 @@ def _heads(ranked: DataFrame, threshold: float) -> DataFrame:
         .drop("here2")
     )
     # A feature of one id alone counts in the lengths but joins nothing.
-    shared = ranked.filter(F.col("df") > 1).select("id", "feature", "unit", "rank")
+    shared = ranked.filter(F.col("df") > 1).drop("df")
     return shared.join(lengths, ["id", "rank"]).drop("rank")
 
 
 def _met(heads: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose heads meet and that may reach the threshold.
 
-    ``id_a < id_b``, ``seen`` and ``common``, the product and number of the
+    ``id_a < id_b``, ``dot`` and ``common``, the product and number of the
     features met, and ``cut``: up to that rank nothing is missing.
     """
-    names = ["id", "unit", "from2", "after2", "cut", "tail2"]
+    names = ["id", "weight", "norm2", "from2", "after2", "cut", "tail2"]
     a, b = (heads.select("feature", *(F.col(n).alias(f"{n}_{s}") for n in names)) for s in "ab")
     met = a.join(b, "feature").filter(F.col("id_a") < F.col("id_b"))
     # What is missing lies in the tail of the shorter head, and in the other
@@ -162,35 +167,43 @@ def _met(heads: DataFrame, threshold: float) -> DataFrame:
         F.col("tail2_b") * F.col("after2_a")
     )
     sums = met.groupBy("id_a", "id_b").agg(
-        F.sum(F.col("unit_a") * F.col("unit_b")).alias("seen"),
+        F.sum(F.col("weight_a") * F.col("weight_b")).alias("dot"),
         F.count("*").alias("common"),
         F.min(F.least("cut_a", "cut_b")).alias("cut"),
+        F.max(F.col("norm2_a") * F.col("norm2_b")).alias("norms2"),
         F.max(F.col("from2_a") * F.col("from2_b")).alias("whole2"),
         F.min(missing2).alias("missing2"),
     )
     return (
         sums.filter(F.sqrt("whole2") >= threshold - _SLACK)
-        .filter(F.col("seen") + F.sqrt("missing2") >= threshold - _SLACK)
-        .select("id_a", "id_b", "seen", "common", "cut")
+        .filter(F.col("dot") / F.sqrt("norms2") + F.sqrt("missing2") >= threshold - _SLACK)
+        .select("id_a", "id_b", "dot", "common", "cut")
     )
 
 
 def _completed(met: DataFrame, ranked: DataFrame) -> DataFrame:
-    """``id_a, id_b, common, cosine``: add what the pairs share after the cut."""
-    a = ranked.select(F.col("id").alias("id_a"), "feature", "rank", F.col("unit").alias("unit_a"))
-    b = ranked.select(F.col("id").alias("id_b"), "feature", F.col("unit").alias("unit_b"))
+    """``id_a, id_b, common, dot``: add what the pairs share after the cut."""
+    a, b = (
+        ranked.select(
+            F.col("id").alias(f"id_{s}"), "feature", F.col("weight").alias(f"weight_{s}"), *more
+        )
+        for s, more in (("a", ["rank"]), ("b", []))
+    )
     after = (
         met.select("id_a", "id_b", "cut")
         .join(a, "id_a")
         .filter(F.col("rank") > F.col("cut"))
         .join(b, ["id_b", "feature"])
         .select(
-            "id_a", "id_b", (F.col("unit_a") * F.col("unit_b")).alias("part"), F.lit(1).alias("n")
+            "id_a",
+            "id_b",
+            (F.col("weight_a") * F.col("weight_b")).alias("dot"),
+            F.lit(1).alias("common"),
         )
     )
-    before = met.select("id_a", "id_b", F.col("seen").alias("part"), F.col("common").alias("n"))
     return (
-        before.unionByName(after)
+        met.drop("cut")
+        .unionByName(after)
         .groupBy("id_a", "id_b")
-        .agg(F.sum("n").alias("common"), F.sum("part").alias("cosine"))
+        .agg(F.sum("common").alias("common"), F.sum("dot").alias("dot"))
     )

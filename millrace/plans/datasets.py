@@ -25,14 +25,16 @@ def als_top_n(spark: SparkSession, root: str) -> DataFrame:
     WITH r AS (
       SELECT o_custkey AS u, l_partkey AS i, sum(l_quantity) AS w
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
-    marks AS (SELECT i, string_agg(u || ' ' || w, ',' ORDER BY u) AS mark, sqrt(sum(w * w)) AS len
+    marks AS (SELECT i, string_agg(u || ' ' || w, ',' ORDER BY u) AS mark, sum(w * w) AS norm2
               FROM r GROUP BY i),
-    same AS (SELECT i, len, min(i) OVER (PARTITION BY mark) AS same_as FROM marks),
-    v AS (SELECT i, u, w / len AS w FROM r JOIN same USING (i) WHERE i = same_as)
-    SELECT a.i AS item_a, b.i AS item_b, count(*) AS common,
-           round(sum(a.w * b.w), 8) AS cosine
-    FROM v a JOIN v b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i
-    HAVING sum(a.w * b.w) >= {MIN_COSINE} AND count(*) >= {MIN_USERS}
+    same AS (SELECT i, norm2, min(i) OVER (PARTITION BY mark) AS same_as FROM marks),
+    v AS (SELECT i, u, w, norm2 FROM r JOIN same USING (i) WHERE i = same_as),
+    pairs AS (
+      SELECT a.i AS item_a, b.i AS item_b, count(*) AS common,
+             sum(a.w * b.w) / sqrt(any_value(a.norm2) * any_value(b.norm2)) AS cosine
+      FROM v a JOIN v b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i)
+    SELECT item_a, item_b, common, round(cosine, 8) AS cosine
+    FROM pairs WHERE cosine >= {MIN_COSINE} AND common >= {MIN_USERS}
     """
 )
 def item_similarity(spark: SparkSession, root: str) -> DataFrame:

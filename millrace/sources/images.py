@@ -6,9 +6,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 
-@F.arrow_udf("array<double>")
+@F.arrow_udf(ArrayType(DoubleType()))
 def _rgb(data: pa.Array, channels: pa.Array) -> pa.Array:
     """Stored bytes as numbers, blue-green-red turned to red-green-blue."""
     rows = []
