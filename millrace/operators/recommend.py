@@ -6,6 +6,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import shared_folder
 from .similarity import SimilarPairs, similar_pairs
 
 
@@ -21,6 +22,7 @@ def factorise(
 
     Ids must fit into 32 bits, a limit of Spark's ALS.
     """
+    shared_folder(ratings.sparkSession)  # where ALS cuts its lineage
     als = ALS(
         userCol="user_id",
         itemCol="item_id",

@@ -25,7 +25,7 @@ class SimilarPairs(NamedTuple):
 
 def pair_similarity(vectors: DataFrame, pairs: DataFrame) -> DataFrame:
     """The cosine of given pairs: ``id_a, id_b, cosine``, 0 without a common feature."""
-    norms = vectors.groupBy("id").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
+    norms = vectors.groupBy("id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     a = vectors.toDF("id_a", "feature", "weight_a")
     b = vectors.toDF("id_b", "feature", "weight_b")
     dots = (
@@ -103,7 +103,7 @@ def _signatures(vectors: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64("feature", "weight")).alias("sign_1"),
         F.bit_xor(F.xxhash64(F.lit(1), "weight", "feature")).alias("sign_2"),
         F.count("*").alias("features"),
-        F.sum(F.col("weight") ** 2).alias("norm2"),
+        F.sum(F.col("weight") * F.col("weight")).alias("norm2"),
     )
 
 
@@ -128,20 +128,18 @@ def _ranked(vectors: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _heads(ranked: DataFrame, threshold: float) -> DataFrame:
-    """The rows of the heads, with ``from2, after2, cut, tail2``.
+    """The rows of the heads, with ``after2, cut, tail2``.
 
-    ``from2`` and ``after2`` are the shares of ``norm2`` from the row's rank on
-    and after it.  ``cut`` is the last rank of the head and ``tail2`` the share
-    that follows it.
+    ``after2`` is the share of ``norm2`` after the row's rank, ``cut`` the last
+    rank of the head and ``tail2`` the share that follows it.
     """
     falling = Window.partitionBy("id").orderBy(F.desc("rank"))
     later = falling.rowsBetween(Window.unboundedPreceding, -1)
     lengths = (
         ranked.groupBy("id", "rank")
-        .agg(F.sum(F.col("weight") ** 2 / F.col("norm2")).alias("here2"))
+        .agg(F.sum(F.col("weight") * F.col("weight") / F.col("norm2")).alias("here2"))
         .withColumn("after2", F.coalesce(F.sum("here2").over(later), F.lit(0.0)))
-        .withColumn("from2", F.col("here2") + F.col("after2"))
-        .filter(F.col("from2") >= threshold**2 - _SLACK)
+        .filter(F.col("here2") + F.col("after2") >= threshold**2 - _SLACK)
         .withColumn("cut", F.first("rank").over(falling))
         .withColumn("tail2", F.first("after2").over(falling))
         .drop("here2")
@@ -157,7 +155,7 @@ def _met(heads: DataFrame, threshold: float) -> DataFrame:
     ``id_a < id_b``, ``dot`` and ``common``, the product and number of the
     features met, and ``cut``: up to that rank nothing is missing.
     """
-    names = ["id", "weight", "norm2", "from2", "after2", "cut", "tail2"]
+    names = ["id", "weight", "norm2", "after2", "cut", "tail2"]
     a, b = (heads.select("feature", *(F.col(n).alias(f"{n}_{s}") for n in names)) for s in "ab")
     met = a.join(b, "feature").filter(F.col("id_a") < F.col("id_b"))
     # What is missing lies in the tail of the shorter head, and in the other
@@ -171,14 +169,10 @@ def _met(heads: DataFrame, threshold: float) -> DataFrame:
         F.count("*").alias("common"),
         F.min(F.least("cut_a", "cut_b")).alias("cut"),
         F.max(F.col("norm2_a") * F.col("norm2_b")).alias("norms2"),
-        F.max(F.col("from2_a") * F.col("from2_b")).alias("whole2"),
         F.min(missing2).alias("missing2"),
     )
-    return (
-        sums.filter(F.sqrt("whole2") >= threshold - _SLACK)
-        .filter(F.col("dot") / F.sqrt("norms2") + F.sqrt("missing2") >= threshold - _SLACK)
-        .select("id_a", "id_b", "dot", "common", "cut")
-    )
+    most = F.col("dot") / F.sqrt("norms2") + F.sqrt("missing2")
+    return sums.filter(most >= threshold - _SLACK).select("id_a", "id_b", "dot", "common", "cut")
 
 
 def _completed(met: DataFrame, ranked: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import spread
+
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(root, f"{name}.parquet"))
@@ -75,8 +77,13 @@ def point_lines(spark: SparkSession, root: str) -> DataFrame:
     return vectors(spark, root).select("vec_id", line.alias("value"))
 
 
+def document_ids(spark: SparkSession, root: str) -> DataFrame:
+    return table(spark, root, "documents").select("doc_id")
+
+
 def documents(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "documents").select("doc_id", "text")
+    """``doc_id, text``, on all cores: taking texts apart is the costly part."""
+    return spread(table(spark, root, "documents").select("doc_id", "text"), "doc_id")
 
 
 def labelled_documents(spark: SparkSession, root: str) -> DataFrame:

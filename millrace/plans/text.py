@@ -10,7 +10,7 @@ from ..operators import terms as op
 from ..operators.similarity import copies_of, pair_similarity, similar_pairs
 from ..sources.messages import split_messages
 from ..storage import stored
-from .inputs import documents, table
+from .inputs import document_ids, documents, table
 from .registry import query
 
 THRESHOLD = 0.8
@@ -45,7 +45,7 @@ def _tf(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _weights(spark: SparkSession, root: str) -> DataFrame:
-    return op.tfidf(_tf(spark, root), op.document_count(documents(spark, root)))
+    return op.tfidf(_tf(spark, root), op.document_count(document_ids(spark, root)))
 
 
 def _vectors(spark: SparkSession, root: str) -> DataFrame:
@@ -127,7 +127,7 @@ def tfidf(spark: SparkSession, root: str) -> DataFrame:
 )
 def neighbour_similarity(spark: SparkSession, root: str) -> DataFrame:
     """How alike each document is to the next one."""
-    ids = documents(spark, root).select("doc_id")
+    ids = document_ids(spark, root)
     following = ids.select((F.col("doc_id") - 1).alias("doc_id"), F.col("doc_id").alias("id_b"))
     pairs = ids.join(following, "doc_id").withColumnRenamed("doc_id", "id_a")
     return pair_similarity(_vectors(spark, root), pairs).select(

@@ -46,6 +46,16 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """A scan that has fewer pieces than the session has cores, on all of them.
+
+    For a costly step after the scan of a small table.  A table read in enough
+    pieces, as every large one is, stays as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+
+
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     """File a batch's rows under its id, replacing an earlier attempt.
 

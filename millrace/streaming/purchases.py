@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -74,9 +75,15 @@ def start_summaries(
 
     def summarise(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_purchases(batch)
-        write_batch(purchase_summary(accepted(parsed)), out, batch_id)
-        if quarantine:
+        if quarantine is None:
+            write_batch(purchase_summary(accepted(parsed)), out, batch_id)
+            return
+        parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_batch(purchase_summary(accepted(parsed)), out, batch_id)
             write_batch(quarantined(parsed), quarantine, batch_id)
+        finally:
+            parsed.unpersist()
 
     return start_each_batch(lines, summarise, checkpoint, once)
 
