@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.times import label
 from ..operators.lines import accepted, by_user, parse_purchases
 from ..operators.state import user_totals_history
+from ..operators import summary as op
 from ..operators.summary import (
-    first_rows,
     products_by_popularity,
     purchase_summary,
     report_line,
@@ -106,8 +106,8 @@ def events_by_user(spark: SparkSession, root: str) -> DataFrame:
     FROM events ORDER BY event_id LIMIT 10
     """
 )
-def first_lines(spark: SparkSession, root: str) -> DataFrame:
-    return first_rows(purchase_lines(spark, root), ["event_id"])
+def first_rows(spark: SparkSession, root: str) -> DataFrame:
+    return op.first_rows(purchase_lines(spark, root), ["event_id"])
 
 
 @query(_windows_sql("day"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import splits as op
+from ..storage import new_folder
 from .inputs import event_ratings, purchases
 from .registry import query
 
@@ -41,6 +42,22 @@ def fold_roles(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query(
+    f"""
+    WITH f AS ({_FOLDS}), pairs AS (SELECT cast(unnest(range(5)) AS integer) AS pair)
+    SELECT pair AS fold, CASE WHEN f.fold = pair THEN 'test' ELSE 'base' END AS role,
+           event_id AS pos, user_id
+    FROM f CROSS JOIN pairs
+    """
+)
+def fold_outputs(spark: SparkSession, root: str) -> DataFrame:
+    """The five written pairs, read back."""
+    folded = op.contiguous_folds(event_ratings(spark, root), "pos")
+    path = new_folder(spark, "folds")
+    op.write_pairs(op.fold_roles(folded), path)
+    return spark.read.parquet(path).select("fold", "role", "pos", "user_id")
+
+
 def _holdout_sql(start: int, stop: int, cap: int = 0) -> str:
     within = f"AND nth <= {cap}" if cap else ""
     return f"""
