@@ -66,7 +66,7 @@ def similar_pairs(vectors: DataFrame, threshold: float) -> SimilarPairs:
     """
     vectors = vectors.filter(F.col("weight") != 0).select("id", "feature", "weight")
     groups = stored(_groups(_signatures(vectors)), "copies")
-    ranked = stored(_ranked(vectors, groups), "ranked")
+    ranked = stored(_ranked(vectors, groups, stored(_numbered(vectors), "features")), "ranked")
     met = stored(_met(_heads(ranked, threshold), threshold), "met")
     sizes = groups.select("id", "copies", "norm2")
     pairs = (
@@ -107,22 +107,32 @@ def _signatures(vectors: DataFrame) -> DataFrame:
     )
 
 
-def _ranked(vectors: DataFrame, groups: DataFrame) -> DataFrame:
-    """Vectors of the ids that stand for copies: ``id, feature, weight, norm2, df, rank``.
+def _numbered(vectors: DataFrame) -> DataFrame:
+    """``feature, number, df`` of the features that more than one id has.
 
-    ``df`` is the number of ids with the feature and ``rank`` grows with it.
+    The numbers stand for the features in all later joins, whatever their type.
+    They hold only as long as these rows are written once and read from there.
     """
     frequency = vectors.groupBy("feature").agg(F.count("*").alias("df"))
+    return frequency.filter(F.col("df") > 1).withColumn("number", F.monotonically_increasing_id())
+
+
+def _ranked(vectors: DataFrame, groups: DataFrame, features: DataFrame) -> DataFrame:
+    """Vectors of the ids that stand for copies: ``id, feature, weight, norm2, rank``.
+
+    ``rank`` grows with the number of ids that have the feature.  A feature of
+    one id alone has rank 0 and no number: it is part of the length only.
+    """
+    rank = F.floor(4 * F.log2("df")).cast("int")
     return (
         vectors.join(groups.select("id", "norm2"), "id")
-        .join(frequency, "feature")
+        .join(features, "feature", "left")
         .select(
             "id",
-            "feature",
+            F.col("number").alias("feature"),
             "weight",
             "norm2",
-            "df",
-            F.floor(4 * F.log2("df")).cast("int").alias("rank"),
+            F.coalesce(rank, F.lit(0)).alias("rank"),
         )
     )
 
@@ -144,9 +154,9 @@ def _heads(ranked: DataFrame, threshold: float) -> DataFrame:
         .withColumn("tail2", F.first("after2").over(falling))
         .drop("here2")
     )
-    # A feature of one id alone counts in the lengths but joins nothing.
-    shared = ranked.filter(F.col("df") > 1).drop("df")
-    return shared.join(lengths, ["id", "rank"]).drop("rank")
+    return (
+        ranked.filter(F.col("feature").isNotNull()).join(lengths, ["id", "rank"]).drop("rank")
+    )
 
 
 def _met(heads: DataFrame, threshold: float) -> DataFrame:
