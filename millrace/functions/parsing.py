@@ -9,10 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Characters with a meaning of their own in a pattern.
+_SPECIAL = ".$|()[{^?*+\\"
+
 
 def fields(line: Column, separator: str) -> Column:
-    """Split a line on a literal separator; empty trailing fields are kept."""
-    return F.split(line, f"\\Q{separator}\\E", -1)
+    """Split a line on a literal character; empty trailing fields are kept.
+
+    One character, escaped or not, is split on without a regular expression.
+    """
+    if len(separator) != 1:
+        raise ValueError(f"separator must be one character, not {separator!r}")
+    pattern = f"\\{separator}" if separator in _SPECIAL else separator
+    return F.split(line, pattern, -1)
 
 
 def field(parts: Column, index: int) -> Column:

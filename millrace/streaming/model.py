@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.lines import accepted, parse_points, quarantined
 from ..operators.regression import STEP_SIZE, gradient_step, predict
 from .purchases import start_each_batch
-from ..storage import write_batch
+from ..storage import read_batches, write_batch
 
 #: Fixed value: the number of features unless stated otherwise.
 WIDTH = 100
@@ -30,6 +31,12 @@ def load_weights(spark: SparkSession, models: str, batch_id: int) -> list[float]
     return list(spark.read.parquet(f"{models}/batch_id={batch_id}").first()["weights"])
 
 
+def latest_weights(spark: SparkSession, models: str) -> list[float]:
+    """The weights of the newest batch."""
+    newest = read_batches(spark, models).orderBy(F.desc("batch_id")).first()
+    return list(newest["weights"])
+
+
 def start_training(
     lines: DataFrame,
     models: str,
@@ -55,7 +62,8 @@ def start_training(
     def train(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         parsed = parse_points(batch, width)
-        parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        if predictions or quarantine:  # more than one pass over the batch
+            parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             points = accepted(parsed)
             before = load_weights(spark, models, batch_id - 1) if batch_id else [0.0] * width
@@ -73,6 +81,26 @@ def start_training(
     return start_each_batch(lines, train, checkpoint, once)
 
 
+def start_scoring(
+    lines: DataFrame,
+    models: str,
+    out: str,
+    checkpoint: str,
+    width: int = WIDTH,
+    once: bool = False,
+) -> StreamingQuery:
+    """File the predictions for every batch of labelled points by the newest weights.
+
+    Training may go on beside it, in a query of its own.
+    """
+
+    def score(batch: DataFrame, batch_id: int) -> None:
+        weights = latest_weights(batch.sparkSession, models)
+        write_batch(predict(accepted(parse_points(batch, width)), weights), out, batch_id)
+
+    return start_each_batch(lines, score, checkpoint, once)
+
+
 def predict_stream(points: DataFrame, weights: Sequence[float]) -> DataFrame:
     """Score a stream of rows with ``features`` by fixed weights."""
     return predict(points, weights)

@@ -10,7 +10,13 @@ from millrace.operators.lines import accepted, parse_points, quarantined
 from millrace.operators.regression import gradient_step, mean_gradient, predict
 from millrace.sources.lines import stream_lines
 from millrace.storage import read_batches
-from millrace.streaming.model import load_weights, predict_stream, start_training
+from millrace.streaming.model import (
+    latest_weights,
+    load_weights,
+    predict_stream,
+    start_scoring,
+    start_training,
+)
 
 BATCHES = [["1.0\t1,0", "2.0\t0,2"], ["0.0\t1,1"]]
 WEIGHTS = [[0.005, 0.02], [0.00475, 0.01975], [0.00475, 0.01975]]
@@ -115,6 +121,24 @@ def test_training_on_two_streams(spark, folder):
     assert load_weights(spark, f"{folder}/models", 0) == pytest.approx(WEIGHTS[0])
 
 
+def test_scoring_beside_training(spark, folder):
+    for texts in BATCHES:
+        drop(spark, texts, f"{folder}/lines")
+        _train(spark, folder)
+    assert latest_weights(spark, f"{folder}/models") == pytest.approx(WEIGHTS[1])
+    drop(spark, ["5.0\t2,4", "bad"], f"{folder}/new")
+    start_scoring(
+        stream_lines(spark, f"{folder}/new"),
+        f"{folder}/models",
+        f"{folder}/scores",
+        f"{folder}/score-state",
+        width=2,
+        once=True,
+    ).awaitTermination()
+    row = read_batches(spark, f"{folder}/scores").first()
+    assert (row["label"], row["prediction"]) == (5.0, pytest.approx(2 * 0.00475 + 4 * 0.01975))
+
+
 def test_weights_come_nearer_to_the_truth(spark):
     generator = np.random.default_rng(7)
     truth = np.array([1.0, -2.0, 0.5])

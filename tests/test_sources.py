@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions.parsing import fields
 from millrace.operators.images import as_matrix, flatten, grayscale, pixel_rows, resize
 from millrace.sources.dimensions import read_counts, read_genres, read_occupations
 from millrace.sources.images import read_images
@@ -88,6 +89,12 @@ def test_positions_over_blocks_and_files(spark, tmp_path):
     assert found == [(text, pos) for pos, text in enumerate(expected)]
 
 
+@pytest.mark.parametrize("separator", [",", "\t", "|", ".", "\\", "$"])
+def test_any_separator_is_literal(spark, separator):
+    frame = spark.createDataFrame([(separator.join(["a", "b", ""]),)], "value string")
+    assert frame.select(fields(F.col("value"), separator)).first()[0] == ["a", "b", ""]
+
+
 def test_dimension_files(spark, tmp_path):
     genres = read_genres(spark, write(tmp_path / "g", "unknown|0\nSci-Fi|1\n\n"))
     assert [tuple(r) for r in genres.collect()] == [("unknown", 0), ("Sci-Fi", 1)]
