@@ -128,11 +128,20 @@ def class_quality(predicted: DataFrame) -> DataFrame:
     there are only a few rows a class.
     """
     right = F.col("label") == F.col("prediction")
+
+    def side(name: str, labelled: int, said: int, hit: Column) -> Column:
+        return F.struct(
+            F.col(name).alias("class"),
+            F.lit(labelled).alias("is"),
+            F.lit(said).alias("said"),
+            hit.alias("hit"),
+        )
+
     sides = predicted.select(
         F.explode(
             F.array(
-                F.struct(F.col("label").alias("class"), F.lit(1).alias("is"), F.lit(0).alias("said"), right.cast("int").alias("hit")),
-                F.struct(F.col("prediction").alias("class"), F.lit(0).alias("is"), F.lit(1).alias("said"), F.lit(0).alias("hit")),
+                side("label", 1, 0, right.cast("int")),
+                side("prediction", 0, 1, F.lit(0)),
             )
         ).alias("side")
     ).select("side.*")
