@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact
+from . import exact, minhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,3 +45,8 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def op3_exact_dedup(spark: SparkSession, root: str) -> DataFrame:
     digest = F.sha2(exact.normalised(F.col("text")), 256)
     return exact.exact_groups(table(spark, root, "documents"), carried={"text_sha256": digest})
+
+
+@query()
+def op1_minhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return minhash.near_copies(table(spark, root, "documents"), words=2)
