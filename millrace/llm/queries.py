@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, minhash
+from . import exact, minhash, mixing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,3 +50,90 @@ def op3_exact_dedup(spark: SparkSession, root: str) -> DataFrame:
 @query()
 def op1_minhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return minhash.near_copies(table(spark, root, "documents"), words=2)
+
+
+@query()
+def op7_secret_scan(spark: SparkSession, root: str) -> DataFrame:
+    return secrets.span_digests(secrets.secrets(table(spark, root, "documents")))
+
+
+#: Relative weights of the tree of domain, language and source.
+MIX_WEIGHTS = {
+    ("long",): 2.0,
+    ("short",): 3.0,
+    ("long", "en"): 5.0,
+    ("long", "de"): 2.0,
+    ("long", "fr"): 2.0,
+    ("short", "en"): 4.0,
+    ("short", "es"): 3.0,
+    ("short", "en", "src0"): 2.0,
+}
+
+
+def _weight(depth: int) -> str:
+    cases = " ".join(
+        "WHEN "
+        + " AND ".join(
+            f"{level} = '{value}'"
+            for level, value in zip(("domain", "lang", "source"), path, strict=False)
+        )
+        + f" THEN {weight}"
+        for path, weight in MIX_WEIGHTS.items()
+        if len(path) == depth
+    )
+    return f"CASE {cases} ELSE 1.0 END"
+
+
+def _filled(name: str, above: str, keys: str, parent: str, depth: int) -> str:
+    """One level: the smallest fillings first; what is left goes to the rest by weight."""
+    family = f"PARTITION BY {parent}" if parent else ""
+    joined = f"JOIN {above} USING ({parent})" if parent else f"CROSS JOIN {above}"
+    return f"""
+    {name}_n AS (SELECT {keys}, sum(room) AS room, {_weight(depth)} AS w FROM leaf GROUP BY {keys}),
+    {name}_r AS (
+      SELECT {keys}, room, w, (given - coalesce(sum(room) OVER (
+                 {family} ORDER BY room / w, {keys}
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+             / sum(w) OVER ({family} ORDER BY room / w, {keys}
+                 ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
+      FROM {name}_n {joined}),
+    {name} AS (SELECT {keys}, least(room, w * max(rate) OVER ({family})) AS given FROM {name}_r)"""
+
+
+@query(
+    rf"""
+    WITH d AS (
+      SELECT doc_id, CASE WHEN length(source) > 4 THEN 'long' ELSE 'short' END AS domain,
+             lang, source,
+             len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
+      FROM documents),
+    leaf AS (SELECT domain, lang, source, sum(tokens) AS t, sum(tokens) * 4.0 AS room
+             FROM d GROUP BY domain, lang, source),
+    root AS (SELECT 0.8 * sum(t)::DOUBLE AS given FROM leaf),
+    {_filled("one", "root", "domain", "", 1)},
+    {_filled("two", "one", "domain, lang", "domain", 2)},
+    {_filled("three", "two", "domain, lang, source", "domain, lang", 3)},
+    plan AS (
+      SELECT domain, lang, source, cast(floor(given + 1e-6) AS bigint) // cast(t AS bigint) AS w,
+             cast(floor(given + 1e-6) AS bigint) % cast(t AS bigint) AS rest
+      FROM three JOIN leaf USING (domain, lang, source) WHERE t > 0),
+    run AS (
+      SELECT d.*, w, rest, sum(tokens) OVER (
+               PARTITION BY domain, lang, source ORDER BY md5(concat_ws('|', '1', w, doc_id))
+               ROWS UNBOUNDED PRECEDING) AS upto
+      FROM d JOIN plan USING (domain, lang, source))
+    SELECT doc_id, domain, lang, source, tokens, cast(w + extra AS integer) AS copies
+    FROM (SELECT *, cast(rest > 0 AND upto <= rest AS bigint) AS extra FROM run)
+    WHERE w + extra > 0
+    """
+)
+def op9_source_mix(spark: SparkSession, root: str) -> DataFrame:
+    """Four fifths of all tokens, four epochs at most, by length of the source's name."""
+    domain = F.when(F.length("source") > 4, "long").otherwise("short")
+    return mixing.mix(
+        table(spark, root, "documents").withColumn("domain", domain),
+        levels=("domain", "lang", "source"),
+        weights=MIX_WEIGHTS,
+        share=0.8,
+        epochs=4,
+    )
