@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, minhash, mixing, secrets
+from . import exact, language, minhash, mixing, pages, pieces, quality, secrets, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,3 +137,61 @@ def op9_source_mix(spark: SparkSession, root: str) -> DataFrame:
         share=0.8,
         epochs=4,
     )
+
+
+@query()
+def op10_html_extraction(spark: SparkSession, root: str) -> DataFrame:
+    return pages.extracted(table(spark, root, "pages"))
+
+
+@query(
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: cast(floor(256 * x::DOUBLE) AS bigint)) AS x
+      FROM embeddings
+      WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT q.vec_id AS query_id, c.vec_id,
+             cast(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS bigint)
+               AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+    SELECT query_id, cast(row_number() OVER (
+             PARTITION BY query_id ORDER BY score DESC, vec_id) AS integer) AS rank, vec_id, score
+    FROM s QUALIFY rank <= 5
+    """
+)
+def op6_exact_top_products(spark: SparkSession, root: str) -> DataFrame:
+    return topk.top_products(table(spark, root, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op2_language_id(spark: SparkSession, root: str) -> DataFrame:
+    documents = table(spark, root, "documents")
+    model = language.learn(documents.filter(~language.held_out()))
+    return language.predicted(documents, model).select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query()
+def op5_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
+    documents, labels = table(spark, root, "documents"), table(spark, root, "labels")
+    model = quality.learn(documents, labels.filter(~language.held_out()))
+    return quality.scored(documents, model).select(
+        "doc_id", language.held_out().alias("held_out"), "score", "predicted"
+    )
+
+
+@query()
+def op8_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
+    """Sampled pieces of every text, and whether they give the text back."""
+    path = pieces.default_model(spark)
+    documents = table(spark, root, "documents").select("doc_id", "text")
+    both = pieces.joined(pieces.segmented(documents, path), path, output_column="back")
+    return both.select(
+        "doc_id",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.col("back").eqNullSafe(F.col("text")).alias("lossless"),
+        "pieces",
+    )

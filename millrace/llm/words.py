@@ -48,7 +48,7 @@ def _powers(factor: int, n: int) -> np.ndarray:
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if n > PIECE + 1:  # one very long word: not worth keeping
         return _powers(_FACTOR, n), _powers(_INVERSE, n)
     if PIECE not in _POWERS:
@@ -70,25 +70,30 @@ def _pieces(breaks: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         begin = end
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word (ASCII lower case), and how many words each text has."""
-    space = _SPACE[data]
-    filled = offsets[:-1][offsets[1:] > offsets[:-1]]
+def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of all texts begin and end; a word never goes on in the next text."""
+    return _places(_SPACE[data], offsets)
+
+
+def _places(space: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     first, last = ~space, ~space
     first[1:] &= space[:-1]
     last[:-1] &= space[1:]
-    if len(filled):
-        first[filled] = ~space[filled]
-        ends = offsets[1:][offsets[1:] > offsets[:-1]] - 1
-        last[ends] = ~space[ends]
-    starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
-    breaks = starts
+    filled = offsets[1:] > offsets[:-1]
+    for edge, places in ((first, offsets[:-1][filled]), (last, offsets[1:][filled] - 1)):
+        edge[places] = ~space[places]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def _hashes(
+    data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, stops: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     hashes = np.empty(len(starts), dtype=np.uint64)
-    for begin, end in _pieces(breaks, len(data)):
+    for begin, end in _pieces(starts, len(data)):
         a, b = np.searchsorted(starts, (begin, end))
         if a == b:
             continue
-        up, down = _power_tables(end - begin + 1)
+        up, down = power_tables(end - begin + 1)
         sums = np.zeros(end - begin + 1, dtype=np.uint64)
         values = _LOWER[data[begin:end]]
         values += np.uint64(1)
@@ -96,8 +101,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         np.cumsum(values, out=sums[1:])
         head, tail = starts[a:b] - begin, stops[a:b] - begin
         hashes[a:b] = (sums[tail] - sums[head]) * down[head]
-    counts = np.diff(np.searchsorted(starts, offsets))
-    return mixed(hashes), counts
+    return mixed(hashes), np.diff(np.searchsorted(starts, offsets))
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word (ASCII lower case), and how many words each text has."""
+    return _hashes(data, offsets, *word_places(data, offsets))
+
+
+def line_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of the lines that are not empty."""
+    return _hashes(data, offsets, *_places(data == 0x0A, offsets))
 
 
 def shingle_hashes(
