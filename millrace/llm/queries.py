@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, language, minhash, mixing, pages, pieces, quality, secrets, topk
+from . import exact, language, masked, minhash, mixing, pages, pieces, quality, secrets, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -195,3 +195,8 @@ def op8_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
         F.col("back").eqNullSafe(F.col("text")).alias("lossless"),
         "pieces",
     )
+
+
+@query()
+def op4_lm_scoring(spark: SparkSession, root: str) -> DataFrame:
+    return masked.pseudo_likelihood(table(spark, root, "documents"))
