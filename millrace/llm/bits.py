@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import stored
+
 #: Rows of a bit table at most; each holds 64 bits, so a table is 1 MB.
 WORDS = 1 << 16
 
@@ -32,6 +34,19 @@ def marked(rows: DataFrame, bits: DataFrame, keys: list[str], name: str) -> Data
     the rows stay where they are.
     """
     word, bit = _place([F.col(key) for key in keys])
-    joined = rows.withColumn("bit_word", word).join(F.broadcast(bits), "bit_word", "left")
-    found = F.coalesce(F.col("bit_mask").bitwiseAND(bit) != 0, F.lit(False))
-    return joined.withColumn(name, found).drop("bit_word", "bit_mask")
+    table = bits.withColumnsRenamed({"bit_word": "_bit_word", "bit_mask": "_bit_mask"})
+    joined = rows.withColumn("_bit_word", word).join(F.broadcast(table), "_bit_word", "left")
+    found = F.coalesce(F.col("_bit_mask").bitwiseAND(bit) != 0, F.lit(False))
+    return joined.withColumn(name, found).drop("_bit_word", "_bit_mask")
+
+
+def without(rows: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not in ``dropped`` (one column, the key).
+
+    Only rows that the bit table cannot clear are shuffled.  Rows without a key stay.
+    """
+    bits = stored(bit_table(dropped), "bits")
+    split = marked(rows, bits, [key], "_bit_hit")
+    unsure = split.filter("_bit_hit").join(dropped.distinct(), key, "left_anti")
+    kept = split.filter("NOT _bit_hit").unionByName(unsure)
+    return kept.select(rows.columns)

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from ..storage import stored
 from . import words as W
-from .bits import bit_table, marked
+from .bits import bit_table, marked, without
 from .components import components
 
 #: Rows of a band and number of bands.  Two sets of similarity 0.8 miss every
 #: bucket with a chance of 3 in a million, of 0.9 with one of 1e-13.
 ROWS, BANDS = 5, 32
+#: Shingles in a block of sets (about), and columns of its table compared at a time.
+VALUES, COLUMNS = 1 << 18, 2048
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -161,65 +163,192 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * common >= percent * union).select("a", "b")
 
 
+def _stars(members: DataFrame) -> DataFrame:
+    """Each bucket's members beside its centre ``a``, the member of the highest degree."""
+    centre = F.max_by(F.struct("rep", "n", "degree", "component"), F.struct("degree", "rep"))
+    centres = members.groupBy("key").agg(centre.alias("c"))
+    named = centres.select(
+        "key",
+        F.col("c.rep").alias("a"),
+        F.col("c.n").alias("a_n"),
+        F.col("c.degree").alias("a_degree"),
+        F.col("c.component").alias("a_component"),
+    )
+    return members.join(stored(named, "centres"), "key")
+
+
+def _star_pairs(stars: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a centre and another member that can be alike and are not yet connected."""
+    return (
+        stars.filter("rep <> a AND component <> a_component")
+        .filter(100 * F.least("n", "a_n") >= percent * F.greatest("n", "a_n"))
+        .select("a", F.col("rep").alias("b"))
+        .distinct()
+    )
+
+
+def _forest(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Links that connect what all the given links connect, as few as can be."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while above.get(x, x) != x:
+            above[x] = above.get(above[x], above[x])
+            x = above[x]
+        return x
+
+    for a, b in zip(left.tolist(), right.tolist(), strict=True):
+        if (x := top(a)) != (y := top(b)):
+            above[max(x, y)] = min(x, y)
+            yield a, b
+
+
+def _overlaps(
+    left: np.ndarray, left_sizes: np.ndarray, right: np.ndarray, right_sizes: np.ndarray
+) -> np.ndarray:
+    """Sizes of the intersections of every left set with every right one."""
+    shared = np.intersect1d(left, right)
+    common = np.zeros((len(left_sizes), len(right_sizes)), dtype=np.float32)
+    places = []
+    for values, sizes in ((left, left_sizes), (right, right_sizes)):
+        at = np.searchsorted(shared, values)
+        at[at == len(shared)] = 0
+        hit = (shared[at] == values) if len(shared) else np.zeros(len(values), dtype=bool)
+        places.append((np.repeat(np.arange(len(sizes)), sizes)[hit], at[hit]))
+    for begin in range(0, len(shared), COLUMNS):
+        blocks = []
+        for (rows, at), sizes in zip(places, (left_sizes, right_sizes), strict=True):
+            own = (at >= begin) & (at < begin + COLUMNS)
+            block = np.zeros((len(sizes), COLUMNS), dtype=np.float32)
+            block[rows[own], at[own] - begin] = 1
+            blocks.append(block)
+        common += blocks[0] @ blocks[1].T
+    return common
+
+
+def _compared(pairs: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between two blocks of sets, for pairs in different components."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                get = lambda name, i=i: batch.column(name)[i].values.to_numpy()
+                sizes = [get("l_sizes"), get("r_sizes")]
+                common = _overlaps(get("l_sets"), sizes[0], get("r_sets"), sizes[1])
+                union = sizes[0][:, None] + sizes[1][None, :] - common
+                found = 100 * common >= percent * union
+                found &= get("l_components")[:, None] != get("r_components")[None, :]
+                x, y = np.nonzero(found)
+                links = list(_forest(get("l_ids")[x], get("r_ids")[y]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([a for a, _ in links], pa.int64()),
+                        pa.array([b for _, b in links], pa.int64()),
+                    ],
+                    names=["a", "b"],
+                )
+
+    return pairs.mapInArrow(compare, "a bigint, b bigint")
+
+
+def _blocks(members: DataFrame, sets: DataFrame, side: str) -> DataFrame:
+    """The sets of each ``team`` packed into blocks of about ``VALUES`` shingles."""
+    sizes = members.groupBy("team").agg(F.ceil(F.sum("n") / VALUES).alias("parts"))
+    part = F.pmod(F.xxhash64("rep"), F.col("parts"))
+    rows = members.join(stored(sizes, "parts"), "team").withColumn("part", part)
+    one = F.struct("rep", "component", "shingles")
+    packed = (
+        rows.join(sets.withColumnRenamed("id", "rep"), "rep")
+        .groupBy("team", "part")
+        .agg(F.collect_list(one).alias("rows"))
+    )
+    return stored(
+        packed.select(
+            "team",
+            F.col("rows.rep").alias(f"{side}_ids"),
+            F.col("rows.component").alias(f"{side}_components"),
+            F.transform("rows", lambda row: F.size(row["shingles"]).cast("bigint")).alias(
+                f"{side}_sizes"
+            ),
+            F.flatten("rows.shingles").alias(f"{side}_sets"),
+        ),
+        "blocks",
+    )
+
+
+def _team_links(teams: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links within each team, for rows ``team, rep, n, component, reference``.
+
+    Classes outside of the team's ``reference`` component are compared with all
+    the team, a block of sets against a block.  No task holds more than two
+    blocks, and a pair of blocks gives less than one link for each class.
+    """
+    loose = stored(teams.filter("component <> reference"), "loose")
+    some = stored(loose.select("team").distinct(), "teams")
+    near = teams.join(some, "team", "left_semi")
+    both = _blocks(loose, sets, "l").join(_blocks(near, sets, "r"), "team")
+    return _compared(both.drop("team"), percent)
+
+
 def _linked(documents: DataFrame, buckets: DataFrame, words: int, percent: int) -> DataFrame:
     """``id, component`` of the classes that have a link.
 
-    In each round every open bucket compares one centre with its other members,
-    a star.  Then the centre leaves the bucket, and a bucket whose members are
-    all in one component is done.  Rounds go on until no bucket is open, so
-    every pair that shares a bucket is compared or known to be connected.
+    1. Every bucket compares its centre with its other members, a star.
+    2. Each class joins the team of the centre with which it shares most buckets;
+       what is not yet connected with the centre is compared within the team.
+    3. A bucket that still has members of two teams and two components compares
+       them like a team.
+
+    So every pair that shares a bucket is compared or known to be connected.
     """
     bits = stored(bit_table(buckets.select("rep")), "bits")
     near = marked(documents, bits, [documents.columns[0]], "open").filter("open").drop("open")
     sets = stored(shingle_sets(near, words), "sets")
 
-    open_buckets = buckets.withColumn("component", F.col("rep"))
-    links: DataFrame | None = None
-    tested: DataFrame | None = None
-    labels: DataFrame | None = None
-    while True:
-        centre = F.max_by(F.struct("rep", "n", "component"), F.struct("degree", "rep"))
-        centres = stored(
-            open_buckets.groupBy("key")
-            .agg(centre.alias("c"))
-            .select(
-                "key",
-                F.col("c.rep").alias("a"),
-                F.col("c.n").alias("a_n"),
-                F.col("c.component").alias("a_component"),
-            ),
-            "centres",
-        )
-        stars = open_buckets.join(centres, "key").filter("rep <> a")
-        pairs = (
-            stars.filter("component <> a_component")
-            .filter(100 * F.least("n", "a_n") >= percent * F.greatest("n", "a_n"))
-            .select("a", F.col("rep").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            known = tested.unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(_confirmed(pairs, sets, percent), "links")
-        tested = pairs if tested is None else stored(tested.unionByName(pairs), "tested")
-        links = found if links is None else stored(links.unionByName(found), "links")
-        labels = stored(components(links), "components")
-
-        rest = stars.select("key", "rep", "n", "degree").join(
-            labels.withColumnRenamed("id", "rep"), "rep", "left"
-        )
-        rest = stored(rest.withColumn("component", F.coalesce("component", "rep")), "rest")
-        unequal = (
-            rest.groupBy("key")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .filter("low <> high")
-        )
-        open_buckets = stored(
-            rest.join(stored(unequal.select("key"), "unequal"), "key", "left_semi"), "open"
+    stars = stored(_stars(buckets.withColumn("component", F.col("rep"))), "stars")
+    links = stored(_confirmed(_star_pairs(stars, percent), sets, percent), "links")
+    labels = components(links)
+
+    shares = stars.groupBy("rep", "a").agg(
+        F.count("*").alias("shared"), F.first("a_degree").alias("degree"), F.first("n").alias("n")
+    )
+    main = shares.groupBy("rep").agg(
+        F.max_by("a", F.struct("shared", "degree", "a")).alias("team"), F.first("n").alias("n")
+    )
+    lead = labels.select(F.col("id").alias("team"), F.col("component").alias("reference"))
+    teams = stored(
+        _labelled(main, labels)
+        .join(lead, "team", "left")
+        .withColumn("reference", F.coalesce("reference", "team")),
+        "teams",
+    )
+    links = stored(links.unionByName(_team_links(teams, sets, percent)), "links")
+    labels = components(links)
+
+    own = teams.select("rep", F.col("team").alias("own"))
+    rows = stored(_labelled(buckets.join(own, "rep"), labels), "members")
+    unequal = (
+        rows.groupBy("key")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.min("own").alias("first"),
+            F.max("own").alias("last"),
+            F.max_by("component", F.struct("degree", "rep")).alias("reference"),
         )
-        if not open_buckets.limit(1).count():
-            return labels
+        .filter("low <> high AND first <> last")
+    )
+    left = rows.join(stored(unequal.select("key", "reference"), "keys"), "key").select(
+        F.col("key").alias("team"), "rep", "n", "component", "reference"
+    )
+    links = stored(links.unionByName(_team_links(stored(left, "open"), sets, percent)), "links")
+    return components(links)
+
+
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with their present ``component``."""
+    named = members.drop("component").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+    return named.withColumn("component", F.coalesce("component", "rep"))
 
 
 def near_copies(
@@ -239,7 +368,7 @@ def near_copies(
 
     Equal sets are one class, so any number of copies costs one signature
     comparison.  Classes meet in buckets of equal bands; buckets are compared
-    as stars, and every link is confirmed on the full sets.
+    as stars, and every link is confirmed on the full sets (see ``_linked``).
 
     Null, empty and blank texts have no shingles and are linked with nothing.
     A row without an id is linked with nothing, has no component and is kept.
@@ -272,3 +401,19 @@ def near_copies(
         "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+def near_dedup(
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    words: int = 5,
+    percent: int = 80,
+) -> DataFrame:
+    """The rows that stay, one document of each component, with all their columns.
+
+    See ``near_copies``; only rows with an id that goes are shuffled.
+    """
+    found = near_copies(documents, id_column, text_column, words, percent)
+    gone = stored(found.filter("NOT kept").select(id_column), "gone")
+    return without(documents, gone, id_column)
