@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import stored
-from .bits import bit_table, marked
+from .bits import bit_table, marked, without
 
 #: Characters of the normalised text that the second step compares.
 PREFIX = 64
@@ -94,3 +94,28 @@ def exact_groups(
         F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
         *(F.col(f"carried_{name}").alias(name) for name in carried),
     )
+
+
+def exact_dedup(
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows that stay, with all their columns (see ``exact_groups``).
+
+    Of rows that repeat an id with the same text one stays, of any of them.
+    Rows without an id stay: nothing can name them.  Only rows with an id that
+    goes or repeats are shuffled.
+    """
+    found = stored(exact_groups(documents, id_column, text_column), "exact")
+    gone = found.filter("NOT kept").select(id_column)
+    stay = without(documents, gone, id_column)
+    twice = stored(
+        found.filter("kept").groupBy(id_column).agg(F.count("*").alias("n")).filter("n > 1"),
+        "twice",
+    ).filter(F.col(id_column).isNotNull())
+    split = marked(stay, stored(bit_table(twice.select(id_column)), "bits"), [id_column], "_again")
+    same = F.sha2(normalised(F.col(text_column)), 256)
+    again = (
+        split.filter("_again").withColumn("_text", same).dropDuplicates([id_column, "_text"])
+    )
+    rest = split.filter("NOT _again").select(documents.columns)
+    return rest.unionByName(again.select(documents.columns))

@@ -23,7 +23,7 @@ GROUPS = TOKENS // MEMBERS
 SIDE, WIDTH, HIDDEN = 2, 16, 32
 #: Rounds of training, share of the places of every text that a round predicts
 #: (one in so many), windows of a step, and the step's size.
-ROUNDS, EVERY, STEP_ROWS, STEP = 2, 8, 4096, 0.1
+ROUNDS, EVERY, STEP_ROWS, STEP = 2, 8, 1024, 0.1
 
 #: Tokens scored at a time, and the token of a place outside of the text.
 _CHUNK, _OUTSIDE = 1 << 16, TOKENS

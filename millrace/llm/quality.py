@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -269,6 +269,19 @@ def learn(
     return fitted(x[order], good[order])
 
 
+def chance(text: Column, model: Model) -> Column:
+    """Chance (0 to 1) that a text is good; a null text is an empty one."""
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        parts = [
+            model.score(features(texts.slice(begin, 256))) for begin in range(0, len(texts), 256)
+        ]
+        return pa.array(np.round(np.concatenate([np.zeros(0), *parts]), 6))
+
+    return score(text)
+
+
 def scored(
     documents: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -281,22 +294,6 @@ def scored(
     repeated and null ids too; an empty table gives none.  Only id and text are
     read, nothing is shuffled.
     """
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                chance = np.round(model.score(features(part.column(1))), 6)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(chance),
-                        pa.array((chance >= GOOD).astype(np.int32)),
-                    ],
-                    names=["id", "score", "predicted"],
-                )
-
-    rows = documents.select(id_column, text_column)
-    kind = rows.schema[0].dataType.simpleString()
-    found = rows.mapInArrow(score, f"id {kind}, score double, predicted int")
-    return found.withColumnRenamed("id", id_column)
+    score = chance(F.col(text_column), model)
+    good = (F.col("score") >= GOOD).cast("int")
+    return documents.select(id_column, score.alias("score")).withColumn("predicted", good)

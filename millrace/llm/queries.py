@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact, language, masked, minhash, mixing, pages, pieces, quality, secrets, topk
@@ -70,6 +70,11 @@ MIX_WEIGHTS = {
 }
 
 
+def domain() -> Column:
+    """The tree's first level: whether a source has a long name."""
+    return F.when(F.length("source") > 4, "long").otherwise("short")
+
+
 def _weight(depth: int) -> str:
     cases = " ".join(
         "WHEN "
@@ -129,9 +134,8 @@ def _filled(name: str, above: str, keys: str, parent: str, depth: int) -> str:
 )
 def op9_source_mix(spark: SparkSession, root: str) -> DataFrame:
     """Four fifths of all tokens, four epochs at most, by length of the source's name."""
-    domain = F.when(F.length("source") > 4, "long").otherwise("short")
     return mixing.mix(
-        table(spark, root, "documents").withColumn("domain", domain),
+        table(spark, root, "documents").withColumn("domain", domain()),
         levels=("domain", "lang", "source"),
         weights=MIX_WEIGHTS,
         share=0.8,
