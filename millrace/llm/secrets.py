@@ -24,6 +24,8 @@ _STRING = "[A-Za-z0-9+/_=-]"
 #: calls it random, and documents that the two models are trained on at most
 #: (about: each is taken by a hash of its id).
 SHORTEST, RATIO, SAMPLE = 20, 1.0, 2000
+#: Weight of a character's own share beside its counts after another one.
+PRIOR = 4.0
 
 _MARK, _OTHER = "\x01", "\x02"
 
@@ -103,8 +105,8 @@ def pair_ratios(
     Two first-order Markov models, trained on ``SAMPLE`` documents or so.
     Labelled random are the keys and hexadecimal strings that the fixed patterns
     find there and one digest for each sampled document, written in the whole
-    alphabet; labelled ordinary are the other strings of these documents.
-    Counts start from 1/2.
+    alphabet; labelled ordinary are the other strings of these documents that
+    are too short to be judged, so that what is judged is not learned from.
     """
     step = max(1, documents.count() // SAMPLE)
     chosen = F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(step)) == 0
@@ -120,12 +122,20 @@ def pair_ratios(
     rest = F.col("text")
     for pattern in (ASSIGN, ACCESS, HEX):
         rest = F.regexp_replace(rest, pattern, " ")
-    plain = F.regexp_extract_all(rest, F.lit(f"{_STRING}{{2,}}"), F.lit(0))
-    models = []
-    for strings in (random, plain):
-        counts = _pair_counts(sample.select(F.explode(strings).alias("found"))) + 0.5
-        models.append(np.log(counts / counts.sum(axis=1, keepdims=True)))
-    return (models[0] - models[1]).reshape(-1).tolist()
+    short = rf"(?<!{_STRING}){_STRING}{{2,{SHORTEST - 1}}}(?!{_STRING})"
+    plain = F.regexp_extract_all(rest, F.lit(short), F.lit(0))
+    random_counts, plain_counts = (
+        _pair_counts(sample.select(F.explode(strings).alias("found"))) for strings in (random, plain)
+    )
+    return (_log_chances(random_counts) - _log_chances(plain_counts)).reshape(-1).tolist()
+
+
+def _log_chances(counts: np.ndarray) -> np.ndarray:
+    """Chance of each character after each other one; a rare one's is near that of the character."""
+    alone = counts.sum(axis=0) + 0.5
+    alone /= alone.sum()
+    chances = (counts + PRIOR * alone) / (counts.sum(axis=1, keepdims=True) + PRIOR)
+    return np.log(chances)
 
 
 def _random(parts: Column, ratios: Sequence[float]) -> Column:
