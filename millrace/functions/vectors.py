@@ -21,10 +21,17 @@ def dot(left: Column, right: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
-def matrix(vectors: pa.Array) -> np.ndarray:
-    """An Arrow batch of equally long vectors as a two-dimensional array."""
-    flat = vectors.flatten().to_numpy(zero_copy_only=False)
-    return flat.astype("float64", copy=False).reshape(len(vectors), -1)
+def matrix(vectors: pa.Array, width: int) -> np.ndarray:
+    """An Arrow batch of vectors of ``width`` numbers as a two-dimensional array.
+
+    A null vector, a null in a vector or another length is an error.
+    """
+    flat = vectors.flatten()
+    if vectors.null_count or flat.null_count:
+        raise ValueError("a vector is null or holds a null")
+    if (np.diff(vectors.offsets.to_numpy()) != width).any():
+        raise ValueError(f"a vector has not {width} numbers")
+    return flat.to_numpy(zero_copy_only=False).astype("float64", copy=False).reshape(-1, width)
 
 
 def nearest(vector: Column, centres: np.ndarray) -> Column:
@@ -43,7 +50,7 @@ def nearest(vector: Column, centres: np.ndarray) -> Column:
         cluster = np.zeros(len(vectors), dtype="int32")
         best = np.full(len(vectors), np.inf)
         if len(vectors):
-            points = matrix(vectors)
+            points = matrix(vectors, centres.shape[1])
             for index, centre in enumerate(centres):
                 gap = points - centre
                 d2 = np.einsum("ij,ij->i", gap, gap)

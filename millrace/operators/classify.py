@@ -78,8 +78,13 @@ def naive_bayes_scores(
     # One array a term; the entry without a label stands for the term as such.
     no_label = F.lit(None).cast(model.terms.schema["label"].dataType).alias("label")
     itself = F.array(F.struct(no_label, F.lit(0).cast("bigint").alias("n")))
-    by_term = model.terms.groupBy("term").agg(
-        F.concat(F.array_agg(F.struct("label", "n")), itself).alias("counts")
+    # It has one entry a class.  Filed, it leaves the join free to split a term
+    # that is in most documents.
+    by_term = stored(
+        model.terms.groupBy("term").agg(
+            F.concat(F.array_agg(F.struct("label", "n")), itself).alias("counts")
+        ),
+        "terms",
     )
     sums = (
         tf.join(by_term, "term")
@@ -167,13 +172,15 @@ def accuracy(predicted: DataFrame) -> DataFrame:
 def train_logistic(
     documents: DataFrame,
     text: str = "text",
-    width: int = 1 << 14,
+    width: int = 1 << 18,
     regularisation: float = 0.01,
     iterations: int = 50,
 ) -> PipelineModel:
     """Logistic regression on hashed TF-IDF vectors of ``text``; needs ``label``.
 
     The texts are taken apart once; the passes over the data use the counts.
+    Terms are told apart by a hash into ``width`` numbers: two of a vocabulary
+    much larger than that may share a weight.
     """
     counting = HashingTF(numFeatures=width, inputCol="words", outputCol="tf")
     counted = counting.transform(_with_words(documents, text)).select("label", "tf")

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import nearest
+from ..functions.vectors import matrix, nearest
 
 INIT_MODES = ("k-means||", "random")
 
@@ -31,12 +32,39 @@ def assign(vectors: DataFrame, centres: np.ndarray, features: str = "features")
 def cluster_means(assigned: DataFrame, features: str = "features") -> DataFrame:
     """``cluster, j, value``: the mean of each coordinate in each cluster.
 
-    Map tasks combine to k x d rows, so the size of a cluster does not matter.
+    Each task folds its Arrow batches into one sum a cluster and coordinate, so
+    neither the rows nor the size of a cluster matter to the shuffle.
     """
-    return (
-        assigned.select("cluster", F.posexplode(features).alias("j", "value"))
-        .groupBy("cluster", "j")
-        .agg(F.avg("value").alias("value"))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        counts: dict[int, int] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = batch.column(1)
+            points = matrix(vectors, len(vectors[0]))
+            clusters, own = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+            for k, cluster in enumerate(clusters.tolist()):
+                mine = points[own == k]
+                sums[cluster] = sums.get(cluster, 0.0) + mine.sum(axis=0)
+                counts[cluster] = counts.get(cluster, 0) + len(mine)
+        for cluster, total in sums.items():
+            d = len(total)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(d, cluster), pa.int32()),
+                    pa.array(np.arange(d), pa.int32()),
+                    pa.array(total, pa.float64()),
+                    pa.array(np.full(d, counts[cluster]), pa.int64()),
+                ],
+                names=["cluster", "j", "total", "n"],
+            )
+
+    rows = assigned.select(F.col("cluster").cast("int"), F.col(features).cast("array<double>"))
+    sums = rows.mapInArrow(fold, "cluster int, j int, total double, n bigint")
+    return sums.groupBy("cluster", "j").agg(
+        (F.sum("total") / F.sum("n")).alias("value")
     )
 
 
@@ -80,20 +108,22 @@ def training_runs(
 ) -> list[Run]:
     """One fitted model for each start, from best to worst.
 
-    Runs are compared by the cost under their final centres.  The model's own
-    training cost is that of the centres before the last update.
+    Runs are compared by the cost under their final centres, all of them in one
+    pass.  The model's own training cost is that of the centres before the last update.
     """
     points = vectors.select(F.col(features).alias("features")).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
         prepared = points.select(array_to_vector("features").alias("features"))
-        runs = []
-        for init_mode in init_modes:
-            for seed in seeds:
-                model = KMeans(k=k, initMode=init_mode, seed=seed, maxIter=max_iter).fit(prepared)
-                total = cost(assign(points, np.array(model.clusterCenters()))).first()[0]
-                runs.append(Run(init_mode, seed, total, model))
+        starts = [(init_mode, seed) for init_mode in init_modes for seed in seeds]
+        models = [
+            KMeans(k=k, initMode=init_mode, seed=seed, maxIter=max_iter).fit(prepared)
+            for init_mode, seed in starts
+        ]
+        near = [nearest(F.col("features"), np.array(model.clusterCenters())) for model in models]
+        totals = points.agg(*(F.sum(one["d2"]) for one in near)).first()
     finally:
         points.unpersist()
+    runs = [Run(*start, total, model) for start, total, model in zip(starts, totals, models)]
     return sorted(runs, key=lambda run: run.cost)

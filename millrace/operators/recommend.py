@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import shared_folder
-from .similarity import SimilarPairs, similar_pairs
+from .similarity import SimilarPairs, copies_of, similar_pairs
 
 
 def factorise(
@@ -51,12 +51,26 @@ def top_items(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFr
 def similar_items(ratings: DataFrame, min_cosine: float, min_users: int = 1) -> SimilarPairs:
     """Item pairs with alike ratings: cosine over users, ``common`` users in both.
 
-    Items are the vectors and users their features, so a user who rated very
-    many items is a frequent feature: it takes part in the check of candidate
-    pairs but does not pair all its items.
+    Items are the vectors and users their features.  A user who rated very many
+    items is a frequent feature and pairs its items only where the rarer users
+    of an item leave more than ``min_cosine`` of its length to the frequent
+    ones: with a high bound that is seldom, with a low one often.
+
+    Items with the same ratings stand for each other: ``copies_a, copies_b``
+    say for how many, and ``copies`` names them all.
     """
-    vectors = ratings.select(
-        F.col("item_id").alias("id"), F.col("user_id").alias("feature"), F.col("rating").alias("weight")
-    )
-    found = similar_pairs(vectors, min_cosine)
+    found = similar_pairs(_item_vectors(ratings), min_cosine)
     return found._replace(pairs=found.pairs.filter(F.col("common") >= min_users))
+
+
+def item_copies(ratings: DataFrame) -> DataFrame:
+    """``id, same_as``: each item and the smallest one with the same ratings."""
+    return copies_of(_item_vectors(ratings))
+
+
+def _item_vectors(ratings: DataFrame) -> DataFrame:
+    return ratings.select(
+        F.col("item_id").alias("id"),
+        F.col("user_id").alias("feature"),
+        F.col("rating").alias("weight"),
+    )

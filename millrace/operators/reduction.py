@@ -34,7 +34,7 @@ def covariance(vectors: DataFrame, features: str = "features") -> DataFrame:
         products = np.zeros((len(origin), len(origin)))
         for batch in batches:
             if batch.num_rows:
-                points = matrix(batch.column(0)) - origin
+                points = matrix(batch.column(0), len(origin)) - origin
                 n += len(points)
                 total += points.sum(axis=0)
                 products += points.T @ points

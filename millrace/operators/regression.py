@@ -2,28 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import constant, dot
+from ..functions.vectors import constant, dot, matrix
 
+#: Fixed value: the size of a gradient step unless stated otherwise.
 STEP_SIZE = 0.01
 
 
 def mean_gradient(points: DataFrame, weights: Sequence[float]) -> DataFrame:
     """``j int, gradient double``: mean of ``(w.x - y) * x`` for each feature.
 
-    Every point has one value for each feature, so the mean by feature is the
-    mean over the points.  Map tasks combine to one row a feature.
+    Each task folds its Arrow batches into one sum a feature.
     """
-    error = dot(F.col("features"), constant(weights)) - F.col("label")
-    return (
-        points.select(error.alias("error"), F.posexplode("features").alias("j", "x"))
-        .groupBy("j")
-        .agg(F.avg(F.col("error") * F.col("x")).alias("gradient"))
-    )
+    model = np.asarray(weights, dtype="float64")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total = 0, np.zeros(len(model))
+        for batch in batches:
+            x = matrix(batch.column(1), len(model))
+            total += (x @ model - batch.column(0).to_numpy(zero_copy_only=False)) @ x
+            n += len(x)
+        if n:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(len(model)), pa.int32()),
+                    pa.array(total),
+                    pa.array(np.full(len(model), n), pa.int64()),
+                ],
+                names=["j", "total", "n"],
+            )
+
+    rows = points.select(F.col("label").cast("double"), F.col("features").cast("array<double>"))
+    sums = rows.mapInArrow(fold, "j int, total double, n bigint")
+    return sums.groupBy("j").agg((F.sum("total") / F.sum("n")).alias("gradient"))
 
 
 def gradient_step(

@@ -24,13 +24,19 @@ class SimilarPairs(NamedTuple):
 
 
 def pair_similarity(vectors: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The cosine of given pairs: ``id_a, id_b, cosine``, 0 without a common feature."""
-    norms = vectors.groupBy("id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    """The cosine of given pairs: ``id_a, id_b, cosine``, each pair once.
+
+    0 without a common feature; an id that has no rows is the zero vector.  A
+    pair that is listed again counts once.  The lengths are filed, so that an id
+    in very many pairs can be split.
+    """
+    pairs = pairs.select("id_a", "id_b").distinct()
+    lengths = F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm")
+    norms = stored(vectors.groupBy("id").agg(lengths), "norms")
     a = vectors.toDF("id_a", "feature", "weight_a")
     b = vectors.toDF("id_b", "feature", "weight_b")
     dots = (
-        pairs.select("id_a", "id_b")
-        .join(a, "id_a")
+        pairs.join(a, "id_a")
         .join(b, ["id_b", "feature"])
         .groupBy("id_a", "id_b")
         .agg(F.sum(F.col("weight_a") * F.col("weight_b")).alias("dot"))
@@ -83,12 +89,12 @@ def similar_pairs(vectors: DataFrame, threshold: float) -> SimilarPairs:
 def copies_of(vectors: DataFrame) -> DataFrame:
     """``id, same_as``: each id and the smallest id with exactly the same vector.
 
-    The groups have one row a set of copies, so a very large set makes only one
-    side of the join large, which Spark can split.
+    The groups have one row a set of copies and are filed, so a very large set
+    makes only one side of the join large, which Spark can split.
     """
-    signed = _signatures(vectors.filter(F.col("weight") != 0))
-    groups = _groups(signed).withColumnRenamed("id", "same_as")
-    return signed.join(groups, _MARKS).select("id", "same_as")
+    signed = stored(_signatures(vectors.filter(F.col("weight") != 0)), "signatures")
+    groups = stored(_groups(signed).withColumnRenamed("id", "same_as"), "groups")
+    return signed.join(groups.select(*_MARKS, "same_as"), _MARKS).select("id", "same_as")
 
 
 def _groups(signed: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import stored
 from .positions import limits_of, values_at
 
 BASE, TEST = "base", "test"
@@ -93,7 +94,8 @@ def user_holdout(
     Only the first ``stop`` ratings of a user take part in the ranking.  Spark
     drops the rest in the map tasks (``WindowGroupLimit``), so a user with a
     third of all rows costs no more than another.  What comes back to the rows
-    is one key range for each user.
+    is one key range for each user, filed first, so that the join can split
+    the rows of such a user.
     """
     rank = F.row_number().over(Window.partitionBy(user).orderBy(key))
     chosen = (
@@ -103,7 +105,9 @@ def user_holdout(
         .filter(F.col("rank") >= start)
     )
     last = _last_test_key(chosen, key, max_test) if max_test > 0 else None
-    ranges = chosen.groupBy(user).agg(F.min(key).alias("_from"), F.max(key).alias("_to"))
+    ranges = stored(
+        chosen.groupBy(user).agg(F.min(key).alias("_from"), F.max(key).alias("_to")), "ranges"
+    )
     is_test = F.col(key).between(F.col("_from"), F.col("_to"))
     if last is not None:
         is_test = is_test & (F.col(key) <= last)

@@ -59,7 +59,7 @@ def report_line(summary: DataFrame) -> DataFrame:
     return summary.withColumn(
         "line",
         F.format_string(
-            "Most popular product: %s with %d purchases", "top_product", "top_count"
+            "%s leads with %d sold", "top_product", "top_count"
         ),
     )
 

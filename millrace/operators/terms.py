@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import words
+from ..storage import stored
 
 
 def tokens(documents: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
@@ -34,11 +35,7 @@ def term_frequency(terms: DataFrame, id: str = "doc_id") -> DataFrame:
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
-    """``term, df`` from the output of ``term_frequency``.
-
-    Counting on ``tf`` keeps that column, so Spark sees the same shuffle here
-    and beside it in ``tfidf`` and runs it once.
-    """
+    """``term, df`` from the output of ``term_frequency``."""
     return tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
 
 
@@ -50,11 +47,12 @@ def document_count(documents: DataFrame) -> Column:
 def tfidf(tf: DataFrame, n_documents: Column | int, id: str = "doc_id") -> DataFrame:
     """``id, term, weight`` with weight ``tf * ln((m + 1) / (df + 1))``.
 
-    ``df`` has one row a term, so a term that is in every document makes only
-    the ``tf`` side of the join large, which Spark can split.
+    ``df`` has one row a term and is filed first: a term that is in every
+    document makes only the ``tf`` side of the join large, and with a plain
+    shuffle on both sides Spark splits it.  ``tf`` is read twice; pass a stored table.
     """
     m = n_documents if isinstance(n_documents, Column) else F.lit(n_documents)
     idf = F.log((m + 1) / (F.col("df") + 1))
-    return tf.join(document_frequency(tf), "term").select(
+    return tf.join(stored(document_frequency(tf), "frequencies"), "term").select(
         id, "term", (F.col("tf") * idf).alias("weight")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import classify as op
 from ..operators import terms
 from ..operators.splits import fold_pair
+from ..storage import stored
 from .inputs import labelled_documents
 from .registry import query
 
@@ -120,6 +121,32 @@ def naive_bayes_accuracy(spark: SparkSession, root: str) -> DataFrame:
     return op.accuracy(_predicted(spark, root)).select(F.round("accuracy", 8).alias("accuracy"))
 
 
+@query(
+    f"""
+    WITH {_MODEL},
+    margins AS (
+      SELECT doc_id, label, round(max(score) FILTER (class = 1) - max(score) FILTER (class = 0), 6)
+               AS margin FROM scores GROUP BY doc_id, label),
+    ranked AS (
+      SELECT label, rank() OVER (ORDER BY margin)
+             + (count(*) OVER (PARTITION BY margin) - 1) / 2.0 AS place FROM margins)
+    SELECT round((sum(place) FILTER (label = 1) - n1 * (n1 + 1) / 2) / (n1 * n0), 6)
+             AS area_under_roc
+    FROM ranked, (SELECT count(*) FILTER (label = 1)::DOUBLE AS n1,
+                         count(*) FILTER (label = 0)::DOUBLE AS n0 FROM margins)
+    GROUP BY n1, n0
+    """
+)
+def naive_bayes_auc(spark: SparkSession, root: str) -> DataFrame:
+    """Exact area under the curve of the margin between the two classes."""
+    train, test = _split(spark, root)
+    scores = op.naive_bayes_scores(_model(train), _tf(test), test)
+    sides = {label: F.max(F.when(F.col("label") == label, F.col("score"))) for label in (0, 1)}
+    margins = scores.groupBy("doc_id").agg(F.round(sides[1] - sides[0], 6).alias("rawPrediction"))
+    area = op.area_under_roc(margins.join(test.select("doc_id", "label"), "doc_id"))
+    return margins.limit(1).select(F.lit(round(area, 6)).alias("area_under_roc"))
+
+
 @query()
 def logistic_confusion(spark: SparkSession, root: str) -> DataFrame:
     """Logistic regression on the same split."""
@@ -132,7 +159,8 @@ def logistic_confusion(spark: SparkSession, root: str) -> DataFrame:
 def logistic_auc(spark: SparkSession, root: str) -> DataFrame:
     """How well each of the two labels is told apart: share of test rows and exact area."""
     train, test = _split(spark, root)
-    predicted = op.apply_logistic(op.train_logistic(train), test)
+    scored = op.apply_logistic(op.train_logistic(train), test)
+    predicted = stored(scored.select("label", "rawPrediction"), "predicted")
     area = op.area_under_roc(predicted)
     return predicted.groupBy("label").agg(
         F.count("*").alias("documents"), F.max(F.lit(area)).alias("area_under_roc")

@@ -128,7 +128,7 @@ def tumbling_summary(spark: SparkSession, root: str) -> DataFrame:
            (SELECT count(DISTINCT user_id) FROM events) AS unique_users,
            (SELECT round(sum(value), 2) FROM events) AS revenue,
            event_type AS top_product, n AS top_count,
-           'Most popular product: ' || event_type || ' with ' || n || ' purchases' AS line
+           event_type || ' leads with ' || n || ' sold' AS line
     FROM best
     """
 )

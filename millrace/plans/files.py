@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..sources.dimensions import read_counts, read_genres, read_occupations
 from ..sources.lines import read_whole_files
-from ..sources.ratings import read_ratings
+from ..sources.messages import messages_of
+from ..sources.ratings import read_bad_ratings, read_ratings
 from ..storage import new_folder
 from .inputs import documents, event_ratings, table
 from .registry import query
@@ -33,6 +34,57 @@ def rating_file(spark: SparkSession, root: str) -> DataFrame:
     return read_ratings(spark, _written(ratings.select(line), "ratings"))
 
 
+_BROKEN = """
+    SELECT event_id, CASE event_id % 9
+             WHEN 0 THEN concat_ws(chr(9), 'user', event_id, value)
+             WHEN 1 THEN concat_ws(chr(9), user_id, 'item', value)
+             WHEN 2 THEN concat_ws(chr(9), user_id, event_id)
+             WHEN 3 THEN ''
+             WHEN 4 THEN concat_ws(chr(9), '  ' || user_id, event_id, value, 'more')
+             ELSE concat_ws(chr(9), user_id || ' x', event_id, value) END AS "value"
+    FROM events"""
+
+
+def _broken_lines(spark: SparkSession, root: str) -> str:
+    """A file with good and bad rating lines in the order of the events."""
+    user, item, rating = (F.col(c).cast("string") for c in ("user_id", "item_id", "rating"))
+    kind = F.col("item_id") % 9
+    line = (
+        F.when(kind == 0, F.concat_ws("\t", F.lit("user"), item, rating))
+        .when(kind == 1, F.concat_ws("\t", user, F.lit("item"), rating))
+        .when(kind == 2, F.concat_ws("\t", user, item))
+        .when(kind == 3, F.lit(""))
+        .when(kind == 4, F.concat_ws("\t", F.concat(F.lit("  "), user), item, rating, F.lit("more")))
+        .otherwise(F.concat_ws("\t", F.concat(user, F.lit(" x")), item, rating))
+    )
+    ratings = event_ratings(spark, root).orderBy("pos")
+    return _written(ratings.select(line), "broken-ratings")
+
+
+@query(
+    """
+    WITH n AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS pos FROM events)
+    SELECT user_id, event_id AS item_id, value AS rating, pos FROM n WHERE event_id % 9 > 3
+    """
+)
+def rating_lines(spark: SparkSession, root: str) -> DataFrame:
+    """The ratings of a file that also has bad lines; these keep their numbers."""
+    return read_ratings(spark, _broken_lines(spark, root))
+
+
+@query(
+    f"""
+    WITH n AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS pos FROM ({_BROKEN}))
+    SELECT pos, CASE event_id % 9 WHEN 0 THEN 'bad user' WHEN 1 THEN 'bad item'
+                 WHEN 2 THEN 'bad rating' ELSE 'bad user' END AS problem
+    FROM n WHERE event_id % 9 < 4
+    """
+)
+def bad_rating_lines(spark: SparkSession, root: str) -> DataFrame:
+    """The lines that are set aside, with what is wrong with them."""
+    return read_bad_ratings(spark, _broken_lines(spark, root)).select("pos", "problem")
+
+
 @query("SELECT n_name AS genre, n_nationkey AS genre_id FROM nation")
 def genre_file(spark: SparkSession, root: str) -> DataFrame:
     line = F.concat_ws("|", "n_name", F.col("n_nationkey").cast("string"))
@@ -52,8 +104,71 @@ def count_file(spark: SparkSession, root: str) -> DataFrame:
     return read_counts(spark, _written(counts.select(line), "counts"))
 
 
-@query("SELECT cast(sum(length(text) + 1) AS bigint) AS characters FROM documents")
+@query(
+    """
+    SELECT doc_id // 50 AS part, md5(string_agg(text || chr(10), '' ORDER BY doc_id)) AS content_md5
+    FROM documents GROUP BY 1
+    """
+)
 def whole_files(spark: SparkSession, root: str) -> DataFrame:
-    """All documents in whole files, one line end after each."""
-    files = read_whole_files(spark, _written(documents(spark, root).select("text"), "files"))
-    return files.agg(F.sum(F.length("content")).alias("characters"))
+    """Fifty documents to a file, one line end after each, read as whole files."""
+    path = new_folder(spark, "files")
+    rows = documents(spark, root).withColumn("part", F.expr("doc_id div 50"))
+    rows.repartition("part").sortWithinPartitions("part", "doc_id").select(
+        "part", "text"
+    ).write.partitionBy("part").text(path)
+    files = read_whole_files(spark, path)
+    return files.select(
+        F.regexp_extract("path", r"/part=(\d+)/", 1).cast("bigint").alias("part"),
+        F.md5(F.encode("content", "UTF-8")).alias("content_md5"),
+    )
+
+
+@query(
+    """
+    SELECT CASE n_regionkey % 2 WHEN 0 THEN 'train' ELSE 'test' END AS split,
+           r_name AS newsgroup, cast(n_nationkey AS varchar) AS msg_id,
+           n_name AS "from", r_name || ' (' || n_regionkey || ')' AS subject,
+           n_name || chr(10) || chr(10) || 'of ' || r_name || chr(10) AS body
+    FROM nation JOIN region ON n_regionkey = r_regionkey
+    """
+)
+def message_tree(spark: SparkSession, root: str) -> DataFrame:
+    """A small tree of messages, one file each, split and group from the folders."""
+    nations, regions = table(spark, root, "nation"), table(spark, root, "region")
+    joined = nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"])
+    key = F.col("n_regionkey").cast("string")
+    text = F.concat(
+        F.lit("From: "),
+        F.col("n_name"),
+        F.lit("\nSubject: "),
+        F.col("r_name"),
+        F.lit("\n ("),
+        key,
+        F.lit(")\n\n"),
+        F.col("n_name"),
+        F.lit("\n\nof "),
+        F.col("r_name"),
+    )
+    rows = joined.select(
+        F.when(F.col("n_regionkey") % 2 == 0, "train").otherwise("test").alias("split"),
+        F.col("r_name").alias("newsgroup"),
+        F.col("n_nationkey").cast("string").alias("msg_id"),
+        text.alias("value"),
+    )
+    path = new_folder(spark, "tree")
+    rows.repartition("msg_id").write.partitionBy("split", "newsgroup", "msg_id").text(path)
+    # Spark writes key=value folders around a file of its own name.
+    part = F.split("path", "/")
+    value = lambda at: F.url_decode(F.element_at(F.split(F.element_at(part, at), "="), 2))
+    files = read_whole_files(spark, path).select(
+        F.concat_ws("/", value(-4), value(-3), value(-2)).alias("path"), "content"
+    )
+    return messages_of(files).select(
+        "split",
+        "newsgroup",
+        "msg_id",
+        F.col("headers")["from"].alias("from"),
+        F.col("headers")["subject"].alias("subject"),
+        "body",
+    )

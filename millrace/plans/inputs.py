@@ -7,8 +7,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import spread
-
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(root, f"{name}.parquet"))
@@ -82,11 +80,10 @@ def document_ids(spark: SparkSession, root: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, root: str) -> DataFrame:
-    """``doc_id, text``, on all cores: taking texts apart is the costly part."""
-    return spread(table(spark, root, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, root, "documents").select("doc_id", "text")
 
 
 def labelled_documents(spark: SparkSession, root: str) -> DataFrame:
     """``doc_id, text, label``: documents with a known quality."""
     labels = table(spark, root, "labels").select("doc_id", F.col("quality").alias("label"))
-    return documents(spark, root).join(labels, "doc_id")
+    return documents(spark, root).join(labels, "doc_id").select("doc_id", "text", "label")

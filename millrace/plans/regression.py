@@ -10,7 +10,7 @@ from ..operators.regression import mean_gradient
 from ..operators.splits import fold_slices
 from ..sources.lines import stream_lines
 from ..storage import new_folder, read_batches
-from ..streaming.model import start_training
+from ..streaming.model import start_scoring, start_training
 from .inputs import point_lines
 from .registry import query
 from .replay import replay
@@ -107,9 +107,15 @@ def _drops(
     return batches
 
 
-def _trained(spark: SparkSession, root: str, streams: int = 1, predictions: bool = False) -> str:
+def _trained(
+    spark: SparkSession,
+    root: str,
+    streams: int = 1,
+    predictions: bool = False,
+    folder: str | None = None,
+) -> str:
     """Train over all batches; gives the folder of the run."""
-    folder = new_folder(spark, "training")
+    folder = folder or new_folder(spark, "training")
 
     def start():
         lines = stream_lines(spark, f"{folder}/lines-0")
@@ -153,3 +159,38 @@ def sgd_predictions(spark: SparkSession, root: str) -> DataFrame:
     return read_batches(spark, f"{folder}/predictions").select(
         "batch_id", "label", F.round("prediction", 10).alias("prediction")
     )
+
+
+_SCORING_SQL = _training_sql(
+    f"""
+    SELECT 0::bigint AS batch_id, y AS label, 0.0::double AS prediction FROM p
+    UNION ALL
+    SELECT 1::bigint AS batch_id, y AS label,
+           round(list_inner_product(x, w), 10) + 0.0 AS prediction
+    FROM p, w{BATCHES}
+    """
+)
+
+
+@query(_SCORING_SQL)
+def sgd_scoring(spark: SparkSession, root: str) -> DataFrame:
+    """All points scored before there is a model, and again by the last weights."""
+    folder = new_folder(spark, "scoring")
+    points = point_lines(spark, root).select("value")
+
+    def start():
+        return start_scoring(
+            stream_lines(spark, f"{folder}/points"),
+            f"{folder}/models",
+            f"{folder}/scores",
+            f"{folder}/score-state",
+            WIDTH,
+            once=True,
+        )
+
+    replay([[(points, f"{folder}/points")]], start)
+    _trained(spark, root, folder=folder)
+    replay([[(points, f"{folder}/points")]], start)
+    return read_batches(spark, f"{folder}/scores").select(
+        "batch_id", "label", F.round("prediction", 10).alias("prediction")
+    )

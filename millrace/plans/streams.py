@@ -93,8 +93,14 @@ def batch_preview(spark: SparkSession, root: str) -> DataFrame:
       SELECT max(ts) - INTERVAL 1 HOUR AS until FROM events)
     SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
            count(*) AS purchases, count(DISTINCT user_id) AS unique_users,
-           round(sum(value), 2) AS revenue
-    FROM events GROUP BY date_trunc('day', ts)
+           round(sum(value), 2) AS revenue, any_value(best.event_type) AS top_product,
+           any_value(n) AS top_count
+    FROM events JOIN (
+      SELECT day, event_type, n, row_number() OVER (PARTITION BY day ORDER BY n DESC, event_type) AS p
+      FROM (SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2)
+    ) best
+      ON day = date_trunc('day', ts) AND p = 1
+    GROUP BY date_trunc('day', ts)
     HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT until FROM closed)
     """
 )
@@ -106,6 +112,7 @@ def tumbling_append_stream(spark: SparkSession, root: str) -> DataFrame:
     ).select(
         wall_to_instant("ts").alias("time"),
         F.col("user_id").alias("user"),
+        F.col("event_type").alias("product"),
         F.col("value").alias("price"),
     )
     folder = new_folder(spark, "windows")
@@ -117,6 +124,8 @@ def tumbling_append_stream(spark: SparkSession, root: str) -> DataFrame:
         "purchases",
         "unique_users",
         F.round("revenue", 2).alias("revenue"),
+        "top_product",
+        "top_count",
     )
 
 

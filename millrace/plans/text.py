@@ -45,7 +45,8 @@ def _tf(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _weights(spark: SparkSession, root: str) -> DataFrame:
-    return op.tfidf(_tf(spark, root), op.document_count(document_ids(spark, root)))
+    tf = stored(_tf(spark, root), "tf")
+    return op.tfidf(tf, op.document_count(document_ids(spark, root)))
 
 
 def _vectors(spark: SparkSession, root: str) -> DataFrame:
@@ -135,6 +136,29 @@ def neighbour_similarity(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query(
+    f"""
+    WITH {_TERMS},
+    dots AS (
+      SELECT a.doc_id, sum(a.unit * b.unit) AS cosine
+      FROM units a JOIN units b ON b.doc_id = a.doc_id + 7 AND a.term = b.term GROUP BY a.doc_id)
+    SELECT d.doc_id AS id_a, e.doc_id AS id_b, round(coalesce(cosine, 0), 8) + 0.0 AS cosine
+    FROM documents d JOIN documents e ON e.doc_id = d.doc_id + 7
+    LEFT JOIN dots ON dots.doc_id = d.doc_id
+    """
+)
+def repeated_pair_similarity(spark: SparkSession, root: str) -> DataFrame:
+    """The same for pairs seven ids apart, each of them listed twice or more."""
+    ids = document_ids(spark, root)
+    apart = ids.select((F.col("doc_id") - 7).alias("id_a"), F.col("doc_id").alias("id_b"))
+    there = apart.join(ids.withColumnRenamed("doc_id", "id_a"), "id_a", "left_semi")
+    again = there.filter(F.col("id_a") % 3 == 0)
+    pairs = there.unionByName(there).unionByName(again)
+    return pair_similarity(_vectors(spark, root), pairs).withColumn(
+        "cosine", F.round("cosine", 8)
+    )
+
+
 @query(
     f"""
     WITH {_TERMS},

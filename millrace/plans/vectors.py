@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clustering, reduction
+from ..storage import stored
 from .inputs import vectors
 from .registry import query
 
@@ -120,3 +121,58 @@ def pca_variance(spark: SparkSession, root: str) -> DataFrame:
         .groupBy("component")
         .agg(F.var_samp("score").alias("variance"))
     )
+
+
+@query(
+    """
+    SELECT m.init_mode, s.seed, true AS not_cheaper
+    FROM (VALUES ('k-means||'), ('random')) m(init_mode), (VALUES (1), (2), (3)) s(seed)
+    WHERE EXISTS (FROM embeddings)
+    """
+)
+def kmeans_runs(spark: SparkSession, root: str) -> DataFrame:
+    """Each run, and whether the best one's assignment is as cheap as its cost says."""
+    points = vectors(spark, root)
+    runs = clustering.training_runs(points, k=10, seeds=(1, 2, 3))
+    centres = np.array(runs[0].model.clusterCenters())
+    least = clustering.cost(clustering.assign(points, centres))
+    costs = spark.createDataFrame(
+        [(run.init_mode, run.seed, run.cost) for run in runs],
+        "init_mode string, seed int, cost double",
+    )
+    cheapest = least.select(F.round("cost", 6)).scalar()
+    return costs.select("init_mode", "seed", (F.round("cost", 6) >= cheapest).alias("not_cheaper"))
+
+
+@query(
+    """
+    WITH v AS (
+      SELECT unnest(range(64)) AS j, unnest(cast(embedding AS double[])) AS x FROM embeddings)
+    SELECT cast(c AS integer) AS component, 0.0::double AS residual, 1.0::double AS length,
+           (SELECT round(sum(s), 6) FROM (SELECT var_samp(x) AS s FROM v GROUP BY j)) AS whole
+    FROM range(3) r(c)
+    """
+)
+def pca_residuals(spark: SparkSession, root: str) -> DataFrame:
+    """How far each component is from one of the covariance, relative to its variance.
+
+    ``whole`` is the sum of the variances along all components.
+    """
+    points = vectors(spark, root)
+    square = np.zeros((64, 64))
+    for i, j, value in reduction.covariance(points).collect():  # d * (d + 1) / 2 rows
+        square[i, j] = square[j, i] = value
+    fitted = reduction.principal_components(points, 64)
+    loadings = fitted.matrix()
+    scores = stored(
+        fitted.project(points).select(F.posexplode("scores").alias("component", "score")), "scores"
+    )
+    along = scores.groupBy("component").agg(F.var_samp("score").alias("variance"))
+    variances = {row["component"]: row["variance"] for row in along.collect()}
+    rows = []
+    for k in range(3):
+        own = loadings[:, k]
+        off = np.linalg.norm(square @ own - variances[k] * own) / variances[k]
+        rows.append((k, round(float(off), 6) + 0.0, round(float(own @ own), 8)))
+    frame = spark.createDataFrame(rows, "component int, residual double, length double")
+    return frame.withColumn("whole", along.select(F.round(F.sum("variance"), 6)).scalar())

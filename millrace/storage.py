@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
+#: Folders that ``stored`` has made, by application.
+_MADE: dict[str, list[str]] = defaultdict(list)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it.
@@ -39,21 +43,39 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     """Rows written once as a table in the shared folder, for a result read often.
 
     Lost executors cost no recomputation, and later reads take only the columns
-    and row groups they need.
+    and row groups they need.  A filed table is also a side of its own for a
+    join: nothing above it is dealt out by the join's key yet, so Spark can
+    split the other side where one key has very many rows.
+
+    The table stays until ``release``: results are computed from it later.
     """
     path = new_folder(rows.sparkSession, name)
+    _MADE[rows.sparkSession.sparkContext.applicationId].append(path)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """A scan that has fewer pieces than the session has cores, on all of them.
+def release(spark: SparkSession) -> None:
+    """Remove every table that ``stored`` has made in this application so far.
 
-    For a costly step after the scan of a small table.  A table read in enough
-    pieces, as every large one is, stays as it is.
+    Call it when no result is open that was made from one of them.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def filed_batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches that are completely filed, newest first; reads no rows."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    names = [str(status.getPath().getParent().getName()) for status in found or []]
+    return sorted((int(name.partition("=")[2]) for name in names), reverse=True)
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.lines import accepted, parse_points, quarantined
 from ..operators.regression import STEP_SIZE, gradient_step, predict
 from .purchases import start_each_batch
-from ..storage import read_batches, write_batch
+from ..storage import filed_batches, write_batch
 
 #: Fixed value: the number of features unless stated otherwise.
 WIDTH = 100
@@ -31,10 +32,18 @@ def load_weights(spark: SparkSession, models: str, batch_id: int) -> list[float]
     return list(spark.read.parquet(f"{models}/batch_id={batch_id}").first()["weights"])
 
 
-def latest_weights(spark: SparkSession, models: str) -> list[float]:
-    """The weights of the newest batch."""
-    newest = read_batches(spark, models).orderBy(F.desc("batch_id")).first()
-    return list(newest["weights"])
+def latest_weights(spark: SparkSession, models: str, width: int = WIDTH) -> list[float]:
+    """The weights of the newest batch, zeros before the first one.
+
+    Only names of folders are listed, and one folder is read.  Training beside
+    this may write a batch anew just then; the one before it is taken instead.
+    """
+    for batch_id in filed_batches(spark, models):
+        try:
+            return load_weights(spark, models, batch_id)
+        except (PySparkException, Py4JJavaError, TypeError):
+            continue
+    return [0.0] * width
 
 
 def start_training(
@@ -91,11 +100,12 @@ def start_scoring(
 ) -> StreamingQuery:
     """File the predictions for every batch of labelled points by the newest weights.
 
-    Training may go on beside it, in a query of its own.
+    Training may go on beside it, in a query of its own, or begin later: until
+    its first batch the weights are zeros.
     """
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        weights = latest_weights(batch.sparkSession, models)
+        weights = latest_weights(batch.sparkSession, models, width)
         write_batch(predict(accepted(parse_points(batch, width)), weights), out, batch_id)
 
     return start_each_batch(lines, score, checkpoint, once)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -89,26 +89,41 @@ def start_summaries(
 
 
 def window_totals(events: DataFrame, time: str, duration: str, lateness: str) -> DataFrame:
-    """Purchases, exact unique users and revenue of each event-time window.
+    """Purchases, exact unique users, revenue and top product of each event-time window.
 
-    ``time`` is a timestamp.  On a stream the first grouping, by window and
-    user, makes the users countable exactly; both groupings forget a window
-    once the watermark has passed it, and it is emitted then.
+    ``time`` is a timestamp; rows have ``user, product, price``.  Each event
+    counts once for its user and once for its product, so that on a stream the
+    first grouping makes users countable and products comparable exactly.  Both
+    groupings forget a window once the watermark has passed it, and it is
+    emitted then.  Of equally frequent products the smaller name wins.
     """
-    per_user = (
+
+    def side(kind: int, name: str) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.col(name).cast("string").alias("name"))
+
+    counted = (
         events.withWatermark(time, lateness)
-        .groupBy(F.window(time, duration).alias("window"), "user")
+        .withColumn("side", F.explode(F.array(side(0, "user"), side(1, "product"))))
+        .groupBy(F.window(time, duration).alias("window"), "side.kind", "side.name")
         .agg(F.count("*").alias("n"), F.sum("price").alias("revenue"))
     )
+    users, products = F.col("kind") == 0, F.col("kind") == 1
+    best = F.min(F.when(products, F.struct((-F.col("n")).alias("rank"), F.col("name"))))
     return (
-        per_user.groupBy(F.window(F.window_time("window"), duration).alias("window"))
+        counted.groupBy(F.window(F.window_time("window"), duration).alias("window"))
         .agg(
-            F.sum("n").alias("purchases"),
-            F.count("user").alias("unique_users"),
-            F.sum("revenue").alias("revenue"),
+            F.sum(F.when(users, F.col("n"))).alias("purchases"),
+            F.count(F.when(users, F.col("name"))).alias("unique_users"),
+            F.sum(F.when(users, F.col("revenue"))).alias("revenue"),
+            best.alias("best"),
         )
         .select(
-            F.col("window.start").alias("window_start"), "purchases", "unique_users", "revenue"
+            F.col("window.start").alias("window_start"),
+            "purchases",
+            "unique_users",
+            "revenue",
+            F.col("best.name").alias("top_product"),
+            (-F.col("best.rank")).alias("top_count"),
         )
     )
 

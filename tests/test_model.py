@@ -122,6 +122,7 @@ def test_training_on_two_streams(spark, folder):
 
 
 def test_scoring_beside_training(spark, folder):
+    assert latest_weights(spark, f"{folder}/models", 2) == [0.0, 0.0]
     for texts in BATCHES:
         drop(spark, texts, f"{folder}/lines")
         _train(spark, folder)

@@ -30,6 +30,7 @@ from millrace.streaming.purchases import (
     start_summaries,
     start_user_totals,
     start_window_totals,
+    triggered,
 )
 
 BATCHES = [
@@ -129,7 +130,7 @@ def test_summary_of_one_hot_user_and_product(spark):
 
 def test_report_line(spark):
     summary = report_line(purchase_summary(purchases(spark, BATCHES[0])))
-    assert summary.first()["line"] == "Most popular product: desk with 2 purchases"
+    assert summary.first()["line"] == "desk leads with 2 sold"
 
 
 def test_popularity_is_sorted(spark):
@@ -240,22 +241,24 @@ def test_console(spark, folder):
 
 
 def test_window_totals_close_with_the_watermark(spark, folder):
-    texts = ["2024-01-01 00:10,u1,1.0", "2024-01-01 00:20,u1,2.0", "2024-01-01 00:50,u2,4.0",
-             "2024-01-01 01:10,u1,8.0", "2024-01-01 05:00,u3,16.0"]
+    texts = ["2024-01-01 00:10,u1,1.0,b", "2024-01-01 00:20,u1,2.0,a", "2024-01-01 00:50,u2,4.0,b",
+             "2024-01-01 01:10,u1,8.0,z", "2024-01-01 05:00,u3,16.0,a"]
     drop(spark, texts, folder)
     part = F.split("value", ",")
     events = stream_lines(spark, f"{folder}/lines").select(
         part[0].cast("timestamp").alias("time"),
         part[1].alias("user"),
+        part[3].alias("product"),
         part[2].cast("double").alias("price"),
     )
     start_window_totals(
         events, "time", "1 hour", "10 minutes", f"{folder}/out", f"{folder}/state", once=True
     ).awaitTermination()
     closed = spark.read.parquet(f"{folder}/out").select(
-        F.date_format("window_start", "HH:mm"), "purchases", "unique_users", "revenue"
+        F.date_format("window_start", "HH:mm"), "purchases", "unique_users", "revenue",
+        "top_product", "top_count",
     )
-    assert rows(closed) == {("00:00", 3, 2, 7.0), ("01:00", 1, 1, 8.0)}
+    assert rows(closed) == {("00:00", 3, 2, 7.0, "b", 2), ("01:00", 1, 1, 8.0, "z", 1)}
 
 
 def _run_state(spark, folder, state_of):
@@ -289,3 +292,23 @@ def test_custom_state_can_forget_a_key(spark, folder):
         _run_state(spark, folder, lambda e: update_state_by_key(e, "user", last_two, "n bigint"))
     filed = read_batches(spark, f"{folder}/out").select("batch_id", "user", "n")
     assert rows(filed) == {(0, "u1", 1), (0, "u2", 1), (2, "u1", 1)}
+
+
+def test_a_batch_every_ten_seconds_unless_once():
+    class Writer:
+        def __init__(self):
+            self.asked = {}
+
+        def option(self, name, value):
+            self.asked[name] = value
+            return self
+
+        def trigger(self, **kind):
+            self.asked |= kind
+            return self
+
+    assert triggered(Writer(), "c", False).asked == {
+        "checkpointLocation": "c",
+        "processingTime": "10 seconds",
+    }
+    assert triggered(Writer(), "c", True).asked["availableNow"]

@@ -15,7 +15,7 @@ from millrace.sources.dimensions import read_counts, read_genres, read_occupatio
 from millrace.sources.images import read_images
 from millrace.sources.lines import read_lines, read_whole_files
 from millrace.sources.messages import read_messages, split_messages
-from millrace.sources.ratings import numbered_lines, read_ratings
+from millrace.sources.ratings import numbered_lines, read_bad_ratings, read_ratings
 
 
 def write(path: Path, text: str | bytes) -> str:
@@ -69,6 +69,8 @@ def test_ratings(spark, tmp_path):
     path = write(tmp_path / "r", "1\t5\t3\t99\n2\t1\t4\t99\n\nbad\n1\t2\t5\t99\n")
     found = [tuple(r) for r in read_ratings(spark, path).orderBy("pos").collect()]
     assert found == [(1, 5, 3.0, 0), (2, 1, 4.0, 1), (1, 2, 5.0, 4)]
+    bad = [tuple(r) for r in read_bad_ratings(spark, path).orderBy("pos").collect()]
+    assert bad == [(2, "", "bad user"), (3, "bad", "bad user")]
 
 
 def test_positions_over_blocks_and_files(spark, tmp_path):

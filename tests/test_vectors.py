@@ -125,3 +125,12 @@ def test_factors_repeat_and_rank(spark, tables):
     mean = ratings.agg(F.avg("rating")).first()[0]
     assert first < ratings.agg(F.avg(F.abs(F.col("rating") - mean))).first()[0]
     ratings.unpersist()
+
+
+def test_uneven_vectors_are_an_error(spark):
+    for bad in ([[1.0, 2.0, 3.0], [4.0]], [[1.0, 2.0], None], [[1.0, None], [1.0, 2.0]]):
+        frame = spark.createDataFrame([(x,) for x in bad], "features array<double>").coalesce(1)
+        with pytest.raises(Exception, match="a vector"):
+            clustering.assign(frame, np.zeros((2, 2))).collect()
+        with pytest.raises(Exception, match="a vector"):
+            reduction.covariance(frame).collect()
