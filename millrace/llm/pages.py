@@ -10,9 +10,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from . import words as W
+
 #: Lines of a window, and characters in a window at which text sets in on a
 #: page that marks no article.
 WINDOW, SURGE = 3, 80
+#: Share of the largest region's text that a surer one must have to be the article.
+PART = 0.25
 
 #: Fixed values of HTML: elements whose content is no text of the page.
 _RAW = "script style noscript template svg math iframe object head title select textarea button"
@@ -35,6 +39,11 @@ _NAMES = frozenset(
     "toolbar widget widgets".split()
 )
 
+#: Words of which a class, id or role that names the article is made, and those
+#: of which it has one at least.
+_ABOUT = frozenset("article content post entry story main body text page blog news single".split())
+_ARTICLE = frozenset("article content post entry story main".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
@@ -60,12 +69,27 @@ def _beside(name: str, rest: str) -> bool:
     return bool(_HIDDEN.search(rest))
 
 
+def _rank(name: str, rest: str) -> int:
+    """How surely an element is the article: 3 and 2 by its name, 1 by its labels, else 0."""
+    if name in ("article", "main"):
+        return 3 if name == "article" else 2
+    if rest and name in ("div", "section", "td"):
+        for found in _LABEL.findall(rest):
+            for label in "".join(found).lower().split():
+                parts = set(_PART.split(label)) - {""}
+                if parts and parts <= _ABOUT and parts & _ARTICLE:
+                    return 1
+    return 0
+
+
 class _Lines:
     """The lines of a page in order, each with where it stands."""
 
     def __init__(self) -> None:
         self.texts: list[str] = []
-        self.regions: list[int] = []  # number of the article it is in, 0 for none
+        self.regions: list[int] = []  # number of the innermost region it is in, 0 for none
+        self.around = [0]  # for each region the one around it
+        self.ranks = [0]
         self.counted: list[int] = []  # characters outside of links; 0 beside the article
         self._parts: list[str] = []
         self._linked = 0
@@ -91,7 +115,7 @@ def _lines(page: str) -> _Lines:
     """Take the markup away; every element that is not inside a line ends the line."""
     lines = _Lines()
     stack: list[tuple[str, bool, int]] = []  # name, beside the article, article's number
-    beside, region, regions, links = 0, 0, 0, 0
+    beside, region, links = 0, 0, 0
     at = 0
     for token in _TOKEN.finditer(page):
         if token.start() > at:
@@ -127,13 +151,15 @@ def _lines(page: str) -> _Lines:
                 beside -= own
                 region = before
         own = _beside(name, token["rest"])
-        if name == "header" and not region:
+        if name == "header" and lines.ranks[region] < 2:
             own = True
         stack.append((name, own, region))
         beside += own
-        if name in ("article", "main") and not beside and not region:
-            regions += 1
-            region = regions
+        rank = 0 if beside else _rank(name, token["rest"])
+        if rank > lines.ranks[region]:
+            lines.around.append(region)
+            lines.ranks.append(rank)
+            region = len(lines.ranks) - 1
     if at < len(page):
         lines.add(page[at:], links > 0)
     lines.close(region, beside > 0)
@@ -159,6 +185,17 @@ def _runs(counted: np.ndarray, surge: int) -> np.ndarray:
     return inside & (counted > 0)
 
 
+def _article(lines: _Lines, counted: np.ndarray) -> int:
+    """The surest region that has a good part of the text of the largest, 0 for none."""
+    sizes = np.bincount(lines.regions, weights=counted, minlength=len(lines.ranks))
+    for region in range(len(sizes) - 1, 0, -1):  # inner regions come after outer ones
+        if lines.around[region]:
+            sizes[lines.around[region]] += sizes[region]
+    sizes[0] = 0
+    large = np.flatnonzero((sizes > 0) & (sizes >= PART * sizes.max()))
+    return max(large, key=lambda region: (lines.ranks[region], sizes[region], -region), default=0)
+
+
 def main_text(page: str | None) -> str:
     """The article of one page, a line for each block; empty if there is none."""
     if not page:
@@ -167,12 +204,14 @@ def main_text(page: str | None) -> str:
     counted = np.array(lines.counted, dtype=np.int64)
     if not len(counted):
         return ""
-    regions = np.array(lines.regions)
     surge = SURGE
-    if regions[counted > 0].any():
-        sizes = np.bincount(regions, weights=counted)
-        sizes[0] = 0
-        counted[regions != sizes.argmax()] = 0
+    if region := _article(lines, counted):
+        inside = []
+        for at in lines.regions:
+            while at and at != region:
+                at = lines.around[at]
+            inside.append(at == region)
+        counted[~np.array(inside)] = 0
         surge = 1
     inside = _runs(counted, surge)
     return "\n".join(text for text, keep in zip(lines.texts, inside, strict=True) if keep)
@@ -190,8 +229,9 @@ def extracted(
     an element beside the article, by its name or by the words of its class, id
     or role, counts no characters.  The rest is judged by the sums of text
     lengths over sliding windows of lines: text between a surge and the next
-    dive is kept.  Where the page marks articles, only lines of the largest one
-    count and any text is a surge; elsewhere a surge is ``SURGE`` characters.
+    dive is kept.  Where the page marks articles, by name or by label, only
+    lines of the surest and largest one count and any text is a surge; elsewhere
+    a surge is ``SURGE`` characters.
 
     Character references are decoded, white space inside a block is one space,
     blocks are joined by line ends.  A null, empty or textless page has the
@@ -203,8 +243,8 @@ def extracted(
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
+            for begin, end in W.ranges(batch.column(2)):
+                part = batch.slice(begin, end - begin)
                 texts = [main_text(page) for page in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -216,7 +256,7 @@ def extracted(
                     names=["id", "url", "text", "n_chars"],
                 )
 
-    chosen = pages.select(id_column, url_column, html_column)
+    chosen = W.small_batches(pages).select(id_column, url_column, html_column)
     kind = chosen.schema[0].dataType.simpleString()
     found = chosen.mapInArrow(extract, f"id {kind}, url string, text string, n_chars bigint")
     return found.withColumnsRenamed({"id": id_column, "url": url_column})
