@@ -51,16 +51,16 @@ def top_items(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFr
 def similar_items(ratings: DataFrame, min_cosine: float, min_users: int = 1) -> SimilarPairs:
     """Item pairs with alike ratings: cosine over users, ``common`` users in both.
 
-    Items are the vectors and users their features.  A user who rated very many
-    items is a frequent feature and pairs its items only where the rarer users
-    of an item leave more than ``min_cosine`` of its length to the frequent
-    ones: with a high bound that is seldom, with a low one often.
+    Items are the vectors and users their features.  The ``min_users - 1`` most
+    frequent users of an item pair it with nothing.  Another user who rated very
+    many items does so only where the rarer users of an item leave more than
+    ``min_cosine`` of its length to the frequent ones: with a high bound that is
+    seldom, with a low one often.
 
     Items with the same ratings stand for each other: ``copies_a, copies_b``
     say for how many, and ``copies`` names them all.
     """
-    found = similar_pairs(_item_vectors(ratings), min_cosine)
-    return found._replace(pairs=found.pairs.filter(F.col("common") >= min_users))
+    return similar_pairs(_item_vectors(ratings), min_cosine, min_users)
 
 
 def item_copies(ratings: DataFrame) -> DataFrame:

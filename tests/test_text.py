@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.text import STOP_WORDS, all_stop_words
-from millrace.operators import classify, terms
+from millrace.operators import classify, similarity, terms
 from millrace.operators.recommend import similar_items
 from millrace.operators.similarity import copies_of, pair_similarity, similar_pairs
 
@@ -135,7 +135,33 @@ def test_similar_pairs_against_brute_force(spark, threshold, seed):
             chosen = {f"f{int(generator.paretovariate(0.6))}" for _ in range(size)}
             data[id] = {f: generator.choice([1, 1, 2, 3, -1]) for f in chosen}
     found = similar_pairs(vectors_of(spark, data), threshold)
-    assert found_pairs(found) == brute_force(data, threshold)
+    expected = brute_force(data, threshold)
+    assert found_pairs(found) == expected
+    at_least = 2 + seed
+    few = similar_pairs(vectors_of(spark, data), threshold, min_common=at_least)
+    assert found_pairs(few) == {k: v for k, v in expected.items() if v[2] >= at_least}
+
+
+def test_a_user_who_rated_everything_pairs_nothing(spark):
+    """At a low threshold: 2000 items, each with a group of four and one common user."""
+    ratings = [("all", item, 5.0) for item in range(2000)]
+    ratings += [(f"g{item // 4}-{n}", item, 1.0 + n) for item in range(2000) for n in range(3)]
+    frame = spark.createDataFrame(ratings, "user_id string, item_id bigint, rating double")
+    changed = frame.withColumn("rating", F.col("rating") + F.col("item_id") % 4 / 10)
+    ranked = []
+
+    def noted(rows, name, keep=similarity.stored):
+        table = keep(rows, name)
+        if name == "met":
+            ranked.append(table.count())
+        return table
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(similarity, "stored", noted)
+        found = similar_items(changed, 0.2, min_users=3).pairs
+        assert found.count() == 500 * 6
+        assert {row["common"] for row in found.collect()} == {4}
+    assert ranked == [500 * 6]
 
 
 def test_a_third_of_all_documents_are_copies(spark):
