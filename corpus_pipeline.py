@@ -23,7 +23,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labels, calls good."""
     labels = table(spark, sf_dir, "labels").filter(~language.held_out())
     model = quality.learn(docs, labels)
-    return docs.filter(quality.chance(F.col("text"), model) >= quality.GOOD)
+    return quality.good_only(docs, model)
 
 
 def once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,14 +49,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def segmented(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All columns with the text's sampled ``pieces``, their number, and whether
     they give the text back."""
-    path = pieces.default_model(spark)
-    both = pieces.joined(pieces.segmented(docs, path), path, output_column="_back")
-    return both.select(
-        *[name for name in docs.columns if name not in ("pieces", "n_pieces", "lossless")],
-        "pieces",
-        F.size("pieces").cast("long").alias("n_pieces"),
-        F.col("_back").eqNullSafe(F.col("text")).alias("lossless"),
-    )
+    return pieces.segmented_and_checked(docs, pieces.default_model(spark))
 
 
 STAGES = [

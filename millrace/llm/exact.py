@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import stored
-from .bits import bit_table, marked, without
+from .bits import bit_table, marked
 
 #: Characters of the normalised text that the second step compares.
 PREFIX = 64
@@ -106,16 +106,17 @@ def exact_dedup(
     goes or repeats are shuffled.
     """
     found = stored(exact_groups(documents, id_column, text_column), "exact")
-    gone = found.filter("NOT kept").select(id_column)
-    stay = without(documents, gone, id_column)
-    twice = stored(
-        found.filter("kept").groupBy(id_column).agg(F.count("*").alias("n")).filter("n > 1"),
-        "twice",
-    ).filter(F.col(id_column).isNotNull())
-    split = marked(stay, stored(bit_table(twice.select(id_column)), "bits"), [id_column], "_again")
+    named = found.filter(F.col(id_column).isNotNull())
+    gone = stored(named.filter("NOT kept").select(id_column).distinct(), "gone")
+    twice = named.filter("kept").groupBy(id_column).agg(F.count("*").alias("n")).filter("n > 1")
+    bits = stored(bit_table(gone.unionByName(twice.select(id_column))), "bits")
+    split = marked(documents, bits, [id_column], "_bit_hit")
+    unsure = split.filter("_bit_hit").filter(F.col(id_column).isNotNull())
     same = F.sha2(normalised(F.col(text_column)), 256)
-    again = (
-        split.filter("_again").withColumn("_text", same).dropDuplicates([id_column, "_text"])
+    once = (
+        unsure.join(gone, id_column, "left_anti")
+        .withColumn("_same", same)
+        .dropDuplicates([id_column, "_same"])
     )
-    rest = split.filter("NOT _again").select(documents.columns)
-    return rest.unionByName(again.select(documents.columns))
+    sure = split.filter(~F.col("_bit_hit") | F.col(id_column).isNull())
+    return sure.select(documents.columns).unionByName(once.select(documents.columns))

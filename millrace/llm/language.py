@@ -154,7 +154,7 @@ def counted(texts: DataFrame) -> DataFrame:
                             names=["lang", "kind", "key", "n"],
                         )
 
-    return texts.select("lang", "text").mapInArrow(
+    return W.small_batches(texts).select("lang", "text").mapInArrow(
         count, "lang string, kind int, key bigint, n bigint"
     )
 
@@ -277,15 +277,15 @@ def predicted(
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
+            for begin, end in W.ranges(batch.column(1)):
+                part = batch.slice(begin, end - begin)
                 names, scores = _predict(model, part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(names, pa.string()), pa.array(scores)],
                     names=["id", "lang_pred", "score"],
                 )
 
-    rows = documents.select(id_column, text_column)
+    rows = W.small_batches(documents).select(id_column, text_column)
     kind = rows.schema[0].dataType.simpleString()
     found = rows.mapInArrow(predict, f"id {kind}, lang_pred string, score double")
     return found.withColumnRenamed("id", id_column)

@@ -85,11 +85,6 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (total[ends] - total[ends - sizes]).view(np.int64)
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    for begin in range(0, batch.num_rows, rows):
-        yield batch.slice(begin, rows)
-
-
 def sketches(documents: DataFrame, words: int, smallest: int) -> DataFrame:
     """``id, n, f1, f2, bands``: set size, a 128-bit print of the set, bucket keys.
 
@@ -98,7 +93,8 @@ def sketches(documents: DataFrame, words: int, smallest: int) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _slices(whole):
+            for begin, end in W.ranges(whole.column(1)):
+                batch = whole.slice(begin, end - begin)
                 sets, sizes = _sets(batch.column(1), words)
                 large = sizes >= smallest
                 table = signatures(
@@ -117,7 +113,7 @@ def sketches(documents: DataFrame, words: int, smallest: int) -> DataFrame:
                 )
 
     kind = documents.schema[0].dataType.simpleString()
-    return documents.mapInArrow(
+    return W.small_batches(documents).mapInArrow(
         sketch, f"id {kind}, n bigint, f1 bigint, f2 bigint, bands array<bigint>"
     )
 
@@ -127,14 +123,15 @@ def shingle_sets(documents: DataFrame, words: int) -> DataFrame:
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _slices(whole, 256):
+            for begin, end in W.ranges(whole.column(1)):
+                batch = whole.slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), _lists(*_sets(batch.column(1), words))],
                     names=["id", "shingles"],
                 )
 
     kind = documents.schema[0].dataType.simpleString()
-    return documents.mapInArrow(collect, f"id {kind}, shingles array<bigint>")
+    return W.small_batches(documents).mapInArrow(collect, f"id {kind}, shingles array<bigint>")
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -370,7 +367,8 @@ def near_copies(
     comparison.  Classes meet in buckets of equal bands; buckets are compared
     as stars, and every link is confirmed on the full sets (see ``_linked``).
 
-    Null, empty and blank texts have no shingles and are linked with nothing.
+    Ids are whole numbers.  Null, empty and blank texts have no shingles and are
+    linked with nothing.
     A row without an id is linked with nothing, has no component and is kept.
     Repeated rows of one id count as copies.  An empty table gives no rows.
     Other columns are not read.

@@ -7,13 +7,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
 
 #: Characters taken apart at a time, and longest unit that is handled together with others.
-_PIECE, _LONG = 1 << 22, 40
+_PIECE, _LONG = 1 << 20, 40
 #: Fixed values of SentencePiece: the sign for a space.
 _SPACE = 0x2581
 
@@ -283,6 +284,29 @@ def _lists(values: np.ndarray, counts: np.ndarray, missing: np.ndarray) -> pa.Ar
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()), mask=mask)
 
 
+def _encoded(pieces: Pieces, keys: pa.Array, texts: pa.Array, seed: int) -> pa.Array:
+    rows = texts.to_pylist()
+    numbers = _seeds(keys.to_pylist(), seed)
+    values, counts = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)]
+    for begin, end in _runs([len(row or "") for row in rows]):
+        ids, sizes = _encode(pieces, [row or "" for row in rows[begin:end]], numbers[begin:end])
+        values.append(ids)
+        counts.append(sizes)
+    W.give_back()
+    missing = np.array([row is None for row in rows], dtype=bool)
+    return _lists(np.concatenate(values), np.concatenate(counts), missing)
+
+
+def _decoded(pieces: Pieces, lists: pa.Array) -> pa.Array:
+    out: list[str] = []
+    for begin in range(0, len(lists), 256):
+        part = lists.slice(begin, 256)
+        counts = part.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+        values = part.flatten().fill_null(0).to_numpy(zero_copy_only=False)
+        out += _decode(pieces, values, counts)
+    return pa.array(out, pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))
+
+
 def encoded(key: Column, text: Column, pieces: Pieces, seed: int = 1) -> Column:
     """The text's pieces as ``array<int>``, one segmentation drawn from all there are.
 
@@ -299,18 +323,26 @@ def encoded(key: Column, text: Column, pieces: Pieces, seed: int = 1) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(keys: pa.Array, texts: pa.Array) -> pa.Array:
-        rows = texts.to_pylist()
-        numbers = _seeds(keys.to_pylist(), seed)
-        values, counts = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)]
-        for begin, end in _runs([len(row or "") for row in rows]):
-            own = [row or "" for row in rows[begin:end]]
-            ids, sizes = _encode(pieces, own, numbers[begin:end])
-            values.append(ids)
-            counts.append(sizes)
-        missing = np.array([row is None for row in rows], dtype=bool)
-        return _lists(np.concatenate(values), np.concatenate(counts), missing)
+        return _encoded(pieces, keys, texts, seed)
+
+    # Not deterministic to Spark only: else a column made from the pieces would
+    # draw them again.
+    return encode.asNondeterministic()(key, text)
 
-    return encode(key, text)
+
+def checked(key: Column, text: Column, pieces: Pieces, seed: int = 1) -> Column:
+    """``struct<pieces array<int>, lossless boolean>``: ``encoded``, and whether
+    ``decoded`` gives the text back.  One pass, so that pieces stay in the task."""
+
+    @F.arrow_udf("struct<pieces array<int>, lossless boolean>")
+    def check(keys: pa.Array, texts: pa.Array) -> pa.Array:
+        lists = _encoded(pieces, keys, texts, seed)
+        same = pa.compute.equal(_decoded(pieces, lists), texts)
+        both = pa.compute.and_(lists.is_null(), texts.is_null())
+        lossless = pa.compute.coalesce(same, both)
+        return pa.StructArray.from_arrays([lists, lossless], names=["pieces", "lossless"])
+
+    return check.asNondeterministic()(key, text)
 
 
 def decoded(ids: Column, pieces: Pieces) -> Column:
@@ -321,13 +353,7 @@ def decoded(ids: Column, pieces: Pieces) -> Column:
 
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
-        out: list[str] = []
-        for begin in range(0, len(lists), 512):
-            part = lists.slice(begin, 512)
-            counts = part.value_lengths().fill_null(0).to_numpy().astype(np.int64)
-            values = part.flatten().fill_null(0).to_numpy(zero_copy_only=False)
-            out += _decode(pieces, values, counts)
-        return pa.array(out, pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))
+        return _decoded(pieces, lists)
 
     return decode(ids)
 
@@ -347,14 +373,36 @@ def segmented(
     the driver and its pieces travel with the job.
     """
     pieces = encoded(F.col(id_column), F.col(text_column), load(path), seed)
-    return documents.withColumn(output_column, pieces)
+    return W.small_batches(documents).withColumn(output_column, pieces)
+
+
+def segmented_and_checked(
+    documents: DataFrame,
+    path: str,
+    seed: int = 1,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """All rows and columns, with ``pieces``, ``n_pieces bigint`` and ``lossless boolean``.
+
+    See ``checked``.  Columns of these names are replaced.
+    """
+    both = checked(F.col(id_column), F.col(text_column), load(path), seed)
+    rest = [n for n in documents.columns if n not in ("pieces", "n_pieces", "lossless")]
+    rows = W.small_batches(documents).select(*rest, both.alias("_checked"))
+    return rows.select(
+        *rest,
+        "_checked.pieces",
+        F.size("_checked.pieces").cast("long").alias("n_pieces"),
+        "_checked.lossless",
+    )
 
 
 def joined(
     documents: DataFrame, path: str, ids_column: str = "pieces", output_column: str = "text"
 ) -> DataFrame:
     """All rows and columns, with the text of the pieces (see ``decoded``)."""
-    return documents.withColumn(output_column, decoded(F.col(ids_column), load(path)))
+    return W.small_batches(documents).withColumn(output_column, decoded(F.col(ids_column), load(path)))
 
 
 def default_model(spark: SparkSession) -> str:

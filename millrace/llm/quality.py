@@ -233,15 +233,15 @@ def _featured(rows: DataFrame) -> DataFrame:
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
+            for begin, end in W.ranges(batch.column(1)):
+                part = batch.slice(begin, end - begin)
                 x = features(part.column(1))
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), len(FEATURES))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), lists.cast(pa.list_(pa.float64()))], names=["label", "x"]
                 )
 
-    return rows.select("label", "text").mapInArrow(take, "label double, x array<double>")
+    return W.small_batches(rows).select("label", "text").mapInArrow(take, "label double, x array<double>")
 
 
 def learn(
@@ -275,7 +275,8 @@ def chance(text: Column, model: Model) -> Column:
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         parts = [
-            model.score(features(texts.slice(begin, 256))) for begin in range(0, len(texts), 256)
+            model.score(features(texts.slice(begin, end - begin)))
+            for begin, end in W.ranges(texts)
         ]
         return pa.array(np.round(np.concatenate([np.zeros(0), *parts]), 6))
 
@@ -296,4 +297,10 @@ def scored(
     """
     score = chance(F.col(text_column), model)
     good = (F.col("score") >= GOOD).cast("int")
-    return documents.select(id_column, score.alias("score")).withColumn("predicted", good)
+    rows = W.small_batches(documents)
+    return rows.select(id_column, score.alias("score")).withColumn("predicted", good)
+
+
+def good_only(documents: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """The rows with a good text, with all their columns (see ``scored``); nothing is shuffled."""
+    return W.small_batches(documents).filter(chance(F.col(text_column), model) >= GOOD)

@@ -190,15 +190,9 @@ def op5_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
 @query()
 def op8_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
     """Sampled pieces of every text, and whether they give the text back."""
-    path = pieces.default_model(spark)
     documents = table(spark, root, "documents").select("doc_id", "text")
-    both = pieces.joined(pieces.segmented(documents, path), path, output_column="back")
-    return both.select(
-        "doc_id",
-        F.size("pieces").cast("long").alias("n_pieces"),
-        F.col("back").eqNullSafe(F.col("text")).alias("lossless"),
-        "pieces",
-    )
+    both = pieces.segmented_and_checked(documents, pieces.default_model(spark))
+    return both.select("doc_id", "n_pieces", "lossless", "pieces")
 
 
 @query()

@@ -210,7 +210,8 @@ def top_products(
 
     Null vectors, vectors with a null or non-finite component and rows without
     an id take no part; a vector shorter than others counts as ending in zeros.
-    Repeated rows are candidates each.  Ids must be whole numbers.  An empty
+    Repeated rows are candidates each.  Ids must be whole numbers; a score that
+    no 64-bit number holds is an error.  An empty
     table gives no rows.  Other columns are not read.
     """
     numbers = whole_numbers(F.col(vector_column))

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 #: Bytes hashed at a time; a longer word is taken whole.
 PIECE = 1 << 20
+#: Bytes of texts taken apart together, which bounds a task's memory; a longer
+#: text is taken alone.
+TOGETHER = 1 << 20
+
+#: Bytes of a batch that Spark hands to Python, and the setting for it.
+BATCH, _SETTING = 1 << 23, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -26,6 +35,45 @@ def mixed(values: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def small_batches(rows: DataFrame) -> DataFrame:
+    """The rows themselves; the session's Arrow batches hold ``BATCH`` bytes at most from now on.
+
+    Batches stand in the memory of JVM and Python several times over, and Spark
+    fills them with up to eight times as much by default.  A smaller limit that
+    the session has, in plain bytes, stays.
+    """
+    conf = rows.sparkSession.conf
+    limit = conf.get(_SETTING, str(2 * BATCH))
+    if not limit.isdigit() or int(limit) > BATCH:
+        conf.set(_SETTING, str(BATCH))
+    return rows
+
+
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    Python workers live on after a task, and what their allocators keep would
+    stand beside the memory of the stages that follow.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def ranges(texts: pa.Array, size: int = TOGETHER) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``size`` bytes of text, whatever the length of a text."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < len(ends):
+        full = (ends[begin - 1] if begin else 0) + size
+        end = max(begin + 1, int(np.searchsorted(ends, full, side="right")))
+        yield begin, end
+        begin = end
+    give_back()
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts behind one another, and where each begins; null is empty."""
     if isinstance(texts, pa.ChunkedArray):
