@@ -21,9 +21,9 @@ MEMBERS = 32
 GROUPS = TOKENS // MEMBERS
 #: Words seen on each side, numbers of a word, numbers of the hidden layer.
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-#: Rounds of training, share of the places of every text that a round predicts
-#: (one in so many), windows of a step, and the step's size.
-ROUNDS, EVERY, STEP_ROWS, STEP = 2, 8, 1024, 0.1
+#: Rounds of training, windows of a step, and the step's size.  Each round takes
+#: its own share of the places of every text, so training predicts each place once.
+ROUNDS, STEP_ROWS, STEP = 2, 1024, 0.1
 
 #: Tokens scored at a time, and the token of a place outside of the text.
 _CHUNK, _OUTSIDE = 1 << 16, TOKENS
@@ -198,14 +198,16 @@ def word_counts(documents: DataFrame, text_column: str = "text") -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, _ = W.word_hashes(*W.text_bytes(batch.column(0)))
-            words, n = np.unique(hashes, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))],
-                names=["word", "n"],
-            )
-
-    rows = documents.select(text_column).mapInArrow(count, "word bigint, n bigint")
+            for begin, end in W.ranges(batch.column(0), 4 * W.TOGETHER):
+                texts = batch.column(0).slice(begin, end - begin)
+                hashes, _ = W.word_hashes(*W.text_bytes(texts))
+                words, n = np.unique(hashes, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))],
+                    names=["word", "n"],
+                )
+
+    rows = W.small_batches(documents).select(text_column).mapInArrow(count, "word bigint, n bigint")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -242,15 +244,15 @@ def token_rows(
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 1024):
-                part = batch.slice(begin, 1024)
+            for begin, end in W.ranges(batch.column(1)):
+                part = batch.slice(begin, end - begin)
                 hashes, counts = W.word_hashes(*W.text_bytes(part.column(1)))
                 offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 tokens = pa.array(words.of(hashes).astype(np.int16))
                 lists = pa.ListArray.from_arrays(pa.array(offsets), tokens)
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["id", "tokens"])
 
-    rows = documents.select(id_column, text_column)
+    rows = W.small_batches(documents).select(id_column, text_column)
     kind = rows.schema[0].dataType.simpleString()
     return rows.mapInArrow(take, f"id {kind}, tokens array<smallint>")
 
@@ -278,7 +280,7 @@ def _trained(rows: DataFrame, net: Network, turn: int) -> DataFrame:
                 place = np.arange(len(tokens), dtype=np.uint64)
                 inner = place - np.repeat(np.cumsum(sizes) - sizes, sizes).astype(np.uint64)
                 mark = W.mixed(inner * np.uint64(TOKENS) + tokens.astype(np.uint64), 40)
-                places = np.flatnonzero(mark % np.uint64(EVERY) == turn % EVERY)
+                places = np.flatnonzero(mark % np.uint64(ROUNDS) == turn)
                 for begin in range(0, len(places), _CHUNK):
                     own = places[begin : begin + _CHUNK]
                     trainer.add(windows_of(tokens, sizes, own), tokens[own])
@@ -354,8 +356,7 @@ def pseudo_likelihood(
     """For each row its id, ``n_tokens``, ``log_likelihood`` and ``per_token``.
 
     Words (see ``words.py``) are counted over all texts; the network learns from
-    all texts, a seeded share of the places in each; then every word of every
-    text is predicted from ``SIDE`` words on either side.  ``log_likelihood`` is
+    every place of all texts; then every word of every text is predicted from ``SIDE`` words on either side.  ``log_likelihood`` is
     the sum of the logarithms of the predicted chances.
 
     A null, empty or blank text has no tokens, sum 0 and no mean.  Every row
