@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import words as W
 
 #: Characters taken apart at a time, and longest unit that is handled together with others.
-_PIECE, _LONG = 1 << 20, 40
+_PIECE, _LONG = 1 << 19, 40
 #: Fixed values of SentencePiece: the sign for a space.
 _SPACE = 0x2581
 

@@ -17,7 +17,7 @@ PIECE = 1 << 20
 TOGETHER = 1 << 20
 
 #: Bytes of a batch that Spark hands to Python, and the setting for it.
-BATCH, _SETTING = 1 << 23, "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH, _SETTING = 1 << 22, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
