@@ -21,12 +21,13 @@ MEMBERS = 32
 GROUPS = TOKENS // MEMBERS
 #: Words seen on each side, numbers of a word, numbers of the hidden layer.
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-#: Rounds of training, share of the places of every text that a round predicts
-#: (one in so many), windows of a step, and the step's size.
-ROUNDS, EVERY, STEP_ROWS, STEP = 2, 8, 1024, 0.1
+#: Rounds of training, windows of a step, and the step's size.  Each round takes
+#: its own share of the places of every text, so training predicts each place once.
+ROUNDS, STEP_ROWS, STEP = 2, 1024, 0.1
 
-#: Tokens scored at a time, and the token of a place outside of the text.
-_CHUNK, _OUTSIDE = 1 << 16, TOKENS
+#: Tokens taken apart at a time, tokens scored at a time, and the token of a
+#: place outside of the text.
+_CHUNK, _SCORED, _OUTSIDE = 1 << 16, 1 << 13, TOKENS
 
 #: Sums of weights are added up as whole numbers, so that their order is all one.
 _UNIT = 1 << 24
@@ -81,9 +82,11 @@ class Network(NamedTuple):
         return np.concatenate([part.reshape(-1) for part in self])
 
     def like(self, values: np.ndarray) -> Network:
+        """A network of these weights; ``float32`` ones are not copied."""
         out, at = [], 0
         for part in self:
-            out.append(values[at : at + part.size].reshape(part.shape).astype("float32"))
+            own = values[at : at + part.size].reshape(part.shape)
+            out.append(own.astype("float32", copy=False))
             at += part.size
         return Network(*out)
 
@@ -95,49 +98,68 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
-def _by_group(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    group = targets // MEMBERS
-    order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(GROUPS + 1))
-    for g in range(GROUPS):
-        if edges[g] < edges[g + 1]:
-            yield g, order[edges[g] : edges[g + 1]]
+def _by_group(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of the targets by group, and where each group that occurs stands in it."""
+    order = np.argsort(targets.astype(np.int16), kind="stable")
+    edges = np.searchsorted(targets[order] // MEMBERS, np.arange(GROUPS + 1)).tolist()
+    spans = [(g, slice(edges[g], edges[g + 1])) for g in range(GROUPS)]
+    return order, [(g, own) for g, own in spans if own.start < own.stop]
+
+
+def _forward(
+    net: Network, windows: np.ndarray, group: np.ndarray, spans: list[tuple[int, slice]]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words seen, hidden layer, and chances of groups and of the members of each row's group."""
+    seen = net.words.take(windows.reshape(-1), axis=0).reshape(len(windows), -1)
+    hidden = seen @ net.window
+    hidden += net.window_bias
+    np.tanh(hidden, out=hidden)
+    groups = hidden @ net.groups
+    groups += net.groups_bias
+    members = net.members_bias[group]
+    for g, own in spans:
+        members[own] += hidden[own] @ net.members[g]
+    return seen, hidden, _softmax(groups), _softmax(members)
 
 
 def log_chances(net: Network, windows: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Logarithm of the chance of each target between its neighbours."""
-    rows = np.arange(len(targets))
-    seen = net.words[windows].reshape(len(rows), -1)
-    hidden = np.tanh(seen @ net.window + net.window_bias)
-    chance = _softmax(hidden @ net.groups + net.groups_bias)[rows, targets // MEMBERS]
-    for g, own in _by_group(targets):
-        members = _softmax(hidden[own] @ net.members[g] + net.members_bias[g])
-        chance[own] *= members[np.arange(len(own)), targets[own] % MEMBERS]
-    return np.log(np.maximum(chance, 1e-30))
+    order, spans = _by_group(targets)
+    rows, targets = np.arange(len(targets)), targets[order]
+    group = targets // MEMBERS
+    _, _, groups, members = _forward(net, windows[order], group, spans)
+    chance = groups[rows, group] * members[rows, targets % MEMBERS]
+    out = np.empty_like(chance)
+    out[order] = np.log(np.maximum(chance, 1e-30))
+    return out
 
 
 def _slopes(net: Network, windows: np.ndarray, targets: np.ndarray) -> Network:
     """How the mean logarithm grows with each weight."""
     n = len(targets)
-    rows = np.arange(n)
-    seen = net.words[windows].reshape(n, -1)
-    hidden = np.tanh(seen @ net.window + net.window_bias)
-    off = -_softmax(hidden @ net.groups + net.groups_bias)
-    off[rows, targets // MEMBERS] += 1
+    order, spans = _by_group(targets)
+    rows, windows, targets = np.arange(n), windows[order], targets[order]
+    group = targets // MEMBERS
+    seen, hidden, off, miss = _forward(net, windows, group, spans)
+    np.negative(off, out=off)
+    off[rows, group] += 1
+    np.negative(miss, out=miss)
+    miss[rows, targets % MEMBERS] += 1
     back = off @ net.groups.T
     members, members_bias = np.zeros_like(net.members), np.zeros_like(net.members_bias)
-    for g, own in _by_group(targets):
-        miss = -_softmax(hidden[own] @ net.members[g] + net.members_bias[g])
-        miss[np.arange(len(own)), targets[own] % MEMBERS] += 1
-        members[g] = hidden[own].T @ miss
-        members_bias[g] = miss.sum(axis=0)
-        back[own] += miss @ net.members[g].T
+    for g, own in spans:
+        np.matmul(hidden[own].T, miss[own], out=members[g])
+        back[own] += miss[own] @ net.members[g].T
+    filled = [g for g, _ in spans]
+    members_bias[filled] = np.add.reduceat(miss, [own.start for _, own in spans], axis=0)
     back *= 1 - hidden * hidden
-    deep = (back @ net.window.T).reshape(-1, WIDTH)
-    flat = windows.reshape(-1)
-    words = np.stack(
-        [np.bincount(flat, deep[:, k], TOKENS + 1) for k in range(WIDTH)], axis=1
-    )
+    flat = windows.reshape(-1).astype(np.int16)
+    by_word = np.argsort(flat, kind="stable")
+    flat = flat[by_word]
+    begins = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+    deep = (back @ net.window.T).reshape(-1, WIDTH).take(by_word, axis=0)
+    words = np.zeros_like(net.words)
+    words[flat[begins]] = np.add.reduceat(deep, begins, axis=0)
     parts = (
         words,
         seen.T @ back,
@@ -154,8 +176,9 @@ class _Trainer:
     """Steps scaled by the squares of the slopes so far (Adagrad), on one task's windows."""
 
     def __init__(self, net: Network) -> None:
-        self.net = Network(*(part.copy() for part in net))
-        self._squares = [np.full_like(part, 1e-3) for part in net]
+        self._weights = net.flat()
+        self._squares = np.full_like(self._weights, 1e-3)
+        self.net = net.like(self._weights)
         self._waiting: list[tuple[np.ndarray, np.ndarray]] = []
         self._rows = 0
         self.seen = 0
@@ -173,9 +196,11 @@ class _Trainer:
         for begin in range(0, len(targets), STEP_ROWS):
             part = slice(begin, begin + STEP_ROWS)
             slopes = _slopes(self.net, windows[part], targets[part])
-            for weight, square, slope in zip(self.net, self._squares, slopes, strict=True):
-                square += slope * slope
-                weight += STEP * slope / np.sqrt(square)
+            slope = slopes.flat()
+            self._squares += slope * slope
+            slope *= STEP
+            slope /= np.sqrt(self._squares)
+            self._weights += slope
         self.seen += len(targets)
         self._waiting, self._rows = [], 0
 
@@ -198,14 +223,16 @@ def word_counts(documents: DataFrame, text_column: str = "text") -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, _ = W.word_hashes(*W.text_bytes(batch.column(0)))
-            words, n = np.unique(hashes, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))],
-                names=["word", "n"],
-            )
-
-    rows = documents.select(text_column).mapInArrow(count, "word bigint, n bigint")
+            for begin, end in W.ranges(batch.column(0), 4 * W.TOGETHER):
+                texts = batch.column(0).slice(begin, end - begin)
+                hashes, _ = W.word_hashes(*W.text_bytes(texts))
+                words, n = np.unique(hashes, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))],
+                    names=["word", "n"],
+                )
+
+    rows = W.small_batches(documents).select(text_column).mapInArrow(count, "word bigint, n bigint")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -242,15 +269,15 @@ def token_rows(
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 1024):
-                part = batch.slice(begin, 1024)
+            for begin, end in W.ranges(batch.column(1)):
+                part = batch.slice(begin, end - begin)
                 hashes, counts = W.word_hashes(*W.text_bytes(part.column(1)))
                 offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 tokens = pa.array(words.of(hashes).astype(np.int16))
                 lists = pa.ListArray.from_arrays(pa.array(offsets), tokens)
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["id", "tokens"])
 
-    rows = documents.select(id_column, text_column)
+    rows = W.small_batches(documents).select(id_column, text_column)
     kind = rows.schema[0].dataType.simpleString()
     return rows.mapInArrow(take, f"id {kind}, tokens array<smallint>")
 
@@ -272,13 +299,14 @@ def _trained(rows: DataFrame, net: Network, turn: int) -> DataFrame:
     """``seen, weights`` after each task's steps over its own texts."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        W.one_thread()
         trainer = _Trainer(net)
         for batch in batches:
             for _, _, tokens, sizes in _tokens(batch.column(0)):
                 place = np.arange(len(tokens), dtype=np.uint64)
                 inner = place - np.repeat(np.cumsum(sizes) - sizes, sizes).astype(np.uint64)
                 mark = W.mixed(inner * np.uint64(TOKENS) + tokens.astype(np.uint64), 40)
-                places = np.flatnonzero(mark % np.uint64(EVERY) == turn % EVERY)
+                places = np.flatnonzero(mark % np.uint64(ROUNDS) == turn)
                 for begin in range(0, len(places), _CHUNK):
                     own = places[begin : begin + _CHUNK]
                     trainer.add(windows_of(tokens, sizes, own), tokens[own])
@@ -319,8 +347,8 @@ def fitted(rows: DataFrame, words: Vocabulary) -> Network:
 def _scores(net: Network, tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
     out = np.zeros(len(counts))
     owner = np.repeat(np.arange(len(counts)), counts)
-    for begin in range(0, len(tokens), _CHUNK):
-        places = np.arange(begin, min(begin + _CHUNK, len(tokens)))
+    for begin in range(0, len(tokens), _SCORED):
+        places = np.arange(begin, min(begin + _SCORED, len(tokens)))
         logs = log_chances(net, windows_of(tokens, counts, places), tokens[places])
         out += np.bincount(owner[places], logs, len(counts))
     return out
@@ -330,6 +358,7 @@ def scored(rows: DataFrame, net: Network) -> DataFrame:
     """``id, n_tokens bigint, log_likelihood double, per_token double`` of token rows."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        W.one_thread()
         for batch in batches:
             sums = [np.zeros(0)]
             for _, _, tokens, counts in _tokens(batch.column(1)):
@@ -354,8 +383,7 @@ def pseudo_likelihood(
     """For each row its id, ``n_tokens``, ``log_likelihood`` and ``per_token``.
 
     Words (see ``words.py``) are counted over all texts; the network learns from
-    all texts, a seeded share of the places in each; then every word of every
-    text is predicted from ``SIDE`` words on either side.  ``log_likelihood`` is
+    every place of all texts; then every word of every text is predicted from ``SIDE`` words on either side.  ``log_likelihood`` is
     the sum of the logarithms of the predicted chances.
 
     A null, empty or blank text has no tokens, sum 0 and no mean.  Every row

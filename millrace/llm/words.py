@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +64,17 @@ def give_back() -> None:
         pass
 
 
+def one_thread() -> None:
+    """Let numpy's matrix products stay on the task's own core.
+
+    Threads that wait for one another on small products take CPU time and give
+    no result; other cores have tasks of their own.
+    """
+    for path in Path(np.__file__).parent.parent.glob("numpy.libs/*openblas*"):
+        with suppress(OSError, AttributeError):  # another library of matrix products
+            ctypes.CDLL(str(path)).scipy_openblas_set_num_threads64_(1)
+
+
 def ranges(texts: pa.Array, size: int = TOGETHER) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``size`` bytes of text, whatever the length of a text."""
     ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))

@@ -91,6 +91,16 @@ def test_training_beats_word_shares(spark):
     assert mean(masked.fitted(tokens, words)) > mean(masked.Network.begin(words.counts)) + 0.5
 
 
+def test_training_predicts_every_place_once(spark):
+    texts = [" ".join(f"v{(i * i + s) % 50}" for i in range(s, s + 301)) for s in range(40)] + ["", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    words = masked.vocabulary(rows)
+    tokens = masked.token_rows(rows, words).cache()
+    net = masked.Network.begin(words.counts)
+    seen = [masked._trained(tokens, net, turn).agg(F.sum("seen")).first()[0] for turn in range(masked.ROUNDS)]
+    assert min(seen) > 0 and sum(seen) == 40 * 301
+
+
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     re.I | re.A,
