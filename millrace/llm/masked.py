@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import stored
@@ -41,13 +41,16 @@ class Vocabulary(NamedTuple):
     rare: np.ndarray
     counts: np.ndarray  # of each token
 
-    def of(self, hashes: np.ndarray) -> np.ndarray:
+    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The token of each word, and whether the word is one of a class."""
         out = self.rare[(hashes >> np.uint64(32)) % np.uint64(RARE)]
+        rare = np.ones(len(hashes), dtype=bool)
         if len(self.hashes):
             at = np.searchsorted(self.hashes, hashes)
             at[at == len(self.hashes)] = 0
-            out = np.where(self.hashes[at] == hashes, self.tokens[at], out)
-        return out
+            rare = self.hashes[at] != hashes
+            out = np.where(rare, out, self.tokens[at])
+        return out, rare
 
 
 class Network(NamedTuple):
@@ -236,19 +239,26 @@ def word_counts(documents: DataFrame, text_column: str = "text") -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _kind() -> Column:
+    """Number of the class that a word would have."""
+    return F.pmod(F.shiftrightunsigned("word", 32), F.lit(RARE)).cast("int")
+
+
 def vocabulary(documents: DataFrame, text_column: str = "text") -> Vocabulary:
     """The most frequent words of all texts, and classes of the others by hash.
 
     Every word of every text is counted; ``KNOWN`` words and ``RARE`` sums come
     to the driver.  Tokens are numbered by their counts.
     """
-    counts = stored(word_counts(documents, text_column), "words")
+    return _chosen(stored(word_counts(documents, text_column), "words"))
+
+
+def _chosen(counts: DataFrame) -> Vocabulary:
     top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
     own = np.array([row["word"] for row in top], dtype=np.int64).view(np.uint64)
     own_n = np.array([row["n"] for row in top], dtype=np.int64)
-    kind = F.pmod(F.shiftrightunsigned("word", 32), F.lit(RARE)).cast("int")
     rare_n = np.zeros(RARE, dtype=np.int64)
-    for row in counts.groupBy(kind.alias("kind")).agg(F.sum("n").alias("n")).collect():
+    for row in counts.groupBy(_kind().alias("kind")).agg(F.sum("n").alias("n")).collect():
         rare_n[row["kind"]] = row["n"]
     places = ((own >> np.uint64(32)) % np.uint64(RARE)).astype(np.int64)
     np.subtract.at(rare_n, places, own_n)
@@ -262,24 +272,72 @@ def vocabulary(documents: DataFrame, text_column: str = "text") -> Vocabulary:
     )
 
 
+def _distinct(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each owner's words once each, their owners in order, and how often each occurs."""
+    order = np.lexsort((words, owner))
+    words, owner = words[order], owner[order]
+    begins = np.concatenate(([True], (words[1:] != words[:-1]) | (owner[1:] != owner[:-1])))
+    at = np.flatnonzero(begins[: len(words)])
+    return words[at], owner[at], np.diff(np.append(at, len(words)))
+
+
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
 def token_rows(
     documents: DataFrame, words: Vocabulary, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """``id, tokens array<smallint>`` of every text."""
+    """``id, tokens array<smallint>, rare array<bigint>, times array<int>`` of every text.
+
+    ``rare`` holds the text's words that are not known ones, once each, and
+    ``times`` how often each of them occurs in it.
+    """
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end in W.ranges(batch.column(1)):
                 part = batch.slice(begin, end - begin)
                 hashes, counts = W.word_hashes(*W.text_bytes(part.column(1)))
-                offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                tokens = pa.array(words.of(hashes).astype(np.int16))
-                lists = pa.ListArray.from_arrays(pa.array(offsets), tokens)
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["id", "tokens"])
+                tokens, rare = words.of(hashes)
+                owner = np.repeat(np.arange(len(counts)), counts)[rare]
+                rare, owner, times = _distinct(hashes[rare].view(np.int64), owner)
+                each = np.bincount(owner, minlength=len(counts))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        _lists(tokens.astype(np.int16), counts),
+                        _lists(rare, each),
+                        _lists(times.astype(np.int32), each),
+                    ],
+                    names=["id", "tokens", "rare", "times"],
+                )
 
     rows = W.small_batches(documents).select(id_column, text_column)
     kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(take, f"id {kind}, tokens array<smallint>")
+    return rows.mapInArrow(
+        take, f"id {kind}, tokens array<smallint>, rare array<bigint>, times array<int>"
+    )
+
+
+def _inner(rows: DataFrame, counts: DataFrame, words: Vocabulary) -> DataFrame:
+    """``row, inner bigint``: sum over a row's rare words of the logarithm of their chance
+    within their class, in units of ``1 / _UNIT``.
+
+    A word's chance is its share of all occurrences of its class.  Every word
+    that is scored has been counted, so the chances of a class add up to 1 and
+    need no smoothing.  Words meet their counts by hash; the most frequent
+    words are known ones, so no key of the join is a hot one.
+    """
+    sums = [float(n) for n in words.counts[words.rare]]
+    share = F.log("n") - F.log(F.get(F.lit(sums), _kind()))
+    chances = counts.select("word", F.round(share * _UNIT).cast("bigint").alias("chance"))
+    each = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("own")).select(
+        "row", F.col("own.rare").alias("word"), F.col("own.times").alias("times")
+    )
+    found = each.join(chances, "word").withColumn("part", F.col("chance") * F.col("times"))
+    return found.groupBy("row").agg(F.sum("part").alias("inner"))
 
 
 def _tokens(lists: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -354,27 +412,37 @@ def _scores(net: Network, tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def scored(rows: DataFrame, net: Network) -> DataFrame:
-    """``id, n_tokens bigint, log_likelihood double, per_token double`` of token rows."""
+def _summed(rows: DataFrame, net: Network, keys: tuple[str, ...]) -> DataFrame:
+    """The keys, ``n_tokens bigint, sum double``: logarithms of the tokens' chances added up."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         W.one_thread()
         for batch in batches:
-            sums = [np.zeros(0)]
-            for _, _, tokens, counts in _tokens(batch.column(1)):
+            sums, lists = [np.zeros(0)], batch.column(len(keys))
+            for _, _, tokens, counts in _tokens(lists):
                 sums.append(_scores(net, tokens, counts))
-            total = np.round(np.concatenate(sums), 3)
-            n = batch.column(1).value_lengths().to_numpy().astype(np.int64)
-            mean = np.round(total / np.maximum(n, 1), 6)
+            n = lists.value_lengths().to_numpy().astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), pa.array(total), pa.array(mean, mask=n == 0)],
-                names=["id", "n_tokens", "log_likelihood", "per_token"],
+                [*batch.columns[: len(keys)], pa.array(n), pa.array(np.concatenate(sums))],
+                names=[*keys, "n_tokens", "sum"],
             )
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "tokens").mapInArrow(
-        score, f"id {kind}, n_tokens bigint, log_likelihood double, per_token double"
-    )
+    kinds = "".join(f"{key} {rows.schema[key].dataType.simpleString()}, " for key in keys)
+    return rows.select(*keys, "tokens").mapInArrow(score, f"{kinds}n_tokens bigint, sum double")
+
+
+def _finished(sums: DataFrame) -> DataFrame:
+    rounded = sums.select("id", "n_tokens", F.round("sum", 3).alias("log_likelihood"))
+    mean = F.when(F.col("n_tokens") > 0, F.round(F.col("log_likelihood") / F.col("n_tokens"), 6))
+    return rounded.withColumn("per_token", mean)
+
+
+def scored(rows: DataFrame, net: Network) -> DataFrame:
+    """``id, n_tokens bigint, log_likelihood double, per_token double`` of token rows.
+
+    This is the network's part: a word that is not known counts as its class.
+    """
+    return _finished(_summed(rows, net, ("id",)))
 
 
 def pseudo_likelihood(
@@ -383,13 +451,22 @@ def pseudo_likelihood(
     """For each row its id, ``n_tokens``, ``log_likelihood`` and ``per_token``.
 
     Words (see ``words.py``) are counted over all texts; the network learns from
-    every place of all texts; then every word of every text is predicted from ``SIDE`` words on either side.  ``log_likelihood`` is
-    the sum of the logarithms of the predicted chances.
+    every place of all texts; then every word of every text is predicted from
+    ``SIDE`` words on either side.  ``log_likelihood`` is the sum of the logarithms
+    of the words' chances.  A word that is not one of the ``KNOWN`` has the
+    predicted chance of its class times its own share of the class in all texts
+    (see ``_inner``), so all words of the corpus have a chance of their own.
 
     A null, empty or blank text has no tokens, sum 0 and no mean.  Every row
     gives one row, repeated and null ids too; an empty table gives none.  Other
     columns are not read.
     """
-    words = vocabulary(documents, text_column)
-    rows = stored(token_rows(documents, words, id_column, text_column), "tokens")
-    return scored(rows, fitted(rows, words)).withColumnRenamed("id", id_column)
+    counts = stored(word_counts(documents, text_column), "words")
+    words = _chosen(counts)
+    tokens = token_rows(documents, words, id_column, text_column)
+    rows = stored(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
+    inner = stored(_inner(rows, counts, words), "inner")
+    sums = _summed(rows, fitted(rows, words), ("row", "id"))
+    whole = F.col("sum") + F.coalesce(F.col("inner"), F.lit(0)) / _UNIT
+    result = _finished(sums.join(inner, "row", "left").withColumn("sum", whole))
+    return result.withColumnRenamed("id", id_column)

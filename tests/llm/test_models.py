@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import language, masked, quality, queries, secrets
+from millrace.llm import words as W
 
 
 def test_language_held_out(spark, tables):
@@ -101,6 +105,28 @@ def test_training_predicts_every_place_once(spark):
     assert min(seen) > 0 and sum(seen) == 40 * 301
 
 
+def test_words_of_a_class_have_their_own_chances(spark):
+    draw = random.Random(6)
+    common = [f"c{i}" for i in range(masked.KNOWN)]
+    texts = [" ".join(common * 40)]
+    texts += [" ".join(f"r{min(draw.randrange(3000), draw.randrange(3000))}" for _ in range(200)) for _ in range(20)]
+    texts += ["r1 c5 R1 made-up-word", None, "c1 c2"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    words = masked.vocabulary(rows)
+    tokens = masked.token_rows(rows, words)
+    base = {r.id: r.log_likelihood for r in masked.scored(tokens, masked.fitted(tokens, words)).collect()}
+    lists = [text.lower().split() if text else [] for text in texts]
+    n = Counter(word for own in lists for word in own)
+    kinds = {w: int(W.word_hashes(*W.text_bytes(pa.array([w])))[0][0] >> np.uint64(32)) % masked.RARE for w in n}
+    size = Counter()
+    for word in n:
+        size[kinds[word]] += n[word] * (word not in common)
+    for row in masked.pseudo_likelihood(rows).collect():
+        own = [word for word in lists[row.doc_id] if word not in common]
+        inner = sum(math.log(n[word] / size[kinds[word]]) for word in own)
+        assert abs(row.log_likelihood - base[row.doc_id] - inner) < 0.002 + 1e-5 * abs(base[row.doc_id])
+
+
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     re.I | re.A,
