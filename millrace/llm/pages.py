@@ -29,7 +29,8 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter "
     "output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
-#: Words in a class, id or role that name something beside the article.
+#: Classes, ids and roles that name something beside the article, alone or after
+#: and before some words of place.
 _NAMES = frozenset(
     "ad ads adslot advert adverts advertisement advertisements alert banner breadcrumb breadcrumbs "
     "comment comments commentlist consent cookie cookies copyright disclaimer discussion disqus "
@@ -39,6 +40,12 @@ _NAMES = frozenset(
     "toolbar widget widgets".split()
 )
 
+_BEFORE = frozenset("article bottom entry global left main page post primary right secondary site top".split())
+_AFTER = frozenset(
+    "area bar block box container form inner item items left link links list right section slot unit "
+    "wrap wrapper".split()
+)
+
 #: Words of which a class, id or role that names the article is made, and those
 #: of which it has one at least.
 _ABOUT = frozenset("article content post entry story main body text page blog news single".split())
@@ -52,33 +59,51 @@ _TOKEN = re.compile(
     r"(?P<rest>(?:\"[^\"<]*\"|'[^'<]*'|[^'\">])*+|[^>]*)(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
-_LABEL = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
 _PART = re.compile(r"[^A-Za-z]+")
 
 
-def _beside(name: str, rest: str) -> bool:
-    """Whether an element's name or labels put it beside the article."""
-    if name in _BESIDE:
-        return True
-    if not rest or name in ("html", "body", "main"):
-        return False
-    for found in _LABEL.findall(rest):
-        if any(part.lower() in _NAMES for part in _PART.split("".join(found))):
-            return True
-    return bool(_HIDDEN.search(rest))
+def _attributes(rest: str) -> dict[str, str]:
+    found = _ATTRIBUTE.findall(rest) if rest else ()
+    return {name.lower(): a or b or c for name, a, b, c in reversed(found)}
+
+
+def _labels(attributes: dict[str, str]) -> list[str]:
+    return [
+        label
+        for key in ("class", "id", "role")
+        for label in attributes.get(key, "").lower().split()
+    ]
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    return (
+        "hidden" in attributes
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or bool(_NONE.search(attributes.get("style", "")))
+    )
 
 
-def _rank(name: str, rest: str) -> int:
+def _names_beside(label: str) -> bool:
+    """Whether a whole label names something beside the article."""
+    parts = [part for part in _PART.split(label) if part]
+    while parts and parts[0] in _BEFORE:
+        del parts[0]
+    while len(parts) > 1 and parts[-1] in _AFTER:
+        del parts[-1]
+    return bool(parts) and all(part in _NAMES for part in parts)
+
+
+def _rank(name: str, labels: list[str]) -> int:
     """How surely an element is the article: 3 and 2 by its name, 1 by its labels, else 0."""
     if name in ("article", "main"):
         return 3 if name == "article" else 2
-    if rest and name in ("div", "section", "td"):
-        for found in _LABEL.findall(rest):
-            for label in "".join(found).lower().split():
-                parts = set(_PART.split(label)) - {""}
-                if parts and parts <= _ABOUT and parts & _ARTICLE:
-                    return 1
+    if name in ("div", "section", "td"):
+        for label in labels:
+            parts = set(_PART.split(label)) - {""}
+            if parts and parts <= _ABOUT and parts & _ARTICLE:
+                return 1
     return 0
 
 
@@ -90,7 +115,9 @@ class _Lines:
         self.regions: list[int] = []  # number of the innermost region it is in, 0 for none
         self.around = [0]  # for each region the one around it
         self.ranks = [0]
+        self.doubtful = [False]  # whether a region is, or stands in, what a label puts beside
         self.counted: list[int] = []  # characters outside of links; 0 beside the article
+        self.beside: list[int | None] = []  # region around the innermost element beside by label
         self._parts: list[str] = []
         self._linked = 0
 
@@ -99,7 +126,7 @@ class _Lines:
         if linked:
             self._linked += len(text)
 
-    def close(self, region: int, beside: bool) -> None:
+    def close(self, region: int, beside: bool, label: int | None) -> None:
         if self._parts:
             text = " ".join(html.unescape("".join(self._parts)).split())
             if text:
@@ -107,6 +134,7 @@ class _Lines:
                 self.regions.append(region)
                 alone = 0 if region else min(self._linked, len(text))
                 self.counted.append(0 if beside else len(text) - alone)
+                self.beside.append(label)
             self._parts = []
         self._linked = 0
 
@@ -114,8 +142,9 @@ class _Lines:
 def _lines(page: str) -> _Lines:
     """Take the markup away; every element that is not inside a line ends the line."""
     lines = _Lines()
-    stack: list[tuple[str, bool, int]] = []  # name, beside the article, article's number
-    beside, region, links = 0, 0, 0
+    # Names of open elements, each with what held around it.
+    stack: list[tuple[str, bool, int | None, int]] = []
+    beside, label, region, links = False, None, 0, 0
     at = 0
     for token in _TOKEN.finditer(page):
         if token.start() > at:
@@ -130,39 +159,40 @@ def _lines(page: str) -> _Lines:
                 lines.add(" ", False)
             elif name == "a":
                 links = 0 if token["end"] else 1
-            elif not token["end"] and name != "img" and _HIDDEN.search(token["rest"]):
-                pass
             continue
-        lines.close(region, beside > 0)
+        lines.close(region, beside, label)
         links = 0
         if name in _VOID:
             continue
         if token["end"]:
             depth = next((i for i in reversed(range(len(stack))) if stack[i][0] == name), None)
             if depth is not None:
-                for _, own, before in reversed(stack[depth:]):
-                    beside -= own
-                    region = before
+                _, beside, label, region = stack[depth]
                 del stack[depth:]
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack:
             if stack[-1][0] == name:  # these end where the next one begins
-                _, own, before = stack.pop()
-                beside -= own
-                region = before
-        own = _beside(name, token["rest"])
+                _, beside, label, region = stack.pop()
+        stack.append((name, beside, label, region))
+        attributes = _attributes(token["rest"])
+        labels = _labels(attributes)
+        within = label
+        if name not in ("html", "body", "main"):
+            beside = beside or name in _BESIDE or _hidden(attributes)
+            if any(map(_names_beside, labels)):
+                within = region
         if name == "header" and lines.ranks[region] < 2:
-            own = True
-        stack.append((name, own, region))
-        beside += own
-        rank = 0 if beside else _rank(name, token["rest"])
+            beside = True
+        rank = 0 if beside else _rank(name, labels)
         if rank > lines.ranks[region]:
             lines.around.append(region)
             lines.ranks.append(rank)
+            lines.doubtful.append(lines.doubtful[region] or within is not None)
             region = len(lines.ranks) - 1
+        label = within
     if at < len(page):
         lines.add(page[at:], links > 0)
-    lines.close(region, beside > 0)
+    lines.close(region, beside, label)
     return lines
 
 
@@ -185,13 +215,37 @@ def _runs(counted: np.ndarray, surge: int) -> np.ndarray:
     return inside & (counted > 0)
 
 
-def _article(lines: _Lines, counted: np.ndarray) -> int:
-    """The surest region that has a good part of the text of the largest, 0 for none."""
-    sizes = np.bincount(lines.regions, weights=counted, minlength=len(lines.ranks))
-    for region in range(len(sizes) - 1, 0, -1):  # inner regions come after outer ones
-        if lines.around[region]:
-            sizes[lines.around[region]] += sizes[region]
-    sizes[0] = 0
+def _within(lines: _Lines, counted: np.ndarray) -> list[set[int]]:
+    """The regions that each line counts for: those around it, out to what a label puts beside."""
+    out = []
+    for at, label, n in zip(lines.regions, lines.beside, counted.tolist(), strict=True):
+        own = set()
+        while n and at and at != label:
+            own.add(at)
+            at = lines.around[at]
+        out.append(own)
+    return out
+
+
+def _article(lines: _Lines, counted: np.ndarray, within: list[set[int]]) -> int:
+    """The surest region that has a good part of the text of the largest, 0 for none.
+
+    What a label puts beside the article is not the article, unless no other
+    region as sure has text and this one has more than any: then the label is
+    on the article or on what holds it.
+    """
+    sizes = np.zeros(len(lines.ranks))
+    for own, n in zip(within, counted.tolist(), strict=True):
+        for region in own:
+            sizes[region] += n
+    doubtful = np.array(lines.doubtful)
+    ranks = np.array(lines.ranks)
+    clean = np.where(doubtful, 0, sizes)
+    surest = ranks[clean > 0].max(initial=0)
+    if ((ranks > surest) & (sizes > clean.max())).any():
+        sizes[(ranks <= surest) | (sizes <= clean.max())] = 0
+    else:
+        sizes = clean
     large = np.flatnonzero((sizes > 0) & (sizes >= PART * sizes.max()))
     return max(large, key=lambda region: (lines.ranks[region], sizes[region], -region), default=0)
 
@@ -205,14 +259,13 @@ def main_text(page: str | None) -> str:
     if not len(counted):
         return ""
     surge = SURGE
-    if region := _article(lines, counted):
-        inside = []
-        for at in lines.regions:
-            while at and at != region:
-                at = lines.around[at]
-            inside.append(at == region)
-        counted[~np.array(inside)] = 0
+    within = _within(lines, counted)
+    if region := _article(lines, counted, within):
+        counted[[region not in own for own in within]] = 0
         surge = 1
+    else:
+        plain = np.where([label is None for label in lines.beside], counted, 0)
+        counted = plain if plain.any() else counted  # else a label is on all of the page
     inside = _runs(counted, surge)
     return "\n".join(text for text, keep in zip(lines.texts, inside, strict=True) if keep)
 
@@ -226,8 +279,9 @@ def extracted(
     """For each row its id, url, ``text string`` and ``n_chars bigint`` (code points).
 
     Markup, scripts, styles and comments are taken away first.  What stands in
-    an element beside the article, by its name or by the words of its class, id
-    or role, counts no characters.  The rest is judged by the sums of text
+    an element beside the article, by its name, by a whole class, id or role or
+    as it is hidden, counts no characters; a label on the article itself, or on
+    what holds it, puts nothing beside.  The rest is judged by the sums of text
     lengths over sliding windows of lines: text between a surge and the next
     dive is kept.  Where the page marks articles, by name or by label, only
     lines of the surest and largest one count and any text is a surge; elsewhere

@@ -163,6 +163,23 @@ def test_main_text(page, wanted):
     assert pages.main_text(page) == wanted
 
 
+@pytest.mark.parametrize(
+    ("page", "wanted"),
+    [
+        (f"<article class='post comments-open'>{ARTICLE}</article>", WANTED),
+        (f"<div class='layout has-sidebar'><article>{ARTICLE}</article></div>", WANTED),
+        (f"<div id='page' class='sticky-menu'><article>{ARTICLE}</article></div>", WANTED),
+        (f"<article class='overflow-hidden' aria-hidden='false'>{ARTICLE}</article>", WANTED),
+        (f"<div class=widget><article class='x social'>{ARTICLE}</article></div>", WANTED),
+        (f"<article>{ARTICLE}<div hidden>no</div><div style='display: none'>no</div></article>", WANTED),
+        (f"<article>{ARTICLE}<p aria-hidden=true>no<div class='post-comments'>no</div></article>", WANTED),
+        (f"<article>{ARTICLE}</article><div class=comments><article>{'no ' * 99}</article></div>", WANTED),
+    ],
+)
+def test_labels_beside_the_article(page, wanted):
+    assert pages.main_text(page) == wanted
+
+
 def test_lines_without_an_article():
     links = "".join(f"<li><a href={i}>link {i}</a></li>" for i in range(9))
     body = "".join(f"<p>{'Prose goes on and on. ' * 5}{i}</p>" for i in range(4))
