@@ -18,8 +18,19 @@ WINDOW, SURGE = 3, 80
 #: Share of the largest region's text that a surer one must have to be the article.
 PART = 0.25
 
-#: Fixed values of HTML: elements whose content is no text of the page.
-_RAW = "script style noscript template svg math iframe object head title select textarea button"
+#: Fixed values of HTML: elements whose content is no markup and no text of the
+#: page, up to their end; the first two have what the page's end leaves of them.
+_RAW = frozenset("script style noscript template iframe title textarea".split())
+_CODE = frozenset(["script", "style"])
+#: Elements with markup that is no text of the page, and those that end most of
+#: them where their own end is missing.
+_SILENT = frozenset("head svg math object select button".split())
+_BLOCKS = frozenset(
+    "address article aside blockquote body dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header "
+    "hr main nav ol p pre section table ul".split()
+)
+#: Elements that may stand in the head.
+_IN_HEAD = frozenset("base basefont bgsound link meta".split()) | _RAW - {"iframe", "textarea"}
 #: Elements beside the article.
 _BESIDE = frozenset("nav footer aside form menu dialog".split())
 #: Elements without an end.
@@ -54,11 +65,13 @@ _ARTICLE = frozenset("article content post entry story main".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<raw>{'|'.join(_RAW.split())})(?=[\s/>])[^>]*(?:>|\Z).*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)"
     r"(?P<rest>(?:\"[^\"<]*\"|'[^'<]*'|[^'\">])*+|[^>]*)(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
+_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in _RAW | _SILENT}
+#: The end of a tag that closes itself, not of an attribute's value.
+_CLOSED = re.compile(r"""(?:^|[\s"'])/\s*$|^[^=]*/\s*$""")
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NONE = re.compile(r"display\s*:\s*none", re.I)
 _PART = re.compile(r"[^A-Za-z]+")
@@ -140,40 +153,96 @@ class _Lines:
 
 
 def _lines(page: str) -> _Lines:
-    """Take the markup away; every element that is not inside a line ends the line."""
+    """Take the markup away; every element that is not inside a line ends the line.
+
+    A raw element without its end is a tag alone, and so is one that closes
+    itself; a script or style that the page cuts off ends there.
+    """
     lines = _Lines()
     # Names of open elements, each with what held around it.
-    stack: list[tuple[str, bool, int | None, int]] = []
+    stack: list[tuple[str, bool, int | None, int, str]] = []
     beside, label, region, links = False, None, 0, 0
+    silent = ""  # name of the innermost open element without text of the page
+    ends_at: dict[str, re.Match | None] = {}  # next ends of raw and silent elements
+
+    def ending(name: str, at: int) -> re.Match | None:
+        found = ends_at.get(name)
+        if name not in ends_at or found and found.start() < at:
+            found = ends_at[name] = _END[name].search(page, at)
+        return found
+
     at = 0
-    for token in _TOKEN.finditer(page):
+    while token := _TOKEN.search(page, at):
         if token.start() > at:
-            lines.add(page[at : token.start()], links > 0)
+            text = page[at : token.start()]
+            if silent == "head" and not text.isspace():  # text of the page ends the head
+                beside, label, region, silent = stack[-1][1:]
+                del stack[-1]
+            if not silent:
+                lines.add(text, links > 0)
         at = token.end()
         name = token["name"]
         if not name:
             continue
         name = name.lower()
+        if not token["end"]:
+            if name in _RAW or name in _SILENT:
+                if _CLOSED.search(token["rest"]) and name not in ("head", "style"):
+                    continue
+            if name in _RAW:
+                if found := ending(name, at):
+                    at = found.end()
+                elif name in _CODE:
+                    at = len(page)
+                continue
+            if silent == "head":
+                ends = name not in _IN_HEAD
+            elif silent in ("svg", "math"):
+                ends = name in _BLOCKS or name == "div"
+                ends = ends and all(entry[0] != "foreignobject" for entry in stack)
+            else:
+                ends = silent in ("button", "select") and (name in _BLOCKS or name == silent)
+            if ends:
+                depth = next(i for i in reversed(range(len(stack))) if stack[i][0] == silent)
+                _, beside, label, region, silent = stack[depth]
+                del stack[depth:]
+            if name in _SILENT and (name == "head" or ending(name, at)):
+                stack.append((name, beside, label, region, silent))
+                silent = name
+                continue
+            if name in _SILENT:
+                continue
+        if silent and not token["end"]:
+            if name not in _VOID and name not in _INLINE and not _CLOSED.search(token["rest"]):
+                stack.append((name, beside, label, region, silent))
+            continue
         if name in _INLINE:
             if name == "br":
                 lines.add(" ", False)
             elif name == "a":
                 links = 0 if token["end"] else 1
             continue
+        depth = None
+        if token["end"]:
+            depth = next((i for i in reversed(range(len(stack))) if stack[i][0] == name), None)
+        if name in _SILENT or silent and (depth is None or stack[depth][4]):
+            if depth is not None:
+                _, beside, label, region, silent = stack[depth]
+                del stack[depth:]
+            continue
         lines.close(region, beside, label)
         links = 0
         if name in _VOID:
             continue
         if token["end"]:
-            depth = next((i for i in reversed(range(len(stack))) if stack[i][0] == name), None)
             if depth is not None:
-                _, beside, label, region = stack[depth]
+                _, beside, label, region, silent = stack[depth]
                 del stack[depth:]
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack:
             if stack[-1][0] == name:  # these end where the next one begins
-                _, beside, label, region = stack.pop()
-        stack.append((name, beside, label, region))
+                _, beside, label, region, silent = stack.pop()
+        stack.append((name, beside, label, region, silent))
         attributes = _attributes(token["rest"])
         labels = _labels(attributes)
         within = label
@@ -190,7 +259,7 @@ def _lines(page: str) -> _Lines:
             lines.doubtful.append(lines.doubtful[region] or within is not None)
             region = len(lines.ranks) - 1
         label = within
-    if at < len(page):
+    if at < len(page) and not silent:
         lines.add(page[at:], links > 0)
     lines.close(region, beside, label)
     return lines
@@ -289,7 +358,8 @@ def extracted(
 
     Character references are decoded, white space inside a block is one space,
     blocks are joined by line ends.  A null, empty or textless page has the
-    empty text.  A tag or comment cut off by the end of the page ends there.
+    empty text.  A tag or comment cut off by the end of the page ends there; an
+    element without its own end takes no text after it away.
     Every row gives one row, repeated and null ids too; an empty table gives
     none.  Other columns are not read.  Pages are taken apart where they are
     read, nothing is shuffled.

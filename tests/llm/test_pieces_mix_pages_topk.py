@@ -180,6 +180,25 @@ def test_labels_beside_the_article(page, wanted):
     assert pages.main_text(page) == wanted
 
 
+@pytest.mark.parametrize(
+    ("page", "wanted"),
+    [
+        (f"<html><head><title>t</title><meta x><body><article>{ARTICLE}</article>", WANTED),
+        (f"<head><style>p{{}}</style><link><article>{ARTICLE}</article>", WANTED),
+        (f"<svg width='1'/><iframe src='x'/><article>{ARTICLE}</article>", WANTED),
+        (f"<article><iframe src=x>{ARTICLE}</article>", WANTED),
+        (f"<article><button>no{ARTICLE}</article><button>no</button>", WANTED),
+        (f"<article><select><option>no<option>no{ARTICLE}</article>", f"no\nno\n{WANTED}"),
+        (f"<article><object data=x>{ARTICLE}</article>", WANTED),
+        (f"<article><svg><g><text>no</text></g></svg>{ARTICLE}<math><mi>no</mi></math></article>", WANTED),
+        (f"<article>{ARTICLE}<p>a <button><b>no</b></button> b</p><script>no", f"{WANTED}\na b"),
+        (f"<article>{ARTICLE}<select><option>no</select><object><p>no</p></object></article>", WANTED),
+    ],
+)
+def test_elements_without_an_end(page, wanted):
+    assert pages.main_text(page) == wanted
+
+
 def test_lines_without_an_article():
     links = "".join(f"<li><a href={i}>link {i}</a></li>" for i in range(9))
     body = "".join(f"<p>{'Prose goes on and on. ' * 5}{i}</p>" for i in range(4))
