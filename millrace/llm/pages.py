@@ -15,6 +15,8 @@ from . import words as W
 #: Lines of a window, and characters in a window at which text sets in on a
 #: page that marks no article.
 WINDOW, SURGE = 3, 80
+#: Lines without text that may stand before a paragraph or heading that goes on.
+GAP = 2 * WINDOW
 #: Share of the largest region's text that a surer one must have to be the article.
 PART = 0.25
 
@@ -62,6 +64,9 @@ _AFTER = frozenset(
 _ABOUT = frozenset("article content post entry story main body text page blog news single".split())
 _ARTICLE = frozenset("article content post entry story main".split())
 
+#: Elements whose line goes on with the text before a few lines without text.
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
@@ -127,6 +132,10 @@ class _Lines:
         self.texts: list[str] = []
         self.regions: list[int] = []  # number of the innermost region it is in, 0 for none
         self.around = [0]  # for each region the one around it
+        self.homes: list[tuple[int, tuple[str, ...]]] = [(0, ())]  # number of its parent, labels
+        self.linked: list[int] = []  # characters in links
+        self.prose: list[bool] = []  # whether the innermost element is a paragraph or heading
+        self.marked = False  # whether there is any element but those inside a line
         self.ranks = [0]
         self.doubtful = [False]  # whether a region is, or stands in, what a label puts beside
         self.counted: list[int] = []  # characters outside of links; 0 beside the article
@@ -139,7 +148,7 @@ class _Lines:
         if linked:
             self._linked += len(text)
 
-    def close(self, region: int, beside: bool, label: int | None) -> None:
+    def close(self, region: int, beside: bool, label: int | None, prose: bool) -> None:
         if self._parts:
             text = " ".join(html.unescape("".join(self._parts)).split())
             if text:
@@ -148,6 +157,8 @@ class _Lines:
                 alone = 0 if region else min(self._linked, len(text))
                 self.counted.append(0 if beside else len(text) - alone)
                 self.beside.append(label)
+                self.linked.append(min(self._linked, len(text)))
+                self.prose.append(prose)
             self._parts = []
         self._linked = 0
 
@@ -162,6 +173,7 @@ def _lines(page: str) -> _Lines:
     # Names of open elements, each with what held around it.
     stack: list[tuple[str, bool, int | None, int, str]] = []
     beside, label, region, links = False, None, 0, 0
+    parents = [0]  # where the elements around and the innermost one begin
     silent = ""  # name of the innermost open element without text of the page
     ends_at: dict[str, re.Match | None] = {}  # next ends of raw and silent elements
 
@@ -230,8 +242,9 @@ def _lines(page: str) -> _Lines:
                 _, beside, label, region, silent = stack[depth]
                 del stack[depth:]
             continue
-        lines.close(region, beside, label)
+        lines.close(region, beside, label, bool(stack) and stack[-1][0] in _PROSE)
         links = 0
+        lines.marked = True
         if name in _VOID:
             continue
         if token["end"]:
@@ -243,6 +256,8 @@ def _lines(page: str) -> _Lines:
             if stack[-1][0] == name:  # these end where the next one begins
                 _, beside, label, region, silent = stack.pop()
         stack.append((name, beside, label, region, silent))
+        del parents[len(stack) :]
+        parents += [token.start()] * (len(stack) + 1 - len(parents))
         attributes = _attributes(token["rest"])
         labels = _labels(attributes)
         within = label
@@ -256,12 +271,13 @@ def _lines(page: str) -> _Lines:
         if rank > lines.ranks[region]:
             lines.around.append(region)
             lines.ranks.append(rank)
+            lines.homes.append((parents[len(stack) - 1], tuple(labels)))
             lines.doubtful.append(lines.doubtful[region] or within is not None)
             region = len(lines.ranks) - 1
         label = within
     if at < len(page) and not silent:
         lines.add(page[at:], links > 0)
-    lines.close(region, beside, label)
+    lines.close(region, beside, label, bool(stack) and stack[-1][0] in _PROSE)
     return lines
 
 
@@ -319,6 +335,61 @@ def _article(lines: _Lines, counted: np.ndarray, within: list[set[int]]) -> int:
     return max(large, key=lambda region: (lines.ranks[region], sizes[region], -region), default=0)
 
 
+def _parts(lines: _Lines, counted: np.ndarray, within: list[set[int]], region: int) -> set[int]:
+    """The article's region and those beside it, under one parent, that go on with it.
+
+    A region of the same rank is a teaser where half of its text stands in
+    links, and where it is small beside the article and has links or other labels.
+    """
+    sizes, linked = np.zeros(len(lines.ranks)), np.zeros(len(lines.ranks))
+    for own, n, link in zip(within, counted.tolist(), lines.linked, strict=True):
+        for at in own:
+            sizes[at] += n
+            linked[at] += link
+    (home, labels), rank = lines.homes[region], lines.ranks[region]
+    parts = {region}
+    for at in range(1, len(sizes)):
+        same = (lines.homes[at][0], lines.ranks[at], lines.around[at], lines.doubtful[at])
+        if same == (home, rank, lines.around[region], lines.doubtful[region]) and sizes[at]:
+            large = sizes[at] >= PART * sizes[region]
+            if 2 * linked[at] < sizes[at] and (
+                large or lines.homes[at][1] == labels and not linked[at]
+            ):
+                parts.add(at)
+    return parts
+
+
+def _extended(inside: np.ndarray, counted: np.ndarray, prose: list[bool]) -> np.ndarray:
+    """Runs with the lines of text next to them, and on to prose after up to ``GAP`` others."""
+    out = inside.copy()
+    text = counted > 0
+    n = len(out)
+    for step in (1, -1):
+        apart = GAP + 1  # lines since the last one that is kept
+        for i in range(n) if step > 0 else reversed(range(n)):
+            if out[i]:
+                apart = 0
+            elif text[i] and (apart == 0 or step > 0 and apart <= GAP and prose[i]):
+                out[i] = True
+                apart = 0
+            else:
+                apart += 1
+    return out
+
+
+def _largest(counted: np.ndarray) -> np.ndarray:
+    """The lines of the run of text, ended by a window without any, that has most of it."""
+    runs = _runs(counted, 1)
+    places = np.flatnonzero(runs)
+    if not len(places):
+        return runs
+    number = np.concatenate(([0], np.cumsum(np.diff(places) > WINDOW)))
+    best = np.bincount(number, weights=counted[places]).argmax()
+    out = np.zeros(len(counted), dtype=bool)
+    out[places[number == best]] = True
+    return out
+
+
 def main_text(page: str | None) -> str:
     """The article of one page, a line for each block; empty if there is none."""
     if not page:
@@ -327,15 +398,18 @@ def main_text(page: str | None) -> str:
     counted = np.array(lines.counted, dtype=np.int64)
     if not len(counted):
         return ""
-    surge = SURGE
     within = _within(lines, counted)
     if region := _article(lines, counted, within):
-        counted[[region not in own for own in within]] = 0
-        surge = 1
+        parts = _parts(lines, counted, within, region)
+        counted[[not (parts & own) for own in within]] = 0
+        inside = counted > 0
     else:
         plain = np.where([label is None for label in lines.beside], counted, 0)
         counted = plain if plain.any() else counted  # else a label is on all of the page
-    inside = _runs(counted, surge)
+        inside = _runs(counted, SURGE)
+        if not inside.any() and lines.marked:
+            inside = _largest(counted)
+        inside = _extended(inside, counted, lines.prose)
     return "\n".join(text for text, keep in zip(lines.texts, inside, strict=True) if keep)
 
 
@@ -352,9 +426,11 @@ def extracted(
     as it is hidden, counts no characters; a label on the article itself, or on
     what holds it, puts nothing beside.  The rest is judged by the sums of text
     lengths over sliding windows of lines: text between a surge and the next
-    dive is kept.  Where the page marks articles, by name or by label, only
-    lines of the surest and largest one count and any text is a surge; elsewhere
-    a surge is ``SURGE`` characters.
+    dive is kept, with the lines of text next to it and paragraphs a few other
+    lines further on; where there is no surge of ``SURGE`` characters, the
+    largest run of text is.  Where the page marks articles, by name or by label,
+    all text of the surest and largest one is kept, and of the regions of its
+    kind under the same parent that are no teasers.
 
     Character references are decoded, white space inside a block is one space,
     blocks are joined by line ends.  A null, empty or textless page has the

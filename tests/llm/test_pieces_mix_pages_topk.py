@@ -199,6 +199,27 @@ def test_elements_without_an_end(page, wanted):
     assert pages.main_text(page) == wanted
 
 
+LONG = "Prose goes on and on. " * 5
+LINKS = "".join(f"<p><a href={i}>link {i}</a></p>" for i in range(4))
+
+
+@pytest.mark.parametrize(
+    ("page", "wanted"),
+    [
+        (f"<article>{ARTICLE}</article><div class=ad>no</div><article><p>end</article>", f"{WANTED}\nend"),
+        (f"<td><div class='article-body'>{ARTICLE}</div><p>no</p><div class='article-body'>{ARTICLE}</div>",
+         f"{WANTED}\n{WANTED}"),
+        (f"<article>{ARTICLE}</article><article><a href=x>no, only a long teaser of it</a></article>", WANTED),
+        (f"<article>{ARTICLE}</article><div><article><p>elsewhere, not the article</article></div>", WANTED),
+        ("<body><p>A short article.</p></body>", "A short article."),
+        (f"<body>{LINKS}<h1>Head</h1><p>by A. B.</p><p>1 May</p><p>Intro</p><p>{LONG}</p>{LINKS}<p>End.</p>",
+         f"Head\nby A. B.\n1 May\nIntro\n{LONG.strip()}\nEnd."),
+    ],
+)
+def test_all_parts_of_the_article(page, wanted):
+    assert pages.main_text(page) == wanted
+
+
 def test_lines_without_an_article():
     links = "".join(f"<li><a href={i}>link {i}</a></li>" for i in range(9))
     body = "".join(f"<p>{'Prose goes on and on. ' * 5}{i}</p>" for i in range(4))
