@@ -43,6 +43,14 @@ def exact_groups(
     its name, computed in the second scan.
     """
     carried = carried or {}
+    found = _grouped(documents, id_column, text_column, carried)
+    return found.select(id_column, "keep_id", "group_size", "kept", *carried)
+
+
+def _grouped(
+    documents: DataFrame, id_column: str, text_column: str, carried: dict[str, Column]
+) -> DataFrame:
+    """The same with the text's hash as ``_same``, null where no other text can be equal."""
     text = normalised(F.col(text_column))
     sized = documents.select(
         F.col(id_column).alias("id"),
@@ -92,6 +100,7 @@ def exact_groups(
         "keep_id",
         "group_size",
         F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        F.col("full").alias("_same"),
         *(F.col(f"carried_{name}").alias(name) for name in carried),
     )
 
@@ -102,20 +111,21 @@ def exact_dedup(
     """The rows that stay, with all their columns (see ``exact_groups``).
 
     Of rows that repeat an id with the same text one stays, of any of them.
-    Rows without an id stay: nothing can name them.  Only rows with an id that
-    goes or repeats are shuffled.
+    A row goes by its id and the hash of its text, so that another text under
+    the same id stays.  Rows without an id stay: nothing can name them.  Only
+    rows with an id that goes or repeats are shuffled.
     """
-    found = stored(exact_groups(documents, id_column, text_column), "exact")
+    found = stored(_grouped(documents, id_column, text_column, {}), "exact")
     named = found.filter(F.col(id_column).isNotNull())
-    gone = stored(named.filter("NOT kept").select(id_column).distinct(), "gone")
+    gone = stored(named.filter("NOT kept").select(id_column, "_same").distinct(), "gone")
     twice = named.filter("kept").groupBy(id_column).agg(F.count("*").alias("n")).filter("n > 1")
-    bits = stored(bit_table(gone.unionByName(twice.select(id_column))), "bits")
+    bits = stored(bit_table(gone.select(id_column).unionByName(twice.select(id_column))), "bits")
     split = marked(documents, bits, [id_column], "_bit_hit")
     unsure = split.filter("_bit_hit").filter(F.col(id_column).isNotNull())
     same = F.sha2(normalised(F.col(text_column)), 256)
     once = (
-        unsure.join(gone, id_column, "left_anti")
-        .withColumn("_same", same)
+        unsure.withColumn("_same", same)
+        .join(gone, [id_column, "_same"], "left_anti")
         .dropDuplicates([id_column, "_same"])
     )
     sure = split.filter(~F.col("_bit_hit") | F.col(id_column).isNull())

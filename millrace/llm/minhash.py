@@ -8,10 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..storage import stored
 from . import words as W
-from .bits import bit_table, marked, without
+from .bits import bit_table, marked
 from .components import components
 
 #: Rows of a band and number of bands.  Two sets of similarity 0.8 miss every
@@ -373,6 +374,14 @@ def near_copies(
     Repeated rows of one id count as copies.  An empty table gives no rows.
     Other columns are not read.
     """
+    found = _verdicts(documents, id_column, text_column, words, percent)
+    return found.drop("f1", "f2")
+
+
+def _verdicts(
+    documents: DataFrame, id_column: str, text_column: str, words: int, percent: int
+) -> DataFrame:
+    """The same with the print ``f1, f2`` of each row's set."""
     smallest = -(-percent // max(1, 100 - percent))
     texts = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     marks = stored(sketches(texts, words, smallest), "sketches")
@@ -391,16 +400,38 @@ def near_copies(
         "named",
     )
     copies = marks.filter(f"NOT ({alone})").select("id", "n", "f1", "f2")
-    joined = copies.join(named, ["n", "f1", "f2"]).select("id", "n", "component_id")
-    single = marks.filter(alone).select("id", "n", F.col("id").alias("component_id"))
+    joined = copies.join(named, ["n", "f1", "f2"]).select("id", "n", "f1", "f2", "component_id")
+    single = marks.filter(alone).select("id", "n", "f1", "f2", F.col("id").alias("component_id"))
     return joined.unionByName(single).select(
         F.col("id").alias(id_column),
         F.col("n").alias("n_shingles"),
         "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "f1",
+        "f2",
     )
 
 
+def _printed(rows: DataFrame, words: int) -> DataFrame:
+    """The rows with ``_n, _f1, _f2`` of the set of their last column, a text, in its place."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin, end in W.ranges(whole.column(whole.num_columns - 1)):
+                batch = whole.slice(begin, end - begin)
+                sets, sizes = _sets(batch.columns[-1], words)
+                prints = [pa.array(_sums(W.mixed(sets, salt), sizes)) for salt in (1, 2)]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:-1], pa.array(sizes), *prints], names=names
+                )
+
+    schema = T.StructType(rows.schema.fields[:-1])
+    for name in ("_n", "_f1", "_f2"):
+        schema = schema.add(name, T.LongType())
+    names = schema.names
+    return W.small_batches(rows).mapInArrow(add, schema)
+
+
 def near_dedup(
     documents: DataFrame,
     id_column: str = "doc_id",
@@ -410,8 +441,26 @@ def near_dedup(
 ) -> DataFrame:
     """The rows that stay, one document of each component, with all their columns.
 
-    See ``near_copies``; only rows with an id that goes are shuffled.
+    See ``near_copies``; only rows with an id that goes are shuffled.  Where an
+    id has several texts of which some go, a row goes by the print of its set.
     """
-    found = near_copies(documents, id_column, text_column, words, percent)
-    gone = stored(found.filter("NOT kept").select(id_column), "gone")
-    return without(documents, gone, id_column)
+    found = _verdicts(documents, id_column, text_column, words, percent)
+    named = found.withColumnsRenamed({"n_shingles": "_n", "f1": "_f1", "f2": "_f2"})
+    keys = [id_column, "_n", "_f1", "_f2"]
+    named = stored(named.filter(F.col(id_column).isNotNull()).select(*keys, "kept"), "verdicts")
+    gone = named.filter("NOT kept").select(keys)
+    both = (
+        named.groupBy(id_column)
+        .agg(F.bool_and("kept").alias("all"), F.bool_or("kept").alias("some"))
+        .filter("NOT all")
+    )
+    both = stored(both, "gone")
+    some = both.filter("some").select(id_column)
+    split = marked(documents, stored(bit_table(both.select(id_column)), "bits"), [id_column], "_hit")
+    split = marked(split, stored(bit_table(some), "bits"), [id_column], "_some")
+    left = split.filter("_hit").join(both.filter("NOT some"), id_column, "left_anti")
+    text = F.when(F.col("_some"), F.col(text_column)).alias("_text")
+    unsure = _printed(left.select(*documents.columns, text), words)
+    part = gone.join(some, id_column, "left_semi").distinct()
+    kept = unsure.join(stored(part, "part"), keys, "left_anti").select(documents.columns)
+    return split.filter("NOT _hit").select(documents.columns).unionByName(kept)

@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import exact, minhash
 from millrace.llm import words as W
@@ -107,6 +108,15 @@ def test_exact_like_brute_force(spark):
     assert {r.doc_id for r in exact.exact_dedup(rows).collect()} == {g[0] for g in groups.values()}
 
 
+@pytest.mark.parametrize("dedup", [exact.exact_dedup, minhash.near_dedup])
+def test_other_texts_of_an_id_stay(spark, dedup):
+    a, b, c = ("".join(f"{letter}{i} " for i in range(40)) for letter in "abc")
+    data = [(1, a), (5, a), (5, b), (5, b), (7, c), (None, a), (8, c), (8, "")]
+    rows = spark.createDataFrame(data, "doc_id bigint, text string").withColumn("_n1", F.lit("x"))
+    got = {(r.doc_id, r.text) for r in dedup(rows).collect()}
+    assert got == {(1, a), (5, b), (7, c), (None, a), (8, "")}
+
+
 def test_hot_text_is_split(spark):
     """The join of copies with their groups is one that Spark can split."""
     rows = spark.range(3000).selectExpr("id AS doc_id", "'one text' AS text")
