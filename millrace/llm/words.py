@@ -136,6 +136,15 @@ def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return _places(_SPACE[data], offsets)
 
 
+def word_numbers(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> pa.DictionaryArray:
+    """The words themselves as they are written; equal words have one number."""
+    offsets = np.concatenate(([0], np.cumsum(stops - starts))).astype(np.int64)
+    plain = np.ascontiguousarray(data[~_SPACE[data]])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(plain)]
+    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), buffers)
+    return found.dictionary_encode()
+
+
 def _places(space: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     first, last = ~space, ~space
     first[1:] &= space[:-1]
