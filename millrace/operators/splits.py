@@ -97,13 +97,7 @@ def user_holdout(
     is one key range for each user, filed first, so that the join can split
     the rows of such a user.
     """
-    rank = F.row_number().over(Window.partitionBy(user).orderBy(key))
-    chosen = (
-        rows.select(user, key)
-        .withColumn("rank", rank)
-        .filter(F.col("rank") <= stop)
-        .filter(F.col("rank") >= start)
-    )
+    chosen = ranked_between(rows, start, stop, user, key)
     last = _last_test_key(chosen, key, max_test) if max_test > 0 else None
     ranges = stored(
         chosen.groupBy(user).agg(F.min(key).alias("_from"), F.max(key).alias("_to")), "ranges"
@@ -118,6 +112,17 @@ def user_holdout(
     )
 
 
+def ranked_between(rows: DataFrame, start: int, stop: int, user: str, key: str) -> DataFrame:
+    """``user, key, rank`` of the ratings ``start`` to ``stop`` of each user."""
+    rank = F.row_number().over(Window.partitionBy(user).orderBy(key))
+    return (
+        rows.select(user, key)
+        .withColumn("rank", rank)
+        .filter(F.col("rank") <= stop)
+        .filter(F.col("rank") >= start)
+    )
+
+
 def _last_test_key(chosen: DataFrame, key: str, max_test: int) -> int | None:
     """The key of the last row within the cap, or None when all rows are."""
     chosen = chosen.select(key).persist(StorageLevel.MEMORY_AND_DISK)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import all_stop_words
 from ..operators import terms as op
 from ..operators.similarity import copies_of, pair_similarity, similar_pairs
+from ..operators.wide import wide_components
 from ..sources.messages import split_messages
 from ..storage import stored
 from .inputs import document_ids, documents, table
@@ -185,3 +186,96 @@ def similar_documents(spark: SparkSession, root: str) -> DataFrame:
 def document_copies(spark: SparkSession, root: str) -> DataFrame:
     """The document that stands for each document with the same vector."""
     return copies_of(_vectors(spark, root)).withColumnRenamed("id", "doc_id")
+
+
+#: Columns that terms are hashed to: the first four hexadecimal digits of their MD5.
+WIDTH = 1 << 16
+COMPONENTS = 3
+
+
+def _power_sql(steps: int) -> str:
+    """The first components by repeated multiplication, each one kept out of the next."""
+    parts = []
+    for c in range(COMPONENTS):
+        for k in range(steps):
+            before = f"v{c}_{k - 1}" if k else "start"
+            off = "".join(
+                f" - c{j}.x * (SELECT sum(w.w * x) FROM w{c}_{k} w JOIN v{j}_{steps - 1} USING (f))"
+                for j in range(c)
+            )
+            joins = "".join(f" JOIN v{j}_{steps - 1} c{j} USING (f)" for j in range(c))
+            parts.append(
+                f"""u{c}_{k} AS MATERIALIZED (
+      SELECT doc_id, sum(a.v * x) - (SELECT sum(m * x) FROM mu JOIN {before} USING (f)) AS u
+      FROM a JOIN {before} USING (f) GROUP BY doc_id),
+    w{c}_{k} AS MATERIALIZED (
+      SELECT f, sum(a.v * u) AS w FROM a JOIN u{c}_{k} USING (doc_id) GROUP BY f),
+    v{c}_{k} AS MATERIALIZED (
+      SELECT f, r / sqrt(sum(r * r) OVER ()) AS x, sqrt(sum(r * r) OVER ()) AS size
+      FROM (SELECT w.f, w.w{off} AS r FROM w{c}_{k} w{joins}))"""
+            )
+    return ",\n    ".join(parts)
+
+
+_STEPS = 45
+
+
+@query(
+    f"""
+    WITH {_TERMS},
+    h AS (SELECT doc_id, ('0x' || substr(md5(term), 1, 4))::BIGINT AS f, sum(tf) AS t
+          FROM tf GROUP BY ALL),
+    a AS MATERIALIZED (
+      SELECT doc_id, f, t / sqrt(sum(t * t) OVER (PARTITION BY doc_id)) AS v FROM h),
+    n AS (SELECT count(DISTINCT doc_id) AS n FROM a),
+    mu AS MATERIALIZED (SELECT f, sum(v) / any_value(n) AS m FROM a, n GROUP BY f),
+    start AS MATERIALIZED (SELECT f, (f * 7919 % 1009) / 1009 - 0.4 AS x FROM mu),
+    {_power_sql(_STEPS)},
+    total AS (
+      SELECT sum(s - n * m * m) / any_value(n - 1) AS total
+      FROM (SELECT f, sum(v * v) AS s FROM a GROUP BY f) JOIN mu USING (f), n)
+    {" UNION ALL ".join(
+        f"""SELECT {c} AS component, round(any_value(size) / any_value(n - 1), 6) AS variance,
+           round(any_value(size) / any_value(n - 1), 6) AS of_scores, 1.0::DOUBLE AS length,
+           arg_max(f, abs(x)) AS strongest, round(any_value(total), 6) AS total
+    FROM v{c}_{_STEPS - 1}, n, total""" for c in range(COMPONENTS))}
+    """
+)
+def pca_wide(spark: SparkSession, root: str) -> DataFrame:
+    """Components of the documents over 65,536 hashed terms.
+
+    ``of_scores`` is the variance of the projected documents, ``strongest`` the column with the
+    largest loading, ``total`` the variance along all directions.
+    """
+    hashed = F.conv(F.substring(F.md5("term"), 1, 4), 16, 10).cast("int")
+    counts = _tf(spark, root).groupBy("doc_id", hashed.alias("f")).agg(F.sum("tf").alias("tf"))
+    listed = counts.groupBy("doc_id").agg(F.collect_list(F.struct("f", "tf")).alias("row"))
+    norm = F.sqrt(F.aggregate("row", F.lit(0.0), lambda s, e: s + e["tf"] * e["tf"]))
+    rows = stored(
+        listed.withColumn("norm", norm).select(
+            F.col("row.f").alias("indices"),
+            F.transform("row.tf", lambda tf: tf / F.col("norm")).alias("values"),
+        ),
+        "hashed",
+    )
+    found = wide_components(rows, WIDTH, COMPONENTS, extra=24, rounds=5)
+    along = (
+        found.project(rows)
+        .select(F.posexplode("scores").alias("component", "score"))
+        .groupBy("component")
+        .agg(F.round(F.var_samp("score"), 6).alias("of_scores"))
+    )
+    # The variance of all columns: mean squares less squared means, over the rows.
+    squares = rows.select(F.aggregate("values", F.lit(0.0), lambda s, v: s + v * v).alias("s"))
+    off = found.count * float(found.mean @ found.mean)
+    total = squares.agg(F.round((F.sum("s") - off) / (found.count - 1), 6).alias("total"))
+    described = [
+        (c, round(float(found.variances[c]), 6), round(float(own @ own), 9), int(abs(own).argmax()))
+        for c, own in enumerate(found.loadings.T)
+    ]
+    schema = "component int, variance double, length double, strongest bigint"
+    return (
+        spark.createDataFrame(described, schema)
+        .join(along, "component")
+        .withColumn("total", total.scalar())
+    )
