@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import recommend as op
+from ..operators.products import top_products
 from ..storage import stored
-from .inputs import part_ratings
+from .inputs import part_ratings, table
 from .registry import query
 
 MIN_COSINE = 0.2
@@ -128,3 +129,37 @@ def als_places(spark: SparkSession, root: str) -> DataFrame:
         .agg(F.count_distinct("item_id").alias("items"), one.alias("list"))
         .select("user_id", "items", falls.alias("falling"))
     )
+
+
+@query()
+def als_top_items_pruned(spark: SparkSession, root: str) -> DataFrame:
+    """The same lists as ``als_top_n``, with the share of all items that each user was compared with."""
+    model = op.factorise(part_ratings(spark, root), rank=8, iterations=5, seed=1)
+    items = model.itemFactors.agg(F.count("*")).scalar()
+    return op.pruned_top_items(model, 5).withColumn("share", F.col("scored") / items).drop("scored")
+
+
+@query(
+    """
+    WITH v AS (
+      SELECT vec_id, 1 + label AS w,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+      FROM embeddings),
+    s AS (
+      SELECT a.vec_id AS user_id, b.vec_id AS item_id,
+             b.w * list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) AS score
+      FROM v a JOIN v b ON true)
+    SELECT user_id, cast(row_number() OVER (
+             PARTITION BY user_id ORDER BY score DESC, item_id) AS integer) AS place, item_id, score
+    FROM s QUALIFY place <= 5
+    """
+)
+def factor_top_items(spark: SparkSession, root: str) -> DataFrame:
+    """Given factors: every vector as a user, and weighted by its label as an item."""
+    whole = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.floor(256 * x).cast("double"))
+    rows = table(spark, root, "embeddings").select("vec_id", "label", whole.alias("factors"))
+    weight = 1 + F.col("label")
+    items = rows.select(
+        F.col("vec_id").alias("item_id"), F.transform("factors", lambda x: x * weight).alias("factors")
+    )
+    return top_products(rows.withColumnRenamed("vec_id", "user_id"), items, 5).drop("scored")
