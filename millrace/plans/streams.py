@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import label, wall_to_instant
 from ..operators.lines import accepted, parse_purchases
 from ..operators.splits import fold_slices
+from ..operators.summary import user_totals
 from ..sources.lines import stream_lines
-from ..storage import new_folder, read_batches, write_batch
+from ..storage import new_folder, read_batches, stored, write_batch
 from ..streaming.custom_state import custom_user_totals, rocksdb_state
+from ..streaming.holdout import holdout_stream, parse_rating_lines
 from ..streaming.purchases import (
     latest_totals,
+    start_each_batch,
     start_preview,
     start_summaries,
     start_user_totals,
     start_window_totals,
 )
-from .inputs import purchase_lines
+from ..streaming.state_reader import kept_batches, state_changes
+from .inputs import event_ratings, purchase_lines
 from .registry import query
 from .replay import replay
 
@@ -136,7 +142,7 @@ _USER_TOTALS = """
 
 
 def _user_state(spark: SparkSession, root: str, mode: str) -> str:
-    """Run the running totals over all batches; gives the output folder."""
+    """Run the running totals over all batches; gives the folder of ``out`` and ``state``."""
     folder = new_folder(spark, f"totals-{mode}")
 
     def start():
@@ -146,12 +152,12 @@ def _user_state(spark: SparkSession, root: str, mode: str) -> str:
         )
 
     replay(_drops(spark, root, folder), start)
-    return f"{folder}/out"
+    return folder
 
 
 @query(_USER_TOTALS)
 def user_state_stream(spark: SparkSession, root: str) -> DataFrame:
-    totals = latest_totals(spark, _user_state(spark, root, "update"))
+    totals = latest_totals(spark, f"{_user_state(spark, root, 'update')}/state")
     return totals.withColumn("revenue", F.round("revenue", 2))
 
 
@@ -165,25 +171,107 @@ def user_state_stream(spark: SparkSession, root: str) -> DataFrame:
 )
 def user_state_snapshots(spark: SparkSession, root: str) -> DataFrame:
     """The whole state after every batch."""
-    snapshots = read_batches(spark, _user_state(spark, root, "complete"))
+    snapshots = read_batches(spark, f"{_user_state(spark, root, 'complete')}/out")
     return snapshots.withColumn("revenue", F.round("revenue", 2))
 
 
-@query(_USER_TOTALS)
-def user_state_custom(spark: SparkSession, root: str) -> DataFrame:
+@query(
+    f"""
+    WITH e AS ({_BATCHED}), b AS (SELECT DISTINCT batch_id FROM e)
+    SELECT b.batch_id, cast(user_id AS varchar) AS "user", count(*) AS n,
+           round(sum(value), 2) AS revenue
+    FROM b JOIN e ON e.batch_id <= b.batch_id GROUP BY ALL
+    """
+)
+def user_state_read(spark: SparkSession, root: str) -> DataFrame:
+    """The whole state after every batch, from a stream that files only what changed."""
+    checkpoint = f"{_user_state(spark, root, 'update')}/state"
+    first, last = kept_batches(spark, checkpoint)
+    states = (
+        latest_totals(spark, checkpoint, batch_id).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        for batch_id in range(first, last + 1)
+    )
+    return reduce(DataFrame.unionByName, states).withColumn("revenue", F.round("revenue", 2))
+
+
+@query(
+    f"""
+    WITH e AS ({_BATCHED})
+    SELECT batch_id, cast(user_id AS varchar) AS "user", round(sum(r) OVER so_far, 2) AS revenue,
+           cast(sum(k) OVER so_far AS bigint) AS n
+    FROM (SELECT batch_id, user_id, sum(value) AS r, count(*) AS k FROM e GROUP BY ALL)
+    WINDOW so_far AS (PARTITION BY user_id ORDER BY batch_id)
+    """
+)
+def user_state_changes(spark: SparkSession, root: str) -> DataFrame:
+    """What each batch wrote to the state."""
+    checkpoint = f"{_user_state(spark, root, 'update')}/state"
+    changes = state_changes(spark, checkpoint, *kept_batches(spark, checkpoint))
+    return changes.drop("change").toDF("batch_id", "user", "n", "revenue").withColumn(
+        "revenue", F.round("revenue", 2)
+    )
+
+
+def _custom_totals(
+    spark: SparkSession, batches: list[DataFrame], initial: DataFrame | None = None
+) -> DataFrame:
+    """The totals in a custom state after all batches of purchase lines."""
     folder = new_folder(spark, "totals-custom")
 
     def start():
         lines = stream_lines(spark, f"{folder}/lines")
-        totals = custom_user_totals(accepted(parse_purchases(lines)))
-        writer = totals.writeStream.outputMode("update").foreachBatch(
-            lambda batch, batch_id: write_batch(batch, f"{folder}/out", batch_id)
-        )
-        return (
-            writer.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+        totals = custom_user_totals(accepted(parse_purchases(lines)), initial=initial)
+        return start_each_batch(
+            totals, lambda rows, i: write_batch(rows, f"{folder}/out", i), f"{folder}/state", True, "update"
         )
 
     with rocksdb_state(spark):
-        replay(_drops(spark, root, folder), start)
-    totals = latest_totals(spark, f"{folder}/out")
+        replay([[(lines.select("value"), f"{folder}/lines")] for lines in batches], start)
+    totals = latest_totals(spark, f"{folder}/state", variable="state")
     return totals.withColumn("revenue", F.round("revenue", 2))
+
+
+@query(_USER_TOTALS)
+def user_state_custom(spark: SparkSession, root: str) -> DataFrame:
+    return _custom_totals(spark, fold_slices(purchase_lines(spark, root), "event_id", BATCHES))
+
+
+@query(_USER_TOTALS)
+def user_state_from_history(spark: SparkSession, root: str) -> DataFrame:
+    """The first half of the events as a batch job, the other half as a stream that goes on from it."""
+    events = purchase_lines(spark, root)
+    slices = fold_slices(events, "event_id", 4)
+    history = user_totals(accepted(parse_purchases(slices[0].unionByName(slices[1]))))
+    return _custom_totals(spark, slices[2:], stored(history, "history"))
+
+
+@query(
+    """
+    WITH ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events)
+    SELECT event_id AS pos, user_id, round(value, 2) AS rating,
+           CASE WHEN r <= 10 THEN 'test' ELSE 'base' END AS role
+    FROM ranked
+    """
+)
+def user_holdout_stream(spark: SparkSession, root: str) -> DataFrame:
+    """Rating lines in several batches, each told apart as it arrives."""
+    folder = new_folder(spark, "holdout")
+    ratings = event_ratings(spark, root)
+    line = F.concat_ws("\t", "user_id", "item_id", F.col("rating").cast("string"), "pos")
+    drops = [
+        [(rows.select(line.alias("value")), f"{folder}/lines")]
+        for rows in fold_slices(ratings, "pos", BATCHES)
+    ]
+
+    def start():
+        arrived = parse_rating_lines(stream_lines(spark, f"{folder}/lines"))
+        roles = holdout_stream(arrived, 1, 10)
+        return start_each_batch(
+            roles, lambda rows, i: write_batch(rows, f"{folder}/out", i), f"{folder}/state", True
+        )
+
+    with rocksdb_state(spark):
+        replay(drops, start)
+    filed = read_batches(spark, f"{folder}/out")
+    return filed.select("pos", "user_id", F.round("rating", 2).alias("rating"), "role")

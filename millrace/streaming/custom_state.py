@@ -33,6 +33,10 @@ class KeyedUpdate(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._state = handle.getValueState("state", self._schema, self._ttl_ms)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        (before,) = initialState[self._schema.names].itertuples(index=False)
+        self._state.update(tuple(before))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         before = tuple(self._state.get()) if self._state.exists() else None
         after = self._update(rows, before)
@@ -54,20 +58,28 @@ def update_state_by_key(
     update: Update,
     state_schema: str,
     ttl_ms: int | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """The new state of every key with new rows: the key and the state's columns.
 
+    ``initial`` has one row for each key that starts with a state: the key and the state's columns.
+    It is taken up in the stream's first batch and ignored after that, also after a
+    restart; such a key is in the state even if it never has a row.
+
     A key's rows arrive in chunks and are never held together.  Keys stay for
     good unless the function drops them or ``ttl_ms`` is set.  The session must
     use the RocksDB state store, see ``rocksdb_state``.
     """
     schema = StructType.fromDDL(state_schema)
     output = StructType([stream.schema[key], *schema.fields])
+    if initial is not None:
+        initial = initial.select(key, *schema.names).groupBy(key)
     return stream.groupBy(key).transformWithStateInPandas(
         statefulProcessor=KeyedUpdate(update, key, schema, ttl_ms),
         outputStructType=output,
         outputMode="Update",
         timeMode="ProcessingTime" if ttl_ms else "None",
+        initialState=initial,
     )
 
 
@@ -119,8 +131,14 @@ def add_totals(rows: Iterator[pd.DataFrame], state: tuple[int, float] | None) ->
     return n, revenue
 
 
-def custom_user_totals(purchases: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """The same totals as ``user_totals`` on a stream, by a custom update function."""
+def custom_user_totals(
+    purchases: DataFrame, ttl_ms: int | None = None, initial: DataFrame | None = None
+) -> DataFrame:
+    """The same totals as ``user_totals`` on a stream, by a custom update function.
+
+    ``initial`` (``user, n, revenue``, such as ``user_totals`` of a finished table) is where they start.
+    """
+    schema = "n bigint, revenue double"
     return update_state_by_key(
-        combined_by_user(purchases), "user", add_totals, "n bigint, revenue double", ttl_ms
+        combined_by_user(purchases), "user", add_totals, schema, ttl_ms, initial
     )

@@ -17,7 +17,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..functions.times import instant_to_wall
 from ..operators.lines import accepted, parse_purchases, quarantined
 from ..operators.summary import first_rows, purchase_summary, user_totals
-from ..storage import read_batches, write_batch
+from ..storage import write_batch
+from .state_reader import state_at
 
 #: Fixed value: the length of a batch.
 BATCH_INTERVAL = "10 seconds"
@@ -36,9 +37,11 @@ def start_each_batch(
     action: Callable[[DataFrame, int], None],
     checkpoint: str,
     once: bool = False,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Run ``action(rows, batch_id)`` on every batch."""
-    return triggered(stream.writeStream.foreachBatch(action), checkpoint, once).start()
+    writer = stream.writeStream.outputMode(mode).foreachBatch(action)
+    return triggered(writer, checkpoint, once).start()
 
 
 def start_console(
@@ -165,8 +168,13 @@ def start_user_totals(
     return triggered(writer, checkpoint, once).start()
 
 
-def latest_totals(spark: SparkSession, out: str) -> DataFrame:
-    """The current totals out of either mode: each user's newest row."""
-    newest = F.max_by(F.struct("n", "revenue"), "batch_id")
-    rows = read_batches(spark, out).groupBy("user").agg(newest.alias("total"))
-    return rows.select("user", "total.n", "total.revenue")
+def latest_totals(
+    spark: SparkSession, checkpoint: str, batch_id: int | None = None, variable: str | None = None
+) -> DataFrame:
+    """The totals of all users after a batch, by default the last: ``user, n, revenue``.
+
+    Read from the state in the stream's checkpoint, in either mode; ``variable`` is ``state`` for
+    ``custom_state.custom_user_totals``.  What the stream has filed is not read.
+    """
+    rows = state_at(spark, checkpoint, batch_id, variable)
+    return rows.toDF("user", "n", "revenue")

@@ -191,7 +191,7 @@ def test_running_totals_go_on_after_a_restart(spark, folder, mode):
         start_user_totals(
             events, f"{folder}/out", f"{folder}/state", mode, once=True
         ).awaitTermination()
-        assert rows(latest_totals(spark, f"{folder}/out")) == state
+        assert rows(latest_totals(spark, f"{folder}/state")) == state
     filed = read_batches(spark, f"{folder}/out").filter("batch_id = 1").drop("batch_id")
     changed = {row for row in STATE_2 if row[0] in ("u2", "u4")}
     assert rows(filed) == (STATE_2 if mode == "complete" else changed)
@@ -208,7 +208,7 @@ def test_stream_in_many_batches_equals_one_batch(spark, folder):
     query.awaitTermination()
     assert read_batches(spark, f"{folder}/out").select("batch_id").distinct().count() == 6
     batch = user_totals(accepted(parse_purchases(read_lines(spark, f"{folder}/lines"))))
-    assert rows(latest_totals(spark, f"{folder}/out")) == rows(batch)
+    assert rows(latest_totals(spark, f"{folder}/state")) == rows(batch)
 
 
 def test_a_repeated_batch_counts_once(spark, folder):
@@ -279,7 +279,7 @@ def test_custom_state_equals_the_built_in(spark, folder):
     for texts, state in zip(BATCHES, (STATE_1, STATE_2)):
         drop(spark, texts, folder)
         _run_state(spark, folder, custom_user_totals)
-        assert rows(latest_totals(spark, f"{folder}/out")) == state
+        assert rows(latest_totals(spark, f"{folder}/state", variable="state")) == state
 
 
 def test_custom_state_can_forget_a_key(spark, folder):

@@ -16,7 +16,11 @@ STREAMS = {
     "sgd_stream_weights",
     "sgd_two_streams",
     "tumbling_append_stream",
+    "user_holdout_stream",
+    "user_state_changes",
     "user_state_custom",
+    "user_state_from_history",
+    "user_state_read",
     "user_state_snapshots",
     "user_state_stream",
 }
