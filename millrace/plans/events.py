@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import label
+from ..operators import unique
+from ..operators.combine import combined_by_key
 from ..operators.lines import accepted, by_user, parse_purchases
 from ..operators.state import user_totals_history
 from ..operators import summary as op
@@ -16,6 +20,7 @@ from ..operators.summary import (
     user_totals,
     with_window,
 )
+from ..storage import stored
 from .inputs import order_purchases, purchase_lines, purchases, table
 from .registry import query
 
@@ -182,3 +187,62 @@ def user_state_history(spark: SparkSession, root: str) -> DataFrame:
     day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
     history = user_totals_history(purchases(spark, root).withColumn("day", day), "day")
     return history.withColumn("revenue", F.round("revenue", 2))
+
+
+LONGEST = 30
+
+
+@query(
+    f"""
+    WITH seen AS (
+      SELECT DISTINCT date_diff('day', DATE '1970-01-01', cast(ts AS date)) AS day, user_id FROM events),
+    days AS (SELECT unnest(range((SELECT min(day) FROM seen), (SELECT max(day) + 1 FROM seen))) AS day)
+    SELECT a.day AS first, b.day AS last, count(DISTINCT user_id) AS unique_users
+    FROM days a JOIN days b ON b.day BETWEEN a.day AND a.day + {LONGEST - 1}
+    LEFT JOIN seen ON seen.day BETWEEN a.day AND b.day GROUP BY a.day, b.day
+    """
+)
+def unique_users_ranges(spark: SparkSession, root: str) -> DataFrame:
+    """Unique users of every range of 1 to 30 days, from one bitmap file a day."""
+    events = purchases(spark, root).withColumn("day", F.unix_date(F.to_date("ts")))
+    # Users are numbered half by half, as later ones would be beside those already filed.
+    early = unique.number_users(events.filter(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")))
+    numbers = early.unionByName(unique.number_users(events, early))
+    bitmaps = stored(unique.window_bitmaps(events, numbers, "day"), "bitmaps")
+    spans = unique.window_spans(bitmaps, LONGEST)
+    days = bitmaps.agg(F.min("window").alias("low"), F.max("window").alias("high"))
+    ranges = days.select("high", F.explode(F.sequence("low", "high")).alias("first")).select(
+        "first", F.explode(F.sequence("first", F.least(F.col("first") + LONGEST - 1, "high"))).alias("last")
+    )
+    return unique.unique_in_ranges(spans, ranges)
+
+
+def dearest(rows: pa.Table) -> pa.Table:
+    """Merge function: each user's three products with the highest price, ties by name."""
+    best = rows.group_by(["user", "product"]).aggregate([("price", "max")])
+    best = best.rename_columns({"price_max": "price"}).sort_by(
+        [("user", "ascending"), ("price", "descending"), ("product", "ascending")]
+    )
+    users = best["user"].combine_chunks()
+    if len(best) < 4:
+        return best
+    # The fourth row on after a row of the same user is none of its first three.
+    same = pc.fill_null(pc.equal(users[3:], users[:-3]), False)
+    null = pc.and_(pc.is_null(users[3:]), pc.is_null(users[:-3]))
+    beyond = pa.concat_arrays([pa.array([False] * 3), pc.or_(same, null)])
+    return best.filter(pc.invert(beyond))
+
+
+@query(
+    """
+    WITH p AS (
+      SELECT o_custkey AS "user", l_partkey AS product, max(l_extendedprice) AS price
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)
+    SELECT "user", product, price FROM p
+    QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY price DESC, product) <= 3
+    """
+)
+def dearest_products(spark: SparkSession, root: str) -> DataFrame:
+    """Three products of each customer by a merge function of its own."""
+    rows = order_purchases(spark, root).select("user", "product", "price")
+    return combined_by_key(rows, ["user"], dearest)
