@@ -64,6 +64,52 @@ def resize(images: DataFrame, height: int, width: int) -> DataFrame:
     )
 
 
+def resize_weighted(images: DataFrame, height: int, width: int) -> DataFrame:
+    """Images at any other size, larger or smaller, by shares of area.
+
+    A target pixel is the mean of the source area that it covers, a source pixel counting with the
+    part of it that lies inside.  Along the width first, then along the height: each is a
+    product with a small sparse matrix, whose weights are whole numbers over the source's size, so
+    the weights of a pixel add up to 1.  Channels stay; an image without pixels has none after.
+    """
+
+    def along(pixels: Column, lines: Column, source: Column, target: int, step: Column) -> Column:
+        """Shrink or stretch ``lines`` lines of ``source`` groups of ``step`` values each."""
+        size = F.lit(target)
+
+        def cell(at: Column) -> Column:
+            line = F.call_function("div", at, size * step)
+            place = F.call_function("div", at % (size * step), step)
+            inside = at % step
+            low, high = place * source, (place + 1) * source
+            taps = F.sequence(
+                F.call_function("div", low, size), F.call_function("div", high - 1, size)
+            )
+
+            def added(total: Column, tap: Column) -> Column:
+                overlap = F.least(high, (tap + 1) * size) - F.greatest(low, tap * size)
+                index = (line * source + tap) * step + inside
+                return total + overlap * F.get(pixels, index.cast("int"))
+
+            return F.aggregate(taps, F.lit(0.0), added) / source
+
+        cells = F.sequence(F.lit(0).cast("bigint"), (lines * size * step - 1).cast("bigint"))
+        return F.transform(cells, cell)
+
+    h, w, c = (F.col(name).cast("bigint") for name in ("height", "width", "channels"))
+    pixels = F.col("pixels").cast("array<double>")
+    narrow = along(pixels, h, w, width, c)
+    # Bound as a variable, so that the first product is computed once.
+    both = F.transform(
+        F.array(narrow), lambda half: along(half, F.lit(1), h, height, c * width)
+    )[0]
+    return (
+        images.withColumn("pixels", F.when(F.col("pixels").isNotNull(), both))
+        .withColumn("height", F.lit(height))
+        .withColumn("width", F.lit(width))
+    )
+
+
 def as_matrix(images: DataFrame, column: str = "matrix") -> DataFrame:
     """Add the pixels as a matrix of rows of pixels of channel values."""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +56,41 @@ def block_resize(spark: SparkSession, root: str) -> DataFrame:
     return _rounded(op.resize(_images(spark, root, 8, 1), 4, 4))
 
 
+#: Sizes that do not divide 8, smaller and larger.
+SIZES = [(3, 5), (11, 6)]
+
+
+def _axis(target: str, source: int) -> str:
+    """The share ``w`` of source pixel ``t`` in target pixel ``i`` along one side."""
+    return f"""(
+      SELECT s.{target} AS size, i, t,
+             (least((i + 1) * {source}, (t + 1) * s.{target})
+              - greatest(i * {source}, t * s.{target})) / {source} AS w
+      FROM sizes s, (SELECT unnest(range(20)) AS i), (SELECT unnest(range({source})) AS t)
+      WHERE i < s.{target} AND least((i + 1) * {source}, (t + 1) * s.{target})
+            > greatest(i * {source}, t * s.{target}))"""
+
+
+@query(
+    f"""
+    WITH {_VALUES},
+    sizes(h, w) AS (VALUES {", ".join(f"({h}, {w})" for h, w in SIZES)}),
+    down AS {_axis("h", 8)}, across AS {_axis("w", 8)}
+    SELECT image_id, s.h AS height, cast(a.i AS integer) AS y, cast(b.i AS integer) AS x,
+           round(sum(v * a.w * b.w), 8) + 0.0 AS "value"
+    FROM sizes s JOIN down a ON a.size = s.h JOIN across b ON b.size = s.w
+    JOIN v ON pos // 8 = a.t AND pos % 8 = b.t GROUP BY ALL
+    """
+)
+def resize_weighted(spark: SparkSession, root: str) -> DataFrame:
+    """8 x 8 images at sizes that do not divide theirs."""
+    images = _images(spark, root, 8, 1)
+    sized = (
+        _rounded(op.resize_weighted(images, h, w)).withColumn("height", F.lit(h)) for h, w in SIZES
+    )
+    return reduce(DataFrame.unionByName, sized)
+
+
 @query(
     f"""
     WITH {_VALUES}

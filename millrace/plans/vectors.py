@@ -176,3 +176,55 @@ def pca_residuals(spark: SparkSession, root: str) -> DataFrame:
         rows.append((k, round(float(off), 6) + 0.0, round(float(own @ own), 8)))
     frame = spark.createDataFrame(rows, "component int, residual double, length double")
     return frame.withColumn("whole", along.select(F.round(F.sum("variance"), 6)).scalar())
+
+
+STEPS = 14
+
+
+def _lloyd_sql(steps: int) -> str:
+    parts = []
+    for s in range(steps):
+        parts.append(
+            f"""n{s} AS MATERIALIZED (
+      SELECT vec_id, x, cluster FROM (
+        SELECT vec_id, x, cluster,
+               list_sum(list_transform(range(1, 65), lambda j: (x[j] - centre[j]) ** 2)) AS d2
+        FROM p, c{s})
+      QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d2, cluster) = 1),
+    c{s + 1} AS MATERIALIZED (
+      SELECT cluster, list(m ORDER BY j) AS centre FROM (
+        SELECT cluster, j, avg(x[j]) AS m
+        FROM n{s}, (SELECT unnest(range(1, 65)) AS j) GROUP BY cluster, j) GROUP BY cluster
+      UNION ALL SELECT cluster, centre FROM c{s} WHERE cluster NOT IN (SELECT cluster FROM n{s}))"""
+        )
+    return ",\n    ".join(parts)
+
+
+@query(
+    f"""
+    WITH p AS (
+      SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE) / 256) AS x
+      FROM embeddings),
+    c0 AS (
+      SELECT label AS cluster, list(m ORDER BY j) AS centre FROM (
+        SELECT label, j, avg(x[j]) AS m
+        FROM p, (SELECT unnest(range(1, 65)) AS j) GROUP BY label, j) GROUP BY label),
+    {_lloyd_sql(STEPS)}
+    SELECT cluster, cast(j AS integer) AS j, centre[j + 1] AS value, true AS spared
+    FROM c{STEPS}, (SELECT unnest(range(64)) AS j)
+    """
+)
+def kmeans_bounded(spark: SparkSession, root: str) -> DataFrame:
+    """The centres after some steps, and whether fewer than all distances were computed.
+
+    Coordinates are whole 256ths, so sums are exact in any order.
+    """
+    points = vectors(spark, root).withColumn(
+        "features", F.transform("features", lambda x: F.floor(256 * x).cast("double") / 256)
+    )
+    start = _label_centres(points)
+    run = clustering.lloyd_bounded(points, start, STEPS)
+    rows = [(c, j, float(v)) for c, own in enumerate(run.centres) for j, v in enumerate(own)]
+    counted = run.rows.agg((F.sum("distances") < F.count("*") * STEPS * len(start)).alias("spared"))
+    centres = spark.createDataFrame(rows, "cluster bigint, j int, value double")
+    return centres.withColumn("spared", counted.scalar())
