@@ -23,7 +23,6 @@ class Pieces(NamedTuple):
     """The pieces of a model with their weights."""
 
     keys: np.ndarray  # hashes in order
-    maybe: np.ndarray  # by the first bits of a hash, whether any piece has it
     ids: np.ndarray  # piece of each hash
     weights: np.ndarray  # share of each piece, by id
     singles: np.ndarray  # characters that are pieces, in order
@@ -76,11 +75,8 @@ def load(path: str, sharpness: float = 1.0) -> Pieces:
     ]
     for value, i in enumerate(byte_ids):
         raw[i] = bytes([value])
-    maybe = np.zeros(1 << 20, dtype=bool)
-    maybe[keys >> np.uint64(44)] = True
     return Pieces(
         keys[order],
-        maybe,
         np.array(plain, dtype=np.int32)[order],
         weights,
         np.array(sorted(ord(names[i]) for i in plain if len(names[i]) == 1), dtype=np.uint32),
@@ -107,31 +103,102 @@ def _known(pieces: Pieces) -> np.ndarray:
     return _KNOWN[key]
 
 
+#: Bytes of the table of steps that a worker builds for a model.
+_STEP_BYTES = 32 << 20
+
+
+class _Trie:
+    """The beginnings of all pieces: numbers from 1, those that go on before those that end.
+
+    ``steps`` leads from a beginning to the next one by the character's column, as many of the
+    commonest characters as fit; ``rare`` lists the other steps in order.
+    """
+
+    def __init__(self, pieces: Pieces):
+        starts = {piece[:k] for piece in pieces.table for k in range(1, len(piece) + 1)}
+        inner = {start[:-1] for start in starts if len(start) > 1}
+        numbers = {start: k + 1 for k, start in enumerate(sorted(starts, key=lambda s: s not in inner))}
+        self.inner = len(inner)
+        self.first = np.zeros(0x110000, dtype=np.int32)
+        self.piece = np.full(len(numbers) + 1, -1, dtype=np.int32)
+        for start, number in numbers.items():
+            self.piece[number] = pieces.table.get(start, -1)
+            if len(start) == 1:
+                self.first[ord(start)] = number
+        edges = [(numbers[s[:-1]], ord(s[-1]), k) for s, k in numbers.items() if len(s) > 1]
+        before, codes, after = (np.array(c, dtype=np.int64) for c in zip(*edges or [(0, 0, 0)], strict=True))
+        common = np.bincount(codes).argsort(kind="stable")[::-1]
+        columns = max(2, min(256, _STEP_BYTES // (4 * (self.inner + 1))))
+        self.column = np.zeros(0x110000, dtype=np.int16)
+        self.column[common[: columns - 1]] = np.arange(1, min(columns - 1, len(common)) + 1)
+        self.steps = np.zeros((self.inner + 1, columns), dtype=np.int32)
+        in_table = self.column[codes] > 0
+        self.steps[before[in_table], self.column[codes[in_table]]] = after[in_table]
+        rare = before[~in_table] << 21 | codes[~in_table]
+        order = np.argsort(rare)
+        # The last entry is above every key, so that a search always ends at one.
+        self.rare = np.append(rare[order], np.iinfo(np.int64).max)
+        self.rare_after = np.append(after[~in_table][order], 0).astype(np.int32)
+
+    def step(self, nodes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The beginnings that are one character longer, 0 where there is none."""
+        column = self.column[codes]
+        after = self.steps[nodes, column]
+        other = np.flatnonzero(column == 0)
+        if len(other):
+            keys = nodes[other].astype(np.int64) << 21 | codes[other]
+            at = np.searchsorted(self.rare, keys)
+            after[other] = np.where(self.rare[at] == keys, self.rare_after[at], 0)
+        return after
+
+
+_TRIES: dict[int, _Trie] = {}
+
+
+def _trie(pieces: Pieces) -> _Trie:
+    """Built once in a worker; another model takes its place."""
+    key = hash((pieces.keys.tobytes(), pieces.ids.tobytes()))
+    if key not in _TRIES:
+        _TRIES.clear()
+        _TRIES[key] = _Trie(pieces)
+    return _TRIES[key]
+
+
 def _lattice(pieces: Pieces, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Forward filtering for units of one length, one in each row of ``codes``.
 
     Gives, for each unit, end and length of the last piece there: the chance
-    that the last piece is so long or shorter, and its id.
+    that the last piece is so long or shorter, and its id.  From each place on, only units in which
+    a piece may still go on are looked at.
     """
     n, size = codes.shape
     reach = min(size, pieces.longest)
-    sums, down = _hash(codes)
-    forward = np.zeros((n, size + 1))
-    forward[:, 0] = 1.0
+    trie = _trie(pieces)
+    columns = np.ascontiguousarray(codes.T).astype(np.int64)
     chance = np.zeros((n, size, reach), dtype=np.float64)
     found = np.zeros((n, size, reach), dtype=np.int32)
-    for end in range(1, size + 1):
-        for length in range(1, min(end, reach) + 1):
-            begin = end - length
-            hashes = W.mixed((sums[:, end] - sums[:, begin]) * down[begin], length)
-            hit = np.flatnonzero(pieces.maybe[hashes >> np.uint64(44)])
-            at = np.searchsorted(pieces.keys, hashes[hit])
-            at[at == len(pieces.keys)] = 0
-            same = pieces.keys[at] == hashes[hit]
-            hit, ids = hit[same], pieces.ids[at[same]]
-            found[hit, end - 1, length - 1] = ids
-            chance[hit, end - 1, length - 1] = forward[hit, begin] * pieces.weights[ids]
-        forward[:, end] = chance[:, end - 1].sum(axis=1)
+    every = np.arange(n)
+    for begin in range(size):
+        # All pieces that end here began before.
+        forward = chance[:, begin - 1].sum(axis=1) if begin else np.ones(n)
+        rows, nodes = every, trie.first[columns[begin]]
+        for length in range(1, min(size - begin, reach) + 1):
+            if length > 1:
+                nodes = trie.step(nodes, columns[begin + length - 1, rows])
+            met = nodes > 0
+            if not met.all():
+                rows, nodes = rows[met], nodes[met]
+            ids = trie.piece[nodes]
+            whole = ids >= 0
+            at, ids = (rows, ids) if whole.all() else (rows[whole], ids[whole])
+            end = begin + length - 1
+            found[at, end, length - 1] = ids
+            chance[at, end, length - 1] = forward[at] * pieces.weights[ids]
+            more = nodes <= trie.inner
+            if not more.all():
+                rows, nodes = rows[more], nodes[more]
+            if not len(rows):
+                break
     np.cumsum(chance, axis=2, out=chance)
     chance /= chance[:, :, -1:]
     return chance, found
