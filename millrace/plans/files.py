@@ -126,38 +126,35 @@ def whole_files(spark: SparkSession, root: str) -> DataFrame:
 
 @query(
     """
-    SELECT CASE n_regionkey % 2 WHEN 0 THEN 'train' ELSE 'test' END AS split,
-           r_name AS newsgroup, cast(n_nationkey AS varchar) AS msg_id,
-           n_name AS "from", r_name || ' (' || n_regionkey || ')' AS subject,
-           n_name || chr(10) || chr(10) || 'of ' || r_name || chr(10) AS body
-    FROM nation JOIN region ON n_regionkey = r_regionkey
+    SELECT CASE doc_id // 50 % 3 WHEN 0 THEN 'test' ELSE 'train' END AS split,
+           'group ' || (doc_id // 50 % 7) AS newsgroup, cast(doc_id // 50 AS varchar) AS msg_id,
+           'part ' || (doc_id // 50) AS "from", 'documents (' || count(*) || ')' AS subject,
+           md5(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id)) AS body_md5
+    FROM documents GROUP BY doc_id // 50
     """
 )
 def message_tree(spark: SparkSession, root: str) -> DataFrame:
-    """A small tree of messages, one file each, split and group from the folders."""
-    nations, regions = table(spark, root, "nation"), table(spark, root, "region")
-    joined = nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"])
-    key = F.col("n_regionkey").cast("string")
-    text = F.concat(
-        F.lit("From: "),
-        F.col("n_name"),
-        F.lit("\nSubject: "),
-        F.col("r_name"),
-        F.lit("\n ("),
-        key,
-        F.lit(")\n\n"),
-        F.col("n_name"),
-        F.lit("\n\nof "),
-        F.col("r_name"),
+    """Fifty documents to a message, one file each; split and group are read from the folders."""
+    texts = documents(spark, root).withColumn("part", F.expr("doc_id div 50"))
+    number = F.col("part").cast("string")
+    head = F.concat(
+        F.lit("From: part "), number, F.lit("\nSubject: documents\n ("), F.col("n"), F.lit(")\n")
     )
-    rows = joined.select(
-        F.when(F.col("n_regionkey") % 2 == 0, "train").otherwise("test").alias("split"),
-        F.col("r_name").alias("newsgroup"),
-        F.col("n_nationkey").cast("string").alias("msg_id"),
-        text.alias("value"),
+    heads = texts.groupBy("part").agg(F.count("*").cast("string").alias("n"))
+    lines = heads.select("part", F.lit(-1).cast("bigint").alias("at"), head.alias("value"))
+    rows = lines.unionByName(
+        texts.select("part", F.col("doc_id").alias("at"), F.coalesce("text", F.lit("")).alias("value"))
+    ).select(
+        F.when(F.col("part") % 3 == 0, "test").otherwise("train").alias("split"),
+        F.concat(F.lit("group "), (F.col("part") % 7).cast("string")).alias("newsgroup"),
+        number.alias("msg_id"),
+        "at",
+        "value",
     )
     path = new_folder(spark, "tree")
-    rows.repartition("msg_id").write.partitionBy("split", "newsgroup", "msg_id").text(path)
+    folders = ["split", "newsgroup", "msg_id"]
+    dealt = rows.repartition("msg_id").sortWithinPartitions(*folders, "at").drop("at")
+    dealt.write.partitionBy(*folders).text(path)
     # Spark writes key=value folders around a file of its own name.
     part = F.split("path", "/")
     value = lambda at: F.url_decode(F.element_at(F.split(F.element_at(part, at), "="), 2))
@@ -170,5 +167,5 @@ def message_tree(spark: SparkSession, root: str) -> DataFrame:
         "msg_id",
         F.col("headers")["from"].alias("from"),
         F.col("headers")["subject"].alias("subject"),
-        "body",
+        F.md5(F.encode("body", "UTF-8")).alias("body_md5"),
     )
