@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..storage import shared_folder
 from .blocked import blocked_pairs
 from .products import top_products
-from .similarity import SimilarPairs, copies_of
+from .similarity import SimilarPairs, copies_of, similar_pairs
 
 
 def factorise(
@@ -64,13 +64,27 @@ def pruned_top_items(model: ALSModel, n: int, users: DataFrame | None = None) ->
 def similar_items(ratings: DataFrame, min_cosine: float, min_users: int = 1) -> SimilarPairs:
     """Item pairs with alike ratings: cosine over users, ``common`` users in both.
 
-    Items are the vectors and users their features.  Two items meet at a user only
-    where enough of both is left from this user on, so users who rated very many items
-    meet almost nothing, also with a low bound (see ``blocked_pairs``).
+    Items are the vectors and users their features.  The ``min_users - 1`` most
+    frequent users of an item pair it with nothing.  Another user who rated very
+    many items does so only where the rarer users of an item leave more than
+    ``min_cosine`` of its length to the frequent ones: with a high bound that is
+    seldom, with a low one often.
 
     Items with the same ratings stand for each other: ``copies_a, copies_b``
     say for how many, and ``copies`` names them all.
     """
+    return similar_pairs(_item_vectors(ratings), min_cosine, min_users)
+
+
+def similar_items_blocked(
+    ratings: DataFrame, min_cosine: float, min_users: int = 1
+) -> SimilarPairs:
+    """The same pairs by ``blocked_pairs``: items meet at a user only where enough of both is left.
+
+    Meant for a low bound.  A user who rated everything with an ordinary weight opens no pair; one
+    whose rating outweighs the rest of most items does, and ``similar_items`` with
+    ``min_users`` above 1 is the better choice then.
+    """
     return blocked_pairs(_item_vectors(ratings), min_cosine, min_users)
 
 

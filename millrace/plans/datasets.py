@@ -21,8 +21,7 @@ def als_top_n(spark: SparkSession, root: str) -> DataFrame:
     return op.top_items(model, 5)
 
 
-@query(
-    f"""
+_SIMILAR = f"""
     WITH r AS (
       SELECT o_custkey AS u, l_partkey AS i, sum(l_quantity) AS w
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
@@ -39,10 +38,9 @@ def als_top_n(spark: SparkSession, root: str) -> DataFrame:
     SELECT item_a, item_b, copies_a, copies_b, common, round(cosine, 8) AS cosine
     FROM pairs WHERE cosine >= {MIN_COSINE} AND common >= {MIN_USERS}
     """
-)
-def item_similarity(spark: SparkSession, root: str) -> DataFrame:
-    ratings = stored(part_ratings(spark, root), "ratings")
-    found = op.similar_items(ratings, MIN_COSINE, MIN_USERS)
+
+
+def _pairs(found: op.SimilarPairs) -> DataFrame:
     return found.pairs.select(
         F.col("id_a").alias("item_a"),
         F.col("id_b").alias("item_b"),
@@ -53,6 +51,19 @@ def item_similarity(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query(_SIMILAR)
+def item_similarity(spark: SparkSession, root: str) -> DataFrame:
+    ratings = stored(part_ratings(spark, root), "ratings")
+    return _pairs(op.similar_items(ratings, MIN_COSINE, MIN_USERS))
+
+
+@query(_SIMILAR)
+def item_similarity_blocked(spark: SparkSession, root: str) -> DataFrame:
+    """The same pairs through blocks of the inverted index."""
+    ratings = stored(part_ratings(spark, root), "ratings")
+    return _pairs(op.similar_items_blocked(ratings, MIN_COSINE, MIN_USERS))
+
+
 @query(
     """
     WITH r AS (
