@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -200,6 +203,41 @@ def apply_logistic(model: PipelineModel, documents: DataFrame, text: str = "text
     return model.transform(_with_words(documents, text)).drop("words", "tf", "features")
 
 
+def logistic_slopes(model: PipelineModel, documents: DataFrame, text: str = "text") -> DataFrame:
+    """``documents bigint, expected_ones double, steepest double`` of the rows learned from.
+
+    At the minimum of the penalised loss the chances of label 1 add up to the
+    number of such rows, and ``steepest``, the largest slope of the loss in any
+    weight, is 0.  Spark penalises weights times the deviation of their column.
+    Two sums a column are all that tasks hand over.
+    """
+    regression = model.stages[-1]
+    chance = vector_to_array("probability")[1]
+    scored = model.transform(_with_words(documents, text)).select(
+        "features", chance.alias("chance"), (chance - F.col("label")).alias("off")
+    )
+    # Weights of a sum must not be negative: both signs are added up apart.
+    features, none = F.col("features"), F.lit(0.0)
+    total, spread = Summarizer.metrics("sum"), Summarizer.metrics("variance")
+    parts = scored.agg(
+        F.count("*").alias("n"),
+        F.sum("chance").alias("ones"),
+        F.sum("off").alias("off"),
+        total.summary(features, F.greatest("off", none)).alias("over"),
+        total.summary(features, F.greatest(-F.col("off"), none)).alias("under"),
+        spread.summary(features).alias("spread"),
+    ).first()
+    n = parts["n"]
+    weights = regression.coefficients.toArray()
+    over, under = (parts[side]["sum"].toArray() for side in ("over", "under"))
+    penalty = regression.getRegParam() * parts["spread"]["variance"].toArray() * weights
+    steepest = max(np.abs((over - under) / n + penalty).max(), abs(parts["off"]) / n)
+    return documents.sparkSession.createDataFrame(
+        [(n, float(parts["ones"]), float(steepest))],
+        "documents bigint, expected_ones double, steepest double",
+    )
+
+
 def _with_words(documents: DataFrame, text: str) -> DataFrame:
     return documents.withColumn("words", words(F.col(text)))
 

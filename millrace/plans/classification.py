@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,21 +148,55 @@ def naive_bayes_auc(spark: SparkSession, root: str) -> DataFrame:
     return margins.limit(1).select(F.lit(round(area, 6)).alias("area_under_roc"))
 
 
+#: Fitted logistic models by application and folder: the queries below share one fit.
+_FITTED: dict[tuple[str, str], PipelineModel] = {}
+
+
+def _logistic(spark: SparkSession, root: str) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """The model, and the rows it is fitted on and tested with."""
+    train, test = _split(spark, root)
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _FITTED:
+        _FITTED[key] = op.train_logistic(train)
+    return _FITTED[key], train, test
+
+
 @query()
 def logistic_confusion(spark: SparkSession, root: str) -> DataFrame:
     """Logistic regression on the same split."""
-    train, test = _split(spark, root)
-    predicted = op.apply_logistic(op.train_logistic(train), test)
+    model, _, test = _logistic(spark, root)
+    predicted = op.apply_logistic(model, test)
     return op.confusion(predicted.withColumn("prediction", F.col("prediction").cast("int")))
 
 
 @query()
 def logistic_auc(spark: SparkSession, root: str) -> DataFrame:
     """How well each of the two labels is told apart: share of test rows and exact area."""
-    train, test = _split(spark, root)
-    scored = op.apply_logistic(op.train_logistic(train), test)
+    model, _, test = _logistic(spark, root)
+    scored = op.apply_logistic(model, test)
     predicted = stored(scored.select("label", "rawPrediction"), "predicted")
     area = op.area_under_roc(predicted)
     return predicted.groupBy("label").agg(
         F.count("*").alias("documents"), F.max(F.lit(area)).alias("area_under_roc")
     )
+
+
+@query(
+    f"""
+    WITH docs AS (
+      SELECT quality AS label,
+             (row_number() OVER (ORDER BY doc_id) - 1) * 5 // count(*) OVER () = {TEST_FOLD} AS test
+      FROM documents JOIN labels USING (doc_id))
+    SELECT count(*) AS documents, sum(label)::DOUBLE AS expected_ones, 0.0::DOUBLE AS steepest
+    FROM docs WHERE NOT test
+    """
+)
+def logistic_slopes(spark: SparkSession, root: str) -> DataFrame:
+    """The fitted model is the minimum: chances add up to the labels, and no slope is left."""
+    model, train, _ = _logistic(spark, root)
+    found = op.logistic_slopes(model, train)
+    return found.select(
+        "documents",
+        F.round("expected_ones").alias("expected_ones"),
+        F.round("steepest", 2).alias("steepest"),
+    )

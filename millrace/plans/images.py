@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import images as op
+from ..sources.images import read_images
+from ..storage import new_folder
 from .inputs import vectors
 from .registry import query
 
@@ -100,3 +102,62 @@ def resize_weighted(spark: SparkSession, root: str) -> DataFrame:
 def flatten(spark: SparkSession, root: str) -> DataFrame:
     vectors = op.flatten(op.as_matrix(_images(spark, root, 4, 4)))
     return vectors.select("image_id", F.posexplode("features").alias("pos", "value"))
+
+
+#: Vectors in an image file, each a row of 64 pixels.
+_ROWS = 16
+
+
+def _number(value: int, size: int) -> str:
+    return value.to_bytes(size, "little").decode("ascii")
+
+
+def _bitmap(height: Column, pixels: Column) -> Column:
+    """An uncompressed image file of 64 pixels a row, as text: all its bytes are below 128.
+
+    ``pixels`` has blue, green and red of each pixel, the lowest row first.
+    """
+    # The format's two headers, of 14 and 40 bytes.  The file's size is
+    # any that is large enough for 127 rows.
+    before = "BM" + _number(0x7F7F, 4) + _number(0, 4) + _number(54, 4) + _number(40, 4) + _number(64, 4)
+    after = _number(0, 3) + _number(1, 2) + _number(24, 2) + _number(0, 24)
+    return F.concat(F.lit(before), F.chr(height), F.lit(after), pixels)
+
+
+@query(
+    f"""
+    WITH placed AS (
+      SELECT vec_id // {_ROWS} AS image_id, cast(embedding AS double[]) AS v,
+             cast(row_number() OVER (PARTITION BY vec_id // {_ROWS} ORDER BY vec_id) - 1 AS integer) AS y
+      FROM embeddings),
+    gray AS (
+      SELECT image_id, y, unnest(range(64)) AS x,
+             unnest(list_transform(v, lambda e: least(126, greatest(0, floor((e + 1) * 63))))) AS g
+      FROM placed)
+    SELECT image_id, y, cast(x AS integer) AS x, cast(unnest(range(3)) AS integer) AS channel,
+           unnest([126 - g, floor(g / 2), g])::DOUBLE AS "value"
+    FROM gray
+    """
+)
+def image_files(spark: SparkSession, root: str) -> DataFrame:
+    """Sixteen vectors to an image file, written and read again as pixels."""
+    gray = F.transform(
+        "features",
+        lambda e: F.least(F.lit(126), F.greatest(F.lit(0), F.floor((e + 1) * 63))).cast("int"),
+    )
+    # The file has blue first, and the last row first.
+    pixel = lambda g: F.concat(F.chr(g), F.chr(F.floor(g / 2)), F.chr(126 - g))
+    line = F.array_join(F.transform(gray, pixel), "")
+    images = (
+        vectors(spark, root)
+        .select(F.expr(f"vec_id div {_ROWS}").alias("image"), "vec_id", line.alias("line"))
+        .groupBy("image")
+        .agg(F.sort_array(F.collect_list(F.struct("vec_id", "line")), asc=False).alias("lines"))
+    )
+    pixels = F.array_join(F.transform("lines", lambda row: row["line"]), "")
+    path = new_folder(spark, "images")
+    images.select("image", _bitmap(F.size("lines"), pixels).alias("value")).write.partitionBy(
+        "image"
+    ).text(path)
+    number = F.regexp_extract("image_id", r"/image=(\d+)/", 1).cast("bigint")
+    return op.pixel_rows(read_images(spark, path).withColumn("image_id", number))

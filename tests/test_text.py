@@ -243,3 +243,14 @@ def test_logistic_tells_two_topics_apart(spark):
     predicted = classify.apply_logistic(classify.train_logistic(frame, width=256), frame)
     assert classify.area_under_roc(predicted) == 1.0
     assert classify.accuracy(predicted.withColumn("prediction", F.col("prediction").cast("int"))).first()[0] == 1
+
+
+def test_logistic_slopes_are_those_of_the_penalised_loss(spark):
+    data = [(f"{'lamp bulb' if i % 3 else 'desk lamp'} w{i % 5} w{i % 7}", int(i % 4 > 1)) for i in range(80)]
+    frame = spark.createDataFrame(data, "text string, label int").repartition(3)
+    model = classify.train_logistic(frame, width=64, iterations=100)
+    best = classify.logistic_slopes(model, frame).first()
+    assert (best.documents, round(best.expected_ones)) == (80, 40)
+    assert best.steepest < 1e-3
+    early = classify.logistic_slopes(classify.train_logistic(frame, width=64, iterations=0), frame).first()
+    assert early.steepest > 10 * best.steepest
