@@ -24,6 +24,9 @@ SIDE, WIDTH, HIDDEN = 2, 16, 32
 #: Rounds of training, windows of a step, and the step's size.  Each round takes
 #: its own share of the places of every text, so training predicts each place once.
 ROUNDS, STEP_ROWS, STEP = 2, 1024, 0.1
+#: Tokens of a shard of the corpus that is trained on in one go (about), tasks
+#: that they are dealt to at most, and words whose counts go to the tasks.
+SHARD, TASKS, FREQUENT = 1 << 21, 1 << 14, 1 << 16
 
 #: Tokens taken apart at a time, tokens scored at a time, and the token of a
 #: place outside of the text.
@@ -40,6 +43,8 @@ class Vocabulary(NamedTuple):
     tokens: np.ndarray
     rare: np.ndarray
     counts: np.ndarray  # of each token
+    frequent: np.ndarray  # hashes of the most frequent words that are not known, in order
+    chances: np.ndarray  # of each of them within its class, in units of 1 / _UNIT
 
     def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The token of each word, and whether the word is one of a class."""
@@ -52,6 +57,15 @@ class Vocabulary(NamedTuple):
             out = np.where(rare, out, self.tokens[at])
         return out, rare
 
+    def inner(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The chance of each word within its class, and whether it is a frequent one; else 0."""
+        if not len(self.frequent):
+            return np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=bool)
+        at = np.searchsorted(self.frequent, hashes)
+        at[at == len(self.frequent)] = 0
+        found = self.frequent[at] == hashes
+        return np.where(found, self.chances[at], 0), found
+
 
 class Network(NamedTuple):
     """Weights: words, window to hidden layer, hidden layer to groups and to members."""
@@ -95,9 +109,10 @@ class Network(NamedTuple):
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
+    if logits.size and (logits.max() > 60 or logits.min() < -60):  # near what float32 holds
+        logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits /= (logits @ np.ones(logits.shape[1], dtype=logits.dtype))[:, None]
     return logits
 
 
@@ -176,7 +191,10 @@ def _slopes(net: Network, windows: np.ndarray, targets: np.ndarray) -> Network:
 
 
 class _Trainer:
-    """Steps scaled by the squares of the slopes so far (Adagrad), on one task's windows."""
+    """Steps scaled by the squares of the slopes so far (Adagrad), on one shard's windows.
+
+    Every step but the last takes ``STEP_ROWS`` windows, however they come in.
+    """
 
     def __init__(self, net: Network) -> None:
         self._weights = net.flat()
@@ -190,22 +208,24 @@ class _Trainer:
         self._waiting.append((windows, targets))
         self._rows += len(targets)
         if self._rows >= STEP_ROWS:
-            self.finish()
+            self._steps(self._rows - self._rows % STEP_ROWS)
 
     def finish(self) -> None:
-        if not self._rows:
-            return
+        if self._rows:
+            self._steps(self._rows)
+
+    def _steps(self, rows: int) -> None:
         windows, targets = (np.concatenate(x) for x in zip(*self._waiting, strict=True))
-        for begin in range(0, len(targets), STEP_ROWS):
-            part = slice(begin, begin + STEP_ROWS)
+        for begin in range(0, rows, STEP_ROWS):
+            part = slice(begin, min(begin + STEP_ROWS, rows))
             slopes = _slopes(self.net, windows[part], targets[part])
             slope = slopes.flat()
             self._squares += slope * slope
             slope *= STEP
             slope /= np.sqrt(self._squares)
             self._weights += slope
-        self.seen += len(targets)
-        self._waiting, self._rows = [], 0
+        self.seen += rows
+        self._waiting, self._rows = [(windows[rows:], targets[rows:])], len(targets) - rows
 
 
 def windows_of(tokens: np.ndarray, counts: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -247,28 +267,56 @@ def _kind() -> Column:
 def vocabulary(documents: DataFrame, text_column: str = "text") -> Vocabulary:
     """The most frequent words of all texts, and classes of the others by hash.
 
-    Every word of every text is counted; ``KNOWN`` words and ``RARE`` sums come
-    to the driver.  Tokens are numbered by their counts.
+    Every word of every text is counted; ``KNOWN`` words, ``FREQUENT`` more at
+    most and sums by class come to the driver.  Tokens are numbered by their counts.
     """
     return _chosen(stored(word_counts(documents, text_column), "words"))
 
 
 def _chosen(counts: DataFrame) -> Vocabulary:
-    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
-    own = np.array([row["word"] for row in top], dtype=np.int64).view(np.uint64)
-    own_n = np.array([row["n"] for row in top], dtype=np.int64)
-    rare_n = np.zeros(RARE, dtype=np.int64)
-    for row in counts.groupBy(_kind().alias("kind")).agg(F.sum("n").alias("n")).collect():
-        rare_n[row["kind"]] = row["n"]
+    # Words by class and by how often they occur, in eighths of doublings: some
+    # hundred steps a class, whatever the corpus.
+    step = F.floor(F.log2("n") * 8)
+    sums = (
+        counts.groupBy(_kind().alias("kind"), step.alias("step"))
+        .agg(F.sum("n").alias("n"), F.count("*").alias("words"))
+        .toArrow()
+    )
+    kinds, steps, n, words = (sums.column(name).to_numpy() for name in sums.column_names)
+    classes = np.zeros(RARE, dtype=np.int64)
+    np.add.at(classes, kinds, n)
+    sizes = dict.fromkeys(sorted(set(steps.tolist()), reverse=True), 0)
+    for at, size in zip(steps.tolist(), words.tolist(), strict=True):
+        sizes[at] += size
+    above = np.cumsum(list(sizes.values()))
+    all_steps = list(sizes)
+    far = int(np.searchsorted(above, KNOWN))  # the step at which there are KNOWN words
+    least = all_steps[min(far, len(all_steps) - 1)] if all_steps else 0
+    top = counts.filter(step >= least).orderBy(F.desc("n"), "word").limit(KNOWN).toArrow()
+    own = top.column("word").to_numpy().view(np.uint64)
+    own_n = top.column("n").to_numpy()
     places = ((own >> np.uint64(32)) % np.uint64(RARE)).astype(np.int64)
-    np.subtract.at(rare_n, places, own_n)
-    every = np.concatenate((own_n, np.zeros(KNOWN - len(own_n), dtype=np.int64), rare_n))
+    np.subtract.at(classes, places, own_n)
+    every = np.concatenate((own_n, np.zeros(KNOWN - len(own_n), dtype=np.int64), classes))
     order = np.argsort(-every, kind="stable")
     token = np.empty(TOKENS, dtype=np.int32)
     token[order] = np.arange(TOKENS)
     by_hash = np.argsort(own)
+    # All words of the steps that hold FREQUENT words together at most.
+    near = int(np.searchsorted(above, KNOWN + FREQUENT, side="right"))
+    frequent, chances = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    if near:
+        more = counts.filter(step >= all_steps[near - 1]).toArrow()
+        frequent = more.column("word").to_numpy().view(np.uint64)
+        n = more.column("n").to_numpy()
+        rest = ~np.isin(frequent, own)
+        frequent, n = frequent[rest], n[rest]
+        whole = classes[((frequent >> np.uint64(32)) % np.uint64(RARE)).astype(np.int64)]
+        chances = np.round((np.log(n) - np.log(whole)) * _UNIT).astype(np.int64)
+        in_order = np.argsort(frequent)
+        frequent, chances = frequent[in_order], chances[in_order]
     return Vocabulary(
-        own[by_hash], token[: len(own)][by_hash], token[KNOWN:], every[order]
+        own[by_hash], token[: len(own)][by_hash], token[KNOWN:], every[order], frequent, chances
     )
 
 
@@ -289,10 +337,12 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
 def token_rows(
     documents: DataFrame, words: Vocabulary, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """``id, tokens array<smallint>, rare array<bigint>, times array<int>`` of every text.
+    """``id, tokens array<smallint>, found bigint, rare array<bigint>, times array<int>``
+    of every text.
 
-    ``rare`` holds the text's words that are not known ones, once each, and
-    ``times`` how often each of them occurs in it.
+    ``found`` adds up the chances, within their classes, of the text's frequent
+    words; ``rare`` holds its words that are neither known nor frequent, once
+    each, and ``times`` how often each of them occurs in it.
     """
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,22 +352,28 @@ def token_rows(
                 hashes, counts = W.word_hashes(*W.text_bytes(part.column(1)))
                 tokens, rare = words.of(hashes)
                 owner = np.repeat(np.arange(len(counts)), counts)[rare]
-                rare, owner, times = _distinct(hashes[rare].view(np.int64), owner)
+                hashes = hashes[rare]
+                chances, frequent = words.inner(hashes)
+                found = np.zeros(len(counts), dtype=np.int64)
+                np.add.at(found, owner, chances)
+                rare, owner, times = _distinct(hashes[~frequent].view(np.int64), owner[~frequent])
                 each = np.bincount(owner, minlength=len(counts))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         _lists(tokens.astype(np.int16), counts),
+                        pa.array(found),
                         _lists(rare, each),
                         _lists(times.astype(np.int32), each),
                     ],
-                    names=["id", "tokens", "rare", "times"],
+                    names=["id", "tokens", "found", "rare", "times"],
                 )
 
     rows = W.small_batches(documents).select(id_column, text_column)
     kind = rows.schema[0].dataType.simpleString()
     return rows.mapInArrow(
-        take, f"id {kind}, tokens array<smallint>, rare array<bigint>, times array<int>"
+        take,
+        f"id {kind}, tokens array<smallint>, found bigint, rare array<bigint>, times array<int>",
     )
 
 
@@ -328,7 +384,7 @@ def _inner(rows: DataFrame, counts: DataFrame, words: Vocabulary) -> DataFrame:
     A word's chance is its share of all occurrences of its class.  Every word
     that is scored has been counted, so the chances of a class add up to 1 and
     need no smoothing.  Words meet their counts by hash; the most frequent
-    words are known ones, so no key of the join is a hot one.
+    words are not among them, so no key of the join is a hot one.
     """
     sums = [float(n) for n in words.counts[words.rare]]
     share = F.log("n") - F.log(F.get(F.lit(sums), _kind()))
@@ -353,43 +409,72 @@ def _tokens(lists: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         begin = end
 
 
-def _trained(rows: DataFrame, net: Network, turn: int) -> DataFrame:
-    """``seen, weights`` after each task's steps over its own texts."""
+def _dealt(rows: DataFrame, shards: int) -> DataFrame:
+    """``tokens, shard``: each shard in one task, in the order of a hash of the tokens.
+
+    What a shard holds, and in which order, depends on the rows alone, not on
+    files or tasks: rows of one hash have the same tokens.  The shard also goes
+    by the id, so that the copies of a text are in all of them.
+    """
+    shard = F.pmod(F.xxhash64("tokens", "id"), F.lit(shards)).cast("int")
+    dealt = rows.select("tokens", shard.alias("shard"), F.xxhash64("tokens").alias("at"))
+    tasks = min(shards, TASKS)
+    dealt = dealt.repartitionById(tasks, F.col("shard") % tasks)
+    return dealt.sortWithinPartitions("shard", "at").select("tokens", "shard")
+
+
+def _trained(rows: DataFrame, net: Network, turn: int, shards: int = 1) -> DataFrame:
+    """``seen, weights`` after the steps over each shard."""
+
+    def row(trainer: _Trainer) -> pa.RecordBatch:
+        trainer.finish()
+        weights = trainer.net.flat().astype(np.float64)
+        seen = [trainer.seen] if trainer.seen else []
+        return pa.RecordBatch.from_arrays(
+            [pa.array(seen, pa.int64()), pa.array([weights][: len(seen)], pa.list_(pa.float64()))],
+            names=["seen", "weights"],
+        )
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         W.one_thread()
-        trainer = _Trainer(net)
+        trainer, shard = _Trainer(net), None
         for batch in batches:
-            for _, _, tokens, sizes in _tokens(batch.column(0)):
-                place = np.arange(len(tokens), dtype=np.uint64)
-                inner = place - np.repeat(np.cumsum(sizes) - sizes, sizes).astype(np.uint64)
-                mark = W.mixed(inner * np.uint64(TOKENS) + tokens.astype(np.uint64), 40)
-                places = np.flatnonzero(mark % np.uint64(ROUNDS) == turn)
-                for begin in range(0, len(places), _CHUNK):
-                    own = places[begin : begin + _CHUNK]
-                    trainer.add(windows_of(tokens, sizes, own), tokens[own])
-        trainer.finish()
-        if trainer.seen:
-            weights = trainer.net.flat().astype(np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([trainer.seen]), pa.array([weights], pa.list_(pa.float64()))],
-                names=["seen", "weights"],
-            )
-
-    return rows.select("tokens").mapInArrow(train, "seen bigint, weights array<double>")
+            own_shard = batch.column(1).to_numpy()
+            edges = np.flatnonzero(np.diff(own_shard)) + 1
+            for begin, end in zip([0, *edges], [*edges, len(own_shard)], strict=True):
+                if begin == end:
+                    continue
+                if own_shard[begin] != shard:
+                    if shard is not None:
+                        yield row(trainer)
+                    trainer, shard = _Trainer(net), own_shard[begin]
+                for _, _, tokens, sizes in _tokens(batch.column(0).slice(begin, end - begin)):
+                    place = np.arange(len(tokens), dtype=np.uint64)
+                    inner = place - np.repeat(np.cumsum(sizes) - sizes, sizes).astype(np.uint64)
+                    mark = W.mixed(inner * np.uint64(TOKENS) + tokens.astype(np.uint64), 40)
+                    places = np.flatnonzero(mark % np.uint64(ROUNDS) == turn)
+                    for at in range(0, len(places), _CHUNK):
+                        own = places[at : at + _CHUNK]
+                        trainer.add(windows_of(tokens, sizes, own), tokens[own])
+        yield row(trainer)
+
+    return _dealt(rows, shards).mapInArrow(train, "seen bigint, weights array<double>")
 
 
 def fitted(rows: DataFrame, words: Vocabulary) -> Network:
     """Train on the tokens of all texts.
 
-    In each of ``ROUNDS`` rounds every task starts from the same weights and
-    takes its steps over its own texts; the round ends with the mean of the
-    tasks' weights, each by the windows it saw.  Texts stay where they are, and
-    what tasks hand over is the size of the network.
+    The rows are dealt into shards of some ``SHARD`` tokens (see ``_dealt``).  In
+    each of ``ROUNDS`` rounds every shard starts from the same weights and takes
+    its steps in order; the round ends with the mean of the shards' weights,
+    each by the windows it saw.  The steps of a shard do not depend on the
+    input's size, nor on how it is cut into files; what a shard hands over is the
+    size of the network.
     """
     net = Network.begin(words.counts)
+    shards = max(1, -(-int(words.counts.sum()) // SHARD))
     for turn in range(ROUNDS):
-        trained = stored(_trained(rows, net, turn), "trained")
+        trained = stored(_trained(rows, net, turn, shards), "trained")
         seen = trained.agg(F.sum("seen")).first()[0]
         if not seen:
             return net
@@ -456,6 +541,8 @@ def pseudo_likelihood(
     of the words' chances.  A word that is not one of the ``KNOWN`` has the
     predicted chance of its class times its own share of the class in all texts
     (see ``_inner``), so all words of the corpus have a chance of their own.
+    Scores do not depend on files and tasks, but for the last digit: the network
+    scores in 32-bit numbers, some thousand words at a time.
 
     A null, empty or blank text has no tokens, sum 0 and no mean.  Every row
     gives one row, repeated and null ids too; an empty table gives none.  Other
@@ -466,7 +553,7 @@ def pseudo_likelihood(
     tokens = token_rows(documents, words, id_column, text_column)
     rows = stored(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
     inner = stored(_inner(rows, counts, words), "inner")
-    sums = _summed(rows, fitted(rows, words), ("row", "id"))
-    whole = F.col("sum") + F.coalesce(F.col("inner"), F.lit(0)) / _UNIT
+    sums = _summed(rows, fitted(rows, words), ("row", "id", "found"))
+    whole = F.col("sum") + (F.col("found") + F.coalesce(F.col("inner"), F.lit(0))) / _UNIT
     result = _finished(sums.join(inner, "row", "left").withColumn("sum", whole))
     return result.withColumnRenamed("id", id_column)

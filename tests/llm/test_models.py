@@ -105,7 +105,29 @@ def test_training_predicts_every_place_once(spark):
     assert min(seen) > 0 and sum(seen) == 40 * 301
 
 
-def test_words_of_a_class_have_their_own_chances(spark):
+@pytest.mark.parametrize("shards", [1, 5])
+def test_scores_do_not_depend_on_files_and_tasks(spark, monkeypatch, shards):
+    draw = random.Random(11)
+    texts = [" ".join(f"w{min(draw.randrange(900), draw.randrange(900))}" for _ in range(draw.randrange(250)))
+             for _ in range(300)] + [None, "", "only once"]
+    texts += [texts[0]] * 60
+    monkeypatch.setattr(masked, "SHARD", 70_000 // shards)
+    monkeypatch.setattr(masked, "FREQUENT", 300)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    layouts = [rows.coalesce(1), rows.repartition(4), rows.orderBy(F.desc("doc_id")).repartition(16)]
+    first, *others = (
+        {r.doc_id: (r.n_tokens, r.log_likelihood) for r in masked.pseudo_likelihood(layout).collect()}
+        for layout in layouts
+    )
+    for other in others:
+        assert first.keys() == other.keys()
+        for doc_id, (n, score) in first.items():
+            assert n == other[doc_id][0] and abs(score - other[doc_id][1]) <= 0.002
+
+
+@pytest.mark.parametrize("frequent", [0, 500, 1 << 16])
+def test_words_of_a_class_have_their_own_chances(spark, monkeypatch, frequent):
+    monkeypatch.setattr(masked, "FREQUENT", frequent)
     draw = random.Random(6)
     common = [f"c{i}" for i in range(masked.KNOWN)]
     texts = [" ".join(common * 40)]
