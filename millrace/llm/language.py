@@ -162,18 +162,21 @@ def counted(texts: DataFrame) -> DataFrame:
 def learn(documents: DataFrame, text_column: str = "text", lang_column: str = "lang") -> Model:
     """Fit on rows with a text and a language.
 
-    Of each language about ``TEXTS`` texts are taken, by a hash of the text, and
-    of what they hold the ``ENTRIES`` most frequent words and n-grams of each
-    length; words must occur twice, so that the n-grams also see the rare ones
+    Of each language about ``TEXTS`` different texts are taken, by a hash of the
+    text, and all of them where there are fewer; copies of a text count once.  Of
+    what they hold the ``ENTRIES`` most frequent words and n-grams of each
+    length are kept; words must occur twice, so that the n-grams also see the rare ones
     as what they are.  The model is thus bounded by the number of languages.
     """
     rows = documents.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = rows.groupBy("lang").count().collect()  # one row for each language
+    rows = rows.withColumn("at", F.xxhash64("text"))
+    different = rows.groupBy("lang").agg(F.count_distinct("at").alias("texts"))
+    sizes = different.collect()  # one row for each language
     step = F.lit(1)
     for row in sizes:
-        step = F.when(F.col("lang") == row["lang"], max(1, row["count"] // TEXTS)).otherwise(step)
-    chosen = rows.filter(F.pmod(F.xxhash64("text"), step) == 0)
+        step = F.when(F.col("lang") == row["lang"], max(1, row["texts"] // TEXTS)).otherwise(step)
+    chosen = rows.filter(F.pmod("at", step) == 0).groupBy("lang", "at").agg(F.min("text").alias("text"))
     sums = stored(
         counted(chosen).groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "grams"
     )

@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 
 from . import words as W
 
-#: Lines of a window, and characters in a window at which text sets in on a
-#: page that marks no article.
+#: Lines of a window, and characters in a window at which text sets in.
 WINDOW, SURGE = 3, 80
 #: Lines without text that may stand before a paragraph or heading that goes on.
 GAP = 2 * WINDOW
@@ -33,8 +32,16 @@ _BLOCKS = frozenset(
 )
 #: Elements that may stand in the head.
 _IN_HEAD = frozenset("base basefont bgsound link meta".split()) | _RAW - {"iframe", "textarea"}
-#: Elements beside the article.
+#: Elements beside the article; what an article in the first ones means is that
+#: their own end is missing, or that they hold all of the page.
 _BESIDE = frozenset("nav footer aside form menu dialog".split())
+_AROUND = frozenset("nav form menu".split())
+#: Words of labels that name one of several short pieces about other pages.
+_CARDS = frozenset("card cards teaser teasers preview tile tiles".split())
+#: A line beside paragraphs goes with them from this number of words on, or with
+#: one of these signs at its end, unless it begins as the last line of a page does.
+_WORDS, _STOPS = 3, tuple(".!?:;\u2026\u3002\"'\u201d\u00bb)")
+_LAST = re.compile(r"\W*(?:\u00a9|\(c\)\s|copyright\b|all rights reserved)", re.I)
 #: Elements without an end.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements inside a line.
@@ -46,14 +53,17 @@ _INLINE = frozenset(
 #: and before some words of place.
 _NAMES = frozenset(
     "ad ads adslot advert adverts advertisement advertisements alert banner breadcrumb breadcrumbs "
-    "comment comments commentlist consent cookie cookies copyright disclaimer discussion disqus "
+    "comment comments commentlist complementary consent contentinfo cookie cookies copyright "
+    "disclaimer discussion disqus "
     "footer gdpr login masthead menu menubar modal nav navbar navigation newsletter notice notices "
     "notification pager pagination popup promo promoted promotion related replies respond search "
     "share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser "
     "toolbar widget widgets".split()
 )
 
-_BEFORE = frozenset("article bottom entry global left main page post primary right secondary site top".split())
+_BEFORE = frozenset(
+    "article bottom entry global js left main page post primary right secondary site top".split()
+)
 _AFTER = frozenset(
     "area bar block box container form inner item items left link links list right section slot unit "
     "wrap wrapper".split()
@@ -74,7 +84,7 @@ _TOKEN = re.compile(
     r"(?P<rest>(?:\"[^\"<]*\"|'[^'<]*'|[^'\">])*+|[^>]*)(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
-_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in _RAW | _SILENT}
+_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in _RAW | _SILENT | _BESIDE}
 #: The end of a tag that closes itself, not of an attribute's value.
 _CLOSED = re.compile(r"""(?:^|[\s"'])/\s*$|^[^=]*/\s*$""")
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -171,8 +181,9 @@ def _lines(page: str) -> _Lines:
     """
     lines = _Lines()
     # Names of open elements, each with what held around it.
-    stack: list[tuple[str, bool, int | None, int, str]] = []
-    beside, label, region, links = False, None, 0, 0
+    stack: list[tuple[str, str, int | None, int, str]] = []
+    # What puts the innermost element beside the article: an element's name or "hidden".
+    beside, label, region, links = "", None, 0, 0
     parents = [0]  # where the elements around and the innermost one begin
     silent = ""  # name of the innermost open element without text of the page
     ends_at: dict[str, re.Match | None] = {}  # next ends of raw and silent elements
@@ -242,7 +253,7 @@ def _lines(page: str) -> _Lines:
                 _, beside, label, region, silent = stack[depth]
                 del stack[depth:]
             continue
-        lines.close(region, beside, label, bool(stack) and stack[-1][0] in _PROSE)
+        lines.close(region, bool(beside), label, bool(stack) and stack[-1][0] in _PROSE)
         links = 0
         lines.marked = True
         if name in _VOID:
@@ -261,12 +272,23 @@ def _lines(page: str) -> _Lines:
         attributes = _attributes(token["rest"])
         labels = _labels(attributes)
         within = label
+        if beside in _BESIDE:
+            # The article is not beside itself: an element without its end, or one
+            # that can hold no article, goes no further.
+            if name in ("article", "main"):
+                if beside in _AROUND or not ending(beside, at):
+                    beside = ""
+            elif name in ("h1", "h2", "p") and beside in _AROUND and not ending(beside, at):
+                beside = ""
+        elif beside == "header" and name == "h1" and lines.ranks[region] == 2:
+            beside = ""
         if name not in ("html", "body", "main"):
-            beside = beside or name in _BESIDE or _hidden(attributes)
+            hidden = "hidden" if _hidden(attributes) else ""
+            beside = beside or (name if name in _BESIDE else hidden)
             if any(map(_names_beside, labels)):
                 within = region
-        if name == "header" and lines.ranks[region] < 2:
-            beside = True
+        if name == "header" and lines.ranks[region] < 3:
+            beside = beside or "header"
         rank = 0 if beside else _rank(name, labels)
         if rank > lines.ranks[region]:
             lines.around.append(region)
@@ -277,25 +299,29 @@ def _lines(page: str) -> _Lines:
         label = within
     if at < len(page) and not silent:
         lines.add(page[at:], links > 0)
-    lines.close(region, beside, label, bool(stack) and stack[-1][0] in _PROSE)
+    lines.close(region, bool(beside), label, bool(stack) and stack[-1][0] in _PROSE)
     return lines
 
 
-def _runs(counted: np.ndarray, surge: int) -> np.ndarray:
+def _runs(counted: np.ndarray, surge: int, regions: np.ndarray) -> np.ndarray:
     """Which lines stand between a surge and the next dive of the windows' sums.
 
     Window ``i`` holds ``WINDOW`` lines from ``i`` on.  Text sets in with the
-    first line of text in a window of ``surge`` characters and ends where
-    a window of no text begins.
+    first line of text in a window of ``surge`` characters, of lines in the same
+    region, and ends where a window of no text or another region begins.
     """
-    sums = np.convolve(counted, np.ones(WINDOW, dtype=np.int64))[WINDOW - 1 :]
+    sums, own = np.zeros_like(counted), np.zeros_like(counted)
+    for k in range(WINDOW):
+        later = counted[k:]
+        sums[: len(later)] += later
+        own[: len(later)] += later * (regions[k:] == regions[: len(later)])
+    edge = np.concatenate(([False], regions[1:] != regions[:-1]))
+    begins = (counted > 0) & (own >= surge)
+    ends = edge | (sums == 0)
     inside = np.zeros(len(counted), dtype=bool)
     on = False
-    for i, total in enumerate(sums.tolist()):
-        if not on and counted[i] and total >= surge:
-            on = True
-        elif on and total == 0:
-            on = False
+    for i, (begin, end) in enumerate(zip(begins.tolist(), ends.tolist(), strict=True)):
+        on = begin or on and not end
         inside[i] = on
     return inside & (counted > 0)
 
@@ -339,7 +365,8 @@ def _parts(lines: _Lines, counted: np.ndarray, within: list[set[int]], region: i
     """The article's region and those beside it, under one parent, that go on with it.
 
     A region of the same rank is a teaser where half of its text stands in
-    links, and where it is small beside the article and has links or other labels.
+    links, where its label says so, and where it is small beside the article and
+    has links or other labels.
     """
     sizes, linked = np.zeros(len(lines.ranks)), np.zeros(len(lines.ranks))
     for own, n, link in zip(within, counted.tolist(), lines.linked, strict=True):
@@ -351,6 +378,8 @@ def _parts(lines: _Lines, counted: np.ndarray, within: list[set[int]], region: i
     for at in range(1, len(sizes)):
         same = (lines.homes[at][0], lines.ranks[at], lines.around[at], lines.doubtful[at])
         if same == (home, rank, lines.around[region], lines.doubtful[region]) and sizes[at]:
+            if _is_card(lines.homes[at][1]) and lines.homes[at][1] != labels:
+                continue
             large = sizes[at] >= PART * sizes[region]
             if 2 * linked[at] < sizes[at] and (
                 large or lines.homes[at][1] == labels and not linked[at]
@@ -359,8 +388,30 @@ def _parts(lines: _Lines, counted: np.ndarray, within: list[set[int]], region: i
     return parts
 
 
-def _extended(inside: np.ndarray, counted: np.ndarray, prose: list[bool]) -> np.ndarray:
-    """Runs with the lines of text next to them, and on to prose after up to ``GAP`` others."""
+def _is_card(labels: tuple[str, ...]) -> bool:
+    return any(part in _CARDS for label in labels for part in _PART.split(label))
+
+
+def _fits(text: str, prose: bool) -> bool:
+    """Whether a line next to text belongs to it, as a menu's or the page's last line does not."""
+    said = prose or len(text.split()) >= _WORDS or text.endswith(_STOPS)
+    return said and not _LAST.match(text)
+
+
+def _trimmed(inside: np.ndarray, fits: list[bool]) -> np.ndarray:
+    """Without the first and last lines that do not fit, unless none does."""
+    kept = np.flatnonzero(inside & np.array(fits))
+    out = inside.copy()
+    if len(kept):
+        out[: kept[0]] = False
+        out[kept[-1] + 1 :] = False
+    return out
+
+
+def _extended(
+    inside: np.ndarray, counted: np.ndarray, prose: list[bool], fits: list[bool]
+) -> np.ndarray:
+    """Runs with the fitting lines next to them, and on to prose after up to ``GAP`` others."""
     out = inside.copy()
     text = counted > 0
     n = len(out)
@@ -369,7 +420,7 @@ def _extended(inside: np.ndarray, counted: np.ndarray, prose: list[bool]) -> np.
         for i in range(n) if step > 0 else reversed(range(n)):
             if out[i]:
                 apart = 0
-            elif text[i] and (apart == 0 or step > 0 and apart <= GAP and prose[i]):
+            elif text[i] and fits[i] and (apart == 0 or step > 0 and apart <= GAP and prose[i]):
                 out[i] = True
                 apart = 0
             else:
@@ -379,7 +430,7 @@ def _extended(inside: np.ndarray, counted: np.ndarray, prose: list[bool]) -> np.
 
 def _largest(counted: np.ndarray) -> np.ndarray:
     """The lines of the run of text, ended by a window without any, that has most of it."""
-    runs = _runs(counted, 1)
+    runs = _runs(counted, 1, np.zeros_like(counted))
     places = np.flatnonzero(runs)
     if not len(places):
         return runs
@@ -390,6 +441,38 @@ def _largest(counted: np.ndarray) -> np.ndarray:
     return out
 
 
+def _plain(lines: _Lines, counted: np.ndarray) -> np.ndarray:
+    """The same without what a label puts beside, unless the label is on all of the page."""
+    plain = np.where([label is None for label in lines.beside], counted, 0)
+    return plain if plain.any() else counted
+
+
+def _windows(lines: _Lines, counted: np.ndarray) -> np.ndarray:
+    """Lines between surge and dive; the largest run of text where no window has a surge."""
+    inside = _runs(counted, SURGE, np.array(lines.regions))
+    if not inside.any() and lines.marked:
+        inside = _largest(counted)
+    return inside
+
+
+def _reached(lines: _Lines, counted: np.ndarray, within: list[set[int]]) -> int:
+    """The region that the spans of the windows lead to, 0 if they stay outside of all.
+
+    A marked region is the article by its text between surge and dive; the
+    span then goes on to the region's edges.  One in which no text sets in is
+    the article only if it has a good part of the text that sets in elsewhere.
+    """
+    spans = np.where(_windows(lines, counted), counted, 0)
+    region = _article(lines, spans, within)
+    if region and not lines.doubtful[region]:
+        return region
+    if region := _article(lines, counted, within):
+        own = sum(n for n, of in zip(counted.tolist(), within, strict=True) if region in of)
+        if own >= PART * np.where(_windows(lines, _plain(lines, counted)), counted, 0).sum():
+            return region
+    return 0
+
+
 def main_text(page: str | None) -> str:
     """The article of one page, a line for each block; empty if there is none."""
     if not page:
@@ -399,17 +482,15 @@ def main_text(page: str | None) -> str:
     if not len(counted):
         return ""
     within = _within(lines, counted)
-    if region := _article(lines, counted, within):
+    if region := _reached(lines, counted, within):
         parts = _parts(lines, counted, within, region)
         counted[[not (parts & own) for own in within]] = 0
         inside = counted > 0
     else:
-        plain = np.where([label is None for label in lines.beside], counted, 0)
-        counted = plain if plain.any() else counted  # else a label is on all of the page
-        inside = _runs(counted, SURGE)
-        if not inside.any() and lines.marked:
-            inside = _largest(counted)
-        inside = _extended(inside, counted, lines.prose)
+        plain = _plain(lines, np.where([not of for of in within], counted, 0))
+        fits = [_fits(*line) for line in zip(lines.texts, lines.prose, strict=True)]
+        inside = _trimmed(_windows(lines, plain), fits)
+        inside = _extended(inside, plain, lines.prose, fits)
     return "\n".join(text for text, keep in zip(lines.texts, inside, strict=True) if keep)
 
 
@@ -425,12 +506,14 @@ def extracted(
     an element beside the article, by its name, by a whole class, id or role or
     as it is hidden, counts no characters; a label on the article itself, or on
     what holds it, puts nothing beside.  The rest is judged by the sums of text
-    lengths over sliding windows of lines: text between a surge and the next
-    dive is kept, with the lines of text next to it and paragraphs a few other
-    lines further on; where there is no surge of ``SURGE`` characters, the
-    largest run of text is.  Where the page marks articles, by name or by label,
-    all text of the surest and largest one is kept, and of the regions of its
-    kind under the same parent that are no teasers.
+    lengths over sliding windows of lines, on every page: text sets in at a surge
+    and ends at the next dive, or is the largest run where there is no surge of
+    ``SURGE`` characters.  Where the page marks articles, by name or by label, the
+    span goes on to the edges of the surest and largest region that it reaches,
+    and to the regions of its kind under the same parent that are no teasers; a
+    marked region without a surge gives way to four times its text elsewhere.
+    Where it marks none, the span takes in the lines next to it, but for single
+    words and the page's last line, and paragraphs a few other lines further on.
 
     Character references are decoded, white space inside a block is one space,
     blocks are joined by line ends.  A null, empty or textless page has the

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -26,6 +26,10 @@ _STRING = "[A-Za-z0-9+/_=-]"
 SHORTEST, RATIO, SAMPLE = 20, 1.0, 2000
 #: Weight of a character's own share beside its counts after another one.
 PRIOR = 4.0
+#: Items of an array whose results are gathered together.
+CHUNK = 128
+
+_SPAN = "struct<start:int,kind:int,end:int,found:string>"
 
 _MARK, _OTHER = "\x01", "\x02"
 
@@ -41,45 +45,116 @@ def _parts(text: Column, pattern: str) -> Column:
     return F.when(F.regexp_like(text, F.lit(pattern)), cut)
 
 
+def _folded(
+    items: Column,
+    start: Column,
+    advance: Callable[[Column, Column], Column],
+    found: Callable[[Column, Column, Column], Column],
+) -> Column:
+    """The spans that ``found(state, item, place)`` has for the items, one after another.
+
+    ``advance(state, item)`` is the state, a number, for the next item.  An
+    aggregate copies all it has gathered for every item; so states are gathered
+    by ``CHUNK`` items first, then spans within each chunk.  A null array has none.
+    """
+    none = F.lit([]).cast(f"array<{_SPAN}>")
+
+    def whole(every: Column) -> Column:
+        chunks = F.sequence(F.lit(0), F.floor((F.size(every) - 1) / CHUNK).cast("int"))
+
+        def places(number: Column) -> Column:
+            first = number * CHUNK
+            return F.sequence(first, F.least(first + CHUNK, F.size(every)) - 1)
+
+        def state_after(states: Column, number: Column) -> Column:
+            step = lambda state, at: advance(state, F.get(every, at))
+            return F.concat(
+                states, F.array(F.aggregate(places(number), F.element_at(states, -1), step))
+            )
+
+        def spans(states: Column) -> Column:
+            def step(state: Column, at: Column) -> Column:
+                item = F.get(every, at)
+                return F.struct(
+                    advance(state["own"], item).alias("own"),
+                    F.concat(state["found"], found(state["own"], item, at)).alias("found"),
+                )
+
+            def chunk(number: Column) -> Column:
+                begin = F.struct(F.get(states, number).alias("own"), none.alias("found"))
+                return F.aggregate(places(number), begin, step, lambda state: state["found"])
+
+            return F.flatten(F.transform(chunks, chunk))
+
+        states = F.aggregate(chunks, F.array(start), state_after)
+        return F.when(F.size(every) > 0, _once(states, spans)).otherwise(none)
+
+    return F.coalesce(_once(items, whole), none)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, not for each item of what uses it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _if(condition: Column, span: Column) -> Column:
+    return F.when(condition, F.array(span)).otherwise(F.lit([]).cast(f"array<{_SPAN}>"))
+
+
 def _spans(parts: Column, kind: int) -> Column:
     """``start, kind, end, found`` of each match, in code points."""
-    empty = F.lit([]).cast("array<struct<start:int,kind:int,end:int,found:string>>")
 
-    def step(state: Column, part: Column) -> Column:
-        end = state["at"] + F.length(part)
+    def found(start: Column, part: Column, place: Column) -> Column:
         span = F.struct(
-            state["at"].alias("start"),
+            start.alias("start"),
             F.lit(kind).alias("kind"),
-            end.alias("end"),
+            (start + F.length(part)).alias("end"),
             part.alias("found"),
         )
-        return F.struct(
-            end.alias("at"),
-            (~state["inside"]).alias("inside"),
-            F.when(state["inside"], F.concat(state["spans"], F.array(span)))
-            .otherwise(state["spans"])
-            .alias("spans"),
-        )
+        return _if(place % 2 == 1, span)
+
+    return _folded(parts, F.lit(0), lambda start, part: start + F.length(part), found)
+
 
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), empty.alias("spans"))
-    return F.coalesce(F.aggregate(parts, start, step, lambda state: state["spans"]), empty)
+def _apart(spans: Column) -> Column:
+    """The spans of the last kind that overlap none of the others, in their order.
+
+    One pass compares each with the ends of those before it, one with the
+    starts of those after it.
+    """
+    base = lambda s: s["kind"] < len(KINDS) - 1
+    left = _folded(
+        F.sort_array(spans),
+        F.lit(0),
+        lambda end, s: F.when(base(s), F.greatest(end, s["end"])).otherwise(end),
+        lambda end, s, _: _if(base(s) | (end <= s["start"]), s),
+    )
+    right = _folded(
+        F.reverse(left),
+        F.lit((1 << 31) - 1),
+        lambda start, s: F.when(base(s), s["start"]).otherwise(start),
+        lambda start, s, _: _if(~base(s) & (start >= s["end"]), s),
+    )
+    return F.reverse(right)
 
 
-def _pair_number(text: Column, at: Column) -> Column:
-    """Number of the pair of characters at a place, from 0."""
-    alphabet = F.lit(ALPHABET)
-    place = [F.instr(alphabet, F.substring(text, at + k, F.lit(1))) - 1 for k in (0, 1)]
-    return place[0] * len(ALPHABET) + place[1]
+def _place(character: Column) -> Column:
+    """Number of a character in the alphabet, from 0."""
+    places = [ALPHABET.find(chr(code)) for code in range(128)]
+    return F.get(F.lit(places), F.ascii(character))
 
 
 def _pair_counts(strings: DataFrame) -> np.ndarray:
     """How often each pair of characters follows in the column ``found``."""
     size = len(ALPHABET)
-    pairs = strings.filter(F.length("found") > 1).select(
+    chars = strings.filter(F.length("found") > 1).select(F.split("found", "").alias("chars"))
+    rest = F.size("chars") - 1
+    pairs = chars.select(
         F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.length("found") - 1),
-                lambda at: _pair_number(F.col("found"), at),
+            F.zip_with(
+                F.slice("chars", 1, rest),
+                F.slice("chars", 2, rest),
+                lambda a, b: _place(a) * size + _place(b),
             )
         ).alias("pair")
     )
@@ -141,11 +216,18 @@ def _log_chances(counts: np.ndarray) -> np.ndarray:
 def _random(parts: Column, ratios: Sequence[float]) -> Column:
     """Spans whose pairs of characters are likelier in random strings."""
     table = F.lit(np.asarray(ratios))
-    score = lambda text: F.aggregate(
-        F.sequence(F.lit(1), F.length(text) - 1),
-        F.lit(0.0),
-        lambda total, at: total + F.get(table, _pair_number(text, at)),
-    )
+
+    def add(state: Column, character: Column) -> Column:
+        at = _place(character)
+        ratio = F.get(table, state["last"] * len(ALPHABET) + at)
+        return F.struct(
+            at.alias("last"), (state["sum"] + F.coalesce(ratio, F.lit(0.0))).alias("sum")
+        )
+
+    def score(text: Column) -> Column:
+        none = F.struct(F.lit(None).cast("int").alias("last"), F.lit(0.0).alias("sum"))
+        return F.aggregate(F.split(text, ""), none, add, lambda state: state["sum"])
+
     enough = lambda s: score(s["found"]) >= RATIO * (F.length(s["found"]) - 1)
     return F.filter(_spans(parts, 3), enough)
 
@@ -176,7 +258,7 @@ def secrets(
     Whole texts are searched where they are read; nothing is shuffled.  A null
     text is empty.  Every row gives one row, repeated rows and null ids too; an
     empty table gives none.  Other columns are not read.  The work on one text
-    grows with the square of the spans in it, not of its length.
+    grows with its length and with the spans in it.
     """
     ratios = pair_ratios(documents, id_column, text_column)
     long_string = rf"(?<!{_STRING}){_STRING}{{{SHORTEST},}}"
@@ -185,11 +267,9 @@ def secrets(
     found = found.withColumns(
         dict(zip(KINDS, [*base_spans(text), _random(_parts(text, long_string), ratios)], strict=True))
     )
-    base = F.concat("assign", "access", "hex")
-    apart = lambda s: ~F.exists(
-        base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
-    )
-    return found.withColumn("markov", F.filter("markov", apart)).drop("text")
+    apart = _apart(F.concat("assign", "access", "hex", "markov"))
+    kept = F.when(F.size("markov") > 0, apart).otherwise(F.col("markov"))
+    return found.withColumn("markov", kept).drop("text")
 
 
 def span_digests(found: DataFrame, id_column: str = "doc_id") -> DataFrame:

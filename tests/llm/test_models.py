@@ -176,6 +176,57 @@ def test_secrets_like_patterns(spark):
         assert [row.n_assign, row.n_access, row.n_hex] == [sum(s[1] == k for s in spans) for k in range(3)]
 
 
+def _markov(text, ratios, base):
+    """The long strings that the pairs' ratios call random, apart from the base spans."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        at = [secrets.ALPHABET.index(c) for c in m[0]]
+        score = sum(ratios[a * len(secrets.ALPHABET) + b] for a, b in zip(at, at[1:], strict=False))
+        alone = all(m.end() <= a or b <= m.start() for a, _, b in base)
+        if alone and score >= secrets.RATIO * (len(at) - 1):
+            out.append((m.start(), m.end()))
+    return out
+
+
+def test_markov_spans_like_brute_force(spark):
+    draw = random.Random(9)
+    key = lambda: base64.b64encode(draw.randbytes(24)).decode()
+    parts = [key, key, lambda: draw.randbytes(20).hex(), lambda: "token=" + key(), lambda: "internationalisation_of_it",
+             lambda: " ", lambda: "\n", lambda: ". ", lambda: "é", lambda: "secret: ", lambda: "a b c ",
+             lambda: "AKIA" + "".join(draw.choices("ABCDEFGHIJKLMNOP", k=16))]
+    texts = ["".join(draw.choice(parts)() for _ in range(draw.choice([0, 5, 40, 700]))) for _ in range(120)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    ratios = secrets.pair_ratios(rows)
+    n = 0
+    for row in secrets.secrets(rows).collect():
+        text, base = texts[row.doc_id], _base(texts[row.doc_id])
+        found = [(s.start, s.kind, s.end) for s in [*row.assign, *row.access, *row.hex]]
+        assert sorted(found) == base
+        assert [(s.start, s.end) for s in row.markov] == _markov(text, ratios, base)
+        n += len(row.markov)
+    assert n > 100
+
+
+def test_very_many_secrets_in_one_text(spark):
+    lines = [hashlib.md5(str(i).encode()).hexdigest() for i in range(100_000)]
+    rows = spark.createDataFrame([(1, "\n".join(lines)), (2, "x" * 1_000_000)], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in secrets.secrets(rows).select("doc_id", F.size("hex").alias("n"), "markov").collect()}
+    assert (got[1].n, got[1].markov, got[2].n) == (100_000, [], 0)
+
+
+def test_copies_do_not_teach_a_language(spark):
+    words = {"en": "the and of to in is that for it was", "et": "ja on ei see et kui oma aga nii veel"}
+    draw = random.Random(2)
+    text = lambda lang: " ".join(draw.choices(words[lang].split(), k=30))
+    copied = text("et")
+    data = [(text("en"), "en") for _ in range(3000)] + [(copied, "et")] * 3000
+    rows = spark.createDataFrame(data, "text string, lang string")
+    model = language.learn(rows)
+    assert model.languages == ["en", "et"]
+    probe = spark.createDataFrame([(1, copied), (2, text("en"))], "doc_id bigint, text string")
+    assert {r[0]: r[1] for r in language.predicted(probe, model).select("doc_id", "lang_pred").collect()} == {1: "et", 2: "en"}
+
+
 def test_random_strings_are_found(spark, tables):
     documents = queries.table(spark, tables, "documents").select("doc_id", "text")
     key = base64.b64encode(hashlib.sha256(b"k").digest()).decode().rstrip("=")

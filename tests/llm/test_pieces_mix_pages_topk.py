@@ -220,6 +220,53 @@ def test_all_parts_of_the_article(page, wanted):
     assert pages.main_text(page) == wanted
 
 
+@pytest.mark.parametrize(
+    ("page", "wanted"),
+    [
+        (f"<nav><ul><li><a href=x>menu</a><article>{ARTICLE}</article>", WANTED),
+        (f"<nav><a href=x>menu</a><h1>Head</h1><p>{LONG}</p><p>End.</p>", f"Head\n{LONG.strip()}\nEnd."),
+        (f"<form id=page><article>{ARTICLE}</article></form>", WANTED),
+        (f"<article>{ARTICLE}</article><aside><article><p>{LONG}</p></article></aside>", WANTED),
+        ("<div>Home</div><div>About</div><div>Login</div>" f"<div>{LONG}</div><div>{LONG}</div><div>&copy; 2024 The Site</div>",
+         f"{LONG.strip()}\n{LONG.strip()}"),
+        (f"<main><header>The site<p>Its line</p></header>{ARTICLE}</main>", WANTED),
+        (f"<article>{ARTICLE}<div role='complementary'>no</div><div class='js-cookie-notice'>no</div></article>", WANTED),
+        (f"<article>{ARTICLE}</article><article class='card'>{ARTICLE}</article>", WANTED),
+    ],
+)
+def test_pages_with_faults_and_without_marks(page, wanted):
+    assert pages.main_text(page) == wanted
+
+
+def test_windows_decide_where_marks_have_no_text(monkeypatch):
+    teasers = "".join(f"<article><p>Read {i}</p></article><hr><hr>" for i in range(3))
+    page = f"<body>{teasers}<div><p>{LONG}</p><p>{LONG}</p></div>"
+    assert pages.main_text(page) == f"{LONG.strip()}\n{LONG.strip()}"
+    monkeypatch.setattr(pages, "_windows", lambda lines, counted: counted > 0)
+    assert pages.main_text(page) != f"{LONG.strip()}\n{LONG.strip()}"
+
+
+def test_pages_like_those_they_are_made_of():
+    draw = random.Random(12)
+    line = lambda n: " ".join(draw.choice("ein Wort über das andere gut gesagt".split()) for _ in range(n))
+    beside = [
+        lambda: f"<nav><a href=x>{line(2)}</a></nav>", lambda: f"<div class='sidebar'><p>{line(30)}</p></div>",
+        lambda: f"<footer>{line(20)}</footer>", lambda: f"<form><p>{line(20)}</p></form>",
+        lambda: f"<script>var x = '{line(40)}'</script>", lambda: f"<!-- <p>{line(40)}</p> -->",
+        lambda: f"<section id='comments'><p>{line(40)}</p></section>", lambda: f"<div class='ad'>{line(9)}</div>",
+    ]
+    for _ in range(400):
+        blocks = [(draw.choice(["p", "h2", "li", "blockquote"]), line(draw.randrange(1, 60))) for _ in range(draw.randrange(1, 9))]
+        inner = "".join(
+            f"<{tag}>{text.replace(' ', draw.choice([' ', '  ', chr(10), '&#32;']), 1)}</{tag}>"
+            + (draw.choice(beside)() if draw.random() < 0.3 else "") for tag, text in blocks
+        )
+        around = [draw.choice(beside)() for _ in range(6)]
+        name, label = draw.choice([("article", ""), ("main", ""), ("div", " class='entry-content'")])
+        page = f"<body>{''.join(around[:3])}<{name}{label}>{inner}</{name}>{''.join(around[3:])}"
+        assert pages.main_text(page) == "\n".join(text for _, text in blocks), page
+
+
 def test_lines_without_an_article():
     links = "".join(f"<li><a href={i}>link {i}</a></li>" for i in range(9))
     body = "".join(f"<p>{'Prose goes on and on. ' * 5}{i}</p>" for i in range(4))
