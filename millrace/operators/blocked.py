@@ -9,25 +9,15 @@ threshold.  Bounds after Anastasiu and Karypis (L2AP, 2014).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import stored
+from .meeting import BLOCK, completed, index_rows, may_reach, placed, shipped
 from .similarity import SimilarPairs, _groups, _numbered, _ranked, _signatures, copies_of
 
-#: Ids in a block of the index, so a row's array and what a task adds up at once are bounded.
-BLOCK = 1 << 15
 #: Products of what two vectors have left are looked at down to this share of the threshold.
 KEEP = 0.25
-# Bounds are compared with this much room, so that rounding cannot lose a pair.
-_SLACK = 1e-9
-_LEVELS = 20
-_ENTRY = ["place", "weight", "unit", "from2", "after2", "left"]
-_SUMS = "id_a bigint, id_b bigint, dot double, common bigint"
 
 
 def blocked_pairs(vectors: DataFrame, threshold: float, min_common: int = 1) -> SimilarPairs:
@@ -44,187 +34,17 @@ def blocked_pairs(vectors: DataFrame, threshold: float, min_common: int = 1) ->
     tasks as there are blocks of ids.  ``vectors`` is read several times; pass a stored table.
     """
     vectors = vectors.filter(F.col("weight") != 0).select("id", "feature", "weight")
-    groups = stored(
-        _groups(_signatures(vectors)).withColumn("place", F.monotonically_increasing_id()), "copies"
-    )
+    groups = placed(_groups(_signatures(vectors)))
     ranked = _ranked(vectors, groups, stored(_numbered(vectors), "features"))
-    rows = stored(_with_rest(ranked, groups), "index")
-    blocks = -(-groups.count() // BLOCK)
-    open_ = _added(_shipped(rows, threshold, blocks), threshold, min_common)
-    found = stored(open_, "open")
-    sums = (
-        found.unionByName(_rest(found, rows, threshold))
-        .groupBy("id_a", "id_b")
-        .agg(F.sum("dot").alias("dot"), F.sum("common").alias("common"))
-    )
-    names = groups.select("place", "id", "copies", "norm2")
-    pairs = (
-        sums.join(names.toDF("id_a", "a", "copies_1", "norm2_a"), "id_a")
-        .join(names.toDF("id_b", "b", "copies_2", "norm2_b"), "id_b")
-        .withColumn("cosine", F.col("dot") / F.sqrt(F.col("norm2_a") * F.col("norm2_b")))
-        .filter((F.col("cosine") >= threshold) & (F.col("common") >= min_common))
-    )
-    first = F.col("a") < F.col("b")
-    return SimilarPairs(
-        pairs.select(
-            F.least("a", "b").alias("id_a"),
-            F.greatest("a", "b").alias("id_b"),
-            F.when(first, F.col("copies_1")).otherwise(F.col("copies_2")).alias("copies_a"),
-            F.when(first, F.col("copies_2")).otherwise(F.col("copies_1")).alias("copies_b"),
-            "common",
-            "cosine",
-        ),
-        copies_of(vectors),
-    )
-
-
-def _with_rest(ranked: DataFrame, groups: DataFrame) -> DataFrame:
-    """``place, feature, unit, from2, after2, left`` of the features that several ids have.
-
-    ``unit`` is the weight relative to the vector's length, ``from2`` the share of the squared length
-    from the feature's rank on, ``after2`` after it, ``left`` the number of features after it.
-    """
-    later = (
-        Window.partitionBy("id").orderBy(F.desc("rank")).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    share = F.col("weight") * F.col("weight") / F.col("norm2")
-    shared = F.count("feature").alias("own")
-    lengths = (
-        ranked.groupBy("id", "rank")
-        .agg(F.sum(share).alias("here2"), shared)
-        .withColumn("after2", F.coalesce(F.sum("here2").over(later), F.lit(0.0)))
-        .withColumn("left", F.coalesce(F.sum("own").over(later), F.lit(0)))
-        .select("id", "rank", (F.col("here2") + F.col("after2")).alias("from2"), "after2", "left")
-    )
-    return (
-        ranked.filter(F.col("feature").isNotNull())
-        .join(lengths, ["id", "rank"])
-        .join(groups.select("id", "place"), "id")
-        .select(
-            "place",
-            "feature",
-            (F.col("weight") / F.sqrt("norm2")).alias("unit"),
-            "weight",
-            "from2",
-            "after2",
-            "left",
-        )
-    )
-
-
-def _shipped(rows: DataFrame, threshold: float, blocks: int) -> DataFrame:
-    """What meets: ``place, block, weight, unit, from2, after2, left`` and the ``entries`` met."""
     least = (KEEP * threshold) ** 2
-    # A level for every quarter of the share left; the last one has no bound of its own.
-    level = F.least(F.floor(F.log2(F.least("from2", F.lit(1.0))) / -2).cast("int"), F.lit(_LEVELS))
-    entry = F.struct(*_ENTRY)
-    index = (
-        rows.withColumn("block", F.pmod(F.xxhash64("place"), F.lit(max(blocks, 1))).cast("int"))
-        .groupBy("feature", "block", level.alias("level"))
-        .agg(F.collect_list(entry).alias("entries"))
+    rows = stored(index_rows(ranked, min_common, least), "index")
+    lists = _shipped(rows, least)
+    found = stored(may_reach(rows, threshold, min_common, KEEP, lists), "open")
+    pairs = completed(found, rows, groups).filter(
+        (F.col("cosine") >= threshold) & (F.col("common") >= min_common)
     )
-    # All entries of a block have at most this share left.
-    most = F.pow(F.lit(0.25), "level") * (1 + _SLACK)
-    met = F.filter(
-        "entries",
-        lambda e: (e["place"] > F.col("place")) & (F.col("from2") * e["from2"] >= least),
-    )
-    return (
-        rows.join(stored(index, "blocks"), "feature")
-        .filter((F.col("from2") * most >= least) | (F.col("level") == _LEVELS))
-        .select("place", "block", "weight", "unit", "from2", "after2", "left", met.alias("entries"))
-        .filter(F.size("entries") > 0)
-    )
-
-
-def _by_pair(values: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """One entry a pair: sums, the largest product from a feature on, the least after it."""
-    order = np.lexsort((values["b"], values["a"]))
-    a, b = values["a"][order], values["b"][order]
-    begins = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(a)])
-    folds = {
-        "dot": np.add,
-        "unit": np.add,
-        "common": np.add,
-        "open2": np.maximum,
-        "after2": np.minimum,
-        "left": np.minimum,
-    }
-    found = {"a": a[begins], "b": b[begins], "block": values["block"][order][begins]}
-    for name, fold in folds.items():
-        own = values[name][order]
-        found[name] = fold.reduceat(own, begins) if len(own) else own
-    return found
-
-
-def _added(shipped: DataFrame, threshold: float, min_common: int) -> DataFrame:
-    """``id_a, id_b, dot, common`` of the pairs that may still reach the threshold."""
-    least = (KEEP * threshold) ** 2
+    return SimilarPairs(pairs, copies_of(vectors))
 
-    def met(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-        lists = batch["entries"]
-        own = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-        flat = lists.flatten()
-        a = {name: batch[name].to_numpy()[own] for name in batch.schema.names if name != "entries"}
-        b = {name: flat.field(name).to_numpy() for name in _ENTRY}
-        return {
-            "a": a["place"],
-            "b": b["place"],
-            "block": a["block"],
-            "dot": a["weight"] * b["weight"],
-            "unit": a["unit"] * b["unit"],
-            "common": np.ones(len(own), dtype=np.int64),
-            "open2": a["from2"] * b["from2"],
-            "after2": a["after2"] * b["after2"],
-            "left": np.minimum(a["left"], b["left"]),
-        }
 
-    def kept(pairs: dict[str, np.ndarray]) -> pa.RecordBatch:
-        # What is missing comes after all that met, and none of it was worth shipping.
-        rest = np.sqrt(np.minimum(pairs["after2"], least))
-        may = (pairs["open2"] >= threshold**2 - _SLACK) & (pairs["unit"] + rest >= threshold - _SLACK)
-        may &= pairs["common"] + pairs["left"] >= min_common
-        return pa.RecordBatch.from_arrays(
-            [pa.array(pairs[name][may]) for name in ("a", "b", "dot", "common")],
-            names=["id_a", "id_b", "dot", "common"],
-        )
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            new = met(batch)
-            if carried is not None:
-                new = {name: np.concatenate([carried[name], new[name]]) for name in new}
-            pairs = _by_pair(new)
-            # The last id and block may go on in the next batch; it has a block's pairs at most.
-            last = (pairs["a"] == batch["place"][-1].as_py()) & (
-                pairs["block"] == batch["block"][-1].as_py()
-            )
-            carried = {name: values[last] for name, values in pairs.items()}
-            yield kept({name: values[~last] for name, values in pairs.items()})
-        if carried is not None:
-            yield kept(carried)
-
-    dealt = shipped.repartition("place", "block").sortWithinPartitions("place", "block")
-    return dealt.mapInArrow(work, _SUMS)
-
-
-def _rest(found: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
-    """What pairs have in common that was not worth shipping."""
-    least = (KEEP * threshold) ** 2
-    one = rows.select("place", "feature", "weight", "from2")
-    a, b = one.toDF("id_a", "feature", "w_a", "s_a"), one.toDF("id_b", "feature", "w_b", "s_b")
-    return (
-        found.select("id_a", "id_b")
-        .join(a, "id_a")
-        .join(b, ["id_b", "feature"])
-        .filter(F.col("s_a") * F.col("s_b") < least)
-        .select(
-            "id_a",
-            "id_b",
-            (F.col("w_a") * F.col("w_b")).alias("dot"),
-            F.lit(1).cast("long").alias("common"),
-        )
-    )
+def _shipped(rows: DataFrame, least: float) -> DataFrame:
+    return shipped(rows, least, BLOCK)

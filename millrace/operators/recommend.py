@@ -64,11 +64,10 @@ def pruned_top_items(model: ALSModel, n: int, users: DataFrame | None = None) ->
 def similar_items(ratings: DataFrame, min_cosine: float, min_users: int = 1) -> SimilarPairs:
     """Item pairs with alike ratings: cosine over users, ``common`` users in both.
 
-    Items are the vectors and users their features.  The ``min_users - 1`` most
-    frequent users of an item pair it with nothing.  Another user who rated very
-    many items does so only where the rarer users of an item leave more than
-    ``min_cosine`` of its length to the frequent ones: with a high bound that is
-    seldom, with a low one often.
+    Items are the vectors and users their features.  With ``min_users`` above 1 the users
+    of an item send it the numbers of their other items, which it counts, and only
+    pairs with enough users are compared.  A user who rated very many items sends them only
+    where much of both vectors is left to the frequent users.
 
     Items with the same ratings stand for each other: ``copies_a, copies_b``
     say for how many, and ``copies`` names them all.

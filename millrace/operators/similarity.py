@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import stored
+from .meeting import completed, index_rows, may_reach, placed, shipped
 
 # Bounds are compared with this much room, so that rounding cannot lose a pair.
 _SLACK = 1e-9
+# With several common features, what is left of two vectors counts down to this share of the bound.
+_KEEP = 0.25
 _MARKS = ["sign_1", "sign_2", "features"]
 
 
@@ -53,16 +56,16 @@ def pair_similarity(vectors: DataFrame, pairs: DataFrame) -> DataFrame:
 def similar_pairs(vectors: DataFrame, threshold: float, min_common: int = 1) -> SimilarPairs:
     """All pairs with a cosine of at least ``threshold``, exactly.
 
-    With ``min_common``, only pairs that share so many features.  The rarest of
-    these is not among the ``min_common - 1`` most frequent features of either,
-    so those leave the heads: a feature that nearly every id has joins nothing,
-    and counts only for the pairs that are left.
+    With ``min_common``, only pairs that share so many features.  Pairs that share
+    fewer are most of those that meet at all, so what meets is first counted as
+    plain numbers in the task of each id (see ``meeting``), and only pairs with
+    enough in common are joined with their vectors.
 
     Ids with the same vector are copies of each other; pairs are formed between
     one id of each set of copies, so a set with a third of all ids costs as much
     as one id.  ``copies`` leads back to every id.
 
-    The rest is prefix filtering (Bayardo, Ma and Srikant, 2007).  Features are
+    Without it, the rest is prefix filtering (Bayardo, Ma and Srikant, 2007).  Features are
     ranked from rare to frequent, and the head of a vector is its rarest part,
     as short as it can be with a remaining tail shorter than the threshold.  Two
     vectors that share nothing in their heads cannot reach the threshold, so
@@ -76,23 +79,24 @@ def similar_pairs(vectors: DataFrame, threshold: float, min_common: int = 1) ->
     ``vectors`` is read several times; pass a stored table.
     """
     vectors = vectors.filter(F.col("weight") != 0).select("id", "feature", "weight")
-    groups = stored(_groups(_signatures(vectors)), "copies")
+    groups = placed(_groups(_signatures(vectors)))
     ranked = stored(_ranked(vectors, groups, stored(_numbered(vectors), "features")), "ranked")
-    heads = _heads(ranked, threshold).withColumn("hot2", F.lit(0.0))
-    hot = None
     if min_common > 1:
-        hot = stored(_most_frequent(ranked, min_common - 1), "hot")
-        heads = _without_hot(heads, hot)
-    met = stored(_met(heads, threshold), "met")
-    sizes = groups.select("id", "copies", "norm2")
-    pairs = (
-        _completed(met, ranked, hot)
-        .join(sizes.toDF("id_a", "copies_a", "norm2_a"), "id_a")
-        .join(sizes.toDF("id_b", "copies_b", "norm2_b"), "id_b")
-        .withColumn("cosine", F.col("dot") / F.sqrt(F.col("norm2_a") * F.col("norm2_b")))
-        .filter((F.col("cosine") >= threshold) & (F.col("common") >= min_common))
-        .select("id_a", "id_b", "copies_a", "copies_b", "common", "cosine")
-    )
+        least = (_KEEP * threshold) ** 2
+        rows = stored(index_rows(ranked, min_common, least), "index")
+        found = may_reach(rows, threshold, min_common, _KEEP, shipped(rows, least))
+        pairs = completed(stored(found, "met"), rows, groups)
+    else:
+        met = stored(_met(_heads(ranked, threshold), threshold), "met")
+        sizes = groups.select("id", "copies", "norm2")
+        pairs = (
+            _completed(met, ranked)
+            .join(sizes.toDF("id_a", "copies_a", "norm2_a"), "id_a")
+            .join(sizes.toDF("id_b", "copies_b", "norm2_b"), "id_b")
+            .withColumn("cosine", F.col("dot") / F.sqrt(F.col("norm2_a") * F.col("norm2_b")))
+            .select("id_a", "id_b", "copies_a", "copies_b", "common", "cosine")
+        )
+    pairs = pairs.filter((F.col("cosine") >= threshold) & (F.col("common") >= min_common))
     return SimilarPairs(pairs, copies_of(vectors))
 
 
@@ -134,17 +138,18 @@ def _numbered(vectors: DataFrame) -> DataFrame:
 
 
 def _ranked(vectors: DataFrame, groups: DataFrame, features: DataFrame) -> DataFrame:
-    """Vectors of the ids that stand for copies: ``id, feature, weight, norm2, rank``.
+    """Vectors of the ids that stand for copies: ``id, feature, weight, norm2, place, rank, df``.
 
     ``rank`` grows with the number of ids that have the feature.  A feature of
     one id alone has rank 0 and no number: it is part of the length only.
     """
     rank = F.floor(4 * F.log2("df")).cast("int")
     return (
-        vectors.join(groups.select("id", "norm2"), "id")
+        vectors.join(groups.select("id", "norm2", "place"), "id")
         .join(features, "feature", "left")
         .select(
             "id",
+            "place",
             F.col("number").alias("feature"),
             "weight",
             "norm2",
@@ -154,28 +159,6 @@ def _ranked(vectors: DataFrame, groups: DataFrame, features: DataFrame) -> DataF
     )
 
 
-def _most_frequent(ranked: DataFrame, n: int) -> DataFrame:
-    """The ``n`` most frequent features of each id: ``id, feature, here2, rank, weight``.
-
-    Spark keeps only so many rows an id before the shuffle.
-    """
-    falling = Window.partitionBy("id").orderBy(F.desc("df"), F.desc("feature"))
-    here2 = F.col("weight") * F.col("weight") / F.col("norm2")
-    return (
-        ranked.filter(F.col("feature").isNotNull())
-        .withColumn("place", F.row_number().over(falling))
-        .filter(F.col("place") <= n)
-        .select("id", "feature", here2.alias("here2"), "rank", "weight")
-    )
-
-
-def _without_hot(heads: DataFrame, hot: DataFrame) -> DataFrame:
-    """The heads without these rows; ``hot2`` is the share of the length that they have."""
-    shares = stored(hot.groupBy("id").agg(F.sum("here2").alias("hot2")), "hot-shares")
-    rest = heads.drop("hot2").join(hot.select("id", "feature"), ["id", "feature"], "left_anti")
-    return rest.join(shares, "id", "left").withColumn("hot2", F.coalesce("hot2", F.lit(0.0)))
-
-
 def _heads(ranked: DataFrame, threshold: float) -> DataFrame:
     """The rows of the heads, with ``after2, cut, tail2``.
 
@@ -206,7 +189,7 @@ def _met(heads: DataFrame, threshold: float) -> DataFrame:
     ``id_a < id_b``, ``dot`` and ``common``, the product and number of the
     features met, and ``cut``: up to that rank nothing is missing.
     """
-    names = ["id", "weight", "norm2", "after2", "cut", "tail2", "hot2"]
+    names = ["id", "weight", "norm2", "after2", "cut", "tail2"]
     a, b = (heads.select("feature", *(F.col(n).alias(f"{n}_{s}") for n in names)) for s in "ab")
     met = a.join(b, "feature").filter(F.col("id_a") < F.col("id_b"))
     # What is missing lies in the tail of the shorter head, and in the other
@@ -221,43 +204,30 @@ def _met(heads: DataFrame, threshold: float) -> DataFrame:
         F.min(F.least("cut_a", "cut_b")).alias("cut"),
         F.max(F.col("norm2_a") * F.col("norm2_b")).alias("norms2"),
         F.min(missing2).alias("missing2"),
-        F.max(F.sqrt("hot2_a") + F.sqrt("hot2_b")).alias("hot"),
     )
-    most = F.col("dot") / F.sqrt("norms2") + F.sqrt("missing2") + F.col("hot")
+    most = F.col("dot") / F.sqrt("norms2") + F.sqrt("missing2")
     return sums.filter(most >= threshold - _SLACK).select("id_a", "id_b", "dot", "common", "cut")
 
 
-def _completed(met: DataFrame, ranked: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """``id_a, id_b, common, dot``: add what the pairs share after the cut, and the hot features."""
-    pairs = met.select("id_a", "id_b", "cut")
-
-    def added(first: DataFrame, s: str, second: DataFrame, t: str, condition: Column) -> DataFrame:
-        one = first.select(
-            F.col("id").alias(f"id_{s}"), "feature", F.col("weight").alias("weight_1"), "rank"
-        )
-        other = second.select(
-            F.col("id").alias(f"id_{t}"), "feature", F.col("weight").alias("weight_2")
-        )
-        return (
-            pairs.join(one, f"id_{s}")
-            .filter(condition)
-            .join(other, [f"id_{t}", "feature"])
-            .select(
-                "id_a",
-                "id_b",
-                (F.col("weight_1") * F.col("weight_2")).alias("dot"),
-                F.lit(1).alias("common"),
-            )
+def _completed(met: DataFrame, ranked: DataFrame) -> DataFrame:
+    """``id_a, id_b, common, dot``: add what the pairs share after the cut."""
+    one = ranked.select(F.col("id").alias("id_a"), "feature", F.col("weight").alias("weight_1"), "rank")
+    other = ranked.select(F.col("id").alias("id_b"), "feature", F.col("weight").alias("weight_2"))
+    after = (
+        met.select("id_a", "id_b", "cut")
+        .join(one, "id_a")
+        .filter(F.col("rank") > F.col("cut"))
+        .join(other, ["id_b", "feature"])
+        .select(
+            "id_a",
+            "id_b",
+            (F.col("weight_1") * F.col("weight_2")).alias("dot"),
+            F.lit(1).alias("common"),
         )
-
-    after, before = F.col("rank") > F.col("cut"), F.col("rank") <= F.col("cut")
-    sums = met.drop("cut").unionByName(added(ranked, "a", ranked, "b", after))
-    if hot is not None:
-        cold = ranked.join(hot.select("id", "feature"), ["id", "feature"], "left_anti")
-        sums = sums.unionByName(added(hot, "a", ranked, "b", before))
-        sums = sums.unionByName(added(hot, "b", cold, "a", before))
+    )
     return (
-        sums
+        met.drop("cut")
+        .unionByName(after)
         .groupBy("id_a", "id_b")
         .agg(F.sum("common").alias("common"), F.sum("dot").alias("dot"))
     )

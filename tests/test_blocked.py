@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import blocked
+from millrace.operators import blocked, meeting
 from millrace.operators.similarity import similar_pairs
 
 
@@ -104,3 +104,39 @@ def test_no_vectors_and_no_pairs(spark):
     assert found(blocked.blocked_pairs(vectors.limit(0), 0.1).pairs) == []
     zero = spark.createDataFrame([(1, "a", 0.0), (2, "a", 0.0)], "id bigint, feature string, weight double")
     assert found(blocked.blocked_pairs(zero, 0.1).pairs) == []
+
+
+def test_counting_leaves_few_rows(spark, monkeypatch):
+    """With several common features an id is one row a feature, however many blocks of ids there are."""
+    vectors = random_vectors(4, 200, 300, 14)
+    for i in range(0, 200, 2):
+        vectors[i]["all"] = 2
+    expected = brute(vectors, 0.2, 3)
+    assert len(expected) > 20
+    seen = {}
+    plain = blocked._shipped
+
+    def kept(*args):
+        found = plain(*args)
+        seen["lists"], seen["met"] = found.count(), found.agg(F.sum(F.size("entries"))).first()[0]
+        seen["types"] = dict(found.dtypes)
+        return found
+
+    monkeypatch.setattr(blocked, "_shipped", kept)
+    monkeypatch.setattr(meeting, "SELDOM", 1 << 14)
+    monkeypatch.setattr(blocked, "BLOCK", 1 << 14)
+    assert found(blocked.blocked_pairs(table(spark, vectors), 0.2, 3).pairs) == expected
+    assert seen["lists"] <= sum(len(v) for v in vectors.values())
+    assert seen["types"]["entries"] == "array<int>" and seen["types"]["sizes"] == "array<tinyint>"
+
+
+@pytest.mark.parametrize("seldom, min_common", [(0, 2), (6, 2), (6, 4), (1 << 8, 3)])
+def test_frequent_features_are_not_lost(spark, monkeypatch, seldom, min_common):
+    """Pairs whose common features are partly too frequent to meet at."""
+    monkeypatch.setattr(meeting, "SELDOM", seldom)
+    monkeypatch.setattr(blocked, "BLOCK", 16)
+    vectors = random_vectors(6, 90, 40, 16)
+    expected = brute(vectors, 0.2, min_common)
+    assert len(expected) > 20
+    assert found(blocked.blocked_pairs(table(spark, vectors), 0.2, min_common).pairs) == expected
+    assert found(similar_pairs(table(spark, vectors), 0.2, min_common).pairs) == expected
