@@ -22,9 +22,11 @@ BLOCK_NUMBERS = 1 << 22
 #: Items of the first block; each further one has four times as many.
 FIRST = 1 << 12
 #: Users and items multiplied at a time.
-_USERS, _ITEMS = 64, 1 << 10
+_USERS, _ITEMS = 256, 1 << 10
 # Lengths are compared with this much room, so that rounding cannot lose an item.
 _ROOM = 1 + 1e-9
+# Quick products are off by less than this share of both lengths multiplied.
+_OFF = 1e-12
 
 _BEST = "best array<struct<score:double,item_id:bigint>>"
 
@@ -43,6 +45,13 @@ def _merged(
     """The ``n`` best of each row out of two sets, ties to the smaller id."""
     both = np.hstack([scores, new])
     named = np.hstack([ids, np.broadcast_to(new_ids, new.shape)])
+    if both.shape[1] > 8 * n:
+        # Only what reaches the n-th score of its row; ties with it all stay.
+        least = -np.partition(-both, n - 1, axis=1)[:, n - 1 : n]
+        some = (both >= least).sum(axis=1).max()
+        top = np.argpartition(-both, some - 1, axis=1)[:, :some] if some < both.shape[1] else None
+        if top is not None:
+            both, named = np.take_along_axis(both, top, 1), np.take_along_axis(named, top, 1)
     order = np.lexsort((named, -both), axis=-1)[:, :n]
     return np.take_along_axis(both, order, 1), np.take_along_axis(named, order, 1)
 
@@ -58,12 +67,19 @@ def _scored(
         if not len(open_):
             break
         end = begin + _ITEMS
+        quick = users[open_] @ factors[begin:end].T
+        met[open_] += quick.shape[1]
+        may = scores[open_, -1] - _OFF * lengths[open_] * norms[begin]
+        reached = quick >= may[:, None]
+        near = np.flatnonzero(reached.any(axis=0))
+        if not len(near):
+            continue
+        raised = reached.any(axis=1)
+        own = open_[raised]
         # Products in a fixed order, whatever the number of users and items.
-        new = np.einsum("ij,kj->ik", users[open_], factors[begin:end])
-        met[open_] += new.shape[1]
-        near = (new >= scores[open_, -1:]).any(axis=0)
-        scores[open_], ids[open_] = _merged(
-            scores[open_], ids[open_], new[:, near], item_ids[begin:end][near], scores.shape[1]
+        new = np.einsum("ij,kj->ik", users[own], factors[begin:end][near])
+        scores[own], ids[own] = _merged(
+            scores[own], ids[own], new, item_ids[begin:end][near], scores.shape[1]
         )
     return met
 

@@ -40,13 +40,16 @@ def factorise(
 
 
 def top_items(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFrame:
-    """The ``n`` best items of each user (or of ``users``): ``user_id, place, item_id, score``."""
-    lists = model.recommendForAllUsers(n) if users is None else model.recommendForUserSubset(users, n)
-    return lists.select("user_id", F.posexplode("recommendations").alias("place", "item")).select(
-        "user_id",
-        (F.col("place") + 1).alias("place"),
-        F.col("item.item_id").alias("item_id"),
-        F.col("item.rating").cast("double").alias("score"),
+    """The ``n`` best items of each user (or of ``users``): ``user_id, place, item_id, score``.
+
+    Exact, but only items that can be among them are scored, see ``top_products``.  Scores have the
+    precision of the factors, which are floats.
+    """
+    return pruned_top_items(model, n, users).select(
+        F.col("user_id").cast("int").alias("user_id"),
+        "place",
+        F.col("item_id").cast("int").alias("item_id"),
+        F.col("score").cast("float").cast("double").alias("score"),
     )
 
 

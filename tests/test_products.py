@@ -82,3 +82,52 @@ def test_like_the_model(spark):
     assert sorted(map(tuple, few)) == sorted(
         (u, p, r.item_id) for (u, p), r in pruned.items() if u in (3, 5)
     )
+
+
+def test_lists_without_all_products(spark, monkeypatch):
+    """``top_items`` leaves out items that cannot be listed, and scores are floats as in the model."""
+    from pyspark.ml.recommendation import ALSModel
+
+    rnd = np.random.default_rng(4)
+    data = [(u, int(i), float(rnd.integers(1, 6))) for u in range(30) for i in rnd.choice(50, 9, False)]
+    ratings = spark.createDataFrame(data, "user_id int, item_id int, rating double")
+    model = recommend.factorise(ratings, rank=5, iterations=3)
+    full = {
+        row.user_id: [(r.item_id, r.rating) for r in row.recommendations]
+        for row in model.recommendForAllUsers(6).collect()
+    }
+
+    def refused(*_):
+        raise AssertionError("all products")
+
+    monkeypatch.setattr(ALSModel, "recommendForAllUsers", refused)
+    got = recommend.top_items(model, 6)
+    assert dict(got.dtypes) == {"user_id": "int", "place": "int", "item_id": "int", "score": "double"}
+    for row in got.collect():
+        item, score = full[row.user_id][row.place - 1]
+        assert row.item_id == item and row.score == pytest.approx(score, rel=1e-6)
+    assert got.count() == sum(map(len, full.values()))
+
+
+def test_slow_products_only_where_they_count(monkeypatch):
+    """Products in fixed order are few; the lists are those of all of them, ties included."""
+    rnd = np.random.default_rng(6)
+    users = rnd.integers(-3, 4, (40, 6)).astype(float)
+    items = rnd.integers(-3, 4, (20_000, 6)).astype(float)
+    norms = np.sqrt((items * items).sum(axis=1))
+    order = np.lexsort((np.arange(len(items)), -norms))
+    seen, plain = [], np.einsum
+
+    def counted(*args):
+        out = plain(*args)
+        seen.append(out.size)
+        return out
+
+    monkeypatch.setattr(products.np, "einsum", counted)
+    scores, ids = np.full((40, 5), -np.inf), np.full((40, 5), np.iinfo(np.int64).max)
+    lengths = np.sqrt((users * users).sum(axis=1))
+    met = products._scored(users, lengths, scores, ids, (order, items[order], norms[order]))
+    monkeypatch.undo()
+    expected = brute(users, items, 5)
+    assert [(u, p + 1, int(ids[u, p]), scores[u, p]) for u in range(40) for p in range(5)] == expected
+    assert sum(seen) < 0.5 * met.sum()
