@@ -11,9 +11,38 @@ from ..functions.text import words
 from ..storage import stored
 
 
-def tokens(documents: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """One row for each word of each document: ``id, pos, term``."""
-    return documents.select(id, F.posexplode(words(F.col(text))).alias("pos", "term"))
+def tokens(
+    documents: DataFrame, text: str = "text", id: str = "doc_id", counted: bool = False
+) -> DataFrame:
+    """One row for each word of each document: ``id, pos, term``.
+
+    With ``counted``, one for each different word of a row of ``documents``: ``id, term, n,
+    alone``, where ``alone`` says that no other row has the id.  The words are counted
+    in place, which takes neither a shuffle nor a table of words in the map tasks.
+    """
+    if not counted:
+        return documents.select(id, F.posexplode(words(F.col(text))).alias("pos", "term"))
+    again = documents.groupBy(id).count().filter(F.col("count") > 1)
+    again = stored(again.select(F.col(id).alias("_again"), F.lit(False).alias("alone")), "again")
+    marked = documents.select(id, text).join(again, F.col(id).eqNullSafe(F.col("_again")), "left")
+    # In steps: an expression inside of another's function would run once a word.
+    ordered = marked.select(
+        id, F.coalesce("alone", F.lit(True)).alias("alone"), F.sort_array(words(F.col(text))).alias("_words")
+    )
+    size = F.size("_words")
+    ends = F.filter(
+        F.sequence(F.lit(1), size),
+        lambda i: (i == size) | (F.get("_words", i) != F.get("_words", i - 1)),
+    )
+    ended = ordered.filter(size > 0).withColumn("_ends", ends)
+    runs = F.transform(
+        "_ends",
+        lambda end, k: F.struct(
+            F.get("_words", end - 1).alias("term"),
+            (end - F.coalesce(F.get("_ends", k - 1), F.lit(0))).cast("bigint").alias("n"),
+        ),
+    )
+    return ended.select(id, "alone", F.inline(runs)).select(id, "term", "n", "alone")
 
 
 def without_stop_words(terms: DataFrame, stop_words: Iterable[str] | DataFrame) -> DataFrame:
@@ -30,8 +59,12 @@ def without_stop_words(terms: DataFrame, stop_words: Iterable[str] | DataFrame)
 
 
 def term_frequency(terms: DataFrame, id: str = "doc_id") -> DataFrame:
-    """``id, term, tf``."""
-    return terms.groupBy(id, "term").agg(F.count("*").alias("tf"))
+    """``id, term, tf``, from words one by one or ``counted``; only ids that come again are added up."""
+    if "n" not in terms.columns:
+        return terms.groupBy(id, "term").agg(F.count("*").alias("tf"))
+    once = terms.filter("alone").select(id, "term", F.col("n").alias("tf"))
+    again = terms.filter(~F.col("alone")).groupBy(id, "term").agg(F.sum("n").alias("tf"))
+    return once.unionByName(again)
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:

@@ -41,8 +41,8 @@ _TERMS = f"""
 
 
 def _tf(spark: SparkSession, root: str) -> DataFrame:
-    clean = op.without_stop_words(op.tokens(documents(spark, root)), all_stop_words())
-    return op.term_frequency(clean)
+    counted = op.tokens(documents(spark, root), counted=True)
+    return op.term_frequency(op.without_stop_words(counted, all_stop_words()))
 
 
 def _weights(spark: SparkSession, root: str) -> DataFrame:

@@ -254,3 +254,20 @@ def test_logistic_slopes_are_those_of_the_penalised_loss(spark):
     assert best.steepest < 1e-3
     early = classify.logistic_slopes(classify.train_logistic(frame, width=64, iterations=0), frame).first()
     assert early.steepest > 10 * best.steepest
+
+
+def test_counted_words_need_no_shuffle(spark):
+    """Words of a text are counted in its row; only ids that come again, or are null, are added up."""
+    rows = [(1, "b a b. B"), (2, "a"), (2, "a c a"), (None, "x"), (None, "x y"), (3, ""), (4, None), (5, "1 2")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    plain = terms.term_frequency(terms.tokens(frame))
+    counted = terms.tokens(frame, counted=True)
+    found = terms.term_frequency(counted)
+    assert found.schema.simpleString() == plain.schema.simpleString()
+    key = lambda row: (row[0] is None, row[0] or 0, row[1])
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(map(tuple, plain.collect()), key=key)
+    assert {(r[0], r.alone) for r in counted.collect()} == {(1, True), (2, False), (None, False)}
+    text = counted.filter("alone")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in text
+    empty = terms.term_frequency(terms.tokens(frame.limit(0), counted=True))
+    assert empty.collect() == []
