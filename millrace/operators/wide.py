@@ -113,10 +113,15 @@ def _back(
     total: np.ndarray,
 ) -> None:
     """Add the transposed sparse rows times their products to ``total``."""
+    if not len(columns):
+        return
     row = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    own, place = np.unique(columns, return_inverse=True)
-    for j in range(products.shape[1]):
-        total[own, j] += np.bincount(place, values * products[row, j], len(own))
+    order = np.argsort(columns, kind="stable")
+    sorted_ = columns[order]
+    begins = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
+    parts = products[row[order]]
+    parts *= values[order, None]
+    total[sorted_[begins]] += np.add.reduceat(parts, begins, axis=0)
 
 
 def _triangle(rows: np.ndarray) -> np.ndarray:

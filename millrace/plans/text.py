@@ -249,10 +249,13 @@ def pca_wide(spark: SparkSession, root: str) -> DataFrame:
     """
     hashed = F.conv(F.substring(F.md5("term"), 1, 4), 16, 10).cast("int")
     counts = _tf(spark, root).groupBy("doc_id", hashed.alias("f")).agg(F.sum("tf").alias("tf"))
-    listed = counts.groupBy("doc_id").agg(F.collect_list(F.struct("f", "tf")).alias("row"))
-    norm = F.sqrt(F.aggregate("row", F.lit(0.0), lambda s, e: s + e["tf"] * e["tf"]))
+    # The length is a sum of the group: as a fold over the row it would run once an entry.
+    listed = counts.groupBy("doc_id").agg(
+        F.collect_list(F.struct("f", "tf")).alias("row"),
+        F.sqrt(F.sum((F.col("tf") * F.col("tf")).cast("double"))).alias("norm"),
+    )
     rows = stored(
-        listed.withColumn("norm", norm).select(
+        listed.select(
             F.col("row.f").alias("indices"),
             F.transform("row.tf", lambda tf: tf / F.col("norm")).alias("values"),
         ),
