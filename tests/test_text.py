@@ -271,3 +271,12 @@ def test_counted_words_need_no_shuffle(spark):
     assert "hashpartitioning" not in text
     empty = terms.term_frequency(terms.tokens(frame.limit(0), counted=True))
     assert empty.collect() == []
+
+
+def test_few_sums_of_a_fit_reach_the_driver(spark):
+    """The tasks' sums are added up in more steps than Spark's two, by tasks that go by size."""
+    rows = [(f"word{k % 7} lamp" if k % 2 else f"word{k % 5} table", k % 2) for k in range(60)]
+    frame = spark.createDataFrame(rows, "text string, label int").repartition(40)
+    model = classify.train_logistic(frame, width=64, iterations=3)
+    assert model.stages[-1].getAggregationDepth() >= 4
+    assert classify.apply_logistic(model, frame).filter("prediction = label").count() == 60

@@ -97,3 +97,19 @@ def test_too_wide(spark):
     rows = spark.createDataFrame([([0], [1.0])], "indices array<int>, values array<double>")
     with pytest.raises(ValueError, match="more than"):
         wide.wide_components(rows, 1 << 24, 2)
+
+
+def test_lengths_of_documents_are_sums_of_the_group(spark, tables, monkeypatch):
+    """A fold over the row beside its entries would run once an entry."""
+    from millrace.plans import text
+
+    class Seen(Exception):
+        pass
+
+    def seen(rows, _):
+        raise Seen(rows._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(text, "stored", seen)
+    with pytest.raises(Seen) as plan:
+        text.pca_wide(spark, tables)
+    assert "transform(" in str(plan.value) and "aggregate(" not in str(plan.value)
