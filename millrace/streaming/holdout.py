@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -10,40 +11,80 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegralType, LongType, StringType, StructField, StructType
 
 from ..functions.parsing import field, fields, number
 from ..operators.splits import BASE, TEST
 
 _FIRST = "_first"
+_PART, _AT = "_part", "_at"
 _SEEN = StructType([StructField("n", LongType())])
 
+#: Users share so many parts; the state is called once for a part of a batch, not for a user.  The
+#: state is filed by part, so a stream that goes on from a checkpoint must not change it.
+PARTS = 1 << 11
+#: The part of null users.
+_NO_USER = -1
+
 
 class _Numbered(StatefulProcessor):
-    """Numbers the ratings of a user; holds no more than ``stop`` of a batch at a time."""
+    """Numbers the ratings of the users of a part; holds no more than ``stop`` of a user's at a time."""
 
-    def __init__(self, start: int, stop: int, order: str, columns: list[str]):
+    def __init__(self, start: int, stop: int, user: StructField, order: str, columns: list[str]):
         self._start, self._stop = start, stop
-        self._order, self._columns = order, columns
+        self._user, self._order, self._columns = user, order, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._seen = handle.getValueState("seen", _SEEN)
+        key = StructType([StructField(self._user.name, self._user.dataType)])
+        self._seen = handle.getMapState("seen", key, _SEEN)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seen = int(self._seen.get()[0]) if self._seen.exists() else 0
-        room = max(self._stop - seen, 0)
-        first, n = None, 0
+        known: dict[Any, int] = {}
+        seen, new = [], np.zeros(0, dtype=np.int64)
+        first = None
         for chunk in rows:
-            n += len(chunk)
+            at = self._places(chunk, key[0] == _NO_USER, known, seen)
+            new = np.bincount(at, minlength=len(seen)) + np.pad(new, (0, len(seen) - len(new)))
+            chunk = chunk.assign(**{_AT: at})
             both = chunk if first is None else pd.concat([first, chunk])
-            both = both.sort_values(self._order, kind="stable")
-            first = both.iloc[:room]
-            yield from self._emitted(both.iloc[room:], False)
+            both, rank = self._ranked(both)
+            room = rank < np.maximum(self._stop - np.array(seen), 0)[both[_AT]]
+            first = both[room]
+            yield from self._emitted(both[~room], False)
         if first is not None and len(first):
-            at = seen + 1 + np.arange(len(first))
-            yield from self._emitted(first, at >= self._start)
-        # Beyond ``stop`` the exact number decides nothing.
-        self._seen.update((min(seen + n, self._stop),))
+            first, rank = self._ranked(first)
+            number = np.array(seen)[first[_AT]] + 1 + rank
+            yield from self._emitted(first, number >= self._start)
+        for user, place in known.items():
+            # Beyond ``stop`` the exact number decides nothing.
+            n = min(seen[place] + int(new[place]), self._stop)
+            if n != seen[place]:
+                self._seen.updateValue((user,), (n,))
+
+    def _places(self, chunk: pd.DataFrame, no_user: bool, known: dict, seen: list[int]) -> np.ndarray:
+        """The place of each row's user in ``known``; what the state has goes to ``seen``."""
+        codes, users = pd.factorize(chunk[self._user.name], use_na_sentinel=False)
+        places = np.zeros(len(users), dtype=np.int64)
+        for code, user in enumerate(users):
+            user = None if no_user else self._plain(user)
+            if user not in known:
+                known[user] = len(seen)
+                before = self._seen.getValue((user,))
+                seen.append(int(before[0]) if before is not None else 0)
+            places[code] = known[user]
+        return places[codes]
+
+    def _plain(self, user: Any) -> Any:
+        if isinstance(self._user.dataType, IntegralType):
+            return int(user)
+        return user.item() if isinstance(user, np.generic) else user
+
+    def _ranked(self, rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+        """The rows user by user and by ``order``, and their ranks from 0."""
+        rows = rows.iloc[np.lexsort((rows[self._order], rows[_AT]))]
+        own, place = rows[_AT].to_numpy(), np.arange(len(rows))
+        begins = np.concatenate(([True], own[1:] != own[:-1]))[: len(own)]
+        return rows, place - np.maximum.accumulate(np.where(begins, place, 0))
 
     def _emitted(self, rows: pd.DataFrame, test) -> Iterator[pd.DataFrame]:
         if len(rows):
@@ -82,19 +123,23 @@ def holdout_stream(
     output appends.  If batches follow ``order`` it equals ``splits.user_holdout``.  A
     null user is a user of its own.
 
-    The state is one number a user.  Of a user's rows, each task sends only the first ``stop`` of
-    every Arrow batch to the user's state; the others are base whatever comes, and stay where
-    they are.  A user with a third of all rows so sends a few rows a batch.  The session must
-    use the RocksDB state store, see ``custom_state.rocksdb_state``.
+    The state is one number a user, in maps of users that ``PARTS`` parts share: a batch calls the
+    state once for each part, and reads and writes the numbers of the users that came.  Of a
+    user's rows, each task sends only the first ``stop`` of every Arrow batch to the state; the others
+    are base whatever comes, and stay where they are.  A user with a third of all rows so sends a
+    few rows a batch.  The session must use the RocksDB state store, see
+    ``custom_state.rocksdb_state``.
     """
     marked = _first_of_task(ratings, user, order, stop)
     output = StructType([*ratings.schema.fields, StructField("role", StringType())])
+    part = F.when(F.col(user).isNull(), _NO_USER).otherwise(F.pmod(F.xxhash64(user), F.lit(PARTS)))
     numbered = (
         marked.filter(_FIRST)
         .drop(_FIRST)
-        .groupBy(user)
+        .withColumn(_PART, part.cast("int"))
+        .groupBy(_PART)
         .transformWithStateInPandas(
-            statefulProcessor=_Numbered(start, stop, order, ratings.columns),
+            statefulProcessor=_Numbered(start, stop, ratings.schema[user], order, ratings.columns),
             outputStructType=output,
             outputMode="Append",
             timeMode="None",

@@ -25,12 +25,14 @@ def state_at(
     """Every key and its state after a batch, by default the last one: the key's columns
     and the state's.
 
-    ``variable`` names the value of a custom state; an aggregate has none.  Spark keeps the
+    ``variable`` names the value of a custom state; an aggregate has none.  A map gives a row
+    for each of its keys, without columns of the grouping key that begin with an underscore: these
+    only deal the map's keys out.  Spark keeps the
     last 100 batches (``spark.sql.streaming.minBatchesToRetain``).
     """
     options = {} if batch_id is None else {"batchId": str(batch_id)}
     rows = _read(spark, checkpoint, options, variable)
-    return rows.select("key.*", "value.*")
+    return rows.select(*_columns(rows))
 
 
 def state_changes(
@@ -46,7 +48,14 @@ def state_changes(
         "changeEndBatchId": str(last),
     }
     rows = _read(spark, checkpoint, options, variable)
-    return rows.select("batch_id", F.col("change_type").alias("change"), "key.*", "value.*")
+    return rows.select("batch_id", F.col("change_type").alias("change"), *_columns(rows))
+
+
+def _columns(rows: DataFrame) -> list[str]:
+    if "user_map_key" not in rows.columns:
+        return ["key.*", "value.*"]
+    own = [f"key.`{name}`" for name in rows.schema["key"].dataType.names if name[0] != "_"]
+    return [*own, "user_map_key.*", "user_map_value.*"]
 
 
 def _read(

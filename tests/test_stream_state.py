@@ -130,6 +130,28 @@ def test_holdout_line_by_line(spark, folder, start, stop):
     assert dict(rows(state)) == counts
 
 
+def test_holdout_calls_the_state_by_part(spark, folder):
+    """3000 users in 2 batches, one null and one with text: one call a part, not one a user."""
+    def texts(n):
+        return [f"{user if user else ''},{pos}" for pos, user in enumerate(list(range(3000)) * n)]
+
+    with rocksdb_state(spark):
+        for batch, n in ((0, 2), (1, 3)):
+            drop(spark, texts(n), folder)
+            lines = stream_lines(spark, f"{folder}/lines").selectExpr("split(value, ',') AS p")
+            ratings = lines.selectExpr("nullif(p[0], '') AS who", f"int(p[1]) + {batch}000000 AS pos", "null AS no")
+            run(holdout_stream(ratings, 2, 3, user="who"), folder, "append")
+    filed = read_batches(spark, f"{folder}/out")
+    assert filed.count() == 15_000
+    tests = filed.filter("role = 'test'").selectExpr("pos").collect()
+    assert {r.pos for r in tests} == {*range(3000, 6000), *range(1_000_000, 1_003_000)}
+    state = state_at(spark, f"{folder}/state", variable="seen")
+    assert state.columns == ["who", "n"] and dict(rows(state.filter("who < '1'"))) == {}
+    assert {r.n for r in state.collect()} == {3} and state.filter("who IS NULL").count() == 1
+    parts = spark.read.format("statestore").option("stateVarName", "seen").load(f"{folder}/state")
+    assert parts.select("key").distinct().count() < 2100
+
+
 def test_a_hot_user_sends_few_rows_to_its_state(spark):
     from millrace.streaming.holdout import _first_of_task
 
