@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import stored
+from .given import listed, pair_products
 from .meeting import completed, index_rows, may_reach, placed, shipped
 
 # Bounds are compared with this much room, so that rounding cannot lose a pair.
@@ -30,26 +31,14 @@ def pair_similarity(vectors: DataFrame, pairs: DataFrame) -> DataFrame:
     """The cosine of given pairs: ``id_a, id_b, cosine``, each pair once.
 
     0 without a common feature; an id that has no rows is the zero vector.  A
-    pair that is listed again counts once.  The lengths are filed, so that an id
-    in very many pairs can be split.
+    pair that is listed again counts once.  The vectors are filed, each in one row, so
+    that an id in very many pairs can be split, and a pair is multiplied where its rows meet.
     """
     pairs = pairs.select("id_a", "id_b").distinct()
-    lengths = F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm")
-    norms = stored(vectors.groupBy("id").agg(lengths), "norms")
-    a = vectors.toDF("id_a", "feature", "weight_a")
-    b = vectors.toDF("id_b", "feature", "weight_b")
-    dots = (
-        pairs.join(a, "id_a")
-        .join(b, ["id_b", "feature"])
-        .groupBy("id_a", "id_b")
-        .agg(F.sum(F.col("weight_a") * F.col("weight_b")).alias("dot"))
-    )
-    cosine = F.col("dot") / (F.col("norm_a") * F.col("norm_b"))
-    return (
-        pairs.join(dots, ["id_a", "id_b"], "left")
-        .join(norms.toDF("id_a", "norm_a"), "id_a", "left")
-        .join(norms.toDF("id_b", "norm_b"), "id_b", "left")
-        .select("id_a", "id_b", F.coalesce(cosine, F.lit(0.0)).alias("cosine"))
+    dots = pair_products(pairs, stored(listed(vectors), "listed"))
+    cosine = F.col("dot") / (F.sqrt("norm2_a") * F.sqrt("norm2_b"))
+    return dots.select(
+        "id_a", "id_b", F.when(F.col("common") > 0, cosine).otherwise(0.0).alias("cosine")
     )
 
 

@@ -77,15 +77,23 @@ def document_count(documents: DataFrame) -> Column:
     return documents.select(F.count("*")).scalar()
 
 
-def tfidf(tf: DataFrame, n_documents: Column | int, id: str = "doc_id") -> DataFrame:
+def tfidf(
+    tf: DataFrame, n_documents: Column | int, id: str = "doc_id", numbered: bool = False
+) -> DataFrame:
     """``id, term, weight`` with weight ``tf * ln((m + 1) / (df + 1))``.
 
+    With ``numbered``, a whole number stands for each term, for results that do not show it:
+    vectors of numbers are shorter than vectors of words.
+
     ``df`` has one row a term and is filed first: a term that is in every
     document makes only the ``tf`` side of the join large, and with a plain
     shuffle on both sides Spark splits it.  ``tf`` is read twice; pass a stored table.
     """
     m = n_documents if isinstance(n_documents, Column) else F.lit(n_documents)
     idf = F.log((m + 1) / (F.col("df") + 1))
-    return tf.join(stored(document_frequency(tf), "frequencies"), "term").select(
-        id, "term", (F.col("tf") * idf).alias("weight")
+    frequency = document_frequency(tf)
+    if numbered:
+        frequency = frequency.withColumn("number", F.monotonically_increasing_id())
+    return tf.join(stored(frequency, "frequencies"), "term").select(
+        id, F.col("number" if numbered else "term").alias("term"), (F.col("tf") * idf).alias("weight")
     )

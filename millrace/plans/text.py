@@ -45,14 +45,19 @@ def _tf(spark: SparkSession, root: str) -> DataFrame:
     return op.term_frequency(op.without_stop_words(counted, all_stop_words()))
 
 
-def _weights(spark: SparkSession, root: str) -> DataFrame:
+def _weights(spark: SparkSession, root: str, numbered: bool = False) -> DataFrame:
     tf = stored(_tf(spark, root), "tf")
-    return op.tfidf(tf, op.document_count(document_ids(spark, root)))
+    return op.tfidf(tf, op.document_count(document_ids(spark, root)), numbered=numbered)
+
+
+def _numbers(spark: SparkSession, root: str) -> DataFrame:
+    """The weights, a number for each term."""
+    return _weights(spark, root, True).toDF("id", "feature", "weight")
 
 
 def _vectors(spark: SparkSession, root: str) -> DataFrame:
-    """The weights as a table, since comparing documents reads them several times."""
-    return stored(_weights(spark, root).toDF("id", "feature", "weight"), "weights")
+    """The same as a table, since comparing documents reads them several times."""
+    return stored(_numbers(spark, root), "weights")
 
 
 @query(
@@ -132,7 +137,7 @@ def neighbour_similarity(spark: SparkSession, root: str) -> DataFrame:
     ids = document_ids(spark, root)
     following = ids.select((F.col("doc_id") - 1).alias("doc_id"), F.col("doc_id").alias("id_b"))
     pairs = ids.join(following, "doc_id").withColumnRenamed("doc_id", "id_a")
-    return pair_similarity(_vectors(spark, root), pairs).select(
+    return pair_similarity(_numbers(spark, root), pairs).select(
         F.col("id_a").alias("doc_id"), F.round("cosine", 8).alias("cosine")
     )
 
@@ -155,7 +160,7 @@ def repeated_pair_similarity(spark: SparkSession, root: str) -> DataFrame:
     there = apart.join(ids.withColumnRenamed("doc_id", "id_a"), "id_a", "left_semi")
     again = there.filter(F.col("id_a") % 3 == 0)
     pairs = there.unionByName(there).unionByName(again)
-    return pair_similarity(_vectors(spark, root), pairs).withColumn(
+    return pair_similarity(_numbers(spark, root), pairs).withColumn(
         "cosine", F.round("cosine", 8)
     )
 

@@ -80,6 +80,25 @@ def test_given_pairs(spark):
     assert found == {(2, 3): pytest.approx(1), (1, 2): 0, (1, 9): 0}
 
 
+def test_given_pairs_are_joined_by_id_alone(spark):
+    """Vectors meet as rows: no row of a join or shuffle is an entry of a pair's vector."""
+    rows = [(1, "a", 3.0), (1, "b", 4.0), (2, "b", 2.0), (3, "a", 1.0), (3, "a", 2.0), (4, "a", 0.0), (5, None, 2.0),
+            (None, "a", 1.0), (6, "b", -1.0), (6, None, 1.0)]
+    vectors = spark.createDataFrame(rows, "id bigint, feature string, weight double")
+    listed = [(1, 2), (1, 3), (3, 1), (1, 4), (1, 5), (5, 5), (None, 1), (1, None), (7, 8), (1, 6), (2, 2)]
+    pairs = spark.createDataFrame(listed, "id_a bigint, id_b bigint")
+    result = pair_similarity(vectors, pairs)
+    found = {(r[0], r[1]): r[2] for r in result.collect()}
+    hit = {(1, 2): 0.8, (1, 3): 9 / 5 / 5**0.5, (3, 1): 9 / 5 / 5**0.5, (1, 6): -0.8 / 2**0.5, (2, 2): 1}
+    assert found == {pair: pytest.approx(hit.get(pair, 0)) for pair in listed}
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert [line for line in plan.splitlines() if "Join" in line]
+    assert not [line for line in plan.splitlines() if "Join" in line and "feature" in line]
+    assert pair_similarity(vectors.limit(0), pairs).agg(F.sum("cosine")).first()[0] == 0
+    numbers = vectors.withColumn("feature", F.ascii("feature"))
+    assert {(r[0], r[1]): r[2] for r in pair_similarity(numbers, pairs).collect()} == found
+
+
 def test_copies_are_one_document(spark):
     found = similar_pairs(weights(spark).toDF("id", "feature", "weight"), 0.5)
     assert found.pairs.count() == 0
