@@ -190,6 +190,11 @@ def completed(found: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame
         .groupBy("id_a", "id_b")
         .agg(F.sum(F.col("w_a") * F.col("w_b")).alias("dot"), F.count("*").alias("common"))
     )
+    return named(sums, groups)
+
+
+def named(sums: DataFrame, groups: DataFrame) -> DataFrame:
+    """``id_a, id_b, copies_a, copies_b, common, cosine`` of places with ``dot`` and ``common``."""
     names = groups.select("place", "id", "copies", "norm2")
     pairs = (
         sums.join(names.toDF("id_a", "a", "copies_1", "norm2_a"), "id_a")

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import stored
-from .given import listed, pair_products
-from .meeting import completed, index_rows, may_reach, placed, shipped
+from .given import family_products, listed, pair_products
+from .meeting import completed, index_rows, may_reach, named, placed, shipped
 
 # Bounds are compared with this much room, so that rounding cannot lose a pair.
 _SLACK = 1e-9
@@ -58,8 +58,9 @@ def similar_pairs(vectors: DataFrame, threshold: float, min_common: int = 1) ->
     ranked from rare to frequent, and the head of a vector is its rarest part,
     as short as it can be with a remaining tail shorter than the threshold.  Two
     vectors that share nothing in their heads cannot reach the threshold, so
-    only heads are joined, and the frequent features, which would join almost
-    everything with everything, only count for the few pairs that are left.
+    only heads are joined, and only where the rest of both together can reach it.  The
+    pairs that are left are multiplied family by family (see ``given``): a vector is sent to
+    groups of pairs, not to each of its pairs.
 
     Ranks are steps of the document frequency, four to a doubling.  Lengths are
     then sums by id and rank, at most some 250 rows an id, and no window ever
@@ -77,14 +78,10 @@ def similar_pairs(vectors: DataFrame, threshold: float, min_common: int = 1) ->
         pairs = completed(stored(found, "met"), rows, groups)
     else:
         met = stored(_met(_heads(ranked, threshold), threshold), "met")
-        sizes = groups.select("id", "copies", "norm2")
-        pairs = (
-            _completed(met, ranked)
-            .join(sizes.toDF("id_a", "copies_a", "norm2_a"), "id_a")
-            .join(sizes.toDF("id_b", "copies_b", "norm2_b"), "id_b")
-            .withColumn("cosine", F.col("dot") / F.sqrt(F.col("norm2_a") * F.col("norm2_b")))
-            .select("id_a", "id_b", "copies_a", "copies_b", "common", "cosine")
+        entries = ranked.filter(F.col("feature").isNotNull()).select(
+            F.col("place").alias("id"), "feature", "weight"
         )
+        pairs = named(family_products(met, stored(listed(entries), "listed")), groups)
     pairs = pairs.filter((F.col("cosine") >= threshold) & (F.col("common") >= min_common))
     return SimilarPairs(pairs, copies_of(vectors))
 
@@ -149,74 +146,45 @@ def _ranked(vectors: DataFrame, groups: DataFrame, features: DataFrame) -> DataF
 
 
 def _heads(ranked: DataFrame, threshold: float) -> DataFrame:
-    """The rows of the heads, with ``after2, cut, tail2``.
+    """``place, feature, size, from2, after2`` of the rows of the heads.
 
-    ``after2`` is the share of ``norm2`` after the row's rank, ``cut`` the last
-    rank of the head and ``tail2`` the share that follows it.
+    ``size`` is the weight's share of the vector's length; ``from2`` is the share of ``norm2``
+    from the row's rank on, ``after2`` what follows the rank.
     """
-    falling = Window.partitionBy("id").orderBy(F.desc("rank"))
-    later = falling.rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("id").orderBy(F.desc("rank")).rowsBetween(Window.unboundedPreceding, -1)
     lengths = (
         ranked.groupBy("id", "rank")
         .agg(F.sum(F.col("weight") * F.col("weight") / F.col("norm2")).alias("here2"))
         .withColumn("after2", F.coalesce(F.sum("here2").over(later), F.lit(0.0)))
-        .filter(F.col("here2") + F.col("after2") >= threshold**2 - _SLACK)
-        .withColumn("cut", F.first("rank").over(falling))
-        .withColumn("tail2", F.first("after2").over(falling))
+        .withColumn("from2", F.col("here2") + F.col("after2"))
+        .filter(F.col("from2") >= threshold**2 - _SLACK)
         .drop("here2")
     )
     return (
         ranked.filter(F.col("feature").isNotNull())
         .join(lengths, ["id", "rank"])
-        .drop("rank", "df")
+        .select("place", "feature", (F.col("weight") / F.sqrt("norm2")).alias("size"), "from2", "after2")
     )
 
 
 def _met(heads: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose heads meet and that may reach the threshold.
+    """``id_a, id_b`` by place, each pair once: those that may reach the threshold.
 
-    ``id_a < id_b``, ``dot`` and ``common``, the product and number of the
-    features met, and ``cut``: up to that rank nothing is missing.
+    The rarest common feature of two vectors has the largest product of ``from2``, whose root
+    bounds their cosine, so they need to meet only where this product suffices.  From the last
+    feature met on, all they share lies after its rank.
     """
-    names = ["id", "weight", "norm2", "after2", "cut", "tail2"]
-    a, b = (heads.select("feature", *(F.col(n).alias(f"{n}_{s}") for n in names)) for s in "ab")
-    met = a.join(b, "feature").filter(F.col("id_a") < F.col("id_b"))
-    # What is missing lies in the tail of the shorter head, and in the other
-    # vector after the most frequent feature met.
-    a_shorter = F.col("cut_a") <= F.col("cut_b")
-    missing2 = F.when(a_shorter, F.col("tail2_a") * F.col("after2_b")).otherwise(
-        F.col("tail2_b") * F.col("after2_a")
+    names = ["size", "from2", "after2"]
+    a, b = (
+        heads.select("feature", F.col("place").alias(f"id_{s}"), *(F.col(n).alias(f"{n}_{s}") for n in names))
+        for s in "ab"
     )
-    sums = met.groupBy("id_a", "id_b").agg(
-        F.sum(F.col("weight_a") * F.col("weight_b")).alias("dot"),
-        F.count("*").alias("common"),
-        F.min(F.least("cut_a", "cut_b")).alias("cut"),
-        F.max(F.col("norm2_a") * F.col("norm2_b")).alias("norms2"),
-        F.min(missing2).alias("missing2"),
-    )
-    most = F.col("dot") / F.sqrt("norms2") + F.sqrt("missing2")
-    return sums.filter(most >= threshold - _SLACK).select("id_a", "id_b", "dot", "common", "cut")
-
-
-def _completed(met: DataFrame, ranked: DataFrame) -> DataFrame:
-    """``id_a, id_b, common, dot``: add what the pairs share after the cut."""
-    one = ranked.select(F.col("id").alias("id_a"), "feature", F.col("weight").alias("weight_1"), "rank")
-    other = ranked.select(F.col("id").alias("id_b"), "feature", F.col("weight").alias("weight_2"))
-    after = (
-        met.select("id_a", "id_b", "cut")
-        .join(one, "id_a")
-        .filter(F.col("rank") > F.col("cut"))
-        .join(other, ["id_b", "feature"])
-        .select(
-            "id_a",
-            "id_b",
-            (F.col("weight_1") * F.col("weight_2")).alias("dot"),
-            F.lit(1).alias("common"),
-        )
+    met = a.join(b, "feature").filter(
+        (F.col("id_a") < F.col("id_b")) & (F.col("from2_a") * F.col("from2_b") >= threshold**2 - _SLACK)
     )
-    return (
-        met.drop("cut")
-        .unionByName(after)
-        .groupBy("id_a", "id_b")
-        .agg(F.sum("common").alias("common"), F.sum("dot").alias("dot"))
+    sums = met.groupBy("id_a", "id_b").agg(
+        F.sum(F.col("size_a") * F.col("size_b")).alias("dot"),
+        F.min(F.col("after2_a") * F.col("after2_b")).alias("missing2"),
     )
+    most = F.col("dot") + F.sqrt(F.greatest("missing2", F.lit(0.0)))
+    return sums.filter(most >= threshold - _SLACK).select("id_a", "id_b")

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.text import STOP_WORDS, all_stop_words
-from millrace.operators import classify, similarity, terms
+from millrace.operators import classify, given, similarity, terms
 from millrace.operators.recommend import similar_items
 from millrace.operators.similarity import copies_of, pair_similarity, similar_pairs
 
@@ -183,6 +183,28 @@ def test_a_user_who_rated_everything_pairs_nothing(spark):
     assert ranked == [500 * 6]
 
 
+def test_a_family_of_near_copies_is_sent_once(spark):
+    """200 ids that are all alike: their vectors go to the groups of pairs, not to each pair."""
+    ids = [(i, j) for j in range(200) for i in range(j)]
+    pairs = spark.createDataFrame(ids + [(500, 501)], "id_a bigint, id_b bigint")
+    dealt = given.tiles(pairs)
+    assert {(r.id_a, r.id_b) for r in dealt.collect()} == {*ids, (500, 501)}
+    assert given.needed(dealt).count() < 4 * 202
+    rows = [(i, f, 1.0 + f) for i in [*range(200), 500, 501] for f in (*range(20), 100 + i)]
+    lists = given.listed(spark.createDataFrame(rows, "id bigint, feature bigint, weight double"))
+    found = given.family_products(pairs, lists).collect()
+    assert {(r.id_a, r.id_b, r.dot, r.common) for r in found} == {
+        (a, b, float(sum((1 + f) ** 2 for f in range(20))), 20) for a, b in [*ids, (500, 501)]
+    }
+
+
+def test_heads_meet_only_where_both_rests_can_reach_the_threshold(spark):
+    """Both heads have the feature, but what the vectors have left there is 0.66 and 0.9 of them."""
+    rows = [(1, 1, 0.8, 0.66, 0.1), (2, 1, 0.8, 0.9, 0.1), (3, 1, 0.8, 0.99, 0.1)]
+    heads = spark.createDataFrame(rows, "place int, feature int, size double, from2 double, after2 double")
+    assert {tuple(r) for r in similarity._met(heads, 0.8).collect()} == {(1, 3), (2, 3)}
+
+
 def test_a_third_of_all_documents_are_copies(spark):
     """300 copies of one vector, 600 others: the copies count as one id."""
     data = {id: {"hot": 1, "topic": 2} for id in range(300)}
