@@ -200,7 +200,7 @@ def test_a_family_of_near_copies_is_sent_once(spark):
 
 def test_heads_meet_only_where_both_rests_can_reach_the_threshold(spark):
     """Both heads have the feature, but what the vectors have left there is 0.66 and 0.9 of them."""
-    rows = [(1, 1, 0.8, 0.66, 0.1), (2, 1, 0.8, 0.9, 0.1), (3, 1, 0.8, 0.99, 0.1)]
+    rows = [(1, 1, 0.9, 0.66, 0.1), (2, 1, 0.9, 0.9, 0.1), (3, 1, 0.9, 0.99, 0.1)]
     heads = spark.createDataFrame(rows, "place int, feature int, size double, from2 double, after2 double")
     assert {tuple(r) for r in similarity._met(heads, 0.8).collect()} == {(1, 3), (2, 3)}
 
