@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from ..storage import stored
 from . import words as W
-from .bits import bit_table, marked
-from .components import components
+from .bits import WORDS, bit_table, marked
+from .components import components, joined
 
 #: Rows of a band and number of bands.  Two sets of similarity 0.8 miss every
 #: bucket with a chance of 3 in a million, of 0.9 with one of 1e-13.
@@ -135,20 +135,22 @@ def shingle_sets(documents: DataFrame, words: int) -> DataFrame:
     return W.small_batches(documents).mapInArrow(collect, f"id {kind}, shingles array<bigint>")
 
 
-def _buckets(classes: DataFrame) -> DataFrame:
+def _buckets(classes: DataFrame, count: int) -> DataFrame:
     """``key, rep, n, degree``: members of buckets that two classes or more share.
 
+    There are ``count`` classes at most.
+
     ``degree`` is the size of all the buckets of a class.  In a family of near
     copies the text that the others were made from shares most buckets.
     """
     members = classes.select("rep", "n", F.explode("bands").alias("key"))
-    shared = stored(members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "b")
-    inside = stored(members.join(shared, "key"), "members")
-    degrees = inside.groupBy("rep").agg(F.sum("size").alias("degree"))
-    return stored(
-        inside.join(stored(degrees, "degrees"), "rep").select("key", "rep", "n", "degree"),
-        "buckets",
+    shared = members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    inside = stored(
+        members.join(stored(shared, "b", BANDS * count), "key"), "members", BANDS * count
     )
+    degrees = inside.groupBy("rep").agg(F.sum("size").alias("degree"))
+    rows = inside.join(stored(degrees, "degrees", count), "rep")
+    return stored(rows.select("key", "rep", "n", "degree"), "buckets", BANDS * count)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -161,7 +163,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * common >= percent * union).select("a", "b")
 
 
-def _stars(members: DataFrame) -> DataFrame:
+def _stars(members: DataFrame, most: int) -> DataFrame:
     """Each bucket's members beside its centre ``a``, the member of the highest degree."""
     centre = F.max_by(F.struct("rep", "n", "degree", "component"), F.struct("degree", "rep"))
     centres = members.groupBy("key").agg(centre.alias("c"))
@@ -172,7 +174,7 @@ def _stars(members: DataFrame) -> DataFrame:
         F.col("c.degree").alias("a_degree"),
         F.col("c.component").alias("a_component"),
     )
-    return members.join(stored(named, "centres"), "key")
+    return members.join(stored(named, "centres", most), "key")
 
 
 def _star_pairs(stars: DataFrame, percent: int) -> DataFrame:
@@ -225,7 +227,7 @@ def _overlaps(
 
 
 def _compared(pairs: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` between two blocks of sets, for pairs in different components."""
+    """Links ``a, b`` between the components of two blocks of sets."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,9 +237,10 @@ def _compared(pairs: DataFrame, percent: int) -> DataFrame:
                 common = _overlaps(get("l_sets"), sizes[0], get("r_sets"), sizes[1])
                 union = sizes[0][:, None] + sizes[1][None, :] - common
                 found = 100 * common >= percent * union
-                found &= get("l_components")[:, None] != get("r_components")[None, :]
+                names = [get("l_components"), get("r_components")]
+                found &= names[0][:, None] != names[1][None, :]
                 x, y = np.nonzero(found)
-                links = list(_forest(get("l_ids")[x], get("r_ids")[y]))
+                links = list(_forest(names[0][x], names[1][y]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([a for a, _ in links], pa.int64()),
@@ -249,12 +252,16 @@ def _compared(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _blocks(members: DataFrame, sets: DataFrame, side: str) -> DataFrame:
-    """The sets of each ``team`` packed into blocks of about ``VALUES`` shingles."""
-    sizes = members.groupBy("team").agg(F.ceil(F.sum("n") / VALUES).alias("parts"))
+def _blocks(members: DataFrame, sizes: DataFrame, sets: DataFrame, side: str) -> DataFrame:
+    """The sets of each ``team`` packed into blocks of about ``VALUES`` shingles.
+
+    ``sizes`` has the teams to be taken and the shingles of their members, ``{side}_n``.
+    """
+    most = sizes.agg(F.sum(f"{side}_n")).first()[0]
+    parts = sizes.select("team", F.ceil(F.col(f"{side}_n") / VALUES).alias("parts"))
     part = F.pmod(F.xxhash64("rep"), F.col("parts"))
-    rows = members.join(stored(sizes, "parts"), "team").withColumn("part", part)
-    one = F.struct("rep", "component", "shingles")
+    rows = members.join(parts, "team").withColumn("part", part)
+    one = F.struct("component", "shingles")
     packed = (
         rows.join(sets.withColumnRenamed("id", "rep"), "rep")
         .groupBy("team", "part")
@@ -263,7 +270,6 @@ def _blocks(members: DataFrame, sets: DataFrame, side: str) -> DataFrame:
     return stored(
         packed.select(
             "team",
-            F.col("rows.rep").alias(f"{side}_ids"),
             F.col("rows.component").alias(f"{side}_components"),
             F.transform("rows", lambda row: F.size(row["shingles"]).cast("bigint")).alias(
                 f"{side}_sizes"
@@ -271,26 +277,40 @@ def _blocks(members: DataFrame, sets: DataFrame, side: str) -> DataFrame:
             F.flatten("rows.shingles").alias(f"{side}_sets"),
         ),
         "blocks",
+        most,
     )
 
 
-def _team_links(teams: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links within each team, for rows ``team, rep, n, component, reference``.
+def _team_joined(
+    labels: DataFrame, teams: DataFrame, sets: DataFrame, percent: int, most: int
+) -> DataFrame:
+    """The labels with the links in each team, for ``team, rep, n, component, reference``.
 
     Classes outside of the team's ``reference`` component are compared with all
     the team, a block of sets against a block.  No task holds more than two
     blocks, and a pair of blocks gives less than one link for each class.
+    There are ``most`` teams at most.
     """
-    loose = stored(teams.filter("component <> reference"), "loose")
-    some = stored(loose.select("team").distinct(), "teams")
-    near = teams.join(some, "team", "left_semi")
-    both = _blocks(loose, sets, "l").join(_blocks(near, sets, "r"), "team")
-    return _compared(both.drop("team"), percent)
+    loose = F.expr("component <> reference")
+    sizes = teams.groupBy("team").agg(
+        F.sum(F.when(loose, F.col("n"))).alias("l_n"), F.sum("n").alias("r_n")
+    )
+    sizes = stored(sizes.filter("l_n IS NOT NULL"), "teams", most)
+    if sizes.isEmpty():
+        return labels
+    left = _blocks(teams.filter(loose), sizes, sets, "l")
+    right = _blocks(teams, sizes, sets, "r")
+    links = _compared(left.join(right, "team").drop("team"), percent)
+    return joined(labels, stored(links, "links"))
 
 
-def _linked(documents: DataFrame, buckets: DataFrame, words: int, percent: int) -> DataFrame:
+def _linked(
+    documents: DataFrame, buckets: DataFrame, words: int, percent: int, count: int, shingles: int
+) -> DataFrame:
     """``id, component`` of the classes that have a link.
 
+    There are ``count`` classes at most, with ``shingles`` in all.
+
     1. Every bucket compares its centre with its other members, a star.
     2. Each class joins the team of the centre with which it shares most buckets;
        what is not yet connected with the centre is compared within the team.
@@ -299,12 +319,14 @@ def _linked(documents: DataFrame, buckets: DataFrame, words: int, percent: int)
 
     So every pair that shares a bucket is compared or known to be connected.
     """
-    bits = stored(bit_table(buckets.select("rep")), "bits")
+    bits = stored(bit_table(buckets.select("rep")), "bits", WORDS)
     near = marked(documents, bits, [documents.columns[0]], "open").filter("open").drop("open")
     sets = stored(shingle_sets(near, words), "sets")
 
-    stars = stored(_stars(buckets.withColumn("component", F.col("rep"))), "stars")
-    links = stored(_confirmed(_star_pairs(stars, percent), sets, percent), "links")
+    most = BANDS * count
+    stars = stored(_stars(buckets.withColumn("component", F.col("rep")), most), "stars", most)
+    links = _confirmed(_star_pairs(stars, percent), sets, percent)
+    links = stored(links, "links", max(most, shingles))
     labels = components(links)
 
     shares = stars.groupBy("rep", "a").agg(
@@ -319,12 +341,12 @@ def _linked(documents: DataFrame, buckets: DataFrame, words: int, percent: int)
         .join(lead, "team", "left")
         .withColumn("reference", F.coalesce("reference", "team")),
         "teams",
+        count,
     )
-    links = stored(links.unionByName(_team_links(teams, sets, percent)), "links")
-    labels = components(links)
+    labels = _team_joined(labels, teams, sets, percent, count)
 
     own = teams.select("rep", F.col("team").alias("own"))
-    rows = stored(_labelled(buckets.join(own, "rep"), labels), "members")
+    rows = stored(_labelled(buckets.join(own, "rep"), labels), "members", most)
     unequal = (
         rows.groupBy("key")
         .agg(
@@ -336,11 +358,11 @@ def _linked(documents: DataFrame, buckets: DataFrame, words: int, percent: int)
         )
         .filter("low <> high AND first <> last")
     )
-    left = rows.join(stored(unequal.select("key", "reference"), "keys"), "key").select(
+    keys = stored(unequal.select("key", "reference"), "keys", most)
+    left = rows.join(keys, "key").select(
         F.col("key").alias("team"), "rep", "n", "component", "reference"
     )
-    links = stored(links.unionByName(_team_links(stored(left, "open"), sets, percent)), "links")
-    return components(links)
+    return _team_joined(labels, stored(left, "open", most), sets, percent, most)
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -385,19 +407,24 @@ def _verdicts(
     smallest = -(-percent // max(1, 100 - percent))
     texts = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     marks = stored(sketches(texts, words, smallest), "sketches")
+    count, shingles = marks.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     alone = "n = 0 OR id IS NULL"
     classes = stored(
         marks.filter(f"NOT ({alone})")
         .groupBy("n", "f1", "f2")
         .agg(F.min("id").alias("rep"), F.first("bands").alias("bands")),
         "classes",
+        BANDS * count,
     )
-    labels = _linked(texts.filter("id IS NOT NULL"), _buckets(classes), words, percent)
+    buckets = _buckets(classes, count)
+    named = texts.filter("id IS NOT NULL")
+    labels = _linked(named, buckets, words, percent, count, shingles)
     named = stored(
         classes.select("n", "f1", "f2", "rep")
         .join(labels.withColumnRenamed("id", "rep"), "rep", "left")
         .select("n", "f1", "f2", F.coalesce("component", "rep").alias("component_id")),
         "named",
+        count,
     )
     copies = marks.filter(f"NOT ({alone})").select("id", "n", "f1", "f2")
     joined = copies.join(named, ["n", "f1", "f2"]).select("id", "n", "f1", "f2", "component_id")

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm import exact, minhash
 from millrace.llm import words as W
-from millrace.llm.components import components
+from millrace.llm.components import components, joined
+from millrace.storage import _MADE, stored
 
 
 def family(seed: int, n: int, size: int, edits: int) -> list[str]:
@@ -94,6 +95,41 @@ def test_long_chains_are_one_component(spark):
     assert got == {i: 1 for i in range(1, 201)} | {i: 500 for i in (500, 700, 900)}
 
 
+def test_new_links_join_components(spark):
+    first = [(1, 2), (2, 3), (5, 6), (9, 10)]
+    labels = components(spark.createDataFrame(first, "a bigint, b bigint"))
+    none = spark.createDataFrame([], "a bigint, b bigint")
+    assert sorted(map(tuple, joined(labels, none).collect())) == sorted(map(tuple, labels.collect()))
+    more = spark.createDataFrame([(5, 4), (4, 1), (20, 30), (30, 20)], "a bigint, b bigint")
+    got = {r.id: r.component for r in joined(labels, more).collect()}
+    assert got == dict.fromkeys([1, 2, 3, 4, 5, 6], 1) | {9: 9, 10: 9, 20: 20, 30: 20}
+
+
+@pytest.fixture
+def many_partitions(spark):
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"]
+    before = [spark.conf.get(name) for name in names]
+    for name, value in zip(names, ("24", "false"), strict=True):
+        spark.conf.set(name, value)
+    yield
+    for name, value in zip(names, before, strict=True):
+        spark.conf.set(name, value)
+
+
+def test_small_tables_are_few_files(spark, many_partitions):
+    counts = spark.range(5000).groupBy((F.col("id") * 7).alias("key")).count()
+    for most, files in ((10, 16), (20 << 16, 20), (1 << 30, 24)):
+        table = stored(counts, "counts", most)
+        assert table.count() == 5000 and len(table.inputFiles()) == files
+    texts = [t for seed in range(2) for t in family(seed, 12, 60, 9)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    made = _MADE[spark.sparkContext.applicationId]
+    begin = len(made)
+    got = sorted(tuple(r) for r in minhash.near_copies(rows.coalesce(1), words=2).collect())
+    assert got == [(i, n, c, i == c) for i, (n, c) in enumerate(brute(texts, 2))]
+    assert max(len(spark.read.parquet(path).inputFiles()) for path in made[begin:]) <= 16
+
+
 def test_exact_like_brute_force(spark):
     draw = random.Random(3)
     texts = ["".join(draw.choice("ab \t\n") for _ in range(draw.randrange(9))) for _ in range(600)]
