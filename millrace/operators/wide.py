@@ -26,6 +26,8 @@ MOST_CELLS = 1 << 24
 _TOGETHER = 1 << 16
 #: Triangles that one step of the tree puts together.
 _FAN = 16
+#: Share of the largest variance by which none may move in the last round, and most rounds.
+_STILL, _LONGEST = 1e-6, 30
 
 
 class WideComponents(NamedTuple):
@@ -254,7 +256,8 @@ def wide_components(
     count, mean = _mean(rows, width)
     narrow = np.linalg.qr(np.random.default_rng(seed).standard_normal((width, wanted)))[0]
     back = np.zeros((width, 0))
-    for _ in range(rounds):
+    variances = np.zeros(0)
+    for step in range(1, max(rounds, _LONGEST) + 1):
         triangle, product = _pass(rows, mean, narrow)
         _, scale, turned = np.linalg.svd(triangle)
         kept = scale > (scale[0] if len(scale) else 0) * 1e-12
@@ -262,7 +265,13 @@ def wide_components(
         back = product @ (turned[kept].T / scale[kept])
         if not kept.any():
             break
-        narrow = np.linalg.qr(back)[0]
+        narrow, upper = np.linalg.qr(back)
+        before, variances = variances, np.linalg.svd(upper, compute_uv=False)[:k] ** 2
+        still = len(before) == len(variances) and np.allclose(
+            before, variances, rtol=0, atol=_STILL * variances.max(initial=0)
+        )
+        if step >= rounds and still:
+            break
     left, lengths, _ = np.linalg.svd(back, full_matrices=False)
     kept = lengths[:k] > (lengths[0] if len(lengths) else 0) * 1e-9
     loadings = left[:, :k][:, kept]

@@ -41,6 +41,14 @@ def test_like_numpy(spark, n, width):
     assert (largest > 0).all()
 
 
+def test_goes_on_until_variances_are_still(spark):
+    rnd = np.random.default_rng(8)
+    matrix = rnd.standard_normal((150, 120)) * 0.9 ** np.arange(120)
+    found = wide.wide_components(sparse(spark, matrix), 120, 3, extra=6, rounds=1)
+    lengths = np.linalg.svd(matrix - matrix.mean(axis=0), compute_uv=False)[:3]
+    assert np.allclose(found.variances, lengths**2 / 149, rtol=1e-5)
+
+
 def test_scores_and_layout(spark):
     matrix = decaying(200, 300)
     one, many = (
