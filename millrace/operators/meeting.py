@@ -26,9 +26,9 @@ _SLACK = 1e-9
 _STEPS = 127
 
 
-def placed(groups: DataFrame) -> DataFrame:
-    """Add ``place``, a number without large gaps; an ``int`` where they all fit."""
-    numbered = stored(groups.withColumn("_n", F.monotonically_increasing_id()), "copies")
+def placed(groups: DataFrame, name: str = "copies") -> DataFrame:
+    """Add ``place``, a number without large gaps in the rows' order; an ``int`` where they all fit."""
+    numbered = stored(groups.withColumn("_n", F.monotonically_increasing_id()), name, tidy=True)
     part, at = F.shiftright("_n", 33), F.col("_n").bitwiseAND(F.lit((1 << 33) - 1))
     last, most = numbered.agg(F.max(part), F.max(at)).first()
     each = (most or 0) + 1

@@ -7,8 +7,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import stored
-from .given import family_products, listed, pair_products
+from ..storage import discard, stored
+from .given import family_products, likely, listed, pair_products
+from .heads import heads, met_in_tiles
 from .meeting import completed, index_rows, may_reach, named, placed, shipped
 
 # Bounds are compared with this much room, so that rounding cannot lose a pair.
@@ -66,8 +67,15 @@ def similar_pairs(vectors: DataFrame, threshold: float, min_common: int = 1) ->
     then sums by id and rank, at most some 250 rows an id, and no window ever
     holds a whole vector.
 
-    ``vectors`` is read several times; pass a stored table.
+    ``vectors`` is read several times; pass a stored table.  It may also have one row an id, as
+    ``terms.tfidf`` gives with ``listed``: ``id, features, weights, norm2`` without weights of 0,
+    features ascending, and rare ones before frequent ones for speed.  Then the heads meet in
+    tiles (see ``heads``), and an entry is never a row of a join or shuffle.
     """
+    if "features" in vectors.columns:
+        if min_common == 1:
+            return _similar_lists(vectors, threshold)
+        vectors = vectors.select("id", F.inline(F.arrays_zip("features", "weights"))).toDF("id", "feature", "weight")
     vectors = vectors.filter(F.col("weight") != 0).select("id", "feature", "weight")
     groups = placed(_groups(_signatures(vectors)))
     ranked = stored(_ranked(vectors, groups, stored(_numbered(vectors), "features")), "ranked")
@@ -86,13 +94,36 @@ def similar_pairs(vectors: DataFrame, threshold: float, min_common: int = 1) ->
     return SimilarPairs(pairs, copies_of(vectors))
 
 
+def _similar_lists(vectors: DataFrame, threshold: float) -> SimilarPairs:
+    """``similar_pairs`` of rows ``id, features, weights, norm2``."""
+    signed = stored(_signatures(vectors), "signatures", tidy=True)
+    groups = placed(_groups(signed))
+    places = groups.select("id", "place")
+    top = stored(heads(vectors, threshold).join(places, "id").drop("id"), "heads", tidy=True)
+    met = stored(met_in_tiles(top, threshold), "met", tidy=True)
+    discard(top)
+    ends = met.select(F.col("id_a").alias("place")).unionByName(met.select(F.col("id_b").alias("place")))
+    wanted = stored(ends.distinct().join(places, "place"), "wanted", tidy=True)
+    rows = likely(vectors, wanted, "id").join(wanted, "id").select(F.col("place").alias("id"), "features", "weights")
+    rows = stored(rows, "listed", tidy=True)
+    products = stored(family_products(met, rows), "products", tidy=True)
+    discard(rows)
+    pairs = named(products, groups).filter(F.col("cosine") >= threshold)
+    return SimilarPairs(pairs, _copies(signed))
+
+
 def copies_of(vectors: DataFrame) -> DataFrame:
     """``id, same_as``: each id and the smallest id with exactly the same vector.
 
     The groups have one row a set of copies and are filed, so a very large set
-    makes only one side of the join large, which Spark can split.
+    makes only one side of the join large, which Spark can split.  ``vectors`` as in ``similar_pairs``.
     """
-    signed = stored(_signatures(vectors.filter(F.col("weight") != 0)), "signatures")
+    if "features" not in vectors.columns:
+        vectors = vectors.filter(F.col("weight") != 0)
+    return _copies(stored(_signatures(vectors), "signatures"))
+
+
+def _copies(signed: DataFrame) -> DataFrame:
     groups = stored(_groups(signed).withColumnRenamed("id", "same_as"), "groups")
     return signed.join(groups.select(*_MARKS, "same_as"), _MARKS).select("id", "same_as")
 
@@ -105,6 +136,14 @@ def _groups(signed: DataFrame) -> DataFrame:
 
 def _signatures(vectors: DataFrame) -> DataFrame:
     """Per id, two independent 64-bit marks of the set of (feature, weight)."""
+    if "features" in vectors.columns:
+        return vectors.select(
+            "id",
+            F.xxhash64("features", "weights").alias("sign_1"),
+            F.xxhash64(F.lit(1), "weights", "features").alias("sign_2"),
+            F.size("features").cast("bigint").alias("features"),
+            "norm2",
+        )
     return vectors.groupBy("id").agg(
         F.bit_xor(F.xxhash64("feature", "weight")).alias("sign_1"),
         F.bit_xor(F.xxhash64(F.lit(1), "weight", "feature")).alias("sign_2"),

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import words
 from ..storage import stored
+from .wordlists import counted as word_counts
+from .wordlists import weighted
 
 
 def tokens(
@@ -18,31 +20,20 @@ def tokens(
 
     With ``counted``, one for each different word of a row of ``documents``: ``id, term, n,
     alone``, where ``alone`` says that no other row has the id.  The words are counted
-    in place, which takes neither a shuffle nor a table of words in the map tasks.
+    in place, which takes neither a shuffle nor a table of more words than a batch has.
     """
     if not counted:
         return documents.select(id, F.posexplode(words(F.col(text))).alias("pos", "term"))
     again = documents.groupBy(id).count().filter(F.col("count") > 1)
-    again = stored(again.select(F.col(id).alias("_again"), F.lit(False).alias("alone")), "again")
-    marked = documents.select(id, text).join(again, F.col(id).eqNullSafe(F.col("_again")), "left")
-    # In steps: an expression inside of another's function would run once a word.
-    ordered = marked.select(
-        id, F.coalesce("alone", F.lit(True)).alias("alone"), F.sort_array(words(F.col(text))).alias("_words")
-    )
-    size = F.size("_words")
-    ends = F.filter(
-        F.sequence(F.lit(1), size),
-        lambda i: (i == size) | (F.get("_words", i) != F.get("_words", i - 1)),
-    )
-    ended = ordered.filter(size > 0).withColumn("_ends", ends)
-    runs = F.transform(
-        "_ends",
-        lambda end, k: F.struct(
-            F.get("_words", end - 1).alias("term"),
-            (end - F.coalesce(F.get("_ends", k - 1), F.lit(0))).cast("bigint").alias("n"),
-        ),
-    )
-    return ended.select(id, "alone", F.inline(runs)).select(id, "term", "n", "alone")
+    again = stored(again.select(F.col(id).alias("_again")), "again")
+    same = F.col(id).eqNullSafe(F.col("_again"))
+
+    def part(how: str, alone: bool) -> DataFrame:
+        texts = documents.select(id, text).join(again, same, how)
+        # A literal, so that a filter on it leaves the other part's texts alone.
+        return word_counts(texts.select(id, words(F.col(text)).alias("words"))).withColumn("alone", F.lit(alone))
+
+    return part("left_anti", True).unionByName(part("left_semi", False))
 
 
 def without_stop_words(terms: DataFrame, stop_words: Iterable[str] | DataFrame) -> DataFrame:
@@ -78,19 +69,29 @@ def document_count(documents: DataFrame) -> Column:
 
 
 def tfidf(
-    tf: DataFrame, n_documents: Column | int, id: str = "doc_id", numbered: bool = False
+    tf: DataFrame,
+    n_documents: Column | int,
+    id: str = "doc_id",
+    numbered: bool = False,
+    listed: bool = False,
 ) -> DataFrame:
     """``id, term, weight`` with weight ``tf * ln((m + 1) / (df + 1))``.
 
     With ``numbered``, a whole number stands for each term, for results that do not show it:
     vectors of numbers are shorter than vectors of words.
 
+    With ``listed``, one row for each id with a weight that is not 0, filed: ``id, features,
+    weights, norm2``, the terms by numbers that grow with the frequency.  ``tf`` is read once.
+    The shuffle has the different terms of each chunk of documents, not its entries.
+
     ``df`` has one row a term and is filed first: a term that is in every
     document makes only the ``tf`` side of the join large, and with a plain
     shuffle on both sides Spark splits it.  ``tf`` is read twice; pass a stored table.
     """
     m = n_documents if isinstance(n_documents, Column) else F.lit(n_documents)
     idf = F.log((m + 1) / (F.col("df") + 1))
+    if listed:
+        return weighted(tf, idf, id)
     frequency = document_frequency(tf)
     if numbered:
         frequency = frequency.withColumn("number", F.monotonically_increasing_id())

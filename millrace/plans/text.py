@@ -56,8 +56,9 @@ def _numbers(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, root: str) -> DataFrame:
-    """The same as a table, since comparing documents reads them several times."""
-    return stored(_numbers(spark, root), "weights")
+    """The weights filed as one row a document, since comparing documents reads them several times."""
+    m = op.document_count(document_ids(spark, root))
+    return op.tfidf(_tf(spark, root), m, listed=True).withColumnRenamed("doc_id", "id")
 
 
 @query(

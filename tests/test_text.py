@@ -6,12 +6,15 @@ import math
 import random
 from collections import Counter
 from itertools import combinations
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.text import STOP_WORDS, all_stop_words
-from millrace.operators import classify, given, similarity, terms
+from millrace import storage
+from millrace.operators import classify, given, heads, similarity, terms, wordlists
 from millrace.operators.recommend import similar_items
 from millrace.operators.similarity import copies_of, pair_similarity, similar_pairs
 
@@ -205,6 +208,134 @@ def test_heads_meet_only_where_both_rests_can_reach_the_threshold(spark):
     assert {tuple(r) for r in similarity._met(heads, 0.8).collect()} == {(1, 3), (2, 3)}
 
 
+def lists_of(spark, data):
+    """The vectors of ``vectors_of`` as one row an id, features as numbers from rare to frequent."""
+    counts = Counter(f for vector in data.values() for f, w in vector.items() if w)
+    number = {f: n for n, f in enumerate(sorted(counts, key=lambda f: (counts[f], f)))}
+    rows = []
+    for id, vector in data.items():
+        row = sorted((number[f], float(w)) for f, w in vector.items() if w)
+        if row:
+            rows.append((id, [f for f, _ in row], [w for _, w in row], sum(w * w for _, w in row)))
+    return spark.createDataFrame(rows, "id bigint, features array<int>, weights array<double>, norm2 double")
+
+
+@pytest.mark.parametrize("threshold", [0.1, 0.8])
+def test_listed_vectors_against_brute_force(spark, threshold, monkeypatch):
+    """With so few features to a block that there are several tiles."""
+    monkeypatch.setattr(heads, "FEW", 100)
+    generator = random.Random(7)
+    data = {}
+    for id in range(120):
+        if id > 10 and generator.random() < 0.4:
+            data[id] = dict(data[generator.randrange(id)])
+            if generator.random() < 0.7:
+                data[id][f"x{generator.randrange(40)}"] = generator.choice([0, 0.5, 2, 3])
+        else:
+            chosen = {f"f{int(generator.paretovariate(0.6))}" for _ in range(generator.randrange(1, 25))}
+            data[id] = {f: generator.choice([1, 1, 2, 3, -1]) for f in chosen}
+    listed = lists_of(spark, data)
+    found = similar_pairs(listed, threshold)
+    assert found_pairs(found) == brute_force(data, threshold)
+    again = {tuple(r) for r in copies_of(listed).collect()}
+    assert again == {tuple(r) for r in found.copies.collect()}
+    assert again == {tuple(r) for r in copies_of(vectors_of(spark, data)).collect()}
+    few = similar_pairs(listed, threshold, min_common=3)
+    assert found_pairs(few) == {k: v for k, v in brute_force(data, threshold).items() if v[2] >= 3}
+
+
+def test_pairs_that_share_only_rare_words_stay_in_their_tile(spark):
+    """Two ids share the first of ten features; what both have left after their heads is too little."""
+    data = {id: {"shared": 1, **{f"{id}-{n}": 1 for n in range(9)}} for id in range(30)}
+    listed = lists_of(spark, data).withColumnRenamed("id", "place")
+    rows = listed.selectExpr("place as id", "features", "weights", "norm2")
+    tops = heads.heads(rows, 0.8)
+    assert {r["n"] for r in tops.select(F.size("codes").alias("n")).collect()} == {4}
+    data |= {id: {"shared": 1, "own": 1, f"{id}": 1} for id in (40, 41)}
+    tops = heads.heads(lists_of(spark, data), 0.6).withColumnRenamed("id", "place")
+    assert {tuple(r) for r in heads.met_in_tiles(tops, 0.6).collect()} == {(40, 41)}
+
+
+def test_a_tile_gives_the_same_pairs_in_small_steps(monkeypatch):
+    generator = random.Random(3)
+    rows = []
+    for place in range(60):
+        codes = sorted(generator.sample(range(40), generator.randrange(1, 12)))
+        sizes = [generator.random() for _ in codes]
+        length = math.sqrt(sum(x * x for x in sizes) / generator.uniform(0.4, 1))
+        after = 1 - sum((x / length) ** 2 for x in sizes)
+        rows.append((place, place % 2, codes, [x / length for x in sizes], after))
+    names = ["place", "block", "codes", "sizes", "after"]
+    table = pa.table(dict(zip(names, map(list, zip(*rows)))))
+
+    def found(threshold):
+        sides, width = heads._sides(table, [0, 1])
+        pairs = Counter()
+        for a, b in ((sides[0], sides[0]), (sides[1], sides[1]), (sides[0], sides[1])):
+            for x, y in heads._pairs(a, b, a is b, width, threshold):
+                pairs.update(frozenset(p) for p in zip(a.places[x].tolist(), b.places[y].tolist()))
+        return pairs
+
+    for threshold in (0.2, 0.7):
+        large = found(threshold)
+        with monkeypatch.context() as patch:
+            for name in ("_MEETINGS", "_ENTRIES", "_DENSE"):
+                patch.setattr(heads, name, 50)
+            assert found(threshold) == large
+        assert large and set(large.values()) == {1}
+        for one, _, codes_a, sizes_a, _ in rows:
+            for other, _, codes_b, sizes_b, _ in rows[one + 1 :]:
+                shared = dict(zip(codes_a, sizes_a))
+                dot = sum(shared.get(c, 0) * x for c, x in zip(codes_b, sizes_b))
+                assert dot < threshold or frozenset((one, other)) in large
+
+
+def test_an_entry_of_a_listed_vector_is_no_row_of_a_shuffle(spark):
+    """Twenty documents of the same 400 words: 8000 entries, but each word is dealt out once a chunk."""
+    letters = "abcdefghijklmnopqrst"
+    text = " ".join(a + b + "z" for a in letters for b in letters)
+    frame = documents(spark, [(id, f"{text} own{letters[id]}") for id in range(20)] + [(20, "other")]).coalesce(1)
+    tf = terms.term_frequency(terms.tokens(frame, counted=True))
+    pieces = wordlists.coded(tf, "doc_id")
+    sizes = pieces.agg(F.sum(F.size("codes")), F.sum(F.size("terms"))).first()
+    assert (sizes[0], sizes[1]) == (8021, 421)
+
+
+def test_listed_weights_are_those_of_the_rows(spark, monkeypatch):
+    """Chunks of a few entries; ids that come again and no id; words in every document weigh nothing."""
+    monkeypatch.setattr(wordlists, "CHUNK", 3)
+    monkeypatch.setattr(wordlists, "TERMS", 2)
+    data = [(1, "a b b c d"), (2, "b c é"), (3, "C, b!"), (1, "e b a"), (None, "b x"), (None, "b x y"), (4, None),
+            (5, "b"), (6, "b c d e f g h")]
+    frame = documents(spark, data)
+    tf = terms.term_frequency(terms.tokens(frame, counted=True))
+    lists = terms.tfidf(tf, 6, listed=True)
+    found = Counter()
+    for row in lists.collect():
+        assert row["features"] == sorted(set(row["features"])) and all(row["weights"])
+        assert row["norm2"] == pytest.approx(sum(w * w for w in row["weights"]))
+        found[row["doc_id"], tuple(sorted(row["weights"]))] += 1
+    rows = {}
+    for id, _, weight in terms.tfidf(tf, 6).collect():
+        rows.setdefault(id, []).append(weight)
+    kept = {id: tuple(sorted(w for w in own if w)) for id, own in rows.items()}
+    assert found == Counter((id, own) for id, own in kept.items() if own)
+    numbers = {f for row in lists.collect() for f in row["features"]}
+    assert len(numbers) == len({t for _, t, w in terms.tfidf(tf, 6).collect() if w})
+    assert terms.tfidf(tf.limit(0), 6, listed=True).count() == 0
+
+
+def test_a_tidy_table_leaves_no_shuffle_files(spark):
+    """Spark's driver would keep them until it collects its garbage."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    table = storage.stored(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "tidy", tidy=True)
+    assert table.count() == 7 and spark.conf.get(setting, None) == before
+    seen = table.inputFiles()
+    storage.discard(table)
+    assert seen and not any(Path(file.removeprefix("file:")).exists() for file in seen)
+
+
 def test_a_third_of_all_documents_are_copies(spark):
     """300 copies of one vector, 600 others: the copies count as one id."""
     data = {id: {"hot": 1, "topic": 2} for id in range(300)}
