@@ -17,16 +17,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, ShortType, StructField, StructType
 
 from .given import small_batches
 
 #: Features of the heads in a tile, and of those in all tiles below which there are fewer tiles.
-TILE, FEW = 6_000_000, 1 << 16
+TILE, FEW = 4_000_000, 1 << 16
 #: Blocks of ids if there are no more than a tile can hold, so that several tasks have work.
 BLOCKS = 4
 #: Meetings, features and weights that are handled at once.
-_MEETINGS, _ENTRIES, _DENSE = 1 << 20, 1 << 20, 1 << 24
+_MEETINGS, _ENTRIES, _DENSE = 1 << 19, 1 << 19, 1 << 23
+#: Features below which their numbers stand for themselves in a tile.
+_NUMBERS = 1 << 25
 # Bounds are compared with this much room, so that rounding cannot lose a pair.
 _SLACK = 1e-9
 
@@ -37,15 +39,23 @@ def _rest(rows: np.ndarray, begin: np.ndarray, squares: np.ndarray, after: np.nd
     return before[begin[1:]][rows] - before[:-1] + after[rows]
 
 
+def rounded_up(sizes: np.ndarray) -> np.ndarray:
+    """The next numbers of 16 bits that are not smaller, as the whole numbers with the same bits."""
+    short = sizes.astype(np.float16)
+    low = short < sizes
+    short[low] = np.nextafter(short[low], np.float16(np.inf))
+    return short.view(np.int16)
+
+
 def heads(vectors: DataFrame, threshold: float) -> DataFrame:
     """``id, codes, sizes, after`` of ``id, features, weights, norm2``, features ascending in each row.
 
-    ``sizes`` are the weights' shares of the vector's length, rounded up; ``after`` is the
+    ``sizes`` are the weights' shares of the vector's length (see ``rounded_up``); ``after`` is the
     share of ``norm2`` that follows the head.
     """
     small_batches(vectors.sparkSession)
     codes = StructField("codes", vectors.schema["features"].dataType)
-    sizes = StructField("sizes", ArrayType(FloatType()))
+    sizes = StructField("sizes", ArrayType(ShortType()))
     out = StructType([vectors.schema["id"], codes, sizes, StructField("after", DoubleType())])
     schema = to_arrow_schema(out)
 
@@ -59,12 +69,11 @@ def heads(vectors: DataFrame, threshold: float) -> DataFrame:
             kept = rest >= threshold**2 - _SLACK
             length = np.bincount(rows[kept], minlength=len(n))
             offsets = pa.array(np.concatenate(([0], np.cumsum(length))), pa.int32())
-            size = np.nextafter(size[kept].astype(np.float32), np.float32(np.inf))
             after = np.append(rest, 0.0)[begin[:-1] + length]
             columns = [
                 batch.column(0),
                 pa.ListArray.from_arrays(offsets, batch.column(1).flatten().filter(pa.array(kept))),
-                pa.ListArray.from_arrays(offsets, pa.array(size)),
+                pa.ListArray.from_arrays(offsets, pa.array(rounded_up(size[kept]))),
                 pa.array(np.where(length < n, np.maximum(after, 0.0), 0.0)),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
@@ -86,10 +95,10 @@ class _Side(NamedTuple):
     def only(self, common: np.ndarray) -> _Side:
         """The entries of the codes that are marked, by their numbers among these."""
         kept = np.flatnonzero(common[self.codes])
-        number = np.cumsum(common) - 1
+        number = np.cumsum(common, dtype=np.int32) - 1
         rows = self.rows[kept]
         begin = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(self.places)))))
-        codes = number[self.codes[kept]].astype(np.int32)
+        codes = number[self.codes[kept]]
         return self._replace(begin=begin, rows=rows, codes=codes, sizes=self.sizes[kept], rest=self.rest[kept])
 
 
@@ -97,26 +106,28 @@ class _Rest:
     """What follows a code in the heads of a side and after them, as a share of ``norm2``."""
 
     def __init__(self, side: _Side, width: int):
-        self.side, self.width = side, width
-        self.begin, self.last = side.begin, side.codes[side.begin[1:] - 1]
+        self.width, self.begin, self.last = width, side.begin, side.codes[side.begin[1:] - 1]
+        self.ends, self.rest = side.after, side.rest
         self.keys = side.rows * np.int64(width) + side.codes
 
     def after(self, rows: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        found = self.side.after[rows]
+        found = self.ends[rows]
         inside = np.flatnonzero(self.last[rows] > codes)
         at = np.searchsorted(self.keys, rows[inside] * self.width + codes[inside], side="right")
-        found[inside] = self.side.rest[at]
+        found[inside] = self.rest[at]
         return found
 
 
 def _sides(table: pa.Table, blocks: list[int]) -> tuple[list[_Side], int]:
-    """The heads of each block, and the number of different features."""
+    """The heads of each block, and a number above all codes."""
     lists = table["codes"].combine_chunks()
     n = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     begin = np.concatenate(([0], np.cumsum(n)))
-    different, codes = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
-    codes = codes.reshape(-1).astype(np.int32)
-    sizes = table["sizes"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    codes = lists.flatten().to_numpy(zero_copy_only=False)
+    if codes.max(initial=0) >= _NUMBERS:
+        codes = np.unique(codes, return_inverse=True)[1].reshape(-1)
+    codes = codes.astype(np.int32, copy=False)
+    sizes = table["sizes"].combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.float16)
     block, places, after = (table[name].to_numpy() for name in ("block", "place", "after"))
     sides = []
     for one in blocks:
@@ -125,30 +136,30 @@ def _sides(table: pa.Table, blocks: list[int]) -> tuple[list[_Side], int]:
         own_begin = np.concatenate(([0], np.cumsum(n[own])))
         rows = np.repeat(np.arange(len(own), dtype=np.int32), n[own])
         at = np.arange(own_begin[-1]) + np.repeat(begin[own] - own_begin[:-1], n[own])
-        size = sizes[at]
+        size = sizes[at].astype(np.float32)
         rest = _rest(rows, own_begin, size.astype(np.float64) ** 2, after[own])
-        # Rounded up, as the exact sum is.
         rest = (rest * (1 + 1e-6)).astype(np.float32)
         sides.append(_Side(places[own], own_begin, after[own], rows, codes[at], size, rest))
-    return sides, max(len(different), 1)
+    return sides, int(codes.max(initial=0)) + 1
 
 
-def _pairs(a: _Side, b: _Side, same: bool, width: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of ``a`` and ``b`` that may reach the threshold, each pair once."""
-    counts = [np.bincount(side.codes, minlength=width) for side in (a, b)]
-    common = counts[0] > 1 if same else (counts[0] > 0) & (counts[1] > 0)
+def _pairs(sides: list[_Side], width: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of the first and last of ``sides`` that may reach the threshold, each pair once; ``sides`` is used up."""
+    counts = [np.bincount(side.codes, minlength=width) for side in sides]
+    common = counts[0] > 1 if len(sides) == 1 else (counts[0] > 0) & (counts[1] > 0)
     if not common.any():
         return
-    rest_a = _Rest(a, width)
-    rest_b = rest_a if same else _Rest(b, width)
+    rests = [_Rest(side, width) for side in sides]
     width = int(common.sum())
-    a = a.only(common)
-    b = a if same else b.only(common)
+    sides[:] = [side.only(common) for side in sides]
     del counts, common
-    yield from _bounded(a, b, rest_a, rest_b, width, threshold, same, same)
-    if not same:
-        for y, x in _bounded(b, a, rest_b, rest_a, width, threshold, False, True):
-            yield x, y
+    if len(sides) == 1:
+        yield from _bounded(*sides, *sides, *rests, *rests, width, threshold, True, True)
+        return
+    (a, b), (rest_a, rest_b) = sides, rests
+    yield from _bounded(a, b, rest_a, rest_b, width, threshold, False, False)
+    for y, x in _bounded(b, a, rest_b, rest_a, width, threshold, False, True):
+        yield x, y
 
 
 def _bounded(
@@ -224,10 +235,10 @@ def met_in_tiles(listed: DataFrame, threshold: float) -> DataFrame:
     def work(table: pa.Table) -> pa.Table:
         one, other = divmod(table["tile"][0].as_py(), blocks)
         sides, width = _sides(table, sorted({one, other}))
-        a, b = sides[0], sides[-1]
+        places = sides[0].places, sides[-1].places
         found = []
-        for x, y in _pairs(a, b, one == other, width, threshold):
-            x, y = a.places[x], b.places[y]
+        for x, y in _pairs(sides, width, threshold):
+            x, y = places[0][x], places[1][y]
             columns = [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))]
             found.append(pa.RecordBatch.from_arrays(columns, schema=schema))
         return pa.Table.from_batches(found, schema=schema)

@@ -154,8 +154,10 @@ def weighted(tf: DataFrame, idf: Column, id: str) -> DataFrame:
     by_term = terms.repartition("terms").groupBy("terms")
     places = F.collect_list(F.struct("chunk", "code")).alias("places")
     frequency = by_term.agg(F.sum("dfs").alias("df"), places)
-    in_order = frequency.select("df", idf.alias("idf"), "places").orderBy("df", F.get("places", F.lit(0)))
-    numbers = placed(in_order, "numbers")
+    # Filed, as a sort reads its input twice.
+    frequency = stored(frequency.select("df", idf.alias("idf"), "places"), "frequencies", tidy=True)
+    numbers = placed(frequency.orderBy("df", F.get("places", F.lit(0))), "numbers")
+    discard(frequency)
     back = numbers.select(F.col("place").alias("number"), "idf", F.explode("places").alias("at"))
     lists = stored(_joined(pieces, back.select("at.chunk", "at.code", "number", "idf")), "lists", tidy=True)
     discard(numbers)

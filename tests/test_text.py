@@ -8,6 +8,7 @@ from collections import Counter
 from itertools import combinations
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -266,14 +267,21 @@ def test_a_tile_gives_the_same_pairs_in_small_steps(monkeypatch):
         after = 1 - sum((x / length) ** 2 for x in sizes)
         rows.append((place, place % 2, codes, [x / length for x in sizes], after))
     names = ["place", "block", "codes", "sizes", "after"]
-    table = pa.table(dict(zip(names, map(list, zip(*rows)))))
+    rounded = [(p, b, codes, heads.rounded_up(np.array(sizes)).tolist(), after) for p, b, codes, sizes, after in rows]
+    table = pa.table(dict(zip(names, map(list, zip(*rounded)))))
+    short = pa.list_(pa.int16())
+    table = table.set_column(3, "sizes", table["sizes"].cast(short))
+    exact = np.array([x for row in rows for x in row[3]])
+    up = heads.rounded_up(exact).view(np.float16).astype(float)
+    assert (up >= exact).all() and (up <= exact * 1.001 + 1e-7).all()
 
     def found(threshold):
-        sides, width = heads._sides(table, [0, 1])
         pairs = Counter()
-        for a, b in ((sides[0], sides[0]), (sides[1], sides[1]), (sides[0], sides[1])):
-            for x, y in heads._pairs(a, b, a is b, width, threshold):
-                pairs.update(frozenset(p) for p in zip(a.places[x].tolist(), b.places[y].tolist()))
+        for blocks in ([0], [1], [0, 1]):
+            sides, width = heads._sides(table, blocks)
+            a, b = sides[0].places, sides[-1].places
+            for x, y in heads._pairs(sides, width, threshold):
+                pairs.update(frozenset(p) for p in zip(a[x].tolist(), b[y].tolist()))
         return pairs
 
     for threshold in (0.2, 0.7):
