@@ -19,24 +19,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, DoubleType, ShortType, StructField, StructType
 
-from .given import small_batches
+from .given import small_batches, trim
 
 #: Features of the heads in a tile, and of those in all tiles below which there are fewer tiles.
-TILE, FEW = 4_000_000, 1 << 16
-#: Blocks of ids if there are no more than a tile can hold, so that several tasks have work.
-BLOCKS = 4
+TILE, FEW = 3_000_000, 1 << 16
+#: Blocks of ids if there are no more than a tile can hold, so that many tasks have work.
+BLOCKS = 8
 #: Meetings, features and weights that are handled at once.
-_MEETINGS, _ENTRIES, _DENSE = 1 << 19, 1 << 19, 1 << 23
-#: Features below which their numbers stand for themselves in a tile.
-_NUMBERS = 1 << 25
+_MEETINGS, _ENTRIES, _DENSE = 1 << 18, 1 << 18, 1 << 22
 # Bounds are compared with this much room, so that rounding cannot lose a pair.
 _SLACK = 1e-9
 
 
 def _rest(rows: np.ndarray, begin: np.ndarray, squares: np.ndarray, after: np.ndarray) -> np.ndarray:
     """For each entry the sum of its row from there on, and ``after`` of the row."""
-    before = np.concatenate(([0.0], np.cumsum(squares)))
-    return before[begin[1:]][rows] - before[:-1] + after[rows]
+    before = np.zeros(len(squares) + 1)
+    np.cumsum(squares, out=before[1:])
+    rest = (before[begin[1:]] + after)[rows]
+    rest -= before[:-1]
+    return rest
 
 
 def rounded_up(sizes: np.ndarray) -> np.ndarray:
@@ -119,14 +120,18 @@ class _Rest:
 
 
 def _sides(table: pa.Table, blocks: list[int]) -> tuple[list[_Side], int]:
-    """The heads of each block, and a number above all codes."""
+    """The heads of each block, and the number of different features."""
     lists = table["codes"].combine_chunks()
     n = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     begin = np.concatenate(([0], np.cumsum(n)))
     codes = lists.flatten().to_numpy(zero_copy_only=False)
-    if codes.max(initial=0) >= _NUMBERS:
-        codes = np.unique(codes, return_inverse=True)[1].reshape(-1)
-    codes = codes.astype(np.int32, copy=False)
+    different = np.sort(codes)
+    different = different[np.concatenate(([True], different[1:] != different[:-1]))[: len(different)]]
+    number = np.empty(len(codes), dtype=np.int32)
+    for start in range(0, len(codes), _ENTRIES):
+        number[start : start + _ENTRIES] = np.searchsorted(different, codes[start : start + _ENTRIES])
+    codes, width = number, max(len(different), 1)
+    del lists, different, number
     sizes = table["sizes"].combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.float16)
     block, places, after = (table[name].to_numpy() for name in ("block", "place", "after"))
     sides = []
@@ -136,11 +141,13 @@ def _sides(table: pa.Table, blocks: list[int]) -> tuple[list[_Side], int]:
         own_begin = np.concatenate(([0], np.cumsum(n[own])))
         rows = np.repeat(np.arange(len(own), dtype=np.int32), n[own])
         at = np.arange(own_begin[-1]) + np.repeat(begin[own] - own_begin[:-1], n[own])
-        size = sizes[at].astype(np.float32)
-        rest = _rest(rows, own_begin, size.astype(np.float64) ** 2, after[own])
-        rest = (rest * (1 + 1e-6)).astype(np.float32)
-        sides.append(_Side(places[own], own_begin, after[own], rows, codes[at], size, rest))
-    return sides, int(codes.max(initial=0)) + 1
+        size, code = sizes[at].astype(np.float32), codes[at]
+        del at
+        # The squares of numbers of 16 bits are exact here.
+        rest = _rest(rows, own_begin, size * size, after[own])
+        rest *= 1 + 1e-6
+        sides.append(_Side(places[own], own_begin, after[own], rows, code, size, rest.astype(np.float32)))
+    return sides, width
 
 
 def _pairs(sides: list[_Side], width: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -169,10 +176,15 @@ def _bounded(
     # A feature's entries in b by falling rest: those that an entry of a meets come first.
     order = np.lexsort((-b.rest, b.codes))
     owner, key = b.rows[order], 2.0 * b.codes[order] + (1.5 - b.rest[order])
+    del order
     first = np.concatenate(([0], np.cumsum(np.bincount(b.codes, minlength=width))))[a.codes]
-    most = 1.5 - (threshold**2 - _SLACK) / a.rest + 1e-7
-    count = np.maximum(np.searchsorted(key, 2.0 * a.codes + most, side="right") - first, 0)
-    del order, key, most
+    most = 2.0 * a.codes
+    most += 1.5 + 1e-7
+    most -= (threshold**2 - _SLACK) / a.rest.astype(np.float64)
+    count = np.searchsorted(key, most, side="right")
+    count -= first
+    np.maximum(count, 0, out=count)
+    del key, most
     lengths = np.diff(b.begin)
     # Rows of a by falling length of their heads: where a row of b comes in this order.
     place = np.arange(len(lengths)) if same else np.searchsorted(
@@ -233,6 +245,7 @@ def met_in_tiles(listed: DataFrame, threshold: float) -> DataFrame:
     schema = to_arrow_schema(out)
 
     def work(table: pa.Table) -> pa.Table:
+        trim()
         one, other = divmod(table["tile"][0].as_py(), blocks)
         sides, width = _sides(table, sorted({one, other}))
         places = sides[0].places, sides[-1].places

@@ -18,12 +18,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from ..storage import discard, stored
-from .given import small_batches
+from .given import small_batches, trim
 from .meeting import placed
 
 #: Entries of a chunk, and different terms in one row of its list.
 CHUNK, TERMS = 1 << 20, 1 << 14
-#: Bytes that a task sends to Python at once: two workers of a task run side by side.
+#: Bytes that a task sends to Python at once.
 _BATCH = 1 << 22
 
 
@@ -34,6 +34,7 @@ def counted(texts: DataFrame) -> DataFrame:
     names = [field.name for field in out]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = rows = words = key = n = columns = None
         for batch in batches:
             rows, words = _flat(batch.column(1))
             words = words.dictionary_encode()
@@ -42,6 +43,8 @@ def counted(texts: DataFrame) -> DataFrame:
             key, n = np.unique(key, return_counts=True)
             columns = [batch.column(0).take(pa.array(key // each)), words.dictionary.take(pa.array(key % each))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n)], names=names)
+        del batch, rows, words, key, n, columns
+        trim()
 
     return texts.mapInArrow(work, out)
 
@@ -128,9 +131,11 @@ def coded(tf: DataFrame, id: str) -> DataFrame:
                 table = table.slice(cut)
             held, size = table.combine_chunks().to_batches(), table.num_rows
             del table
-            pa.default_memory_pool().release_unused()
+            trim()
         if size:
             yield from chunk_rows(pa.Table.from_batches(held), chunk)
+        held.clear()
+        trim()
 
     entries = tf.filter(F.col("term").isNotNull()).select(F.col(id).alias("id"), "term", F.col("tf").cast("bigint"))
     return entries.mapInArrow(work, out)
@@ -190,6 +195,7 @@ def _joined(pieces: DataFrame, numbers: DataFrame) -> DataFrame:
     schema = to_arrow_schema(out)
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        trim()
         at = right["code"].to_numpy()
         number, idf = np.zeros(len(at), dtype=np.int64), np.zeros(len(at))
         number[at], idf[at] = right["number"].to_numpy(), right["idf"].to_numpy()

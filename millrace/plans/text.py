@@ -10,7 +10,7 @@ from ..operators import terms as op
 from ..operators.similarity import copies_of, pair_similarity, similar_pairs
 from ..operators.wide import wide_components
 from ..sources.messages import split_messages
-from ..storage import stored
+from ..storage import discard, stored
 from .inputs import document_ids, documents, table
 from .registry import query
 
@@ -57,8 +57,10 @@ def _numbers(spark: SparkSession, root: str) -> DataFrame:
 
 def _vectors(spark: SparkSession, root: str) -> DataFrame:
     """The weights filed as one row a document, since comparing documents reads them several times."""
-    m = op.document_count(document_ids(spark, root))
-    return op.tfidf(_tf(spark, root), m, listed=True).withColumnRenamed("doc_id", "id")
+    tf = stored(_tf(spark, root), "tf", tidy=True)
+    lists = op.tfidf(tf, op.document_count(document_ids(spark, root)), listed=True)
+    discard(tf)
+    return lists.withColumnRenamed("doc_id", "id")
 
 
 @query(
